@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from trackloom.llm.op3 import op3_arc_to_warc
+from trackloom.llm.op4 import op4_simhash_groups
 from trackloom.llm.op9 import op9_mix_sources
 from trackloom.llm.op10 import op10_hilbert_shards
 
 
 def queries() -> dict:
-    found = [op3_arc_to_warc, op9_mix_sources, op10_hilbert_shards]
+    found = [op3_arc_to_warc, op4_simhash_groups, op9_mix_sources, op10_hilbert_shards]
     return {f.__name__: f for f in found}
 
 
