@@ -80,7 +80,7 @@ def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
         reach, left = [left[0]], left[1:]
         while reach and len(left):
             node = reach.pop()
-            near = np.bitwise_count(left ^ node) <= max_bits
+            near = np.bitwise_count((left ^ node).view(np.uint64)) <= max_bits  # of a signed number it counts the absolute value's
             if near.any():
                 hits = left[near]
                 links.extend((int(node), int(h)) for h in hits)
