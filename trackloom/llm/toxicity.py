@@ -116,7 +116,7 @@ def tail(n: int, k: int, p: float) -> float:
 def choose_terms(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
     """The lexicon: weights of terms, given (term, toxic documents, clean documents)."""
     base = n_toxic / max(n_toxic + n_clean, 1)
-    by = {t: (a, b) for t, a, b in counts if a * n_clean > 4 * b * n_toxic and b <= a and tail(min(a + b, 60), min(a, 60 - min(b, 59)), base) <= CHANCE}
+    by = {t: (a, b) for t, a, b in counts if a * n_clean > 4 * b * n_toxic and tail(min(a + b, 60), min(a, 60 - min(b, 59)), base) <= CHANCE}
     weight = lambda t: math.log((by[t][0] + 0.5) / (n_toxic + 1)) - math.log((by[t][1] + 0.5) / (n_clean + 1))
     chosen: dict[str, float] = {}
     for t in sorted(by, key=lambda t: (len(t.rstrip()), not t.endswith(" "), t)):
@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict:
         yield out()
 
     counted = rows.mapInArrow(count, "term string, a bigint, b bigint").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    strong = counted.where((F.col("a") >= 3) & (F.col("a") * n_clean > F.col("b") * (4 * n_toxic)) & (F.col("b") <= F.col("a"))).orderBy(F.col("a").desc(), "b", "term").limit(5 * MOST_TERMS)
+    strong = counted.where((F.col("a") >= 3) & (F.col("a") * n_clean > F.col("b") * (4 * n_toxic))).orderBy((F.col("a") * F.log((F.col("a") + 0.5) * n_clean / ((F.col("b") + 0.5) * n_toxic))).desc(), "term").limit(5 * MOST_TERMS)
     model["weights"] = choose_terms([(r["term"], r["a"], r["b"]) for r in strong.collect()], n_toxic, n_clean)
     weights = model["weights"]
 
