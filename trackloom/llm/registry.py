@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from trackloom.llm.op1 import op1_pack_sequences
 from trackloom.llm.op2 import op2_fingerprints
 from trackloom.llm.op3 import op3_arc_to_warc
 from trackloom.llm.op4 import op4_simhash_groups
@@ -14,7 +15,7 @@ from trackloom.llm.op10 import op10_hilbert_shards
 
 
 def queries() -> dict:
-    found = [op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards]
+    found = [op1_pack_sequences, op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards]
     return {f.__name__: f for f in found}
 
 
