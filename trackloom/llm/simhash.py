@@ -44,6 +44,10 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - k + 1].tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=True)], np.uint64)
+    return _majority(hashes)
+
+
+def _majority(hashes: np.ndarray) -> int:
     counts = np.zeros(64, np.int64)
     for part in range(0, len(hashes), 1 << 16):  # long texts in bounded memory
         bits = np.unpackbits(hashes[part : part + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -63,47 +67,93 @@ def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: s
     return docs.select(key, text).mapInArrow(compute, f"`{key}` {kind}, fp bigint")
 
 
-def block_masks(n: int, max_bits: int) -> list[int]:
-    """Masks of the choices of blocks for `n` distinct fingerprints."""
-    r = next((r for r in range(1, 60) if 64 * r // (max_bits + r) >= max(n, 2).bit_length()), 60)
+def set_fingerprint(text: bytes, shingle: int = 2) -> int:
+    """As fingerprint(), each distinct shingle counting once."""
+    words = text.lower().split()
+    if not words:
+        return 0
+    k = min(shingle, len(words))
+    found = {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+    return _majority(np.array([xxhash.xxh64_intdigest(x, SEED) for x in found], np.uint64))
+
+
+def sketch(text: bytes, shingle: int = 5, bins: int = 256) -> bytes:
+    """One-permutation MinHash: 16 bits of the least shingle hash in each bin, 0 where a bin is empty."""
+    words = text.lower().split()
+    out = np.zeros(bins, np.uint16)
+    if words:
+        k = min(shingle, len(words))
+        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)], np.uint64)
+        hashes.sort()
+        at, first = np.unique(hashes % bins, return_index=True)
+        out[at.astype(np.int64)] = (hashes[first] >> np.uint64(16)).astype(np.uint16) | 1
+    return out.tobytes()
+
+
+def block_masks(n: int, max_bits: int, crowd: int = 0) -> list[int]:
+    """Masks of the choices of blocks for `n` distinct fingerprints, of 2**`crowd` or fewer by chance in a bucket."""
+    r = next((r for r in range(1, 60) if 64 * r // (max_bits + r) >= max(n, 2).bit_length() - crowd), 60)
     blocks = max_bits + r
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(masks, r)]
 
 
-def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among distinct fingerprints."""
+def forest(n: int, near) -> list[tuple[int, int]]:
+    """A spanning forest of the links among n rows; near(i, rows) tells which of the rows link to row i."""
     links: list[tuple[int, int]] = []
-    left = fps
+    left = np.arange(n)
     while len(left) > 1:
-        reach, left = [left[0]], left[1:]
+        reach, left = [int(left[0])], left[1:]
         while reach and len(left):
             node = reach.pop()
-            near = np.bitwise_count((left ^ node).view(np.uint64)) <= max_bits  # of a signed number it counts the absolute value's
-            if near.any():
-                hits = left[near]
-                links.extend((int(node), int(h)) for h in hits)
+            hit = near(node, left)
+            if hit.any():
+                hits = left[hit].tolist()
+                links.extend((node, h) for h in hits)
                 reach.extend(hits)
-                left = left[~near]
+                left = left[~hit]
     return links
 
 
-def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
-    """(u, v), u > v: links that connect all fingerprints of `nodes`.fp within `max_bits` of each other."""
-    n = nodes.count()
-    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(n, max_bits)]
-    keyed = nodes.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("t", "key"))
-    counted = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("t", "key"))).where("n > 1")
-    chunks = F.ceil(F.col("n") / BUCKET).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    tiled = counted.withColumn("chunks", chunks).withColumn("own", own).select("t", "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    tiled = tiled.select("t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    order = ["t", "key", "i", "j"]
+def within_bits(ids: np.ndarray, data: np.ndarray | None, max_bits: int):
+    """near() of fingerprints that differ in at most `max_bits` bits."""
+    fps = ids.view(np.uint64)  # of a signed number bitwise_count counts the absolute value's bits
+    return lambda i, rows: np.bitwise_count(fps[rows] ^ fps[i]) <= max_bits
+
+
+def alike(ids: np.ndarray, data: np.ndarray | None, least: float):
+    """near() of sketches whose estimated resemblance is `least` or more; two empty ones are alike."""
+
+    def near(i: int, rows: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rows), bool)
+        for at in range(0, len(rows), 4096):
+            other = data[rows[at : at + 4096]]
+            used = (other != 0) | (data[i] != 0)
+            same = ((other == data[i]) & used).sum(axis=1)
+            out[at : at + 4096] = same >= least * used.sum(axis=1)
+        return out
+
+    return near
+
+
+def bucket_links(rows: DataFrame, groups: list[str], near, limit: float) -> DataFrame:
+    """(u, v), u > v, bigint: a spanning forest of the links within each bucket.
+
+    `rows` has the group columns, `id` and, if the test needs it, `data` (16-bit numbers); ids of a bucket
+    are distinct. near(ids, data, limit) makes the test.
+    """
+    extra = [c for c in ("data",) if c in rows.columns]
+    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*groups))).where("n > 1")
+    counted = counted.withColumn("chunks", F.ceil(F.col("n") / BUCKET).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    tiled = counted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    order = [*groups, "i", "j"]
+    tiled = tiled.select(*groups, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", *extra)
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The runs of equal (t, key, i, j) of a sorted partition, one after the other."""
-        held = np.empty((0, 5), np.int64)
+        """The runs of equal groups of a sorted partition, one after the other."""
+        width = len(order)
+        held, held_data = np.empty((0, width + 1), np.int64), None
         found: list[tuple[int, int]] = []
 
         def out() -> pa.RecordBatch:
@@ -111,27 +161,42 @@ def links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
             found.clear()
             return pa.RecordBatch.from_pydict({"u": pa.array(pairs.max(axis=1)), "v": pa.array(pairs.min(axis=1))})
 
-        def runs(rows: np.ndarray, last: bool) -> np.ndarray:
+        def runs(rows: np.ndarray, data: np.ndarray | None, last: bool) -> int:
+            """Links the whole runs; returns where the last one begins."""
             if not len(rows):
-                return rows
-            starts = np.flatnonzero(np.concatenate(([True], (rows[1:, :4] != rows[:-1, :4]).any(axis=1))))
+                return 0
+            starts = np.flatnonzero(np.concatenate(([True], (rows[1:, :width] != rows[:-1, :width]).any(axis=1))))
             ends = np.append(starts[1:], len(rows))
-            for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-                if b < len(rows) or last:
-                    if b - a > 1:
-                        found.extend(forest(rows[a:b, 4], max_bits))
-            return rows[:0] if last else rows[starts[-1] :]
+            whole = ends - starts > 1
+            if not last:
+                whole[-1] = False
+            for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
+                ids = np.ascontiguousarray(rows[a:b, width])
+                found.extend((int(ids[x]), int(ids[y])) for x, y in forest(b - a, near(ids, None if data is None else data[a:b], limit)))
+            return len(rows) if last else int(starts[-1])
 
         for batch in batches:
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
-            held = runs(np.concatenate([held, rows]), False)
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[: width + 1]], axis=1)
+            held = np.concatenate([held, rows])
+            if extra:
+                data = np.array([np.frombuffer(x.as_py(), np.uint16) for x in batch.columns[-1]])
+                held_data = data if held_data is None or not len(held_data) else np.concatenate([held_data, data])
+            at = runs(held, held_data, False)
+            held, held_data = held[at:], None if held_data is None else held_data[at:]
             if len(found) > 100_000:
                 yield out()
-        runs(held, True)
+        runs(held, held_data, True)
         yield out()
 
-    dealt = tiled.repartition(*order).sortWithinPartitions(*order, "fp")
-    return cut(dealt.select(*order, "fp").mapInArrow(connect, "u bigint, v bigint").distinct())
+    dealt = tiled.repartition(*order).sortWithinPartitions(*order, "id")
+    return cut(dealt.select(*order, "id", *extra).mapInArrow(connect, "u bigint, v bigint").distinct())
+
+
+def links(nodes: DataFrame, max_bits: int = 4, crowd: int = 0) -> DataFrame:
+    """(u, v), u > v: links that connect all fingerprints of `nodes`.fp within `max_bits` of each other."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(nodes.count(), max_bits, crowd)]
+    keyed = nodes.select(F.col("fp").alias("id"), F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("t", "key"))
+    return bucket_links(keyed, ["t", "key"], within_bits, max_bits)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -159,3 +224,31 @@ def group(fps: DataFrame, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
     joined = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(joined, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(key, "fp", "component_id")
+
+
+def near_copies(docs: DataFrame, key: str, least: float = 0.8, margin: float = 0.03, max_bits: int = 8, text: str = "text") -> DataFrame:
+    """(key, component_id) for documents whose five-word shingles resemble each other by `least` or more.
+
+    On five-word shingles such pairs differ in 10 or more of 64 bits, too many for blocks. So the blocks work
+    on fingerprints of the distinct word pairs, of which these pairs share far more: measured on 9,000 near
+    copies, 96 of 100 such pairs differ by 8 bits at most, while unrelated texts differ by 17 or more. Within
+    the groups so linked, five-word sketches of 256 bins verify; `margin` is about their standard error.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t.as_py() or "").encode() for t in batch.column(1)]
+            fps = np.array([set_fingerprint(t) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array([sketch(t) for t in texts], pa.binary())], names=["key", "fp", "data"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    rows = cut(docs.select(key, text).mapInArrow(compute, f"key {kind}, fp bigint, data binary").withColumn("id", F.xxhash64("fp", "data")))
+    nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), F.first("fp").alias("fp")))
+    roots = components(links(nodes.select("fp").distinct(), max_bits, crowd=6))
+    coarse = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("id", F.coalesce("root", "fp").alias("bucket"))
+    several = cut(coarse.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("n > 1").drop("n"))
+    sketches = rows.join(several, "id").select("bucket", "id", "data").dropDuplicates(["id"])
+    fine = components(bucket_links(sketches, ["bucket"], alike, least - margin))
+    rooted = cut(nodes.join(fine, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
+    return rows.select("key", "id").join(named, "id").select("key", "component_id")
