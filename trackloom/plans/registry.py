@@ -1,11 +1,242 @@
-"""Names of the queries that the driver runs, with their oracle SQL."""
+"""The queries that the driver runs, by name, with their oracle SQL.
+
+Each is a plan over driver_views. Dates and times are returned as text, so that engines compare alike.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackloom.config import DEFAULT, Config
+from trackloom.functions.civil_time import is_clock_change_hour, plus_seconds, wall_clock, within_grace
+from trackloom.functions.rail import plausible
+from trackloom.operators import consolidate, polls, sections, timetable
+from trackloom.plans import driver_views as views
+from trackloom.plans import extracts, marts, oracle, quality, reports
+from trackloom.sources.timetable import lines_of_trips, path_origin
+from trackloom.streaming.changes import changes, in_scope
+
+Query = Callable[[SparkSession, str], DataFrame]
+SOURCE = "south"
+#: The driver's trips lie thinly over seven years, so the extracts take a year.
+WIDE = Config(window_days=365)
+MIN_RUNS = 1
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    moments = [c for c, t in df.dtypes if t in ("date", "timestamp_ntz", "timestamp")]
+    return df.withColumns({c: F.col(c).cast("string") for c in moments}) if moments else df
+
+
+class Rail:
+    """The relations of one folder, built on demand; lazy, so a query reads what it needs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.dir = spark, sf_dir
+
+    def __getattr__(self, name: str):
+        made = getattr(self, f"make_{name}")()
+        setattr(self, name, made)
+        return made
+
+    def make_reports(self):
+        return views.reports(self.spark, self.dir)
+
+    def make_planned(self):
+        return views.planned(self.spark, self.dir)
+
+    def make_stop_names(self):
+        return views.stop_names(self.spark, self.dir)
+
+    def make_line_names(self):
+        return views.line_names(self.spark, self.dir)
+
+    def make_consolidated(self):
+        return consolidate.consolidate(self.reports)
+
+    def make_observed(self):
+        return consolidate.with_names(self.consolidated, self.stop_names, self.line_names)
+
+    def make_cancelled(self):
+        return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.reports, self.planned, self.stop_names, self.line_names)
+
+    def make_events(self):
+        return sections.stop_events(self.observed, self.cancelled)
+
+    def make_runs(self):
+        return marts.run_detail(self.events)
+
+    def make_coverage(self):
+        return timetable.run_coverage(self.consolidated, self.planned)
+
+    def make_candidates(self):
+        runs = self.consolidated.groupBy("service_date", "trip_key", "trip_id").agg(F.bool_and("stop_skipped").alias("a"), F.bool_or("trip_cancelled").alias("b"))
+        return runs.where("a and not b").select("service_date", "trip_key", "trip_id")
+
+    def make_origin(self):
+        return marts.delay_origin(self.runs)
+
+    def make_bottlenecks(self):
+        return marts.bottlenecks(self.runs)
+
+    def make_buffer(self):
+        return marts.buffer_balance(self.runs)
+
+    def make_punctuality(self):
+        return marts.punctuality(self.runs, self.coverage)
+
+    def make_quality(self):
+        return marts.data_quality(self.runs)
+
+    def make_polled(self):
+        return polls.polls(views.poll_rows(self.spark, self.dir))
+
+    def make_collection(self):
+        return marts.collection(self.polled)
+
+    def make_ext_sections(self):
+        return extracts.sections(self.bottlenecks, WIDE)
+
+    def make_ext_collection(self):
+        return extracts.collection(self.collection, WIDE)
+
+    def make_ext_punctuality(self):
+        return extracts.punctuality(self.punctuality, WIDE)
+
+    def make_ext_lines(self):
+        return extracts.buffer_lines(self.buffer, WIDE)
+
+    def make_ext_buffer(self):
+        return extracts.buffer_sections(self.buffer, WIDE)
+
+    def make_ext_runs(self):
+        return extracts.run_sample(self.runs)
+
+    def make_steps(self):
+        return reports.waterfall(self.ext_runs)
+
+    def table(self, name: str) -> DataFrame:
+        return views.read(self.spark, self.dir, name)
+
+
+def _clock_change(r: Rail) -> DataFrame:
+    ts = plus_seconds(F.lit("2026-10-24 00:00:00").cast("timestamp_ntz"), F.col("event_id") * 37 % 259200)
+    return r.table("events").select("event_id", is_clock_change_hour(ts).alias("ambiguous"))
+
+
+def _path_origin(r: Rail) -> DataFrame:
+    path = F.concat(F.lit("/x/v=2026-0"), (1 + F.col("s_suppkey") % 9).cast("string"), F.lit("-01/"), F.when(F.col("s_suppkey") % 2 == 0, "rv").otherwise("fv"), F.lit("/stops.txt"))
+    return r.table("supplier").select("s_suppkey").withColumns(path_origin(path))
+
+
+def _lines_of_trips(r: Rail) -> DataFrame:
+    at = [F.to_date(F.lit("2026-01-01")).alias("static_version"), F.when(F.col("o_orderkey") % 3 == 0, "fv").otherwise("rv").alias("feed")]
+    trips = r.table("orders").select(*at, F.col("o_orderkey").cast("string").alias("trip_id"), (F.col("o_custkey") % 50).cast("string").alias("route_id"))
+    routes = r.spark.range(50).select(F.to_date(F.lit("2026-01-01")).alias("static_version"), F.explode(F.array(F.lit("fv"), F.lit("rv"))).alias("feed"), F.col("id").cast("string").alias("route_id"), F.when(F.col("id") == 7, " ").otherwise(F.concat(F.lit("L"), F.col("id").cast("string"))).alias("route_short_name"))
+    return lines_of_trips(trips, routes)
+
+
+def _scope(r: Rail) -> DataFrame:
+    stops = r.table("supplier").where("s_suppkey % 7 = 0").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("stop_id"))
+    return in_scope(r.reports, stops, ["trip_key"]).select("source", "trip_key", "trip_id", "stop_sequence", "stop_id")
+
+
+def _plausible(r: Rail) -> DataFrame:
+    in_time = F.coalesce(within_grace(F.col("snapshot_ts"), F.col("sched_arr"), DEFAULT.grace_minutes), F.lit(False))
+    return r.reports.select("trip_key", "stop_sequence", "snapshot_ts", plausible(F.col("arr_delay_s")).alias("arr_plausible"), plausible(F.col("dep_delay_s")).alias("dep_plausible"), in_time.alias("arr_in_time"))
+
+
+def _derived_sequence(r: Rail) -> DataFrame:
+    timed = r.consolidated.where("coalesce(sched_arr, sched_dep) is not null").withColumn("raw_sequence", F.col("stop_sequence"))
+    return sections.derive_sequence(timed).select("source", "trip_key", "raw_sequence", "stop_sequence")
+
+
+def _changes(r: Rail) -> DataFrame:
+    events = r.table("events").select("event_id", "user_id", "event_type", F.expr("event_id div 50").alias("poll"))
+    return changes(events, ["user_id"], ["event_id"], ["event_type"], "poll", 40).drop("poll")
+
+
+#: Each query as a function of Rail.
+PLANS: dict[str, Callable[[Rail], DataFrame]] = {
+    "prj_reconstructed_schedule": lambda r: r.reports.select("source", "trip_key", "stop_sequence", "snapshot_ts", "sched_arr", "sched_dep", "arr_delay_s", "dep_delay_s"),
+    "prj_plausible_reports": _plausible,
+    "prj_clock_change": _clock_change,
+    "prj_timetable_seconds": lambda r: r.planned.select("trip_id", "static_version", "feed", "stop_sequence", "arrival_s", "departure_s"),
+    "prj_wall_clock": lambda r: r.table("events").select("event_id", wall_clock(F.lit(1774000000) + F.col("event_id") * 7919, DEFAULT.zone).alias("local_time")),
+    "prj_path_origin": _path_origin,
+    "prj_scope_filter": _scope,
+    "join_lines_of_trips": _lines_of_trips,
+    "join_valid_version": lambda r: timetable.valid_version(r.candidates, r.planned),
+    "join_cancelled_stops": lambda r: r.cancelled.select("source", "service_date", "trip_key", "stop_sequence", "stop_id", "stop_name", "sched_arr", "sched_dep", "is_final", "trip_cancelled", "line"),
+    "join_run_coverage": lambda r: r.coverage,
+    "agg_name_variants": lambda r: r.stop_names,
+    "win_derived_sequence": _derived_sequence,
+    "win_section_deltas": lambda r: sections.section_deltas(r.events).select("source", "trip_key", "stop_sequence", "prev_stop_id", "is_direct", "run_delta_s", "dwell_delta_s"),
+    "win_poll_gaps": lambda r: r.polled,
+    "consolidated_stops": lambda r: r.consolidated,
+    "stop_events": lambda r: r.events,
+    "stop_states": lambda r: marts.stop_states(r.runs).select("source", "trip_key", "stop_no", "has_arrival", "state"),
+    "mart_run_detail": lambda r: r.runs,
+    "mart_delay_origin": lambda r: r.origin,
+    "mart_bottlenecks": lambda r: r.bottlenecks,
+    "mart_buffer_balance": lambda r: r.buffer,
+    "mart_punctuality": lambda r: r.punctuality,
+    "mart_data_quality": lambda r: r.quality,
+    "mart_collection": lambda r: r.collection,
+    "ext_sections": lambda r: r.ext_sections,
+    "ext_collection": lambda r: r.ext_collection,
+    "ext_punctuality": lambda r: r.ext_punctuality,
+    "ext_buffer_lines": lambda r: r.ext_lines,
+    "ext_buffer_sections": lambda r: r.ext_buffer,
+    "ext_run_sample": lambda r: r.ext_runs,
+    "rep_data_state": lambda r: reports.data_state(r.quality, views.NAMES),
+    "rep_one_source": lambda r: reports.of_source(r.quality, "north"),
+    "rep_split_total": lambda r: reports.split_total(r.origin),
+    "rep_top_sections": lambda r: reports.top_sections(r.origin),
+    "rep_coverage": lambda r: reports.coverage(r.quality, views.NAMES),
+    "rep_collection_days": lambda r: reports.collection_days(r.ext_collection, views.NAMES),
+    "rep_section_sources": lambda r: reports.sources(r.ext_sections, views.NAMES),
+    "rep_section_totals": lambda r: reports.section_totals(r.ext_sections, SOURCE),
+    "rep_section_ranking": lambda r: reports.section_ranking(r.ext_sections, SOURCE),
+    "rep_heatmap": lambda r: reports.heatmap(r.ext_sections, SOURCE),
+    "rep_heatmap_top": lambda r: reports.heatmap_top(r.ext_sections, SOURCE),
+    "rep_directions": lambda r: reports.directions(r.ext_sections, SOURCE),
+    "rep_asymmetry": lambda r: reports.asymmetry(r.ext_sections, SOURCE),
+    "rep_buffer_sources": lambda r: reports.sources(r.ext_buffer, views.NAMES),
+    "rep_buffer_sections": lambda r: reports.buffer_sections(r.ext_buffer, SOURCE, MIN_RUNS),
+    "rep_too_tight": lambda r: reports.too_tight(r.ext_buffer, SOURCE, MIN_RUNS),
+    "rep_reserve_works": lambda r: reports.reserve_works(r.ext_buffer, SOURCE, MIN_RUNS),
+    "rep_reserve_idle": lambda r: reports.reserve_idle(r.ext_buffer, SOURCE, MIN_RUNS),
+    "rep_buffer_lines": lambda r: reports.buffer_lines(r.ext_lines, SOURCE, MIN_RUNS),
+    "rep_run_sources": lambda r: reports.run_sources(r.ext_runs, views.NAMES),
+    "rep_run_days": lambda r: reports.run_days(r.ext_runs, SOURCE),
+    "rep_run_lines": lambda r: reports.run_lines(r.ext_runs, SOURCE),
+    "rep_run_trips": lambda r: reports.run_trips(r.ext_runs, SOURCE, line_like="%-%"),
+    "rep_waterfall": lambda r: r.steps,
+    "rep_waterfall_parts": lambda r: reports.waterfall_parts(r.steps),
+    "rep_waterfall_levels": lambda r: reports.waterfall_levels(r.steps),
+    "rep_punctuality_sources": lambda r: reports.punctuality_sources(r.ext_punctuality, views.NAMES),
+    "rep_curve": lambda r: reports.curve(r.ext_punctuality, SOURCE),
+    "rep_curve_long": lambda r: reports.curve_long(r.ext_punctuality, SOURCE),
+    "rep_state_totals": lambda r: reports.state_totals(r.ext_punctuality, SOURCE),
+    "rep_line_table": lambda r: reports.line_table(r.ext_punctuality, SOURCE),
+    "stream_change_detection": _changes,
+    "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
+    "dq_previous_stop": lambda r: quality.previous_stop(r.runs),
+    "dq_summary": lambda r: quality.summary(r.runs),
+}
+
+
+def _query(plan: Callable[[Rail], DataFrame]) -> Query:
+    return lambda spark, sf_dir: as_text(plan(Rail(spark, sf_dir)))
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: _query(plan) for name, plan in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: oracle.sql(name) for name in PLANS if name in oracle.FINAL}
