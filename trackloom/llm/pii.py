@@ -3,7 +3,7 @@
 Base generators are exact: e-mail addresses, IPv4 addresses, card numbers and phone numbers by fixed
 patterns and checks; what they find always stays. Further generators propose spans that overlap freely:
 addresses with spelt-out signs or letters beyond ASCII, defanged and IPv6 addresses, cards with unusual
-separators, phone numbers without a plus. Trees score each proposal by its format (length, digits, groups,
+separators, phone numbers without a plus, cards and phone numbers that other digits follow. Trees score each proposal by its format (length, digits, groups,
 separators, check digit) and context (words and characters around it); a threshold for each kind, calibrated
 on rows kept from the fit for PRECISION, selects. Proposals that overlap a base span are dropped.
 
@@ -50,7 +50,9 @@ MORE = (
     ("ip", r"(?<![0-9A-Za-z])[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20)[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20|\.)[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20|\.)[0-9]{1,3}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
     ("card", r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{3,6}){2,4}(?![0-9A-Za-z])"),
+    ("card", r"(?<![0-9A-Za-z])(?:[0-9]{4}[\x20-]?){3}[0-9]{4}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z+.,-])\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])"),
+    ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2}(?![0-9])"),
 )
 #: Cheap tests that a text must pass before a generator reads it.
 GATES = {"@": r"@", "digit": r"[0-9]", "plus": r"\+[0-9]", "spelt": r"[(\[{]\x20?(?:at|AT|@)|\x20(?:dot|DOT)\x20"}
@@ -114,7 +116,7 @@ def candidates(text: Column) -> tuple[Column, Column]:
         named = F.transform(matches(text, pattern), lambda m: F.struct(m["start"], F.lit(KINDS.index(kind)).alias("kind"), m["end"], m["value"], m["before"], m["after"]))
         return F.when(gate, named).otherwise(wide)
 
-    ways = (gate["spelt"], gate["@"], gate["digit"], gate["digit"], gate["digit"], gate["digit"])
+    ways = (gate["spelt"], gate["@"], gate["digit"], gate["digit"], gate["digit"], gate["digit"], gate["digit"], gate["plus"])
     base = F.concat(*map(checked, KINDS))
     more = F.concat(*(proposed(k, p, g) for g, (k, p) in zip(ways, MORE, strict=True)))
     return base, more
@@ -129,7 +131,7 @@ def features(c: Column) -> list[Column]:
     digits = F.regexp_replace(v, "[^0-9]", "")
     return [
         c["kind"], F.char_length(v), F.char_length(digits), count("A-Za-z"), count("().\\x20/:_-"),
-        F.size(F.split(v, "[^0-9]+")), flag(F.char_length(digits).between(12, 19) & F.call_function("luhn_check", digits)), like(v, r"^[(]?0"), like(v, r"^[(]"),
+        F.size(F.split(v, "[^0-9]+")), flag(F.char_length(digits).between(12, 19) & F.call_function("luhn_check", digits)), like(v, r"^[(]?0"), like(v, r"^[(]"), like(v, r"^\+"),
         like(v, r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{2,4}"), like(v, r"\.[A-Za-z]{2,6}$"), like(v, r"@|[(\[{]\x20?(at|AT)"), like(v, r"[:/_]"),
         like(before, r"[0-9a-z]$"), flag(F.regexp_like(after, F.lit("^[0-9A-Za-z]"))),
         *(like(before, rf"(?:^|[^a-zé])(?:{words})[^a-z0-9]{{0,6}}(?:is|ist|est|es|me at|us at|at)?[^a-z0-9]{{0,3}}$") for words in CUES.values()),
@@ -161,13 +163,13 @@ def sentences(seed: int = 7, n: int = SENTENCES) -> list[dict]:
     good = {
         "email": lambda: rng.choice([spelt, lambda: f"{word()}é{word(1, 4)}@{host()}", lambda: f"{word()}@{word()}ü.{rng.choice(['de', 'com'])}"])(),
         "ip": lambda: rng.choice([".", "[.]", "(.)"]).join(str(rng.randint(1, 255)) for _ in range(4)).replace(".", "[.]", 1) if rng.random() < 0.6 else ":".join(f"{rng.randrange(65536):x}" for _ in range(8)),
-        "card": lambda: card(rng.choice([".", "_", "  ", "/", "--"])),
-        "phone": phone,
+        "card": lambda: card(rng.choice([".", "_", "  ", "/", "--", "", " ", "-"])),
+        "phone": lambda: phone() if rng.random() < 0.6 else f"+{digits(rng.randint(1, 2))} ({digits(3)}) {digits(3)}-{digits(4)}",
     }
     cues = {k: [c for c in v.split("|")] for k, v in CUES.items()}
     bad = [
         lambda: f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}", lambda: f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.{rng.randint(1990, 2030)}",
-        lambda: f"{digits(3)}-{digits(10)}", lambda: f"{digits(2)} {digits(3)}", lambda: f"{digits(4)}.{digits(4)}.{digits(4)}.{digits(4)}", lambda: f"{digits(3)} {digits(3)} {digits(3)}", lambda: f"{digits(2)}.{digits(2)}",
+        lambda: f"{digits(3)}-{digits(10)}", lambda: f"{digits(2)} {digits(3)}", lambda: rng.choice([".", " ", "", "-"]).join(digits(4) for _ in range(4)), lambda: f"{digits(3)} {digits(3)} {digits(3)}", lambda: f"{digits(2)}.{digits(2)}",
         lambda: f"{word()} at {word()}.{word()}", lambda: f"{word()} at {word()} dot {word()}", lambda: f"@{word()}@{word()}", lambda: f"{word()}.{word()}@{word()}", lambda: f"{digits(4)}-{digits(4)}", lambda: f"{digits(4)}/{digits(4)}/{digits(4)}", lambda: digits(rng.randint(5, 18)), lambda: f"{digits(5)}-{digits(4)}", lambda: ":".join(digits(2) for _ in range(8)),
     ]
     out = []
@@ -188,9 +190,11 @@ def sentences(seed: int = 7, n: int = SENTENCES) -> list[dict]:
                     say(rng.choice(cues[kind]) + rng.choice([": ", " ", ". ", " is ", " = "]))
                 value = good[kind]()
                 # digits that merely look like a phone number are none unless something says so
-                if kind != "phone" or cued:
+                if kind != "phone" or cued or value[0] == "+":
                     spans.append({"kind": KINDS.index(kind), "start": at, "end": at + len(value)})
                 say(value)
+                if rng.random() < 0.2:  # other digits behind it, which the base patterns run into
+                    say(f" {digits(rng.randint(2, 12))}")
             else:
                 if rng.random() < 0.4:
                     say(rng.choice(cues["other"]) + rng.choice([": ", " ", " = "]))
