@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,7 +46,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
 
 
 def converted(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, bytes, digest, uri, record_id, record): the WARC records of ARC archives; page_id from the HTTP headers."""
+    """(page_id, bytes, digest, record_id, record): the WARC records of ARC archives, deflated; page_id from the HTTP headers."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("page_id", "bytes", "digest", "record_id", "record")
@@ -60,7 +61,7 @@ def converted(spark: SparkSession, path: str) -> DataFrame:
             new = warc.convert(old)
             headers, payload = old.http()
             page_id = headers.get(PAGE.lower())
-            out.append((int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], warc.warc_bytes(new)))
+            out.append((int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], zlib.compress(warc.warc_bytes(new), 1)))  # it goes through a shuffle
             held += len(out[-1][4])
             if held > 4 << 20:
                 yield out
@@ -90,6 +91,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         for batch in batches:
             out = []
             for page_id, first, first_id, own_id, data in zip(*(batch.column(c).to_pylist() for c in ("page_id", "first_page", "first_record", "record_id", "record")), strict=True):
+                data = zlib.decompress(data)
                 if first_id is not None and page_id != first:
                     record = warc.revisit(next(warc.read_warc(data)), first_id)
                     record.fields.pop("Content-Length")
@@ -132,4 +134,14 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+    found = archive_pages(table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: What the archives must hold, without archives.
+ORACLE = """
+with p as (select page_id, coalesce(html, '') html from pages), d as (select page_id, strlen(html)::bigint payload_bytes, sha256(html) payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest) first from d)
+select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > first then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= 100 and page_id > first then first end refers_to from f
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from trackloom.llm.op1 import op1_pack_sequences
 from trackloom.llm.op2 import op2_fingerprints
+from trackloom.llm.op3 import ORACLE as OP3_ORACLE
 from trackloom.llm.op3 import op3_arc_to_warc
 from trackloom.llm.op4 import op4_simhash_groups
 from trackloom.llm.op6 import op6_personal_data
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_topk": OP7_ORACLE}
+    return {"op3_arc_to_warc": OP3_ORACLE, "op7_exact_topk": OP7_ORACLE}
