@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from trackloom.llm.common import cut
 
 CAPACITY = 1024
-DISTRICT, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 8192, 3, 2, 6, 5
+DISTRICT, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 65536, 3, 2, 4, 5
 #: Fill from which a bin counts as well-filled.
 WELL = 0.99
 
