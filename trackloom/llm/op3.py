@@ -45,8 +45,11 @@ def write_arc(pages: DataFrame, path: str) -> None:
     warc.write(pages.select("page_id", "url", "html").mapInArrow(records, "record binary"), path, "\n")
 
 
-def converted(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, bytes, digest, record_id, record): the WARC records of ARC archives, deflated; page_id from the HTTP headers."""
+def converted(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """(page_id, bytes, digest, record_id, record): the WARC records of ARC archives, deflated; page_id from the HTTP headers.
+
+    Unless `whole`, records are null: what finding repeated payloads needs is read without making them.
+    """
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("page_id", "bytes", "digest", "record_id", "record")
@@ -61,8 +64,8 @@ def converted(spark: SparkSession, path: str) -> DataFrame:
             new = warc.convert(old)
             headers, payload = old.http()
             page_id = headers.get(PAGE.lower())
-            out.append((int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], zlib.compress(warc.warc_bytes(new), 1)))  # it goes through a shuffle
-            held += len(out[-1][4])
+            out.append((int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], zlib.compress(warc.warc_bytes(new), 1) if whole else None))  # it goes through a shuffle
+            held += len(out[-1][4] or b"") + 64
             if held > 4 << 20:
                 yield out
                 out, held = [], 0
@@ -73,13 +76,15 @@ def converted(spark: SparkSession, path: str) -> DataFrame:
     return warc.read(spark, path).mapInArrow(convert, "page_id bigint, bytes bigint, digest string, record_id string, record binary")
 
 
-def with_revisits(records: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """Records of payloads of `least` bytes or more that an earlier page has too become revisits of the first such page.
+def with_revisits(records: DataFrame, digests: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
+    """`records` with first_page and first_record, null for those that stay responses; `digests` are the same records without bytes.
+
+    Records of payloads of `least` bytes or more that an earlier page has too become revisits of the first such page.
 
     The first page of each digest comes from a partial aggregate; only digests of several records are
     joined back, so the records of one hot digest are spread by Spark's skew join.
     """
-    found = records.where(F.col("bytes") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("page_id").isNull(), "page_id", "record_id")).alias("first"))
+    found = digests.where(F.col("bytes") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("page_id").isNull(), "page_id", "record_id")).alias("first"))
     several = found.where("n > 1").select(F.col("digest").alias("_digest"), F.col("first.page_id").alias("first_page"), F.col("first.record_id").alias("first_record"))
     return records.join(several, (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= least), "left").drop("_digest")
 
@@ -129,7 +134,7 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """
     spark = pages.sparkSession
     write_arc(pages, f"{folder}/arc")
-    write_warc(with_revisits(converted(spark, f"{folder}/arc")), f"{folder}/warc")
+    write_warc(with_revisits(converted(spark, f"{folder}/arc"), converted(spark, f"{folder}/arc", whole=False)), f"{folder}/warc")
     return read_back(spark, f"{folder}/warc")
 
 
