@@ -5,7 +5,7 @@ patterns and checks; what they find always stays. Further generators propose spa
 addresses with spelt-out signs or letters beyond ASCII, defanged and IPv6 addresses, cards with unusual
 separators, phone numbers without a plus, cards and phone numbers that other digits follow. Trees score each proposal by its format (length, digits, groups,
 separators, check digit) and context (words and characters around it); a threshold for each kind, calibrated
-on rows kept from the fit for PRECISION, selects. Proposals that overlap a base span are dropped.
+on rows kept from the fit for PRECISION, selects. Proposals that overlap a base span are dropped, but those of its kind that hold all of it.
 
 The trees are fitted on synthetic sentences, SENTENCES of them, made from a seed. Features come from the same
 column expressions in the fit and in use, and the trees become column expressions too, so no Python runs on
@@ -162,7 +162,7 @@ def sentences(seed: int = 7, n: int = SENTENCES) -> list[dict]:
 
     good = {
         "email": lambda: rng.choice([spelt, lambda: f"{word()}é{word(1, 4)}@{host()}", lambda: f"{word()}@{word()}ü.{rng.choice(['de', 'com'])}"])(),
-        "ip": lambda: rng.choice([".", "[.]", "(.)"]).join(str(rng.randint(1, 255)) for _ in range(4)).replace(".", "[.]", 1) if rng.random() < 0.6 else ":".join(f"{rng.randrange(65536):x}" for _ in range(8)),
+        "ip": lambda: "".join(str(rng.randint(1, 255)) + (rng.choice(["[.]", "(.)", "[.]", "."]) if k else "[.]") * (k < 3) for k in range(4)) if rng.random() < 0.6 else ":".join(f"{rng.randrange(65536):x}" for _ in range(8)),
         "card": lambda: card(rng.choice([".", "_", "  ", "/", "--", "", " ", "-"])),
         "phone": lambda: phone() if rng.random() < 0.6 else f"+{digits(rng.randint(1, 2))} ({digits(3)}) {digits(3)}-{digits(4)}",
     }
@@ -229,7 +229,8 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     found = docs.withColumn("_text", text_of(text)).withColumn("base", F.array_sort(base)).withColumn("_more", more)
     limits = F.array(*(F.lit(x) for x in least))
     chosen = F.filter("_more", lambda c: trees.column(features(c)) >= F.get(limits, c["kind"]))
-    free = F.filter(chosen, lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    within = lambda b, c: (b["kind"] == c["kind"]) & (c["start"] <= b["start"]) & (b["end"] <= c["end"])
+    free = F.filter(chosen, lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]) & ~within(b, c)))
     spans = F.array_sort(F.array_distinct(F.concat("base", F.transform(free, lambda c: F.struct(c["start"], c["kind"], c["end"])))))
     return found.withColumn("spans", F.when(F.size("_more") > 0, spans).otherwise(F.col("base"))).drop("_more", "_text")
 
