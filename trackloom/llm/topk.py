@@ -97,7 +97,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 2) -
     """(query_id, rank, vec_id, score): the k best of `vectors` (vec_id, embedding) for each of `queries`, but itself."""
     spark = vectors.sparkSession
     vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    asked = cut(queries.where("vec_id is not null and embedding is not null").groupBy(F.col("vec_id").cast("bigint").alias("vec_id")).agg(F.max("embedding").alias("embedding")))
+    takes_part = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= 2.0**LIMIT_BITS / SCALE))
+    asked = cut(queries.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & takes_part).groupBy(F.col("vec_id").cast("bigint").alias("vec_id")).agg(F.max("embedding").alias("embedding")))
     size = asked.agg(F.sum(F.size("embedding").cast("long") * 8 + 8)).first()[0] or 0
     chunks = size // CHUNK_BYTES + 1
     schema = "query_id bigint, score bigint, vec_id bigint"
