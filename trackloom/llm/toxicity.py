@@ -271,4 +271,4 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             z = np.full(len(found), -30.0) if logistic is None else np.clip(logistic[0] + found @ np.array(logistic[1:]), -30, 30)
             yield pd.Series(1 / (1 + np.exp(-z)))
 
-    return docs.withColumn("score", F.pandas_udf(rate, "double", F.PandasUDFType.SCALAR_ITER)("text"))
+    return docs.withColumn("score", F.pandas_udf(rate, "double")("text"))
