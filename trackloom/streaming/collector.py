@@ -30,8 +30,8 @@ STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark
 class ChangeDetector(StatefulProcessor):
     """STR-02/03: rows whose state differs from the last of their key, or whose key was idle for too many generations."""
 
-    def __init__(self, idle: int, poll_interval: int):
-        self.idle, self.keep_ms = idle, 1000 * idle * poll_interval
+    def __init__(self, idle: int, keep_ms: int | None):
+        self.idle, self.keep_ms = idle, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -47,9 +47,10 @@ class ChangeDetector(StatefulProcessor):
             kept.append(at is None or now != before or generation - at > self.idle)
             before, at = now, int(generation)
         self.last.update((before, at))
-        for old in self.handle.listTimers():
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.keep_ms)
+        if self.keep_ms is not None:
+            for old in self.handle.listTimers():
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.keep_ms)
         if any(kept):
             yield batch[kept]
 
@@ -61,11 +62,15 @@ class ChangeDetector(StatefulProcessor):
         pass
 
 
-def detect_changes(reports: DataFrame, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval) -> DataFrame:
-    """The changed rows of a stream of RAW_SCHEMA rows; needs RocksDB state (STATE_STORE)."""
+def detect_changes(reports: DataFrame, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True) -> DataFrame:
+    """The changed rows of a stream of RAW_SCHEMA rows; needs RocksDB state (STATE_STORE).
+
+    Timers free the state of idle keys. With them Spark runs batches without end, at the trigger's pace, so a
+    replay that is to stop at its end goes without.
+    """
     keyed = reports.withColumn("position", position(F.col("is_trip_level_only"), F.col("stop_sequence"), F.col("stop_id")))
     schema: StructType = keyed.schema
-    return keyed.groupBy(*KEY).transformWithStateInPandas(ChangeDetector(idle, poll_interval), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime").select(*reports.columns)
+    return keyed.groupBy(*KEY).transformWithStateInPandas(ChangeDetector(idle, 1000 * idle * poll_interval if timers else None), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime" if timers else "None").select(*reports.columns)
 
 
 def write_raw(changed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
