@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ WORD = rf"[^{BLANK}]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver. Workers on this machine find the package wherever the driver was started."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
