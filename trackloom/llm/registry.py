@@ -7,6 +7,7 @@ from trackloom.llm.op2 import op2_fingerprints
 from trackloom.llm.op3 import ORACLE as OP3_ORACLE
 from trackloom.llm.op3 import op3_arc_to_warc
 from trackloom.llm.op4 import op4_simhash_groups
+from trackloom.llm.op5 import op5_token_rollup
 from trackloom.llm.op6 import op6_personal_data
 from trackloom.llm.op7 import ORACLE as OP7_ORACLE
 from trackloom.llm.op7 import op7_exact_topk
@@ -16,7 +17,7 @@ from trackloom.llm.op10 import op10_hilbert_shards
 
 
 def queries() -> dict:
-    found = [op1_pack_sequences, op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards]
+    found = [op1_pack_sequences, op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op5_token_rollup, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards]
     return {f.__name__: f for f in found}
 
 
