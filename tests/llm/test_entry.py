@@ -1,0 +1,61 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import corpus_pipeline
+import pytest
+
+import __spark_entry__
+from trackloom.llm import registry
+
+ROOT = Path(__file__).parents[2]
+DATA = "/root/testdata/sf0.001"
+
+
+def test_a_query_for_each_operator():
+    found = __spark_entry__.queries()
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in found) == 1
+    assert found["pipeline"] is corpus_pipeline.run
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mixing", "packing"]
+
+
+def test_the_rest_stands_without_these_parts(tmp_path):
+    """The entry imports in a tree without this subpackage and the pipeline."""
+    import shutil
+
+    shutil.copytree(ROOT / "trackloom", tmp_path / "trackloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and 'mart_punctuality' in q and not any(k.startswith('op') for k in q); e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, check=True)
+
+
+def test_import_errors_within_show(tmp_path):
+    import shutil
+
+    shutil.copytree(ROOT / "trackloom", tmp_path / "trackloom", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    (tmp_path / "trackloom/llm/registry.py").write_text("import no_such_library\n")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode and "no_such_library" in done.stderr
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables")
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_oracles(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    db = duckdb.connect()
+    for p in Path(DATA).glob("*.parquet"):
+        db.sql(f"create view {p.stem} as select * from '{p}'")
+    got, want = registry.queries()[name](spark, DATA), db.sql(registry.oracle_sql()[name])
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    order = lambda names, rows: sorted((tuple(r[names.index(c)] for c in columns) for r in rows), key=repr)
+    assert order(got.columns, got.collect()) == order(list(want.columns), want.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables")
+def test_pipeline(spark):
+    out = corpus_pipeline.run(spark, DATA).collect()
+    assert out and all(r["offset"] + r["length"] <= 1024 for r in out)
