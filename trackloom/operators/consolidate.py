@@ -38,7 +38,8 @@ def consolidate(reports: DataFrame, config: Config = DEFAULT) -> DataFrame:
     arrival, departure = F.struct(F.col("arr_delay_s").alias("delay"), F.col("actual_arr").alias("actual")), F.struct(F.col("dep_delay_s").alias("delay"), F.col("actual_dep").alias("actual"))
     arr_ok, dep_ok = plausible(F.col("arr_delay_s"), config), plausible(F.col("dep_delay_s"), config)
     in_time = lambda s: F.coalesce(within_grace(F.col("snapshot_ts"), F.col(s), config.grace_minutes), F.lit(False))
-    found = reports.groupBy(*KEY).agg(
+    # struct maxima aggregate by sorting; a hash in front lets the sort compare numbers, not the keys' common beginnings
+    found = reports.withColumn("_hash", F.xxhash64(*KEY)).groupBy("_hash", *KEY).agg(
         _latest(F.col("stop_id"), order, F.col("stop_id").isNotNull()).alias("stop_id"),
         F.max(F.when(arr_ok, F.col("sched_arr"))).alias("sched_arr"),
         F.max(F.when(dep_ok, F.col("sched_dep"))).alias("sched_dep"),

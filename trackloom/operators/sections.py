@@ -11,8 +11,16 @@ EVENT = ("source", "service_date", "trip_key", "trip_id", "stop_sequence", "stop
 
 
 def trip_window():
-    """The stops of a trip in order; source belongs to the key, as equal keys of two sources are two trips."""
-    return Window.partitionBy("source", "trip_key").orderBy("stop_sequence")
+    """The stops of a trip in order; source belongs to the key, as equal keys of two sources are two trips.
+
+    `_trip`, a hash of the key, comes first, so that the sort compares numbers, not keys that begin alike.
+    """
+    return Window.partitionBy("_trip", "source", "trip_key").orderBy("stop_sequence")
+
+
+def by_trip(events: DataFrame) -> DataFrame:
+    """`events` dealt by trip, with `_trip`: every later step by trip finds its rows together."""
+    return events.repartition("source", "trip_key").withColumn("_trip", F.xxhash64("source", "trip_key"))
 
 
 def derive_sequence(events: DataFrame) -> DataFrame:
@@ -28,6 +36,10 @@ def section_deltas(events: DataFrame) -> DataFrame:
     Delays of cancelled and skipped stops count as not determinable; the rows stay, so that no delta bridges
     them.
     """
+    return _deltas(by_trip(events)).drop("_trip")
+
+
+def _deltas(events: DataFrame) -> DataFrame:
     served = ~(F.col("trip_cancelled") | F.col("stop_skipped"))
     valued = events.withColumns({c: F.when(served, F.col(c)) for c in ("arr_delay_s", "dep_delay_s")})
     before = {f"prev_{c}": F.lag(c).over(trip_window()) for c in ("stop_sequence", "stop_id", "stop_name", "dep_delay_s")}
@@ -45,7 +57,7 @@ def run_detail(events: DataFrame) -> DataFrame:
 
     Both windows share partition and order, so one shuffle and one sort serve them.
     """
-    flagged = section_deltas(events).withColumn("dst_ambiguous", is_clock_change_hour(F.col("sched_arr")) | is_clock_change_hour(F.col("sched_dep")))
+    flagged = _deltas(by_trip(events)).withColumn("dst_ambiguous", is_clock_change_hour(F.col("sched_arr")) | is_clock_change_hour(F.col("sched_dep")))
     after = flagged.withColumn("_prev_ambiguous", F.coalesce(F.lag("dst_ambiguous").over(trip_window()), F.lit(False)))
     clear = ~F.col("dst_ambiguous")
     return after.withColumns(

@@ -58,9 +58,16 @@ def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = F.array_distinct(F.array(version(F.lit(-40)), version((F.col("o_custkey") % 60 - 30).cast("int"))))
     feeds = F.when(F.col("o_custkey") % 9 == 0, F.array(F.lit("fv"), F.lit("rv"))).otherwise(F.array(F.lit("rv")))
     stops = orders.withColumn("static_version", F.explode(versions)).withColumn("feed", F.explode(feeds)).withColumn("n", F.explode(F.sequence(F.lit(1), (3 + F.col("o_orderkey") % 4).cast("int"))))
-    clock = lambda s: F.concat(F.lpad(F.floor(s / 3600).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.floor(s / 60 % 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((s % 60).cast("string"), 2, "0"))
     at = F.col("o_orderkey") % 24 * 3600 + F.col("n") * 600
-    return planned_stops(stops.select("static_version", "feed", F.col("o_orderkey").cast("string").alias("trip_id"), F.col("n").cast("string").alias("stop_sequence"), F.concat(F.lit("S"), ((F.col("o_orderkey") + F.col("n")) % 100 + 1).cast("string")).alias("stop_id"), F.when(F.col("n") > 1, clock(at)).otherwise("").alias("arrival_time"), clock(at + 120).alias("departure_time")))
+    stop = F.concat(F.lit("S"), ((F.col("o_orderkey") + F.col("n")) % 100 + 1).cast("string"))
+    return stops.select("static_version", "feed", F.col("o_orderkey").cast("string").alias("trip_id"), F.col("n").cast("bigint").alias("stop_sequence"), stop.alias("stop_id"), F.when(F.col("n") > 1, at).alias("arrival_s"), (at + 120).alias("departure_s"))
+
+
+def planned_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of a timetable's text, as a feed delivers it."""
+    clock = lambda s: F.concat(F.lpad(F.floor(s / 3600).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.floor(s / 60 % 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((s % 60).cast("string"), 2, "0"))
+    rows = planned(spark, sf_dir)
+    return planned_stops(rows.select("static_version", "feed", "trip_id", F.col("stop_sequence").cast("string").alias("stop_sequence"), "stop_id", F.coalesce(clock(F.col("arrival_s")), F.lit("")).alias("arrival_time"), clock(F.col("departure_s")).alias("departure_time")))
 
 
 def static_stops(spark: SparkSession, sf_dir: str) -> DataFrame:

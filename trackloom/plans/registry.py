@@ -164,7 +164,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "prj_reconstructed_schedule": lambda r: r.reports.select("source", "trip_key", "stop_sequence", "snapshot_ts", "sched_arr", "sched_dep", "arr_delay_s", "dep_delay_s"),
     "prj_plausible_reports": _plausible,
     "prj_clock_change": _clock_change,
-    "prj_timetable_seconds": lambda r: r.planned.select("trip_id", "static_version", "feed", "stop_sequence", "arrival_s", "departure_s"),
+    "prj_timetable_seconds": lambda r: views.planned_from_text(r.spark, r.dir).select("trip_id", "static_version", "feed", "stop_sequence", "arrival_s", "departure_s"),
     "prj_wall_clock": lambda r: r.table("events").select("event_id", wall_clock(F.lit(1774000000) + F.col("event_id") * 7919, DEFAULT.zone).alias("local_time")),
     "prj_path_origin": _path_origin,
     "prj_scope_filter": _scope,
