@@ -38,7 +38,7 @@ def _inverted(df: DataFrame) -> DataFrame:
 
 
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
 
 
 def _gapped(df: DataFrame) -> DataFrame:
