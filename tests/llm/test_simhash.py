@@ -86,3 +86,23 @@ def test_stage_keeps_one_of_near_copies_and_leaves_others(docs):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in out) == [(False, 1), (False, 2), (False, 4), (False, 20), (True, None)]
     assert all(r["component_id"] is True for r in out)
     assert drop_near_copies(docs([])).count() == 0
+
+
+def resemblance(a, b, k=5):
+    a, b = ({tuple(x[i : i + k]) for i in range(max(1, len(x) - k + 1))} for x in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def edited(way, n, new, seed):
+    """A text and its copy with a passage of `new` words replaced, or as many appended."""
+    base, words = text(seed, n), text(seed + 10**6, new)
+    at = random.Random(seed).randrange(n - new)
+    return base, base + words if way == "appended" else base[:at] + words + base[at + new :]
+
+
+@pytest.mark.parametrize("way, sizes", [("replaced", {300: 20, 1000: 70}), ("appended", {60: 9, 300: 45, 1000: 150})])
+def test_contiguous_edits_are_found(docs, way, sizes):
+    pairs = [edited(way, n, new, n + i) for n, new in sizes.items() for i in range(20)]
+    assert all(0.8 < resemblance(*p) < 0.9 for p in pairs)
+    out = drop_near_copies(docs([(i, " ".join(t)) for i, t in enumerate(t for p in pairs for t in p)])).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(0, 2 * len(pairs), 2))
