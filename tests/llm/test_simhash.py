@@ -106,3 +106,13 @@ def test_contiguous_edits_are_found(docs, way, sizes):
     assert all(0.8 < resemblance(*p) < 0.9 for p in pairs)
     out = drop_near_copies(docs([(i, " ".join(t)) for i, t in enumerate(t for p in pairs for t in p)])).collect()
     assert sorted(r["doc_id"] for r in out) == list(range(0, 2 * len(pairs), 2))
+
+
+@pytest.mark.parametrize("limit", [16 << 20, 4000])
+def test_links_are_exact(docs, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BUCKET_BYTES", limit)
+    base = [text(s, 204) for s in range(40)]  # 200 shingles
+    pairs = [(t, t[:k] + text(100 + i, 204 - k)) for i, (t, k) in enumerate(zip(base, [182, 181] * 20, strict=True))]
+    assert all(resemblance(*p) >= 0.8 for p in pairs[::2]) and all(0.79 < resemblance(*p) < 0.8 for p in pairs[1::2])
+    out = drop_near_copies(docs([(i, " ".join(t)) for i, t in enumerate(t for p in pairs for t in p)])).collect()
+    assert sorted(r["doc_id"] for r in out) == [i for i in range(80) if i % 4 != 1]

@@ -30,13 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut
+from trackloom.llm.common import beside, cut
 
 #: Fingerprints of one bucket that a task compares at once; more are tiled.
 BUCKET = 8192
 SEED = 42
 #: Bands of a MinHash signature, and values in a band.
 BANDS, BAND = 36, 7
+#: Pairs whose resemblance two bits of each value put under this are not compared. At 0.8, 3 in 100,000 are.
+LOOSE = 0.68
+#: Bytes of one bucket's sets that a task holds at once, about; more are tiled.
+BUCKET_BYTES = 16 << 20
 _odd = np.array([xxhash.xxh64_intdigest(b"%d" % i, SEED) | 1 for i in range(BANDS * BAND)], np.uint64)
 
 
@@ -109,14 +113,6 @@ def two_bits(signatures: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in np.packbits(bits.reshape(-1, 512), axis=1)]
 
 
-def sketch(hashes: np.ndarray, bins: int = 256) -> bytes:
-    """One-permutation MinHash of sorted hashes: 16 bits of the least in each bin, 0 where a bin is empty."""
-    out = np.zeros(bins, np.uint16)
-    at, first = np.unique(hashes % np.uint64(bins), return_index=True)
-    out[at.astype(np.int64)] = (hashes[first] >> np.uint64(16)).astype(np.uint16) | 1
-    return out.tobytes()
-
-
 def block_masks(n: int, max_bits: int, crowd: int = 0) -> list[int]:
     """Masks of the choices of blocks for `n` distinct fingerprints, of 2**`crowd` or fewer by chance in a bucket."""
     r = next((r for r in range(1, 60) if 64 * r // (max_bits + r) >= max(n, 2).bit_length() - crowd), 60)
@@ -161,17 +157,27 @@ def loosely_alike(ids: np.ndarray, data: np.ndarray | None, least: float):
     return near
 
 
-def alike(ids: np.ndarray, data: np.ndarray | None, least: float):
-    """near() of sketches whose estimated resemblance is `least` or more; two empty ones are alike."""
-    data = np.frombuffer(b"".join(data), np.uint16).reshape(len(ids), -1)
+def resembling(ids: np.ndarray, data: np.ndarray | None, least: float):
+    """near() by the exact Jaccard of whole sets; `data` holds 64 bytes of two_bits(), then the sorted hashes.
+
+    Pairs whose sizes are too far apart, or estimated under LOOSE, are rejected before their sets are compared.
+    """
+    sizes = np.array([len(x) // 8 - 8 for x in data])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    codes = np.unique(np.frombuffer(b"".join(x[64:] for x in data), np.uint64), return_inverse=True)[1]
+    close = loosely_alike(ids, [x[:64] for x in data], LOOSE)
+    own = np.zeros(codes.max(initial=-1) + 1, bool)
 
     def near(i: int, rows: np.ndarray) -> np.ndarray:
-        out = np.empty(len(rows), bool)
-        for at in range(0, len(rows), 4096):
-            other = data[rows[at : at + 4096]]
-            used = (other != 0) | (data[i] != 0)
-            same = ((other == data[i]) & used).sum(axis=1)
-            out[at : at + 4096] = same >= least * used.sum(axis=1)
+        out = (np.minimum(sizes[rows], sizes[i]) >= least * np.maximum(sizes[rows], sizes[i]) - 1e-9) & close(i, rows)
+        mine = codes[starts[i] : ends[i]]
+        own[mine] = True
+        for at in np.flatnonzero(out).tolist():
+            row = rows[at]
+            shared = np.count_nonzero(own[codes[starts[row] : ends[row]]])
+            out[at] = shared >= least * (sizes[i] + sizes[row] - shared) - 1e-9
+        own[mine] = False
         return out
 
     return near
@@ -181,11 +187,15 @@ def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: D
     """(u, v), u > v, bigint: a spanning forest of the links within each bucket.
 
     `rows` has the group columns and `id`; ids of a bucket are distinct. What else the test needs is in `data`
-    (id, data), binary. near(ids, data, limit) makes the test.
+    (id, data), binary; for data of any length, `rows` has its `size` in bytes. near(ids, data, limit) makes the test.
     """
     extra = [] if data is None else ["data"]
+    chunks = F.ceil(F.col("n") / BUCKET)
+    if "size" in rows.columns:
+        rows = rows.withColumn("bytes", F.sum("size").over(Window.partitionBy(*groups)))
+        chunks = F.greatest(chunks, F.least(F.col("n"), F.ceil(F.col("bytes") / BUCKET_BYTES)))
     counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*groups))).where("n > 1")
-    counted = counted.withColumn("chunks", F.ceil(F.col("n") / BUCKET).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    counted = counted.withColumn("chunks", chunks.cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     counted = counted if data is None else cut(counted).join(data, "id")
     tiled = counted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     order = [*groups, "i", "j"]
@@ -267,29 +277,43 @@ def group(fps: DataFrame, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
     return fps.join(named, "fp").select(key, "fp", "component_id")
 
 
-def near_copies(docs: DataFrame, key: str, least: float = 0.8, margin: float = 0.03, loose: float = 0.68, text: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text") -> DataFrame:
     """(key, component_id) for documents whose five-word shingles resemble each other by `least` or more.
 
-    Texts that share a band of their signatures meet. Two bits of each value reject far pairs, those estimated
-    under `loose`; at 0.8 an estimate is so low 3 times in 100,000. Within the groups so linked, five-word
-    sketches of 256 bins verify; `margin` is about their standard error.
+    Texts that share a band of their signatures meet, and two bits of each value reject far pairs. Within the
+    groups so linked, each link is verified by the exact Jaccard of the whole sets of 64-bit shingle hashes, which
+    are made again for the texts of these groups alone.
     """
 
+    def hashed(x: str | None) -> np.ndarray:
+        return shingles((x or "").encode())
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles((t.as_py() or "").encode()) for t in batch.column(1)]
-            ids = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            signed = np.array([signature(x) for x in sets], np.uint64).reshape(-1, len(_odd))
+            ids, sizes, signed = np.empty(len(batch), np.uint64), np.empty(len(batch), np.int64), np.empty((len(batch), len(_odd)), np.uint64)
+            for i, t in enumerate(batch.column(2)):
+                found = hashed(t.as_py())
+                ids[i], sizes[i], signed[i] = xxhash.xxh64_intdigest(found.tobytes(), SEED), found.nbytes, signature(found)
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(signed).ravel()), BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids), bands, pa.array(two_bits(signed), pa.binary()), pa.array([sketch(x) for x in sets], pa.binary())], names=["key", "id", "bands", "bits", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids.view(np.int64)), pa.array(sizes), bands, pa.array(two_bits(signed), pa.binary())], names=["key", "hash", "id", "size", "bands", "bits"])
+
+    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                sets = [b + hashed(t.as_py()).tobytes() for b, t in zip(part.column(1).to_pylist(), part.column(2), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "data"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = cut(docs.select(key, text).mapInArrow(compute, f"key {kind}, id bigint, bands array<bigint>, bits binary, data binary"))
-    nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), *(F.first(c).alias(c) for c in ("bands", "bits", "data"))))
+    texts = docs.select(key, F.xxhash64(text).alias("hash"), text)
+    rows = cut(texts.mapInArrow(compute, f"key {kind}, hash bigint, id bigint, size bigint, bands array<bigint>, bits binary"))
+    nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), F.min("hash").alias("hash"), *(F.first(c).alias(c) for c in ("size", "bands", "bits"))))
     keyed = nodes.select("id", F.posexplode("bands").alias("t", "band"))
-    roots = components(bucket_links(keyed, ["t", "band"], loosely_alike, loose, nodes.select("id", F.col("bits").alias("data"))))
-    several = cut(roots.select(F.col("root").alias("bucket"), F.col("node").alias("id")))
-    fine = components(bucket_links(several, ["bucket"], alike, least - margin, nodes.select("id", "data")))
+    roots = components(bucket_links(keyed, ["t", "band"], loosely_alike, LOOSE, nodes.select("id", F.col("bits").alias("data"))))
+    several = cut(nodes.join(roots, F.col("id") == F.col("node")).select(F.col("root").alias("bucket"), "id", "hash", "size", "bits"))
+    found = texts.join(beside(several.select("hash").distinct()), "hash", "left_semi").select("hash", F.col(text).alias("text")).dropDuplicates(["hash"])
+    sets = cut(found.join(several, "hash").select("id", "bits", "text").mapInArrow(whole_sets, "id bigint, data binary"))
+    fine = components(bucket_links(several.select("bucket", "id", "size"), ["bucket"], resembling, least, sets))
     rooted = cut(nodes.join(fine, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
     return rows.select("key", "id").join(named, "id").select("key", "component_id")
