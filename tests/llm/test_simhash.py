@@ -6,7 +6,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from trackloom.llm import simhash
-from trackloom.llm.common import cut
+from trackloom.llm.common import attach, cut
+from trackloom.llm.op4 import op4_simhash_groups
 from trackloom.llm.stages import drop_near_copies
 
 
@@ -116,3 +117,44 @@ def test_links_are_exact(docs, monkeypatch, limit):
     assert all(resemblance(*p) >= 0.8 for p in pairs[::2]) and all(0.79 < resemblance(*p) < 0.8 for p in pairs[1::2])
     out = drop_near_copies(docs([(i, " ".join(t)) for i, t in enumerate(t for p in pairs for t in p)])).collect()
     assert sorted(r["doc_id"] for r in out) == [i for i in range(80) if i % 4 != 1]
+
+
+def test_concentrated_fingerprints_are_keyed_again(spark, monkeypatch):
+    """Many fingerprints that differ in few places crowd every bucket; all links are found without a large one."""
+    monkeypatch.setattr(simhash, "BUCKET", 16)
+    rng = random.Random(2)
+    fps = sorted({rng.getrandbits(14) << 30 | 5 for _ in range(200)} | {rng.getrandbits(64) for _ in range(50)})
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    df = cut(spark.createDataFrame(list(enumerate(signed)), "doc_id bigint, fp bigint"))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.group(df).collect()}
+    assert [got[i] for i in range(len(fps))] == brute_groups(fps, 4)
+
+
+@pytest.mark.parametrize("bucket", [1024, 8])
+def test_a_large_group_of_distinct_near_copies(docs, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    base, other = text(1), text(2)
+    rows = [(i, " ".join(base[:k] + [f"edit{i}"] + base[k + 1 :])) for i, k in enumerate(range(40, 240, 2))]
+    rows += [(500 + i, " ".join(other[: 300 - i])) for i in range(30)] + [(900, " ".join(text(3)))]
+    out = drop_near_copies(docs(rows)).collect()
+    assert sorted(r["doc_id"] for r in out) == [0, 500, 900]
+
+
+def test_attach_finds_every_row_of_hot_keys(spark):
+    many = cut(spark.range(3000).select((F.col("id") % F.when(F.col("id") < 2000, 1).otherwise(50)).alias("k"), "id"))
+    one = cut(many.groupBy("k").agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("k <> 7"))
+    tops = {r["k"]: r["top"] for r in one.collect()}
+    got = attach(many, one, "k", 3000, hot=100).collect()
+    assert sorted((r["id"], r["k"], r["top"]) for r in got) == sorted((r["id"], r["k"], tops[r["k"]]) for r in many.collect() if r["k"] != 7)
+
+
+def test_the_query_against_brute_force(spark, tmp_path):
+    rng = random.Random(6)
+    texts = [" ".join(text(i, rng.randint(1, 60))) for i in range(60)]
+    texts += [t.replace("w1", "W1") for t in texts[:20]] + [" ".join([*t.split()[:-1], "end"]) for t in texts[:30]] + [None, "", " \t", "\x0b"]
+    rows = [(7 * i % 211, t, i) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, fp int").write.parquet(f"{tmp_path}/documents.parquet")
+    rows.sort()
+    fps = [brute_fingerprint(t or "") for _, t, _ in rows]
+    want = {(i, f"{f:016x}", rows[g][0]) for (i, _, _), f, g in zip(rows, fps, brute_groups(fps, 4))}
+    assert {tuple(r) for r in op4_simhash_groups(spark, str(tmp_path)).collect()} == want

@@ -21,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one of this machine only where none is set (tests)."""
+    """The folder of spark.checkpoint.dir. Where none is set, a local session takes a temporary one; on a cluster that is an error."""
     found = spark.sparkContext.getCheckpointDir()
     if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="trackloom-")
-        spark.sparkContext.setCheckpointDir(found)
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="trackloom-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
@@ -49,6 +51,20 @@ def beside(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def attach(many: DataFrame, one: DataFrame, key: str, rows: int, hot: int = 256) -> DataFrame:
+    """`many` joined with `one` on `key`, wherever the rows of a key lie: none of its rows move for a hot one.
+
+    `one`, written by cut(), has a row for each key and `n`, how many of the `rows` rows of `many` have it at most. Keys
+    of over max(hot, rows / 100,000) rows are fewer than 100,000, so these are broadcast; the others are joined by shuffle.
+    """
+    limit = max(hot, rows // 100_000)
+    if one.where(F.col("n") > limit).isEmpty():
+        return many.join(one.drop("n"), key)
+    few = F.broadcast(one.where(F.col("n") > limit).drop("n"))
+    rest = one.where(F.col("n") <= limit).drop("n")
+    return many.join(few, key).unionByName(many.join(few.select(key), key, "left_anti").join(rest, key))
+
+
 def let(value: Column, body) -> Column:
     """body(value) with `value` evaluated once: a lambda variable stands for it."""
     return F.transform(F.array(value), body)[0]

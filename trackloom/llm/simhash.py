@@ -6,14 +6,17 @@ r blocks at least, so it shares the key of one of the C(max_bits + r, r) choices
 the number of distinct fingerprints, so that chance seldom puts two into one bucket.
 
 Within a bucket a search over the rows not yet reached verifies distances and emits a spanning forest, never
-all pairs: n - 1 links at most for n fingerprints. A bucket of over BUCKET fingerprints is dealt in chunks,
-each pair of chunks a tile of its own, so any two rows still meet and no task holds an unbounded bucket.
+all pairs: n - 1 links at most for n fingerprints. A bucket of over BUCKET fingerprints is keyed again: a close pair
+in it agrees on some of the blocks that its other bits are dealt to. As its fingerprints differ, each step halves
+or at least shrinks what they can differ in, so no task ever holds a larger bucket and no row meets all others.
 Equal fingerprints are one node from the start. Components come from alternating large-star and small-star
 rounds on the cluster.
 
 near_copies() goes by resemblance instead, the Jaccard measure of sets of word shingles. Signatures are BANDS * BAND
 true MinHash values, so a pair of resemblance J shares no band with a chance of (1 - J**BAND)**BANDS, however its
-edits lie: 2 in 10,000 at 0.8.
+edits lie: 2 in 10,000 at 0.8. Buckets beyond BUCKET sets or BUCKET_BYTES are dealt to chunks in DEALS ways and linked
+within those; what then is one component needs no more comparing. Only sets outside a bucket's largest component are
+compared with all of it, chunk by chunk, which is exact and costs in proportion to those few.
 
 Nulls: a null text is empty, with fingerprint zero, and links like any other. A component's id is its
 smallest non-null doc_id. Repeated rows are kept and share a component. Empty tables give empty results.
@@ -30,16 +33,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import beside, cut
+from trackloom.llm.common import attach, beside, cut
 
-#: Fingerprints of one bucket that a task compares at once; more are tiled.
-BUCKET = 8192
+#: Rows of one bucket that a task compares at once; larger buckets are keyed again or dealt to chunks.
+BUCKET = 1024
+#: Ways in which a large bucket is dealt to chunks.
+DEALS = 2
 SEED = 42
 #: Bands of a MinHash signature, and values in a band.
 BANDS, BAND = 36, 7
 #: Pairs whose resemblance two bits of each value put under this are not compared. At 0.8, 3 in 100,000 are.
 LOOSE = 0.68
-#: Bytes of one bucket's sets that a task holds at once, about; more are tiled.
+#: Bytes of one bucket's sets that a task holds at once, about.
 BUCKET_BYTES = 16 << 20
 _odd = np.array([xxhash.xxh64_intdigest(b"%d" % i, SEED) | 1 for i in range(BANDS * BAND)], np.uint64)
 
@@ -113,12 +118,13 @@ def two_bits(signatures: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in np.packbits(bits.reshape(-1, 512), axis=1)]
 
 
-def block_masks(n: int, max_bits: int, crowd: int = 0) -> list[int]:
-    """Masks of the choices of blocks for `n` distinct fingerprints, of 2**`crowd` or fewer by chance in a bucket."""
-    r = next((r for r in range(1, 60) if 64 * r // (max_bits + r) >= max(n, 2).bit_length() - crowd), 60)
-    blocks = max_bits + r
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+def block_masks(n: int, max_bits: int, crowd: int = 0, within: int = (1 << 64) - 1) -> list[int]:
+    """Masks of the choices of blocks of the bits `within` for `n` distinct fingerprints, of 2**`crowd` or fewer by chance in a bucket."""
+    places = [i for i in range(64) if within >> i & 1]
+    most = len(places) - max_bits
+    r = next((r for r in range(1, most) if len(places) * r // (max_bits + r) >= max(n, 2).bit_length() - crowd), most)
+    edges = [len(places) * i // (max_bits + r) for i in range(max_bits + r + 1)]
+    masks = [sum(1 << i for i in places[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(masks, r)]
 
 
@@ -183,27 +189,17 @@ def resembling(ids: np.ndarray, data: np.ndarray | None, least: float):
     return near
 
 
-def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: DataFrame | None = None) -> DataFrame:
-    """(u, v), u > v, bigint: a spanning forest of the links within each bucket.
+def connected(rows: DataFrame, groups: list[str], near, limit: float, data: DataFrame | None = None) -> DataFrame:
+    """(u, v), u > v, bigint: a spanning forest of the links within each group of bounded size.
 
-    `rows` has the group columns and `id`; ids of a bucket are distinct. What else the test needs is in `data`
-    (id, data), binary; for data of any length, `rows` has its `size` in bytes. near(ids, data, limit) makes the test.
+    `rows` has the group columns and `id`; ids of a group are distinct. What else the test needs is in `data` (id, data),
+    binary. near(ids, data, limit) makes the test.
     """
     extra = [] if data is None else ["data"]
-    chunks = F.ceil(F.col("n") / BUCKET)
-    if "size" in rows.columns:
-        rows = rows.withColumn("bytes", F.sum("size").over(Window.partitionBy(*groups)))
-        chunks = F.greatest(chunks, F.least(F.col("n"), F.ceil(F.col("bytes") / BUCKET_BYTES)))
-    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*groups))).where("n > 1")
-    counted = counted.withColumn("chunks", chunks.cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    counted = counted if data is None else cut(counted).join(data, "id")
-    tiled = counted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    order = [*groups, "i", "j"]
-    tiled = tiled.select(*groups, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", *extra)
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The runs of equal groups of a sorted partition, one after the other."""
-        width = len(order)
+        width = len(groups)
         held, held_data = np.empty((0, width + 1), np.int64), None
         found: list[tuple[int, int]] = []
 
@@ -239,42 +235,95 @@ def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: D
         runs(held, held_data, True)
         yield out()
 
-    dealt = tiled.repartition(*order).sortWithinPartitions(*order, "id")
-    return cut(dealt.select(*order, "id", *extra).mapInArrow(connect, "u bigint, v bigint").distinct())
+    dealt = (rows if data is None else rows.join(data, "id")).repartition(*groups).sortWithinPartitions(*groups, "id")
+    return dealt.select(*groups, "id", *extra).mapInArrow(connect, "u bigint, v bigint").distinct()
+
+
+def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: DataFrame) -> DataFrame:
+    """(u, v), u > v, bigint: links that connect, over all buckets, what connected() would within each; any size of bucket.
+
+    `rows`, cheap to read again, may have a `size` in bytes. Buckets are counted by partial aggregates. A small one is one
+    group. A large one is dealt to chunks by a hash of id and bucket, DEALS times; see the module's text for the rest.
+    """
+    size = F.sum("size") if "size" in rows.columns else F.lit(0)
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BUCKET), F.least(F.count(F.lit(1)), F.ceil(size / BUCKET_BYTES))).cast("int")
+    several = cut(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), chunks.alias("chunks")).where("n > 1"))
+    counted = cut(rows.select(*groups, "id").join(beside(several.drop("n")), groups))
+    deal = lambda k: F.pmod(F.xxhash64("id", *groups, F.lit(k)), F.col("chunks")).cast("int")
+    found = connected(counted.where("chunks = 1").select(*groups, "id"), groups, near, limit, data)
+    large = counted.where("chunks > 1")
+    if large.isEmpty():
+        return cut(found)
+    for k in range(DEALS):
+        found = found.union(connected(large.select(*groups, deal(k).alias("own"), "id"), [*groups, "own"], near, limit, data))
+    links = cut(found)
+    roots = components(links)
+    labelled = cut(large.join(roots, F.col("id") == F.col("node"), "left").select(*groups, "id", F.coalesce("root", "id").alias("root")))
+    shares = cut(labelled.groupBy(*groups, "root").agg(F.count(F.lit(1)).alias("n")))
+    spread = shares.groupBy(*groups).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all")).where(F.col("all") > F.col("most.n"))
+    apart = cut(spread.select(*groups, F.col("most.root").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / BUCKET).cast("int").alias("minors")).join(several, groups))
+    if apart.isEmpty():
+        return links
+    parted = labelled.join(beside(apart), groups)
+    other = F.pmod(F.xxhash64("id", F.lit("minor")), F.col("minors")).cast("int")
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    # a minor chunk j meets each chunk i of the main component, and minor chunk i as -1 - i
+    main = parted.where("root = main").select(*groups, "id", deal(0).alias("i"), F.explode(each(F.col("minors"))).alias("j"))
+    minor = parted.where("root <> main").withColumn("own", other)
+    beside_main = minor.select(*groups, "id", F.explode(each(F.col("chunks"))).alias("i"), F.col("own").alias("j"))
+    among = minor.select(*groups, "id", "own", F.explode(each(F.col("minors"))).alias("x")).select(*groups, "id", (-1 - F.least("own", "x")).alias("i"), F.greatest("own", "x").alias("j"))
+    rest = connected(main.unionByName(beside_main).unionByName(among), [*groups, "i", "j"], near, limit, data)
+    return cut(links.union(rest).distinct())
 
 
 def links(nodes: DataFrame, max_bits: int = 4, crowd: int = 0) -> DataFrame:
-    """(u, v), u > v: links that connect all fingerprints of `nodes`.fp within `max_bits` of each other."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(nodes.count(), max_bits, crowd)]
-    keyed = nodes.select(F.col("fp").alias("id"), F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("t", "key"))
-    return bucket_links(keyed, ["t", "key"], within_bits, max_bits)
+    """(u, v), u > v: links that connect all fingerprints of `nodes`.fp, distinct, within `max_bits` of each other."""
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    choices = F.array(*(F.lit(signed(m)) for m in block_masks(nodes.count(), max_bits, crowd)))
+    keyed, groups, found = nodes.select(F.col("fp").alias("id"), F.explode(choices).alias("mask")), ["mask", "key"], None
+    while True:
+        keyed = keyed.withColumn("key", F.col("id").bitwiseAND(F.col("mask")))
+        hot = cut(keyed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET))
+        crowded = {r["mask"]: r["n"] for r in hot.groupBy("mask").agg(F.max("n").alias("n")).collect()}  # a row for each choice of blocks
+        # what differs in max_bits places at most needs no other key, and has no more than 2**max_bits rows
+        finer = {m: [signed(m % (1 << 64) | x) for x in block_masks(n, max_bits, BUCKET.bit_length() - 3, ~m % (1 << 64))] for m, n in crowded.items() if (~m % (1 << 64)).bit_count() > max_bits}
+        few = beside(hot.where(F.col("mask").isin(list(finer))).select(*groups))
+        part = connected(keyed.join(few, groups, "left_anti") if finer else keyed, groups, within_bits, max_bits)
+        found = part if found is None else found.union(part)
+        if not finer:
+            return cut(found.distinct())
+        again = F.create_map(*(x for m, subs in finer.items() for x in (F.lit(m), F.array(*map(F.lit, subs)))))
+        keyed = cut(keyed.join(few, groups).select("id", F.explode(again[F.col("mask")]).alias("mask")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for each end of the edges (u, v), u > v: root is the smallest node reachable."""
-    seen = None
+    """(node, root) for each end of the edges (u, v), u > v, written by cut(): root is the smallest node reachable."""
+    seen, rows = None, edges.count()
     while True:
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")))
+        large = cut(attach(both, least, "u", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        small = attach(large, least, "u", rows).select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))))
         edges = cut(small.where("u <> v").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = now
+        seen, rows = now, now[0]
+
+
+def named(nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """(key, n, component_id), written, for `nodes` (key, least, n): the least of each component's, by components() of the keys."""
+    rooted = cut(nodes.join(roots, F.col(key) == F.col("node"), "left").select(key, "least", F.col("n").alias("copies"), F.coalesce("root", key).alias("root")))
+    joined = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    return cut(attach(rooted, joined, "root", rooted.count()).select(key, F.col("copies").alias("n"), "component_id"))
 
 
 def group(fps: DataFrame, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
     """`fps` (key, fp), written by cut(), with component_id, the smallest key of the component."""
-    nodes = cut(fps.groupBy("fp").agg(F.min(key).alias("least")))
-    roots = components(links(nodes.select("fp"), max_bits))
-    rooted = cut(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    joined = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(joined, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(key, "fp", "component_id")
+    nodes = cut(fps.groupBy("fp").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("n")))
+    found = named(nodes, components(links(nodes.select("fp"), max_bits)), "fp")
+    return attach(fps, found, "fp", fps.count()).select(key, "fp", "component_id")
 
 
 def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text") -> DataFrame:
@@ -305,15 +354,14 @@ def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "data"])
 
     kind = docs.schema[key].dataType.simpleString()
-    texts = docs.select(key, F.xxhash64(text).alias("hash"), text)
+    texts = docs.select(key, F.xxhash64(key, text).alias("hash"), text)
     rows = cut(texts.mapInArrow(compute, f"key {kind}, hash bigint, id bigint, size bigint, bands array<bigint>, bits binary"))
-    nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), F.min("hash").alias("hash"), *(F.first(c).alias(c) for c in ("size", "bands", "bits"))))
+    nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), F.min("hash").alias("hash"), F.min_by("key", "hash").alias("of"), *(F.first(c).alias(c) for c in ("size", "bands", "bits")), F.count(F.lit(1)).alias("n")))
     keyed = nodes.select("id", F.posexplode("bands").alias("t", "band"))
     roots = components(bucket_links(keyed, ["t", "band"], loosely_alike, LOOSE, nodes.select("id", F.col("bits").alias("data"))))
-    several = cut(nodes.join(roots, F.col("id") == F.col("node")).select(F.col("root").alias("bucket"), "id", "hash", "size", "bits"))
-    found = texts.join(beside(several.select("hash").distinct()), "hash", "left_semi").select("hash", F.col(text).alias("text")).dropDuplicates(["hash"])
-    sets = cut(found.join(several, "hash").select("id", "bits", "text").mapInArrow(whole_sets, "id bigint, data binary"))
+    several = cut(nodes.join(roots, F.col("id") == F.col("node")).select(F.col("root").alias("bucket"), "id", "hash", "of", "size", "bits"))
+    # a text for each set: that of the row whose hash its node holds
+    found = texts.join(beside(several.select("hash")), "hash", "left_semi").select("hash", F.col(key).alias("key"), F.col(text).alias("text")).dropDuplicates(["hash", "key"])
+    sets = cut(found.join(several, "hash").where("key <=> of").select("id", "bits", "text").mapInArrow(whole_sets, "id bigint, data binary"))
     fine = components(bucket_links(several.select("bucket", "id", "size"), ["bucket"], resembling, least, sets))
-    rooted = cut(nodes.join(fine, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("id", "component_id")
-    return rows.select("key", "id").join(named, "id").select("key", "component_id")
+    return attach(rows.select("key", "id"), named(nodes, fine, "id"), "id", rows.count()).select("key", "component_id")
