@@ -3,117 +3,138 @@
 Sources weigh 5, 2, 1, repeating, in the order of their names by code point, null last. Targets share all
 words by weight, each stopping at `most` times its source's words; the excess is shared again by weight
 until none is above. A source is split into hash blocks. Its target is met by whole passes over its blocks
-(epochs) and a part of one more pass: whole blocks in a permuted order, then documents of one boundary
-block, in a permuted order, each that still fits. The blocks drawn are dealt to output shards by a tree: each node
-splits its exact quotas of blocks by source between two halves of its shards by a multivariate
-hypergeometric draw, so every shard gets a fair share of every source and the quotas add up exactly. A
-shard then draws its quota as the next blocks of the source's permuted order, disjoint from all others,
-and orders its documents by a seeded hash.
+(epochs) and a part of one more pass: whole blocks in a permuted order while they fit, then documents of the
+next blocks in that order, each that still fits, until SHARE of the target at most is left or no block is.
+
+The blocks drawn are dealt to output shards by a tree: each node splits its exact quotas of blocks by source
+between two halves of its shards by a multivariate hypergeometric draw, so every shard gets a fair share of every
+source and the quotas add up exactly. A shard then draws its quota as the next blocks of the source's permuted
+order, disjoint from all others, and orders its documents by a seeded hash. Each source is a stratum of the
+tree of its own; of more than MOST_STRATA sources, those of equal hashes share one, whose permuted blocks are
+drawn in one order, which splits them hypergeometrically as well.
 
 Nulls: a null source is a source, the last; a null text has no words. Sources without words have target 0.
 Documents without words are drawn with their block, and repeated rows are drawn together, as one document
 of their joint size; each keeps its own row. Empty tables give empty results. Other columns pass through
-untouched. Equal seeds give equal mixes, whatever the partitioning.
+untouched, but those named like the columns that mix() adds. Equal seeds give equal mixes, whatever the partitioning.
 """
 
 from __future__ import annotations
 
-import random
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import beside, cut, literal_table
+from trackloom.llm.common import beside, cut, literal_table, running
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-#: Rows of a block that are aimed at, and the most blocks of a source.
-BLOCK_ROWS, MOST_BLOCKS = 256, 1_000_000
-#: Groups of sources that the tree tells apart; more sources than that share groups by hash.
+#: Rows of a block at most, while a source has no more than MOST_BLOCKS; and blocks in a shard that are aimed at, at least.
+BLOCK_ROWS, MOST_BLOCKS, SHARD_BLOCKS = 256, 1_000_000, 16
+#: Groups of sources that the tree tells apart.
 MOST_STRATA = 512
+#: Share of a target that may be left once whole blocks are drawn, and blocks whose documents fill it first.
+SHARE, FILL_BLOCKS = 0.001, 4
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Per source of `sizes` (source, size): n_rows, source_size, weight, target.
+    """Per source of `sizes` (source, size): n_rows, source_size, weight, target, place (from 0, by name).
 
     Water filling: with sources in the order of cap over weight, a source stops at its cap if the level
     that the words left would reach, shared by the weights left, is not below cap over weight.
     """
-    totals = cut(sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("source_size")))
-    weighed = totals.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1).cast("int"))).withColumn("cap", F.col("source_size") * most)
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest)
-    filled = weighed.withColumn("level", level).withColumn("full", F.col("level") >= F.col("cap") / F.col("weight"))
-    common = F.min(F.when(~F.col("full"), F.struct(F.col("cap") / F.col("weight"), F.col("source").isNull(), F.col("source"), F.col("level")))).over(Window.partitionBy())["level"]
-    return filled.withColumn("target", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.least(common * F.col("weight"), F.col("cap").cast("double")))).select("source", "n_rows", "source_size", "weight", "target")
+    totals = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").cast("bigint").alias("source_size"))
+    named, _ = running(totals, [F.col("source").asc_nulls_last()])
+    weighed = named.select("source", "n_rows", "source_size", F.col("_rank").alias("place"), F.get(F.array(*map(F.lit, weights)), (F.col("_rank") % len(weights)).cast("int")).alias("weight")).withColumn("cap", F.col("source_size") * most)
+    ranked, sums = running(weighed.withColumn("_level", F.col("cap") / F.col("weight")), ["_level", F.col("source").asc_nulls_last()], ("cap", "weight", "source_size"))
+    level = (F.lit(sums["source_size"]) - F.col("_before_cap")) / (F.lit(sums["weight"]) - F.col("_before_weight"))
+    filled = ranked.withColumn("level", level).withColumn("full", F.col("level") >= F.col("_level"))
+    common = filled.where(~F.col("full")).agg(F.min(F.struct("_rank", "level"))["level"].alias("level")).first()[0]  # one number
+    target = F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.least(F.lit(common) * F.col("weight"), F.col("cap").cast("double")))
+    return filled.withColumn("target", target).select("source", "n_rows", "source_size", "weight", "target", "place")
 
 
 def split_quotas(quotas: list[int], n_shards: int, seed: int) -> list[list[int]]:
-    """The splitting tree: how many blocks of each source each shard draws; [shard][source]."""
-    rng = random.Random(seed)
-
-    def draw(counts: list[int], take: int) -> list[int]:
-        """A multivariate-hypergeometric draw of `take` from `counts`, one source after the other."""
-        left, out = sum(counts), []
-        for n in counts:
-            got = hypergeometric(n, left - n, take)
-            out.append(got)
-            left, take = left - n, take - got
-        return out
-
-    def hypergeometric(good: int, bad: int, take: int) -> int:
-        low, high = max(0, take - bad), min(good, take)
-        if high - low <= 0:
-            return low
-        if good + bad <= 4096:  # drawn one by one
-            got = 0
-            for _ in range(take):
-                hit = rng.randrange(good + bad) < good
-                good, bad, got = good - hit, bad - (not hit), got + hit
-            return got
-        n = good + bad  # by its normal limit, rounded into the range
-        mean = take * good / n
-        sd = (mean * (bad / n) * (n - take) / max(n - 1, 1)) ** 0.5
-        return min(high, max(low, round(rng.gauss(mean, sd))))
-
-    def split(counts: list[int], shards: int) -> list[list[int]]:
+    """The splitting tree: how many blocks of each source each shard draws; [shard][source].
+
+    Draws are exact hypergeometric ones at every size up to 10**9 blocks, which MOST_BLOCKS * MOST_STRATA stays under.
+    """
+    rng = np.random.default_rng(seed)
+
+    def split(counts: np.ndarray, shards: int) -> list[list[int]]:
         if shards == 1:
-            return [counts]
+            return [counts.tolist()]
         left = shards // 2
-        part = draw(counts, sum(counts) * left // shards)
-        return split(part, left) + split([a - b for a, b in zip(counts, part, strict=True)], shards - left)
+        part = rng.multivariate_hypergeometric(counts, int(counts.sum()) * left // shards, method="marginals")
+        return split(part, left) + split(counts - part, shards - left)
 
-    return split(list(quotas), n_shards)
+    return split(np.array(quotas, np.int64), n_shards) if quotas else [[]] * n_shards
 
 
-def block_of(key: Column, n_rows: Column) -> Column:
-    blocks = F.greatest(F.least(F.ceil(n_rows / BLOCK_ROWS), F.lit(MOST_BLOCKS)), F.lit(1))
+def block_of(key: Column, n_rows: Column, rows: int) -> Column:
+    blocks = F.greatest(F.least(F.ceil(n_rows / rows), F.lit(MOST_BLOCKS)), F.lit(1))
     return F.pmod(F.xxhash64(key, F.lit("block")), blocks)
 
 
+def fill(blocked: DataFrame, passed: DataFrame, seed: int) -> DataFrame:
+    """(source, block, key, size), written: the documents drawn one by one after the whole blocks.
+
+    `blocked` has source, block, key and size; `passed` a row a block with source, block, nth, part, left, target. A round
+    takes documents of the next blocks in order, each that still fits: all that come before the first that doesn't, then
+    again of those that fit what is left. Rounds look at four times as many blocks each, until SHARE is met.
+    """
+    open_blocks = passed.where("part <> 'whole'").withColumn("at", F.col("nth") - F.min("nth").over(Window.partitionBy("source")))
+    open_blocks = cut(open_blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "at", F.max("at").over(Window.partitionBy("source")).alias("last")))
+    state = cut(passed.where("part = 'boundary'").select(F.col("source").alias("_of"), "left", "target"))
+    found, low, high = None, 0, FILL_BLOCKS
+    while True:
+        want = open_blocks.where((F.col("at") >= low) & (F.col("at") < high)).join(state, F.col("_source").eqNullSafe(F.col("_of")))
+        few = beside(cut(want.drop("_of")))
+        docs = blocked.join(few, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))).groupBy("source", "block", "at", "left", "key").agg(F.sum("size").alias("size"))
+        order = Window.partitionBy("source").orderBy("at", F.xxhash64("key", F.lit(seed)), "key").rowsBetween(Window.unboundedPreceding, 0)
+        docs = docs.withColumn("taken", F.lit(False))
+        for _ in range(4):
+            fits = ~F.col("taken") & (F.col("size") <= F.col("left"))
+            docs = docs.withColumn("run", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(order))
+            docs = docs.withColumn("now", fits & (F.col("run") <= F.col("left")))
+            docs = docs.withColumn("left", F.col("left") - F.coalesce(F.sum(F.when(F.col("now"), F.col("size"))).over(Window.partitionBy("source")), F.lit(0))).withColumn("taken", F.col("taken") | F.col("now"))
+        picked = cut(docs.where("taken").select("source", "block", "key", "size"))
+        found = picked if found is None else found.union(picked)
+        used = picked.groupBy("source").agg(F.sum("size").alias("used"))
+        after = state.join(used, F.col("_of").eqNullSafe(F.col("source")), "left").withColumn("left", F.col("left") - F.coalesce("used", F.lit(0)))
+        more = open_blocks.where(F.col("last") >= high).select("_source").distinct()
+        state = cut(after.join(more, F.col("_of").eqNullSafe(F.col("_source")), "left_semi").where(F.col("left") > F.col("target") * SHARE).select("_of", "left", "target"))
+        if state.isEmpty():
+            return cut(found)
+        low, high = high, 4 * high
+
+
 def mix(docs: DataFrame, sizes: DataFrame, key: str = "doc_key", n_shards: int = 64, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """`docs` with source_size, target and draws, an array of (shard, epoch) for each time the mix takes the row.
+    """`docs` with source_size, target and draws, an array of (shard, epoch, order) for each time the mix takes the row; `order` is the seeded place within the shard.
 
     `docs` has source and `key`, a hash of the row; `sizes` has source, `key` and size for the same rows,
     written by cut(). `docs` isn't shuffled: tables of sources and blocks are joined to it, by broadcast
-    where they are small. A block table has a row for 256 documents.
+    where they are small. A block table has a row for BLOCK_ROWS documents.
     """
     spark = docs.sparkSession
-    sources = cut(source_targets(sizes, weights, most).withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-12))).otherwise(F.lit(0)).cast("int")).withColumn("rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))).withColumn("stratum", F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(MOST_STRATA)).cast("int")))
+    sizes = sizes.select("source", F.col(key).alias("key"), "size")
+    targets = cut(source_targets(sizes, weights, most))
+    shape = targets.agg(F.count(F.lit(1)).alias("sources"), F.sum("n_rows").alias("rows")).first()
+    block_rows = max(1, min(BLOCK_ROWS, (shape["rows"] or 0) // (SHARD_BLOCKS * n_shards)))
+    stratum = F.col("place") if shape["sources"] <= MOST_STRATA else F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(MOST_STRATA))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-12))).otherwise(F.lit(0)).cast("int")
+    sources = cut(targets.withColumn("epochs", epochs).withColumn("rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))).withColumn("stratum", stratum.cast("int")).withColumnRenamed("source", "_source"))
     few = beside(sources)
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-
-    def with_source(df: DataFrame) -> DataFrame:
-        return df.join(few, same(df, few), "left").drop(few["source"])
-
-    blocked = with_source(sizes).withColumn("block", block_of(F.col(key), F.col("n_rows")))
-    blocks = cut(blocked.groupBy("source", "stratum", "block", "epochs", "rest").agg(F.sum("size").alias("words")))
-    # the part of a pass: whole blocks in a permuted order, then the block that the target's end falls in
+    blocked = sizes.join(few, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("block", block_of(F.col("key"), F.col("n_rows"), block_rows))
+    blocks = blocked.groupBy("source", "stratum", "block", "epochs", "rest", "target").agg(F.sum("size").alias("words"))
+    # the part of a pass: whole blocks in a permuted order, then the block that the target's end falls in and those behind it
     permuted = Window.partitionBy("source").orderBy(F.xxhash64("block", "source", F.lit(seed)), "block")
-    through = F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0))
-    passed = cut(blocks.withColumn("through", through).withColumn("part", F.when(F.col("through") <= F.col("rest"), "whole").when(F.col("through") - F.col("words") < F.col("rest"), "boundary").otherwise("none")).withColumn("left", F.col("rest") - F.col("through") + F.col("words")))
-    drawn = passed.select("source", "stratum", "block", F.explode(F.sequence(F.lit(0), F.col("epochs"))).alias("epoch"), "epochs", "part").where("epoch < epochs or part <> 'none'")
+    passed = blocks.withColumns({"nth": F.row_number().over(permuted), "through": F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0))})
+    passed = cut(passed.withColumn("part", F.when(F.col("through") <= F.col("rest"), "whole").when(F.col("through") - F.col("words") < F.col("rest"), "boundary").otherwise("none")).withColumn("left", F.col("rest") - F.col("through") + F.col("words")))
+    chosen = fill(blocked.select("source", "block", "key", "size"), passed, seed)
+    some = chosen.select(F.col("source").alias("_some_source"), F.col("block").alias("_some_block")).distinct()
+    marked = passed.join(some, F.col("source").eqNullSafe(F.col("_some_source")) & (F.col("block") == F.col("_some_block")), "left").withColumn("some", F.col("_some_block").isNotNull())
+    drawn = marked.select("source", "stratum", "block", F.explode(F.sequence(F.lit(0), F.col("epochs"))).alias("epoch"), "epochs", "part", "some").where("epoch < epochs or part = 'whole' or some")
     drawn = cut(drawn.withColumn("place", F.row_number().over(Window.partitionBy("stratum").orderBy(F.xxhash64("epoch", "block", "source", F.lit(seed + 1)), "source", "block", "epoch"))))
     quotas = {r["stratum"]: r["n"] for r in drawn.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each stratum
     strata = sorted(quotas)
@@ -121,26 +142,21 @@ def mix(docs: DataFrame, sizes: DataFrame, key: str = "doc_key", n_shards: int =
     for leaf in split_quotas([quotas[s] for s in strata], n_shards, seed):
         for s, n in zip(strata, leaf, strict=True):
             ends[s].append((ends[s][-1] if ends[s] else 0) + n)
-    cuts = F.broadcast(literal_table(spark, [{"stratum": s, "ends": e} for s, e in ends.items()], "stratum:int,ends:array<bigint>"))
+    cuts = F.broadcast(literal_table(spark, [{"stratum": s, "ends": e} for s, e in ends.items()], "stratum:int,ends:array<bigint>"))  # MOST_STRATA rows at most
     dealt = drawn.join(cuts, "stratum").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
-    plan = cut(dealt.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("shard", "epoch"))).alias("plan"), F.max("epochs").alias("passes"), F.max(F.when((F.col("epoch") == F.col("epochs")) & (F.col("part") == "boundary"), F.lit(True))).alias("boundary")))
-    # documents of the boundary blocks, one block a source: in a permuted order, each that still fits
-    ends_at = beside(cut(passed.where("part = 'boundary'").select(F.col("source").alias("_source"), F.col("block").alias("_block"), "left")))
-    edge = blocked.join(ends_at, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))).groupBy("source", "block", "left", key).agg(F.sum("size").alias("size"))
-    listed = edge.groupBy("source", "block", "left").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(key, F.lit(seed)), F.col("size"), F.col(key).alias("key")))).alias("listed"))
-    empty = F.struct(F.col("left").alias("left"), F.expr("cast(array() as array<bigint>)").alias("keys"))
-    fits = lambda acc, x: F.when(x["size"] <= acc["left"], F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["keys"], F.array(x["key"])).alias("keys"))).otherwise(acc)
-    chosen = beside(cut(listed.select(F.explode(F.aggregate("listed", empty, fits)["keys"]).alias("_chosen"), F.col("source").alias("_chosen_source"))))
-    few_plan = beside(plan.withColumnsRenamed({"source": "_plan_source", "block": "_plan_block"}))
-    rows = with_source(docs).withColumn("_block", block_of(F.col(key), F.col("n_rows")))
-    rows = rows.join(few_plan, F.col("source").eqNullSafe(F.col("_plan_source")) & (F.col("_block") == F.col("_plan_block")), "left")
-    rows = rows.join(chosen, F.col("source").eqNullSafe(F.col("_chosen_source")) & (F.col(key) == F.col("_chosen")), "left")
-    whole = F.coalesce("plan", F.expr("cast(array() as array<struct<shard:int,epoch:int>>)"))
-    draws = F.when(F.col("boundary") & F.col("_chosen").isNull(), F.filter(whole, lambda d: d["epoch"] < F.col("passes"))).otherwise(whole)
-    return rows.withColumn("draws", draws).drop("plan", "passes", "boundary", "_block", "_plan_source", "_plan_block", "_chosen", "_chosen_source", "n_rows", "weight", "epochs", "rest", "stratum")
-
-
-def shuffled(mixed: DataFrame, columns: list[str], key: str = "doc_key", seed: int = 17) -> DataFrame:
+    plan = cut(dealt.groupBy(F.col("source").alias("_plan_source"), F.col("block").alias("_plan_block")).agg(F.sort_array(F.collect_list(F.struct("shard", "epoch"))).alias("_plan"), F.max("epochs").alias("_passes"), F.bool_or("some").alias("_some")))
+    picks = beside(chosen.select(F.col("source").alias("_chosen_source"), F.col("key").alias("_chosen")))
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_own_source"), F.col(key).alias("_key"))
+    rows = rows.join(few, F.col("_own_source").eqNullSafe(F.col("_source")), "left").withColumn("_block", block_of(F.col("_key"), F.col("n_rows"), block_rows))
+    rows = rows.join(beside(plan), F.col("_own_source").eqNullSafe(F.col("_plan_source")) & (F.col("_block") == F.col("_plan_block")), "left")
+    rows = rows.join(picks, F.col("_own_source").eqNullSafe(F.col("_chosen_source")) & (F.col("_key") == F.col("_chosen")), "left")
+    whole = F.coalesce("_plan", F.expr("cast(array() as array<struct<shard:int,epoch:int>>)"))
+    taken = F.when(F.col("_some") & F.col("_chosen").isNull(), F.filter(whole, lambda d: d["epoch"] < F.col("_passes"))).otherwise(whole)
+    added = {"source_size": F.col("source_size"), "target": F.col("target"), "draws": F.transform(taken, lambda d: F.struct(d["shard"].alias("shard"), d["epoch"].alias("epoch"), F.xxhash64("_key", d["epoch"], F.lit(seed)).alias("order")))}
+    return rows.select(*(F.col("_doc")[c].alias(c) for c in docs.columns if c not in added), *(v.alias(c) for c, v in added.items()))
+
+
+def shuffled(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """A row for each draw: the columns, then mix_shard and mix_order, the seeded place within the shard."""
-    drawn = mixed.select(*columns, key, F.inline("draws"))
-    return drawn.select(*columns, F.col("shard").alias("mix_shard"), F.xxhash64(key, "epoch", F.lit(seed)).alias("mix_order"))
+    drawn = mixed.select(*columns, F.inline("draws"))
+    return drawn.select(*columns, F.col("shard").alias("mix_shard"), F.col("order").alias("mix_order"))
