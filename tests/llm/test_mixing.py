@@ -93,7 +93,7 @@ def test_running_ranks_and_sums(spark):
     for place, (k, rank, run, w) in enumerate(got):
         assert (k, rank, run) == (place, place, before)
         before += w
-    assert totals == {"n": 500, "w": before} and running(df.limit(0), ["k"], ("w",))[1] == {"n": 0, "w": 0}
+    assert totals == {"_rows": 500, "w": before} and running(df.limit(0), ["k"], ("w",))[1] == {"_rows": 0, "w": 0}
 
 
 def test_no_shard_is_empty_while_there_are_rows_enough(spark):

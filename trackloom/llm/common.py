@@ -66,22 +66,22 @@ def attach(many: DataFrame, one: DataFrame, key: str, rows: int, hot: int = 256)
 
 
 def running(df: DataFrame, order: list, sums: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, int]]:
-    """`df`, written, with `_rank`, the place of each row in `order` from 0, and `_before_<c>`, the sum of integer column c over the rows before; and the totals, "n" the rows.
+    """`df`, written, with `_rank`, the place of each row in `order` from 0, and `_before_<c>`, the sum of integer column c over the rows before; and the totals, "_rows" the rows.
 
     One range shuffle; what comes to the driver is a row for each of its partitions, and no window runs over
     all rows. Rows that are equal in `order` take any order, the same for every reader.
     """
     at = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
     at = at.withColumn("_part", F.shiftright("_at", 33).cast("int"))
-    parts = at.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).cast("bigint").alias(c) for c in sums)).orderBy("_part").collect()  # a row for each partition of the shuffle
-    totals, offsets = dict.fromkeys(["n", *sums], 0), []
+    parts = at.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *(F.sum(c).cast("bigint").alias(c) for c in sums)).orderBy("_part").collect()  # a row for each partition of the shuffle
+    totals, offsets = dict.fromkeys(["_rows", *sums], 0), []
     for p in parts:
         offsets.append({"_part": p["_part"], **{f"_from_{c}": n for c, n in totals.items()}})
         totals = {c: n + (p[c] or 0) for c, n in totals.items()}
     placed = at.join(F.broadcast(literal_table(df.sparkSession, offsets, ", ".join(["_part:int", *(f"_from_{c}:bigint" for c in totals)]))), "_part")
     within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     before = {f"_before_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)).cast("bigint") + F.col(f"_from_{c}") for c in sums}
-    ranked = placed.withColumns({"_rank": F.col("_from_n") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)), **before})
+    ranked = placed.withColumns({"_rank": F.col("_from__rows") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)), **before})
     return ranked.drop("_at", "_part", *(f"_from_{c}" for c in totals)), totals
 
 

@@ -6,6 +6,8 @@ resemblance (Jaccard), containment and the number of distinct shingles. With k =
 resemblance is 0.031 at most. All of it is column expressions; a text is hashed where it lies.
 
 Nulls: a null text is empty. Two empty sketches resemble each other fully, an empty and another not at all.
+Repeated rows are kept; equal texts have equal sketches. Rows of equal keys follow each other in the order of `tie`;
+rows that agree in both are interchangeable and lie in one block. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import beside, cut, let
+from trackloom.llm.common import beside, cut, let, running
 
 K = 256
 SHINGLE = 5
@@ -93,9 +95,10 @@ def neighbours(df: DataFrame, key: str, tie: Column, rows: int = BLOCK_ROWS) ->
     placed = df.withColumn("_tie", tie).withColumn("_at", F.when(number.isNull(), F.lit(pieces + 2)).otherwise(at)).withColumn("_block", F.shiftleft(F.col("_at").cast("long"), 40) + F.when(number.isNull(), by_tie).otherwise(inside)).drop("_at")
     order = F.struct(number.isNull().alias("a"), number.alias("b"), F.col("_tie").alias("c"))
     firsts = placed.groupBy("_block").agg(F.min(order).alias("_first"))
-    ring = Window.orderBy("_block")
-    before = F.coalesce(F.lag("_block").over(ring), F.max("_block").over(Window.partitionBy()))
-    firsts = cut(firsts.select(F.col("_block").alias("_own"), F.col("_first.b").alias("_key"), F.col("_first.c").alias("_first_tie"), before.alias("_before")))
+    ranked, totals = running(firsts, ["_block"])
+    ranked = cut(ranked.select(F.col("_block").alias("_own"), F.col("_first.b").alias("_key"), F.col("_first.c").alias("_first_tie"), "_rank"))
+    before = ranked.select(F.col("_own").alias("_before"), ((F.col("_rank") + 1) % max(totals["_rows"], 1)).alias("_rank"))
+    firsts = cut(ranked.join(before, "_rank").drop("_rank"))
     few = beside(firsts, 1_000_000)
     joined = placed.join(few, (F.col("_block") == F.col("_own")) & number.eqNullSafe(F.col("_key")) & (F.col("_tie") == F.col("_first_tie")), "left")
     seats = F.when(F.col("_before").isNull(), F.array(F.struct(F.col("_block").alias("block"), F.lit(False).alias("guest")))).otherwise(F.array(F.struct(F.col("_block").alias("block"), F.lit(False).alias("guest")), F.struct(F.col("_before").alias("block"), F.lit(True).alias("guest"))))

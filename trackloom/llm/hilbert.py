@@ -5,18 +5,19 @@ metadata space, and a reader that keeps minima and maxima per file skips most fi
 
 Nulls: a null category is a category of its own, before all others; a null number is the lowest level.
 Empty tables give empty results. Repeated rows are kept: each gets a slot of its own. Equal curve
-indices are ordered by the tie-breakers given, so one cell that holds a third of the rows is cut into
-runs like any other stretch. Other columns pass through untouched.
+indices are ordered by the tie-breakers given, and rows that agree in these too by their places in the table, so
+one cell that holds a third of the rows is cut into runs like any other stretch. Other columns pass through
+untouched; columns named shard or slot are replaced by cut_runs().
 """
 
 from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import beside, cut, literal_table
+from trackloom.llm.common import beside, cut, running
 
 
 @cache
@@ -72,27 +73,30 @@ def category_levels(df: DataFrame, column: str, bits: int) -> DataFrame:
 
     The result has a row for each distinct value.
     """
-    counts = cut(df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")))
-    order = Window.orderBy(F.col("value").asc_nulls_first())
-    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select("value", F.least(F.floor((F.coalesce(before, F.lit(0)) + F.col("n") / 2) * (1 << bits) / total), F.lit((1 << bits) - 1)).cast("int").alias("level"))
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranked, totals = running(counts, [F.col("value").asc_nulls_first()], ("n",))
+    middle = (F.col("_before_n") + F.col("n") / 2) * (1 << bits) / max(totals["n"], 1)
+    return ranked.select("value", F.least(F.floor(middle), F.lit((1 << bits) - 1)).cast("int").alias("level"))
 
 
-def number_level(value: Column, low: float, high: float, bits: int) -> Column:
-    """The level of a number on a linear scale from `low` to `high`; null: 0."""
-    span = max(high - low, 1e-9)
-    return F.coalesce(F.greatest(F.least(F.floor((value.cast("double") - low) / span * (1 << bits)), F.lit((1 << bits) - 1)), F.lit(0)), F.lit(0)).cast("int")
+def number_level(value: Column, edges: list[float]) -> Column:
+    """The level of a number: how many of the ascending edges it reaches; null: 0.
+
+    The edges are quantiles, so outliers take a level at most, and each level its share of the rows, but for repeated values.
+    """
+    if not edges:
+        return F.lit(0)
+    return F.coalesce(F.size(F.filter(F.array(*(F.lit(float(e)) for e in edges)), lambda e: e <= value.cast("double"))), F.lit(0)).cast("int")
 
 
-def curve_order(df: DataFrame, categories: list[str], numbers: list[str], bits: int = 8, logs: tuple[str, ...] = ()) -> DataFrame:
-    """`df` with `hilbert_index` over the given columns; those in `logs` are quantised by logarithm."""
-    scaled = {c: F.log2(F.col(c).cast("double") + 1) if c in logs else F.col(c).cast("double") for c in numbers}
+def curve_order(df: DataFrame, categories: list[str], numbers: list[str], bits: int = 6) -> DataFrame:
+    """`df` with `hilbert_index` over the given columns, each quantised to 2**bits levels of about equal shares."""
     levels = []
     out = df
     if numbers:
-        ends = df.agg(*(f(v).alias(f"{k}_{c}") for c, v in scaled.items() for k, f in (("low", F.min), ("high", F.max)))).first()
-        levels += [number_level(v, ends[f"low_{c}"] or 0.0, ends[f"high_{c}"] or 0.0, bits) for c, v in scaled.items()]
+        steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+        ends = df.agg(*(F.percentile_approx(F.col(c).cast("double"), steps, 10_000).alias(f"c{k}") for k, c in enumerate(numbers))).first()
+        levels += [number_level(F.col(c), sorted(set(ends[f"c{k}"] or []))) for k, c in enumerate(numbers)]
     for k, c in enumerate(categories):
         found = cut(category_levels(df, c, bits).select(F.col("value").alias(f"_value_{k}"), F.col("level").alias(f"_level_{k}")))
         out = out.join(beside(found), F.col(c).eqNullSafe(F.col(f"_value_{k}")), "left")
@@ -109,24 +113,18 @@ def cut_runs(df: DataFrame, order: list[str], n_shards: int, law: str = "rows",
     """
     if law not in ("rows", "bytes"):
         raise ValueError(law)
-    spark = df.sparkSession
-    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_part", F.shiftright("_at", 33).cast("int"))
-    weight = F.col(size) if law == "bytes" else F.lit(1)
-    parts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w")).orderBy("_part").collect()  # a row for each partition of the shuffle
-    total, total_w, offsets = 0, 0, []
-    for p in parts:
-        offsets.append({"_part": p["_part"], "_rows": total, "_weight": total_w})
-        total, total_w = total + p["n"], total_w + (p["w"] or 0)
-    placed = ranged.join(F.broadcast(literal_table(spark, offsets, "_part:int,_rows:bigint,_weight:bigint")), "_part").withColumn("_rank", F.col("_rows") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    columns = [c for c in df.columns if c not in ("shard", "slot")]
+    held = df.select(F.struct("*").alias("_row"), *(F.col(c).alias(f"_order_{k}") for k, c in enumerate(order)), *([F.col(size).cast("bigint").alias("_size")] if law == "bytes" else []))
+    # what no tie-breaker tells apart is told apart by a number, so that a third of equal rows needs no one task
+    dealt = held.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+    placed, totals = running(dealt, [*(f"_order_{k}" for k in range(len(order))), "_tie"], ("_size",) if law == "bytes" else ())
+    total = max(totals["_rows"], 1)
     if law == "rows":
-        out = placed.withColumn("shard", F.expr(f"cast(_rank * {n_shards} div {max(total, 1)} as int)"))
-        first = F.expr(f"(shard * {total}L + {n_shards - 1}) div {n_shards}")
-        out = out.withColumn("slot", (F.col("_rank") - first).cast("long"))
+        out = placed.withColumn("shard", F.expr(f"cast(_rank * {n_shards} div {total} as int)"))
+        out = out.withColumn("slot", F.col("_rank") - F.expr(f"(cast(shard as bigint) * {total} + {n_shards - 1}) div {n_shards}"))
     else:
-        run = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-        middle = F.col("_weight") + F.sum(size).over(run) - F.col(size) / 2
-        out = cut(placed.withColumn("shard", F.least(F.floor(middle * n_shards / max(total_w, 1)), F.lit(n_shards - 1)).cast("int")))
-        starts = out.groupBy("shard").agg(F.min("_rank").alias("_start"))
-        out = out.join(F.broadcast(starts), "shard").withColumn("slot", (F.col("_rank") - F.col("_start")).cast("long"))
-    return out.drop("_at", "_part", "_rows", "_weight", "_rank", "_start")
+        middle = F.col("_before__size") + F.col("_size") / 2
+        out = cut(placed.withColumn("shard", F.least(F.floor(middle * n_shards / max(totals["_size"], 1)), F.lit(n_shards - 1)).cast("int")))
+        starts = out.groupBy("shard").agg(F.min("_rank").alias("_start"))  # n_shards rows
+        out = out.join(F.broadcast(starts), "shard").withColumn("slot", F.col("_rank") - F.col("_start"))
+    return out.select(*(F.col("_row")[c].alias(c) for c in columns), "shard", F.col("slot").cast("long").alias("slot"))
