@@ -1,13 +1,14 @@
 """Best-fit packing by a grouping genetic algorithm, on islands with elite migration.
 
 Items of bounded lengths go to sequences of `capacity`. Items are dealt by hash to districts of about
-DISTRICT items; each district is evolved by ISLANDS islands. An island holds a population of packings. A
-crossover injects whole well-filled bins of one parent into another, dissolves the bins that held any of
-their items, and best-fits the displaced items, longest first. After each epoch the elite of an island
-migrates to the next island of its district. An island rests once its best packing has as few bins as its
-total length allows. The emptiest bins of the districts, of up to 1/16 of the items, are packed again in
-districts of their own, level by level, until one district is left, so that many districts waste no more
-than one would.
+DISTRICT items; each district is evolved by ISLANDS islands. An island holds a population of packings, seeded by
+best fit in perturbed orders. A crossover injects whole well-filled bins of one parent into another, dissolves the
+bins that held any of their items, with the emptiest and a few others that aren't full, exchanges displaced items for
+shorter ones where that fills a bin better, and best-fits the rest, longest first. A child costs in
+proportion to what it changes. After each epoch the elite of an island migrates to the next island of its
+district. An island rests once its best packing has as few bins as its total length allows. The emptiest bins of
+the districts, of up to 1/16 of the items, are packed again in districts of their own, level by level, until one
+district is left, so that many districts waste no more than one would.
 
 All randomness comes from seeds and item ids. Islands are rows of a table written between epochs, so a lost
 executor costs its own islands' epoch alone; a task holds one island at a time.
@@ -15,7 +16,9 @@ executor costs its own islands' epoch alone; a task holds one island at a time.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +28,58 @@ from pyspark.sql import functions as F
 from trackloom.llm.common import cut
 
 CAPACITY = 1024
-DISTRICT, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 65536, 3, 2, 4, 5
+DISTRICT, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 16384, 3, 2, 100, 5
 #: Fill from which a bin counts as well-filled.
 WELL = 0.99
+#: Bins that a crossover injects, others that it dissolves, and bins in which it tries an exchange, at most.
+INJECTED, DISSOLVED, TRIED = 24, 32, 48
 
-Bins = list[list[int]]
 
+@dataclass
+class Packing:
+    """Bins of items, what is free in each, and the bin of each item. Bins are shared between packings, never changed."""
 
-def best_fit(lengths: list[int], items: list[int], bins: Bins, capacity: int) -> Bins:
-    """`bins` with `items`, in the order given, each in the fullest bin that it fits; else in a new one."""
-    free = [capacity - sum(lengths[i] for i in b) for b in bins]
+    bins: list[tuple[int, ...]]
+    free: np.ndarray
+    bin_of: np.ndarray
+
+    def fitness(self, capacity: int) -> tuple[int, float]:
+        """Fewer bins first, then bins as unequally filled as can be; smaller is better."""
+        return len(self.bins), -float((np.square(capacity - self.free.astype(np.float64))).sum())
+
+    def copy(self) -> Packing:
+        return Packing(list(self.bins), self.free.copy(), self.bin_of.copy())
+
+    def drop(self, empty: list[int]) -> None:
+        """Takes out empty bins; the last ones move to their places."""
+        for b in sorted(empty, reverse=True):
+            last = len(self.bins) - 1
+            if b != last:
+                self.bins[b], self.free[b] = self.bins[last], self.free[last]
+                self.bin_of[list(self.bins[b])] = b
+            self.bins.pop()
+            self.free = self.free[:last]
+
+    @staticmethod
+    def of(bin_of: np.ndarray, lengths: list[int], capacity: int) -> Packing:
+        order = np.argsort(bin_of, kind="stable")
+        ends = np.flatnonzero(np.diff(bin_of[order])) + 1
+        bins = [tuple(x.tolist()) for x in np.split(order, ends)] if len(order) else []
+        return Packing(bins, capacity - np.bincount(bin_of, lengths, len(bins)).astype(np.int64), bin_of.astype(np.int64))
+
+
+def best_fit(lengths: list[int], items: list[int], packing: Packing, capacity: int, empty: list[int]) -> list[int]:
+    """Puts items, in the order given, each into the fullest bin that it fits; else into an `empty` or a new one. Returns the bins left empty."""
+    if not items:
+        return empty
+    packing.free = np.concatenate([packing.free, np.full(len(items), -1)])  # room for new bins; an empty one has -1
     at: list[list[int]] = [[] for _ in range(capacity + 1)]
     mask = 0
-    for b, f in enumerate(free):
+    open_bins = np.flatnonzero(packing.free >= min(lengths[i] for i in items))
+    for b, f in zip(open_bins.tolist(), packing.free[open_bins].tolist(), strict=True):
         at[f].append(b)
         mask |= 1 << f
+    put: dict[int, list[int]] = {}
     for i in items:
         n = lengths[i]
         room = mask >> n
@@ -48,78 +88,100 @@ def best_fit(lengths: list[int], items: list[int], bins: Bins, capacity: int) ->
             b = at[f].pop()
             if not at[f]:
                 mask ^= 1 << f
-            bins[b].append(i)
         else:
-            f, b = capacity, len(bins)
-            bins.append([i])
+            f = capacity
+            if empty:
+                b = empty.pop()
+            else:
+                b = len(packing.bins)
+                packing.bins.append(())
+        put.setdefault(b, []).append(i)
         at[f - n].append(b)
         mask |= 1 << (f - n)
-    return bins
-
-
-def crossover(rng: np.random.Generator, lengths: list[int], a: Bins, b: Bins, capacity: int) -> Bins:
-    """Well-filled bins of `b` put whole into `a`; items of the bins they displace are best-fitted."""
-    well = [x for x in b if sum(lengths[i] for i in x) >= WELL * capacity]
-    if not well:
-        well = sorted(b, key=lambda x: -sum(lengths[i] for i in x))[: max(1, len(b) // 4)]
-    put = [well[k] for k in np.flatnonzero(rng.random(len(well)) < 0.3)] or [well[int(rng.integers(len(well)))]]
-    taken = {i for x in put for i in x}
-    stay: Bins = []
-    displaced: list[int] = []
-    for x in a:
-        if taken.isdisjoint(x):
-            stay.append(list(x))
+        packing.free[b], packing.bin_of[i] = f - n, b
+    for b, more in put.items():
+        packing.bins[b] = (*packing.bins[b], *more)
+    packing.free = packing.free[: len(packing.bins)]
+    return empty
+
+
+def packed(lengths: list[int], order: list[int], capacity: int) -> Packing:
+    """Best fit of all items in an order."""
+    out = Packing([], np.empty(0, np.int64), np.zeros(len(lengths), np.int64))
+    best_fit(lengths, order, out, capacity, [])
+    return out
+
+
+def crossover(rng: np.random.Generator, lengths: list[int], a: Packing, b: Packing, capacity: int) -> Packing:
+    """Well-filled bins of `b` put whole into `a`; items of the bins they displace are exchanged and best-fitted."""
+    well = np.flatnonzero(b.free <= (1 - WELL) * capacity)
+    if not len(well):
+        well = np.argsort(b.free, kind="stable")[: max(1, len(b.bins) // 4)]
+    chosen = rng.choice(well, min(len(well), int(rng.integers(1, INJECTED + 1))), replace=False).tolist()
+    there = lambda x: len(a.bins[a.bin_of[x[0]]]) == len(x) and len({*a.bin_of[list(x)].tolist()}) == 1
+    injected = [k for k in chosen if not there(b.bins[k])]
+    taken = {i for k in injected for i in b.bins[k]}
+    emptiest = min(len(a.bins), 2 + int(rng.integers(0, 8)))
+    loose = np.flatnonzero(a.free > 0)
+    gone = {*np.argpartition(a.free, len(a.bins) - emptiest)[-emptiest:].tolist(), *rng.choice(loose, min(len(loose), int(rng.integers(0, DISSOLVED - 7))), replace=False).tolist(), *a.bin_of[list(taken)].tolist()}
+    displaced = [i for s in sorted(gone) for i in a.bins[s] if i not in taken]
+    child, empty = a.copy(), sorted(gone, reverse=True)
+    for s in empty:
+        child.bins[s], child.free[s] = (), -1
+    for k in injected:
+        if empty:
+            s = empty.pop()
         else:
-            displaced += [i for i in x if i not in taken]
-    # the emptiest bins go too, so that their items get another chance
-    stay.sort(key=lambda x: -sum(lengths[i] for i in x))
-    for x in stay[max(1, len(stay) - 2 - len(stay) // 50) :]:
-        displaced += x
-    del stay[max(1, len(stay) - 2 - len(stay) // 50) :]
+            s = len(child.bins)
+            child.bins.append(())
+            child.free = np.append(child.free, -1)
+        child.bins[s], child.free[s] = b.bins[k], b.free[k]
+        child.bin_of[list(b.bins[k])] = s
+    displaced = exchange(rng, lengths, child, displaced)
     displaced.sort(key=lambda i: (-lengths[i], i))
-    return best_fit(lengths, displaced, [list(x) for x in put] + stay, capacity)
+    child.drop(best_fit(lengths, displaced, child, capacity, empty))
+    return child
 
 
-def fitness(lengths: list[int], bins: Bins) -> tuple[int, float]:
-    """Fewer bins first, then bins as unequally filled as can be; smaller is better."""
-    return len(bins), -float(sum(sum(lengths[i] for i in b) ** 2 for b in bins))
+def exchange(rng: np.random.Generator, lengths: list[int], packing: Packing, displaced: list[int]) -> list[int]:
+    """Puts longer displaced items in the stead of shorter ones where they fit, in some bins; returns what is displaced then."""
+    pool = sorted((lengths[i], i) for i in displaced)
+    loose = np.flatnonzero(packing.free > 0)
+    for s in rng.choice(loose, min(len(loose), TRIED), replace=False).tolist():
+        room, gain, out, at = int(packing.free[s]), 0, None, -1
+        for x in packing.bins[s]:
+            k = bisect_right(pool, (lengths[x] + room, len(lengths))) - 1
+            if k >= 0 and pool[k][0] - lengths[x] > gain:
+                gain, out, at = pool[k][0] - lengths[x], x, k
+        if out is not None:
+            new = pool.pop(at)[1]
+            packing.bins[s] = tuple(new if i == out else i for i in packing.bins[s])
+            packing.free[s] -= gain
+            packing.bin_of[new] = s
+            insort(pool, (lengths[out], out))
+    return [i for _, i in pool]
 
 
-def evolve(lengths: list[int], population: list[Bins], seed: int, capacity: int = CAPACITY, generations: int = GENERATIONS, size: int = POPULATION) -> list[Bins]:
+def evolve(lengths: list[int], population: list[Packing], seed: int, capacity: int = CAPACITY, generations: int = GENERATIONS, size: int = POPULATION) -> list[Packing]:
     """An island's population after some generations, best first. An empty one is seeded by best fit in perturbed orders."""
     rng = np.random.default_rng(seed)
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     least = -(-sum(lengths) // capacity)
-    done = lambda p: len(p[0]) <= least
     if not population:
-        population = [best_fit(lengths, order, [], capacity)]
-        while not done(population) and len(population) < size:
+        population = [packed(lengths, sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)), capacity)]
+        while len(population[0].bins) > least and len(population) < size:
             noise = rng.normal(0, 0.05 * len(population), len(lengths)) * capacity / 8
-            mixed = sorted(range(len(lengths)), key=lambda i: -(lengths[i] + noise[i]))
-            population.append(best_fit(lengths, mixed, [], capacity))
-    population = sorted(population, key=lambda p: fitness(lengths, p))[:size]
-    for _ in range(generations):
-        if done(population) or len(population) < 2:
+            population.append(packed(lengths, sorted(range(len(lengths)), key=lambda i: -(lengths[i] + noise[i])), capacity))
+    scored = sorted(((p.fitness(capacity), k, p) for k, p in enumerate(population)), key=lambda x: x[:2])[:size]
+    for g in range(generations):
+        if len(scored[0][2].bins) <= least or len(scored) < 2:
             break
-        x, y = (min(rng.integers(len(population), size=2)) for _ in range(2))
-        a, b = population[x], population[y if y != x else (x + 1) % len(population)]
-        child = crossover(rng, lengths, a, b, capacity)
-        population = sorted([*population, child], key=lambda p: fitness(lengths, p))[:size]
-    return population
-
-
-def _to_bins(assigned: bytes) -> Bins:
-    bin_of = np.frombuffer(assigned, "<u4")
-    order = np.argsort(bin_of, kind="stable")
-    ends = np.flatnonzero(np.diff(bin_of[order])) + 1
-    return [x.tolist() for x in np.split(order, ends)] if len(order) else []
-
-
-def _to_bytes(bins: Bins, n: int) -> bytes:
-    out = np.empty(n, "<u4")
-    for b, items in enumerate(bins):
-        out[items] = b
-    return out.tobytes()
+        x, y = (min(rng.integers(len(scored), size=2)) for _ in range(2))
+        child = crossover(rng, lengths, scored[x][2], scored[y if y != x else (x + 1) % len(scored)][2], capacity)
+        fitness = child.fitness(capacity)
+        # a child as fit as another takes its place, so that the population stays diverse
+        kept = [s for s in scored if s[0] != fitness]
+        scored = sorted([*kept, (fitness, size + g, child)], key=lambda x: x[:2])[:size]
+    return [p for _, _, p in scored]
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, district: int = DISTRICT, islands: int = ISLANDS, epochs: int = EPOCHS, seed: int = 1) -> DataFrame:
@@ -157,9 +219,10 @@ def _epoch(state: DataFrame, capacity: int, seed: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = row["lengths"]
-                found = evolve(lengths, [_to_bins(p) for p in row["population"]], seed + 7919 * row["island"] + row["district"], capacity)
-                score = fitness(lengths, found[0])
-                out = {"district": row["district"], "island": row["island"], "lengths": lengths, "population": [_to_bytes(p, len(lengths)) for p in found], "bins": score[0], "order": score[1]}
+                population = [Packing.of(np.frombuffer(p, "<u4"), lengths, capacity) for p in row["population"]]
+                found = evolve(lengths, population, seed + 7919 * row["island"] + row["district"], capacity)
+                score = found[0].fitness(capacity)
+                out = {"district": row["district"], "island": row["island"], "lengths": lengths, "population": [p.bin_of.astype("<u4").tobytes() for p in found], "bins": score[0], "order": score[1]}
                 yield pa.RecordBatch.from_pylist([out], schema)
 
     spread = state.select("district", "island", "lengths", "population").repartition("district", "island")
@@ -174,7 +237,7 @@ def _places(best: DataFrame, capacity: int, level: int, last: bool) -> DataFrame
         for batch in batches:
             for row in batch.to_pylist():
                 lengths, uids = row["lengths"], row["uids"]
-                bins = sorted(_to_bins(row["best"]), key=lambda b: (sum(lengths[i] for i in b), b))
+                bins = sorted(Packing.of(np.frombuffer(row["best"], "<u4"), lengths, capacity).bins, key=lambda b: (sum(lengths[i] for i in b), b))
                 again, passed = 0, 0
                 while not last and again < len(bins) and passed + len(bins[again]) <= len(uids) // 16 and sum(lengths[i] for i in bins[again]) < WELL * capacity:
                     passed += len(bins[again])
