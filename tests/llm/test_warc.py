@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from trackloom.llm import warc
-from trackloom.llm.op3 import archive_pages, http_block
+from trackloom.llm.op3 import archive_pages, http_block, made_date
 
 
 def arc(version, *records):
@@ -66,5 +66,28 @@ def test_pages(spark, tmp_path):
         assert (r["record_type"], r["refers_to"]) == (("revisit", first[b]) if again else ("response", None))
 
 
+    ids = {r["record_id"]: r for r in out}
+    assert len(ids) == len(rows)  # also of repeated rows, and of revisits beside what they refer to
+    for r in out:
+        assert r["warc_date"].replace("-", "").replace("T", "").replace(":", "").rstrip("Z") == made_date(r["page_id"])
+        if r["record_type"] == "revisit":
+            assert ids[r["refers_to_record"]]["page_id"] == r["refers_to"] and ids[r["refers_to_record"]]["record_type"] == "response"
+    assert len({r["warc_date"] for r in out}) > 5
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_pieces_of_any_size_read_alike(size):
+    bodies = [b"", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n\r\n\r\nx\r\n\r\n", b"plain\r\n\r\n", bytes(range(256)), b"\r\n\r\n" * 3]
+    data = arc(1, *((f"http://h/{i}", "20010203040506", b) for i, b in enumerate(bodies)))
+    found = list(warc.read_arc(data.split(warc.END), "f"))
+    assert [r.block for r in found] == bodies and [r.place for r in found] == [r.place for r in warc.read_arc(data, "f")]
+    assert all(data[int(r.place.split(":")[1]) :].startswith(r.fields["url"].encode()) for r in found)
+    new = b"".join(warc.warc_bytes(warc.convert(r)) + warc.END for r in found * size)
+    assert [r.block for r in warc.read_warc(new.split(warc.END)[:-1])] == bodies * size
+    # a file that ends with END, which the reader takes for a separator
+    last = arc(2, ("http://h/", "2001", b"a\r\n\r\n"))[:-1]
+    assert [r.block for r in warc.read_arc(last.split(warc.END)[:-1])] == [b"a\r\n\r\n"]
+
+
 def test_no_pages(spark, tmp_path):
     assert archive_pages(spark.createDataFrame([], "page_id bigint, url string, html string"), str(tmp_path)).count() == 0

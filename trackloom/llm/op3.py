@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gzip
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,25 +24,30 @@ def http_block(html: bytes, page_id: int | None) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{PAGE}: {'' if page_id is None else page_id}\r\nContent-Length: {len(html)}\r\n\r\n".encode() + html
 
 
+def made_date(page_id: int | None) -> str:
+    """A 14-digit date for a page, whose table has none: as many seconds into 2001 as its id says, within 20 years."""
+    return (datetime(2001, 1, 1) + timedelta(seconds=(page_id or 0) % (20 * 365 * 86400))).strftime("%Y%m%d%H%M%S")
+
+
 def write_arc(pages: DataFrame, path: str) -> None:
     """ARC archives of (page_id, url, html): version 1 and 2 files by turns."""
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
         version, written = 1, 0
         for batch in batches:
-            out = []
-            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+            for page_id, url, html in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
+                page_id, url, html = page_id.as_py(), url.as_py(), html.as_py()
                 if written % warc.FILE_RECORDS == 0:  # the writer begins a file here
                     version = 1 + (page_id or 0) % 2
-                    out.append(warc.arc_filedesc(version, "pages.arc"))
+                    yield (warc.arc_filedesc(version, "pages.arc"),)
                     written += 1
                 written += 1
                 block = http_block((html or "").encode("utf-8", "surrogatepass"), page_id)
                 target = " ".join((url or "unknown:").split()) or "unknown:"
-                out.append(warc.arc_line(version, target, warc.EPOCH, "text/html", len(block), "pages.arc").encode() + b"\n" + block)
-            yield pa.RecordBatch.from_pydict({"record": pa.array(out, pa.binary())})
+                yield (warc.arc_line(version, target, made_date(page_id), "text/html", len(block), "pages.arc").encode() + b"\n" + block,)
 
-    warc.write(pages.select("page_id", "url", "html").mapInArrow(records, "record binary"), path, "\n")
+    schema = pa.schema([("record", pa.binary())])
+    warc.write(pages.select("page_id", "url", "html").mapInArrow(lambda batches: warc.in_batches(records(batches), schema), "record binary"), path, "\n")
 
 
 def converted(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
@@ -51,29 +56,17 @@ def converted(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     Unless `whole`, records are null: what finding repeated payloads needs is read without making them.
     """
 
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("page_id", "bytes", "digest", "record_id", "record")
-        for batch in batches:
-            for content in batch.column("content"):
-                for out in groups(warc.read_arc(gzip.decompress(content.as_py()))):
-                    yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*out, strict=True), strict=True)), schema)
-
-    def groups(found) -> Iterator[list[tuple]]:
-        out, held = [], 0
-        for old in found:
-            new = warc.convert(old)
-            headers, payload = old.http()
-            page_id = headers.get(PAGE.lower())
-            out.append((int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], zlib.compress(warc.warc_bytes(new), 1) if whole else None))  # it goes through a shuffle
-            held += len(out[-1][4] or b"") + 64
-            if held > 4 << 20:
-                yield out
-                out, held = [], 0
-        if out:
-            yield out
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for file, pieces in warc.archives(batches):
+            for old in warc.read_arc(pieces, file):
+                new = warc.convert(old)
+                headers, payload = old.http()
+                page_id = headers.get(PAGE.lower())
+                record = zlib.compress(warc.warc_bytes(new), 1) if whole else None  # it goes through a shuffle
+                yield int(page_id) if page_id else None, len(payload), new.fields["WARC-Payload-Digest"].partition(":")[2], new.fields["WARC-Record-ID"], record
 
     schema = pa.schema([("page_id", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("record_id", pa.string()), ("record", pa.binary())])
-    return warc.read(spark, path).mapInArrow(convert, "page_id bigint, bytes bigint, digest string, record_id string, record binary")
+    return warc.read(spark, path).mapInArrow(lambda batches: warc.in_batches(rows(batches), schema), "page_id bigint, bytes bigint, digest string, record_id string, record binary")
 
 
 def with_revisits(records: DataFrame, digests: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
@@ -92,45 +85,41 @@ def with_revisits(records: DataFrame, digests: DataFrame, least: int = LEAST_BYT
 def write_warc(records: DataFrame, path: str) -> None:
     """WARC archives of with_revisits()."""
 
-    def revised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def revised(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
         for batch in batches:
-            out = []
-            for page_id, first, first_id, own_id, data in zip(*(batch.column(c).to_pylist() for c in ("page_id", "first_page", "first_record", "record_id", "record")), strict=True):
-                data = zlib.decompress(data)
+            for page_id, first, first_id, data in zip(*(batch.column(c) for c in ("page_id", "first_page", "first_record", "record")), strict=True):
+                page_id, first, first_id, data = page_id.as_py(), first.as_py(), first_id.as_py(), zlib.decompress(data.as_py())
                 if first_id is not None and page_id != first:
                     record = warc.revisit(next(warc.read_warc(data)), first_id)
                     record.fields.pop("Content-Length")
                     data = warc.warc_bytes(warc.Record(record.fields | {REFERS: str(first)}, record.block))
-                out.append(data)
-            yield pa.RecordBatch.from_pydict({"record": pa.array(out, pa.binary())})
+                yield (data,)
 
-    warc.write(records.select("page_id", "first_page", "first_record", "record_id", "record").mapInArrow(revised, "record binary"), path, "\r\n\r\n")
+    schema = pa.schema([("record", pa.binary())])
+    warc.write(records.select("page_id", "first_page", "first_record", "record").mapInArrow(lambda batches: warc.in_batches(revised(batches), schema), "record binary"), path, "\r\n\r\n")
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """A row per WARC record: page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, target_uri, warc_date."""
+    """A row per WARC record: page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, target_uri, warc_date, refers_to_record."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content"):
-                out = []
-                for r in warc.read_warc(gzip.decompress(content.as_py())):
-                    headers, payload = r.http()
-                    page_id, refers, kind = headers.get(PAGE.lower()), r.fields.get(REFERS), r.fields["WARC-Type"]
-                    n = int(headers["content-length"]) if kind == "revisit" else len(payload)
-                    out.append((int(page_id) if page_id else None, n, r.fields["WARC-Payload-Digest"].partition(":")[2], kind, int(refers) if refers else None, r.fields["WARC-Record-ID"], r.fields["WARC-Target-URI"], r.fields["WARC-Date"]))
-                if out:
-                    yield pa.RecordBatch.from_pydict(dict(zip(schema.names, zip(*out, strict=True), strict=True)), schema)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, pieces in warc.archives(batches):
+            for r in warc.read_warc(pieces):
+                headers, payload = r.http()
+                page_id, refers, kind = headers.get(PAGE.lower()), r.fields.get(REFERS), r.fields["WARC-Type"]
+                n = int(headers["content-length"]) if kind == "revisit" else len(payload)
+                yield int(page_id) if page_id else None, n, r.fields["WARC-Payload-Digest"].partition(":")[2], kind, int(refers) if refers else None, r.fields["WARC-Record-ID"], r.fields["WARC-Target-URI"], r.fields["WARC-Date"], r.fields.get("WARC-Refers-To")
 
-    schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string())])
-    return warc.read(spark, path).mapInArrow(rows, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, record_id string, target_uri string, warc_date string")
+    schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("refers_to_record", pa.string())])
+    return warc.read(spark, path).mapInArrow(lambda batches: warc.in_batches(rows(batches), schema), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, record_id string, target_uri string, warc_date string, refers_to_record string")
 
 
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     """`pages` written to `folder`/arc, converted to `folder`/warc, and read back.
 
     A page is a revisit if it isn't the first of its payload, so repeated rows of the first page are
-    responses too. A null page_id comes after all others. A file has at most FILE_RECORDS records.
+    responses too. A null page_id comes after all others. A file has at most FILE_RECORDS records, of any sizes.
+    Every record has an identifier of its own, and the date made_date() gives its page.
     """
     spark = pages.sparkSession
     write_arc(pages, f"{folder}/arc")
