@@ -4,22 +4,38 @@ from __future__ import annotations
 
 import json
 import tempfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackloom.session import ship
+
 #: White space of the contracts: space and the controls from tab to carriage return.
 BLANK = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANK}]+"
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the driver. Workers on this machine find the package wherever the driver was started."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
+    """A table of the driver, in a session made ready for Python stages by prepare()."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> None:
+    """Ships the package to Python workers, and bounds the bytes of the batches that these get: texts may be long."""
+    ship(spark)
+    if _bytes(spark.conf.get(BATCH_KEY, "64m")) > BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
+def _bytes(text: str) -> int:
+    """The number of a size such as `64m` or `67108864b`; none given: no bound."""
+    digits, unit = text.rstrip("bBkKmMgG"), text.lower().rstrip("b")[-1:]
+    n = int(digits) << {"k": 10, "m": 20, "g": 30}.get(unit, 0)
+    return n if n > 0 else 1 << 62
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir. Where none is set, a local session takes a temporary one; on a cluster that is an error."""
     found = spark.sparkContext.getCheckpointDir()
