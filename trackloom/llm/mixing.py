@@ -79,12 +79,13 @@ def block_of(key: Column, n_rows: Column, rows: int) -> Column:
 def fill(blocked: DataFrame, passed: DataFrame, seed: int) -> DataFrame:
     """(source, block, key, size), written: the documents drawn one by one after the whole blocks.
 
-    `blocked` has source, block, key and size; `passed` a row a block with source, block, nth, part, left, target. A round
+    `blocked` has source, block, key and size; `passed` a row a block with source, its place, block, nth, part, left, target. A round
     takes documents of the next blocks in order, each that still fits: all that come before the first that doesn't, then
     again of those that fit what is left. Rounds look at four times as many blocks each, until SHARE is met.
     """
-    open_blocks = passed.where("part <> 'whole'").withColumn("at", F.col("nth") - F.min("nth").over(Window.partitionBy("source")))
-    open_blocks = cut(open_blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "at", F.max("at").over(Window.partitionBy("source")).alias("last")))
+    left_over = passed.where("part <> 'whole'").select(F.col("source").alias("_source"), F.col("block").alias("_block"), "place", "nth")
+    ends = beside(cut(left_over.groupBy("place").agg(F.min("nth").alias("first"), F.max("nth").alias("last"))))
+    open_blocks = cut(left_over.join(ends, "place").select("_source", "_block", (F.col("nth") - F.col("first")).alias("at"), (F.col("last") - F.col("first")).alias("last")))
     state = cut(passed.where("part = 'boundary'").select(F.col("source").alias("_of"), "left", "target"))
     found, low, high = None, 0, FILL_BLOCKS
     while True:
@@ -126,24 +127,28 @@ def mix(docs: DataFrame, sizes: DataFrame, key: str = "doc_key", n_shards: int =
     sources = cut(targets.withColumn("epochs", epochs).withColumn("rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))).withColumn("stratum", stratum.cast("int")).withColumnRenamed("source", "_source"))
     few = beside(sources)
     blocked = sizes.join(few, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("block", block_of(F.col("key"), F.col("n_rows"), block_rows))
-    blocks = blocked.groupBy("source", "stratum", "block", "epochs", "rest", "target").agg(F.sum("size").alias("words"))
+    blocks = blocked.groupBy("source", "place", "stratum", "block", "epochs", "rest", "target").agg(F.sum("size").cast("bigint").alias("words"))
     # the part of a pass: whole blocks in a permuted order, then the block that the target's end falls in and those behind it
-    permuted = Window.partitionBy("source").orderBy(F.xxhash64("block", "source", F.lit(seed)), "block")
-    passed = blocks.withColumns({"nth": F.row_number().over(permuted), "through": F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0))})
+    ranked, _ = running(blocks.withColumn("_deal", F.xxhash64("block", "source", F.lit(seed))), ["place", "_deal", "block"], ("words",))
+    ranked = cut(ranked.drop("_deal"))
+    firsts = beside(cut(ranked.groupBy("place").agg(F.min("_rank").alias("_first"), F.min("_before_words").alias("_first_words"))))
+    passed = ranked.join(firsts, "place").withColumns({"nth": F.col("_rank") - F.col("_first") + 1, "through": F.col("_before_words") - F.col("_first_words") + F.col("words")})
     passed = cut(passed.withColumn("part", F.when(F.col("through") <= F.col("rest"), "whole").when(F.col("through") - F.col("words") < F.col("rest"), "boundary").otherwise("none")).withColumn("left", F.col("rest") - F.col("through") + F.col("words")))
     chosen = fill(blocked.select("source", "block", "key", "size"), passed, seed)
     some = chosen.select(F.col("source").alias("_some_source"), F.col("block").alias("_some_block")).distinct()
     marked = passed.join(some, F.col("source").eqNullSafe(F.col("_some_source")) & (F.col("block") == F.col("_some_block")), "left").withColumn("some", F.col("_some_block").isNotNull())
-    drawn = marked.select("source", "stratum", "block", F.explode(F.sequence(F.lit(0), F.col("epochs"))).alias("epoch"), "epochs", "part", "some").where("epoch < epochs or part = 'whole' or some")
-    drawn = cut(drawn.withColumn("place", F.row_number().over(Window.partitionBy("stratum").orderBy(F.xxhash64("epoch", "block", "source", F.lit(seed + 1)), "source", "block", "epoch"))))
-    quotas = {r["stratum"]: r["n"] for r in drawn.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each stratum
+    drawn = marked.select("source", "place", "stratum", "block", F.explode(F.sequence(F.lit(0), F.col("epochs"))).alias("epoch"), "epochs", "part", "some").where("epoch < epochs or part = 'whole' or some")
+    dealt, _ = running(drawn.withColumn("_deal", F.xxhash64("epoch", "block", "source", F.lit(seed + 1))), ["stratum", "_deal", "place", "block", "epoch"])
+    drawn = cut(dealt.drop("_deal"))
+    groups = drawn.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.min("_rank").alias("first")).collect()  # a row for each stratum
+    quotas, first = {r["stratum"]: r["n"] for r in groups}, {r["stratum"]: r["first"] for r in groups}
     strata = sorted(quotas)
     ends: dict[int, list[int]] = {s: [] for s in strata}
     for leaf in split_quotas([quotas[s] for s in strata], n_shards, seed):
         for s, n in zip(strata, leaf, strict=True):
-            ends[s].append((ends[s][-1] if ends[s] else 0) + n)
+            ends[s].append((ends[s][-1] if ends[s] else first[s]) + n)
     cuts = F.broadcast(literal_table(spark, [{"stratum": s, "ends": e} for s, e in ends.items()], "stratum:int,ends:array<bigint>"))  # MOST_STRATA rows at most
-    dealt = drawn.join(cuts, "stratum").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
+    dealt = drawn.join(cuts, "stratum").withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("_rank"))))
     plan = cut(dealt.groupBy(F.col("source").alias("_plan_source"), F.col("block").alias("_plan_block")).agg(F.sort_array(F.collect_list(F.struct("shard", "epoch"))).alias("_plan"), F.max("epochs").alias("_passes"), F.bool_or("some").alias("_some")))
     picks = beside(chosen.select(F.col("source").alias("_chosen_source"), F.col("key").alias("_chosen")))
     rows = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_own_source"), F.col(key).alias("_key"))
