@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut, table
+from trackloom.llm.common import cut, prepare, table
 from trackloom.llm.packing import CAPACITY, pack
 
 END_ID = 2
@@ -25,20 +25,21 @@ _special = "<|endoftext|>"
 
 @cache
 def tokenizer(path: str):
-    """text -> ids of the tokenizer file at `path`, by its library; by the faster reader of the same vocabulary where one lies beside it."""
+    """text -> ids of the tokenizer or rank file at `path`; a tokenizer file's by the faster reader of the same vocabulary where one lies beside it."""
+    ranks = Path(path).with_suffix(".tiktoken")
+    if ranks.exists():
+        import public_tokenizers
+        import tiktoken
+
+        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.read_bytes().splitlines())}
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        if ranks == Path(path):
+            return fast
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(path)
     slow = lambda t: exact.encode(t, add_special_tokens=False).ids
-    ranks = Path(path).with_suffix(".tiktoken")
-    if not ranks.exists():
-        return slow
-    import public_tokenizers
-    import tiktoken
-
-    merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.read_bytes().splitlines())}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}).encode_ordinary
-    return lambda t: slow(t) if _special in t or _plain.search(t) else fast(t)
+    return (lambda t: slow(t) if _special in t or _plain.search(t) else fast(t)) if ranks.exists() else slow
 
 
 def default_tokenizer() -> str:
@@ -49,6 +50,7 @@ def default_tokenizer() -> str:
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32. A document of more ids than `capacity` is cut into full pieces, the first taking what is left over."""
+    prepare(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ("piece", "start", "length", "ids_crc32")
 
