@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from trackloom.llm import boost, pii
+from trackloom.llm.op6 import op6_personal_data
 from trackloom.llm.stages import redact_personal_data
 
 #: The contract's own patterns.
@@ -98,3 +99,35 @@ def test_stage_redacts_and_keeps_columns(docs):
 def test_listing(spark):
     (r,) = spark.createDataFrame([("a@b.co 1.2.3.4",)], "text string").transform(pii.with_spans).select(pii.listed("base").alias("l"), F.sha2(pii.listed("base"), 256).alias("h")).collect()
     assert r["l"] == "email:0:6,ip:7:14" and r["h"] == hashlib.sha256(r["l"].encode()).hexdigest()
+
+
+def test_gates_pass_whatever_their_generators_find():
+    gate = re.compile(pii.GATES["spelt"])
+    for text in ["john at example[dot]com", "john at example (dot) com", "john at example.com", "john (at) example.com", "jo[at]ex.org", "jo { at } ex dot org", "JO AT EX DOT ORG"]:
+        assert re.search(pii.MORE[0][1], text) and gate.search(text)
+    assert not gate.search("look at it. Then stay at home, at least. dot by dot")
+
+
+def test_equal_addresses_fare_alike_in_any_text(spark):
+    alone = ["mail john at example[dot]com now", "mail john at example (dot) com now"]
+    got = spans(spark, alone + [f"{t}; or jo [at] ex dot org" for t in alone])
+    first = lambda r: [(s["start"], s["end"]) for s in r["spans"]][:1]
+    assert first(got[0]) and first(got[0]) == first(got[2]) and first(got[1]) == first(got[3])
+
+
+def test_no_junk_behind_addresses(spark):
+    texts = ["x user@mail2.example.com### y", "x user@mail8.example.com&&& y", "see josé@exämple.com!!"]
+    got = spans(spark, texts)
+    assert [[t[s["start"] : s["end"]] for s in got[i]["spans"]] for i, t in enumerate(texts)] == [["user@mail2.example.com"], ["user@mail8.example.com"], ["josé@exämple.com"]]
+
+
+def test_the_query_against_brute_force(spark, tmp_path):
+    texts = [soup(1000 + i) for i in range(80)] + [None, "", "a@b.co", "a@b.co"]
+    spark.createDataFrame([(i if i != 7 else None, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, spans string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in op6_personal_data(spark, str(tmp_path)).collect()}
+    assert len(out) == len(texts)
+    for i, t in enumerate(texts):
+        r, want = out[i if i != 7 else None], brute(t or "")
+        listed = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want]
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x.startswith(f"{k}:") for x in listed) for k in pii.KINDS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest() and set(listed) <= set(filter(None, r["spans"].split(",")))

@@ -12,7 +12,7 @@ column expressions in the fit and in use, and the trees become column expression
 the executors.
 
 Nulls: a null text is empty. Positions are code points, ends exclusive. Repeated rows are kept, empty tables
-give empty results, other columns pass through. Texts without digits or `@` cost a scan for those alone.
+give empty results, columns other than `base` and `spans` pass through. Texts without digits or `@` cost a scan for those alone.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ _at, _dot = r"(?:\x20?[(\[{]\x20?(?:at|AT|@)\x20?[)\]}]\x20?|\x20(?:at|AT)\x20)"
 #: (kind, pattern) of the further generators.
 MORE = (
     ("email", rf"(?<![\w.%+-])[\w.%+-]{{1,64}}{_at}[\w-]{{1,63}}(?:{_dot}[\w-]{{1,63}}){{1,4}}"),
-    ("email", r"(?<![^\s<>\"(),;:])[^\s<>\"(),;:@]{1,64}@[^\s<>\"(),;:@]{1,63}\.[^\s<>\"(),;:@.]{2,24}"),
+    ("email", r"(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}._%+'-]{1,64}@[\p{L}\p{N}.-]{1,63}\.\p{L}{2,24}"),
     ("ip", r"(?<![0-9A-Za-z])[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20)[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20|\.)[0-9]{1,3}(?:\[\.\]|\(\.\)|\x20\.\x20|\.)[0-9]{1,3}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
     ("card", r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{3,6}){2,4}(?![0-9A-Za-z])"),
@@ -54,8 +54,8 @@ MORE = (
     ("phone", r"(?<![0-9A-Za-z+.,-])\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])"),
     ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2}(?![0-9])"),
 )
-#: Cheap tests that a text must pass before a generator reads it.
-GATES = {"@": r"@", "digit": r"[0-9]", "plus": r"\+[0-9]", "spelt": r"[(\[{]\x20?(?:at|AT|@)|\x20(?:dot|DOT)\x20"}
+#: Cheap tests that a text must pass before a generator reads it; whatever the generator finds passes them.
+GATES = {"@": r"@", "digit": r"[0-9]", "plus": r"\+[0-9]", "spelt": rf"{_at}[\w-]{{1,63}}{_dot}[\w-]"}
 #: Words that announce a kind, and words that announce other numbers.
 CUES = {
     "email": "mail|e-mail|email|contact|write|correo|courriel",
@@ -223,7 +223,7 @@ def model(spark: SparkSession, seed: int = 7, precision: float = PRECISION) -> t
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `base` and `spans`, arrays of (start, kind, end) in order; kind is a place in KINDS."""
+    """`docs` with `base` and `spans`, arrays of (start, kind, end) in order; kind is a place in KINDS. Columns of these names are replaced."""
     trees, least = model(docs.sparkSession)
     base, more = candidates(F.col("_text"))
     found = docs.withColumn("_text", text_of(text)).withColumn("base", F.array_sort(base)).withColumn("_more", more)
