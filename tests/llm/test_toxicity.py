@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -5,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackloom.llm import toxicity as tox
+from trackloom.llm.op8 import op8_toxicity
 from trackloom.llm.stages import drop_toxic
 
 
-@pytest.mark.parametrize("text,want", [("", " "), (None, " "), ("Idiot!", " idiot "), ("1d10t", " idiot "), ("ІDІОТ", " idiot "), ("i.d.i.o.t", " idiot "), ("id​iot", " idiot "), ("ｉｄｉｏｔ", " idiot "), ("!diot", " idiot "), ("you, idiot", " you idiot "), ("loser", " ioser "), ("1oser l0ser", " ioser ioser "), ("p@th3tic", " pathetic ")])
+@pytest.mark.parametrize("text,want", [("", " "), (None, " "), ("Idiot!", " idiot "), ("1d10t", " idiot "), ("ІDІОТ", " idiot "), ("i.d.i.o.t", " idiot "), ("id​iot", " idiot "), ("ｉｄｉｏｔ", " idiot "), ("!diot", " idiot "), ("you, idiot", " you idiot "), ("loser", " ioser "), ("1oser l0ser", " ioser ioser "), ("p@th3tic", " pathetic "), ("ｋｉｌｌ", " kiii "), ("ｋ１ｌｌ", " kiii "), ("you！idiot。idiot", " you idiot idiot "), ("𝐢𝐝𝐢𝐨𝐭", " idiot "), ("𝓘𝓓𝓘𝓞𝓣🙂idiot", " idiot idiot "), ("ïdíöt", " idiot "), ("Größe", " größe".replace("ö", "o") + " "), ("東京、idiot", " 東京 idiot ")])
 def test_folding(text, want):
     assert tox.fold(text or "") == want
 
@@ -71,3 +73,24 @@ def test_held_out_column(spark):
     got = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", tox.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     assert spark.range(1).select(F.lit(None).cast("bigint").alias("doc_id")).select(tox.held_out().alias("h")).first()["h"] is False
+
+
+def test_the_query_against_its_model(spark, tmp_path):
+    rows, labels = corpus(600)
+    rows += [(9000, None), (9001, ""), (None, "you idiot"), (3, rows[3][1])]
+    spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, score string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = op8_toxicity(spark, str(tmp_path)).collect()
+    model = tox.train(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    matcher, (bias, a, b) = tox.Matcher(model["weights"], frozenset(model["phrases"])), model["logistic"]
+    texts = {(i, t) for i, t in rows}
+    want = {}
+    for i, t in texts:
+        s, d = tox.features(matcher, t)
+        want[i] = 1 / (1 + math.exp(-max(-30, min(30, bias + a * s + b * d))))
+    assert len(out) == len(rows)
+    for r in out:
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-9 and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    right = [r["predicted"] == labels[r["doc_id"]][2] for r in out if r["held_out"] and r["doc_id"] < 600]
+    assert sum(right) / len(right) > 0.97

@@ -1,9 +1,10 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick in folded text.
 
-Folding: lower case; letters that look like Latin ones become those; digits and signs that stand for letters
-inside words become those letters; i and l become one letter, as 1 stands for both; marks that join or hide
-(zero-width characters, soft hyphens) vanish; a word spelt with a sign after each letter is joined. What is
-left splits at other characters. So `1d10t` and `idiot` fold alike.
+Folding: compatibility forms (full-width, mathematical and other styled letters and signs) become plain ones and
+marks on letters go; lower case; letters that look like Latin ones become those; digits and signs that stand for
+letters inside words become those letters; i and l become one letter, as 1 stands for both; marks that join or
+hide (zero-width characters, soft hyphens) vanish; a word spelt with a sign after each letter is joined. What is
+left splits at characters that are no letters, numbers or marks, of any script. So `1d10t` and `idiot` fold alike.
 
 The lexicon has whole words and word beginnings, learnt from labelled rows: a beginning enters if toxic
 documents hold it more often than chance allows, and stands for all words that begin with it. Its weight is
@@ -20,6 +21,7 @@ score is nearly 0 for all.
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut
+from trackloom.llm.common import cut, prepare
 
 #: Labelled documents that the fit sees at most.
 FIT_ROWS = 16_000
@@ -53,39 +55,39 @@ _sign_in_word = re.compile(r"(?<![^\W])[@$!|€](?=\w)|(?<=\w)[@$!|€](?=\w)")
 _spelt = re.compile(r"(?<!\w)\w(?:[.\-_*]\w){2,}(?!\w)")
 
 
+class Folding(dict):
+    """For str.translate: letters fold, what isn't part of a word splits, the marks that NFKD sets apart go; filled as characters come."""
+
+    def __missing__(self, code: int) -> str | int | None:
+        kind = unicodedata.category(chr(code))
+        self[code] = found = None if kind == "Mn" else code if kind[0] in "LNM" else " "
+        return found
+
+
 @cache
-def folding() -> dict[int, str | None]:
-    """For str.translate, over the Basic Multilingual Plane: letters fold, what isn't part of a word splits."""
-    table: dict[int, str | None] = {}
-    for code in range(0x3000):
-        ch = chr(code)
-        if unicodedata.category(ch)[0] not in "LNM":
-            table[code] = " "
-    for code in range(0xFF01, 0xFF5F):  # full-width forms
-        table[code] = unicodedata.normalize("NFKC", chr(code)).lower()
-    for pair in [*LOOKALIKES.split(), *STAND_INS.split()]:
-        table[ord(pair[0])] = pair[1]
-    for ch in "@$!|€_":
-        table[ord(ch)] = " "
-    table[ord("l")] = "i"
-    table |= {ord(ch): None for ch in HIDDEN}
-    return table
+def folding() -> Folding:
+    table = Folding({ord(pair[0]): pair[1] for pair in [*LOOKALIKES.split(), *STAND_INS.split()]})
+    return Folding(table | {ord(ch): " " for ch in "@$!|€_"} | {ord(ch): None for ch in HIDDEN} | {ord("l"): "i"})
 
 
 @cache
 def ascii_folding() -> dict[int, str]:
-    return str.maketrans({chr(k): v for k, v in folding().items() if k < 128 and v is not None})
+    return {code: x if isinstance(x := folding()[code], str) else chr(x) for code in range(128)}
+
+
+_hidden = re.compile(f"[{HIDDEN}]")
+#: Full-width signs end words in the scripts that use them, so they split and stand for no letter.
+_wide_sign = re.compile("[\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+_signs = {pair[0]: pair[1] for pair in STAND_INS.split()}
 
 
 def fold(text: str) -> str:
     """Folded words between single spaces, with a space at either end; none: one space."""
-    text = text.lower()
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-        if any(ch in text for ch in HIDDEN):
-            text = text.translate({ord(ch): None for ch in HIDDEN})
+        text = _hidden.sub("", unicodedata.normalize("NFKD", _wide_sign.sub(" ", text)))
+    text = text.lower()
     if _sign_in_word.search(text):
-        text = _sign_in_word.sub(lambda m: {x[0]: x[1] for x in STAND_INS.split()}[m[0]], text)
+        text = _sign_in_word.sub(lambda m: _signs[m[0]], text)
     text = _spelt.sub(lambda m: re.sub(r"[.\-_*]", "", m[0]), text)
     words = text.translate(ascii_folding() if text.isascii() else folding()).split()
     return f" {' '.join(words)} " if words else " "
@@ -118,13 +120,15 @@ def choose_terms(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int)
     base = n_toxic / max(n_toxic + n_clean, 1)
     by = {t: (a, b) for t, a, b in counts if a * n_clean > 4 * b * n_toxic and tail(min(a + b, 60), min(a, 60 - min(b, 59)), base) <= CHANCE}
     weight = lambda t: math.log((by[t][0] + 0.5) / (n_toxic + 1)) - math.log((by[t][1] + 0.5) / (n_clean + 1))
+    ordered = sorted(by)
+    longer = lambda t: ordered[bisect_right(ordered, t) : bisect_right(ordered, t + chr(0x10FFFF))]
     chosen: dict[str, float] = {}
     for t in sorted(by, key=lambda t: (len(t.rstrip()), not t.endswith(" "), t)):
         if any(t.startswith(c) for c in (t.rstrip()[:k] for k in range(4, len(t.rstrip()) + 1)) if c in chosen and c != t):
             continue  # a beginning of it is in, and stands for it
         longest = t  # the longest term that nearly all of its documents hold
         while True:
-            more = [u for u in by if u != longest and u.startswith(longest) and by[u][0] >= 0.97 * by[t][0]]
+            more = [u for u in longer(longest) if by[u][0] >= 0.97 * by[t][0]]
             if not more or longest.endswith(" "):
                 break
             longest = max(more, key=lambda u: (by[u][0], u.endswith(" "), -len(u)))
@@ -186,7 +190,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> list[floa
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict:
     """A model from the documents labelled 0 or 1 that aren't held out."""
-    spark = docs.sparkSession
+    prepare(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     usable = cut(usable)
     n = usable.count()
@@ -261,7 +265,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict:
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """`docs` with a column score; other columns pass through."""
+    """`docs` with a column score, in the stead of one of that name; other columns pass through."""
+    prepare(docs.sparkSession)
     weights, phrases, logistic = model["weights"], frozenset(model["phrases"]), model["logistic"]
 
     def rate(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
