@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import warc
-from trackloom.llm.common import shared_dir, table
+from trackloom.llm.common import prepare, shared_dir, table
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 100
@@ -122,6 +122,7 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     Every record has an identifier of its own, and the date made_date() gives its page.
     """
     spark = pages.sparkSession
+    prepare(spark)
     write_arc(pages, f"{folder}/arc")
     write_warc(with_revisits(converted(spark, f"{folder}/arc"), converted(spark, f"{folder}/arc", whole=False)), f"{folder}/warc")
     return read_back(spark, f"{folder}/warc")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut
+from trackloom.llm.common import cut, prepare
 
 CAPACITY = 1024
 DISTRICT, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 16384, 3, 2, 100, 5
@@ -190,6 +190,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, district: int = DISTRICT, i
     `items` should be a table written by cut(). sequence_id holds level, district and bin. An empty table
     gives an empty result.
     """
+    prepare(items.sparkSession)
     left, level, placed = items.select("uid", F.col("length").cast("int").alias("length")), 0, None
     while True:
         n = left.count()

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import attach, beside, cut
+from trackloom.llm.common import attach, beside, cut, prepare
 
 #: Rows of one bucket that a task compares at once; larger buckets are keyed again or dealt to chunks.
 BUCKET = 1024
@@ -79,6 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: s
             found = [fingerprint((t.as_py() or "").encode(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())], names=[key, "fp"])
 
+    prepare(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(compute, f"`{key}` {kind}, fp bigint")
 
@@ -353,6 +354,7 @@ def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text
                 sets = [b + hashed(t.as_py()).tobytes() for b, t in zip(part.column(1).to_pylist(), part.column(2), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "data"])
 
+    prepare(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(key, F.xxhash64(key, text).alias("hash"), text)
     rows = cut(texts.mapInArrow(compute, f"key {kind}, hash bigint, id bigint, size bigint, bands array<bigint>, bits binary"))

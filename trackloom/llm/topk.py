@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import cut
+from trackloom.llm.common import cut, prepare
 
 CHUNK_BYTES, CELL_BYTES = 16 << 20, 32 << 20
 SCALE = 1024.0
@@ -221,7 +221,7 @@ def wide_totals(best: Best, asked: Asked, rows: np.ndarray, asks: np.ndarray, ow
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 8) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of `vectors` (vec_id, embedding) for each of `queries`, but itself."""
-    spark = vectors.sparkSession
+    prepare(vectors.sparkSession)
     vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     asked = cut(queries.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite).groupBy(F.col("vec_id").cast("bigint").alias("vec_id")).agg(F.max("embedding").alias("embedding"))).withColumn("cutoff", F.lit(None).cast("bigint"))
