@@ -191,4 +191,5 @@ def test_operational_checks(tmp_path, spark):
     assert not store.heartbeat_problems(beat) and store.heartbeat_problems(beat, now=beat.stat().st_mtime + 301)
     assert not store.feed_problems({"feed_age_seconds": 19, "entity_count": 1000, "in_scope_count": 30}, 60, 9999)
     assert len(store.feed_problems({"feed_age_seconds": 999, "entity_count": 1000, "in_scope_count": 1}, 9999, 1)) == 4
+    assert len(store.feed_problems({"error": "timed out"}, 60, 9999)) == 1
     assert store.missing_columns({"p": spark.range(1)}, {"p": ["id", "x"]}) == {"p": ["x"]}

@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,13 +78,14 @@ def test_failed_poll_does_not_advance_the_generation(tmp_path):
     (tmp_path / "1.pb").write_bytes(RAW)
     (tmp_path / "2.pb").write_bytes(RAW[:-3])
     (tmp_path / "3.pb").write_bytes(RAW)
-    reader = feed.PollReader({"path": str(tmp_path), "errors": str(tmp_path / "errors")})
-    at, seen = reader.initialOffset(), []
+    reader = feed.PollReader({"path": str(tmp_path)})
+    at, seen, told = reader.initialOffset(), [], []
     for _ in range(4):
         rows, at = reader.read(at)
         seen.append([r[-1] for r in rows])
-    assert seen == [[0, 0, 0], [], [1, 1, 1], []] and at == {"generation": 2, "file": 3}
-    assert "error" in json.loads((tmp_path / "errors").read_text())
+        told.append("error" in at)
+    assert seen == [[0, 0, 0], [], [1, 1, 1], []] and told == [False, True, False, False]
+    assert {"generation": 2, "file": 3, "polled_at": 3, "feed_timestamp": 1787000000, "entity_count": 2, "in_scope_count": 2} == at
     assert len(list(reader.readBetweenOffsets({"generation": 0, "file": 0}, {"generation": 2, "file": 3}))) == 6
 
 
@@ -107,6 +109,41 @@ def test_heartbeat(tmp_path):
     assert collector.feed_age(0, 1e9) == 0 and collector.feed_age(100, 119) == 19 and collector.resident_kb() > 0
 
 
+def test_collector_end_to_end(spark, tmp_path):
+    """Polls, scope, change detection, landing, heartbeat and flush as one program; a failed poll shows and advances nothing."""
+    from trackloom.plans import store
+
+    (tmp_path / "in").mkdir()
+    beat, at = tmp_path / "h.json", 1787000000
+    trips = [entity("t1", stop_update(1, "S1", arr=(0, at)), stop_update(2, "S2", arr=(60, at))), entity("t2", stop_update(1, "S9", arr=(0, at)))]
+    later = [entity("t1", stop_update(1, "S1", arr=(0, at)), stop_update(2, "S2", arr=(90, at))), entity("t2", stop_update(1, "S9", arr=(5, at)))]
+
+    def poll(n, raw):
+        """The heartbeat after another snapshot; polls come each second."""
+        (tmp_path / "in" / f"{at + 30 * n}.pb").write_bytes(raw)
+        for _ in range(300):
+            told = json.loads(beat.read_text()) if beat.exists() else {}
+            if told.get("polled_at") == at + 30 * n or ("error" in told and raw == b"broken"):
+                return told
+            time.sleep(0.2)
+        raise AssertionError(told)
+
+    queries = collector.collect(spark, {"path": str(tmp_path / "in"), "scope": "S1,S2"}, str(tmp_path / "data"), str(beat), poll_interval=1, idle=240, timers=False)
+    try:
+        first = poll(0, snapshot(at - 19, *trips))
+        assert {k: first[k] for k in ("feed_timestamp", "feed_age_seconds", "entity_count", "in_scope_count", "changed_count")} == {"feed_timestamp": at - 19, "feed_age_seconds": 19, "entity_count": 2, "in_scope_count": 1, "changed_count": 2}
+        assert first["tracked_keys"] >= 2 and first["resident_kb"] > 0 and store.feed_problems(first, 60, 9999) == []
+        failed = poll(1, b"broken")
+        assert "entity_count" not in failed and any("failed" in p for p in store.feed_problems(failed, 60, 9999))
+        last = poll(2, snapshot(at + 60, *later))
+        assert "error" not in last and last["changed_count"] == 1
+    finally:
+        collector.stop(spark, queries, str(tmp_path / "data"))
+    rows = spark.read.parquet(str(tmp_path / "data" / "raw"))
+    assert sorted((r["trip_id"], r["stop_sequence"], r["arrival_delay"]) for r in rows.collect()) == [("t1", 1, 0), ("t1", 2, 60), ("t1", 2, 90)]
+    assert {"date", "hour"} <= set(rows.columns) and not spark.streams.active
+
+
 def test_scope_filter_is_by_trip(spark):
     df = events(spark, event("a", 1, stop_id="S1"), event("a", 2, stop_id="S2"), event("b", 1, stop_id="S2"), event("c", 1, stop_id=None))
     stops = spark.createDataFrame([("S1",), ("S1",)], "stop_id string")

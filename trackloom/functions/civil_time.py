@@ -40,6 +40,12 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return F.timestamp_diff("SECOND", earlier, later).cast("bigint")
 
 
+def boundaries_between(unit: str, earlier: Column, later: Column) -> Column:
+    """FN-04: how many starts of a minute, hour or day lie between two moments; 9:59 and 10:01 are an hour apart."""
+    start = lambda c: F.date_trunc(unit, c).cast("timestamp_ntz")
+    return F.timestamp_diff(unit.upper(), start(earlier), start(later)).cast("bigint")
+
+
 def hour_start(moment: Column) -> Column:
     """FN-05: the hour a moment lies in."""
     return F.date_trunc("hour", moment).cast("timestamp_ntz")

@@ -29,7 +29,8 @@ def _trips(orders: DataFrame) -> DataFrame:
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with orders as realtime reports: repeated (order, line) keys are repeated reports of a stop."""
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    # dealt by the join's key at once: a table of one row group would else be projected by one task, and a join by shuffle wants the same deal
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition("l_orderkey")
     rows = lines.join(_trips(read(spark, sf_dir, "orders")), F.col("l_orderkey") == F.col("o_orderkey"))
     planned = plus_seconds(F.col("service_date").cast("timestamp_ntz"), F.col("o_orderkey") % 24 * 3600 + F.col("l_linenumber") * 600)
     base = F.col("l_quantity").cast("bigint") * 30 - 300
@@ -46,8 +47,8 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh order as a message about a trip without stops."""
-    trips = _trips(read(spark, sf_dir, "orders")).where("o_orderkey % 7 = 3")
+    """Orders as messages about trips without stops."""
+    trips = _trips(read(spark, sf_dir, "orders"))
     return trips.select("source", "service_date", "trip_key", "trip_id", (F.col("o_orderstatus") != "O").alias("trip_cancelled"), plus_seconds(F.col("service_date").cast("timestamp_ntz"), 43200 + F.col("o_custkey") % 60).alias("snapshot_ts"))
 
 
@@ -87,7 +88,43 @@ def line_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as raw rows of polls, so that some hours have none."""
-    found = read(spark, sf_dir, "events").where("event_type = 'purchase'")
-    fetched = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    """Events as raw rows of polls. A day's events lie in its first twelve hours, so that some hours have none."""
+    found = read(spark, sf_dir, "events")
+    moment = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    day = F.date_trunc("day", moment).cast("timestamp_ntz")
+    fetched = plus_seconds(day, F.floor(F.timestamp_diff("SECOND", day, moment) / 2))
     return found.select(F.when(F.col("user_id") % 2 == 0, "north").otherwise("south").alias("source"), fetched.alias("fetched_at"), plus_seconds(fetched, -(F.col("event_id") % 40)).alias("snapshot_ts"))
+
+
+def swiss_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with orders as the text rows of Swiss daily actuals: trains and buses, blanks, three statuses."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag").repartition("l_orderkey")
+    rows = lines.join(_trips(read(spark, sf_dir, "orders")), F.col("l_orderkey") == F.col("o_orderkey"))
+    planned = plus_seconds(F.col("service_date").cast("timestamp_ntz"), F.col("o_orderkey") % 26 * 3600 + F.col("l_linenumber") * 600)
+    seen = plus_seconds(planned, F.col("l_quantity").cast("bigint") * 7 - 60)
+    text = lambda moment, pattern: F.date_format(moment, pattern)
+    status = lambda k: F.element_at(F.array(F.lit("REAL"), F.lit("PROGNOSE"), F.lit(""), F.lit("UNBEKANNT")), (k % 4 + 1).cast("int"))
+    has_arr, has_dep = F.col("l_partkey") % 5 != 0, F.col("l_partkey") % 7 != 0
+    return rows.select(
+        text(F.col("service_date"), "dd.MM.yyyy").alias("BETRIEBSTAG"), F.concat(F.lit("85:11:"), F.col("trip_id")).alias("FAHRT_BEZEICHNER"), F.when(F.col("o_orderkey") % 6 == 0, "Bus").otherwise("Zug").alias("PRODUKT_ID"), F.concat(F.lit("IC"), (F.col("o_custkey") % 90).cast("string")).alias("LINIEN_TEXT"),
+        F.when(F.col("o_custkey") % 3 == 0, " ").otherwise(F.col("o_custkey").cast("string")).alias("UMLAUF_ID"), F.when(F.col("o_orderstatus") == "P", "true").when(F.col("o_orderkey") % 10 == 1, "").otherwise("false").alias("FAELLT_AUS_TF"),
+        F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")).alias("BPUIC"), F.concat(F.lit("Halt "), F.col("l_suppkey").cast("string")).alias("HALTESTELLEN_NAME"),
+        F.when(has_arr, text(planned, "dd.MM.yyyy HH:mm")).otherwise("").alias("ANKUNFTSZEIT"), F.when(has_arr, text(seen, "dd.MM.yyyy HH:mm:ss")).otherwise("").alias("AN_PROGNOSE"), status(F.col("l_suppkey")).alias("AN_PROGNOSE_STATUS"),
+        F.when(has_dep, text(plus_seconds(planned, F.lit(120)), "dd.MM.yyyy HH:mm")).otherwise("").alias("ABFAHRTSZEIT"), F.when(has_dep, text(plus_seconds(seen, F.lit(60)), "dd.MM.yyyy HH:mm:ss")).otherwise("").alias("AB_PROGNOSE"), status(F.col("l_partkey")).alias("AB_PROGNOSE_STATUS"),
+    )
+
+
+def realtime_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with orders as raw realtime rows: epoch seconds, enumerations as text, rows about trips alone, rows without a stop number."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag").repartition("l_orderkey")
+    rows = lines.join(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day")), F.col("l_orderkey") == F.col("o_orderkey"))
+    since = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.col("o_orderkey") % 24 * 3600 + F.col("l_linenumber") * 600
+    delay = (F.col("l_quantity").cast("bigint") * 30 - 300).cast("int")
+    at = since + F.col("l_partkey") % 3600
+    alone = F.col("l_partkey") % 19 == 0
+    return rows.select(
+        F.col("o_orderkey").cast("string").alias("trip_id"), F.date_format("day", "yyyyMMdd").alias("start_date"), (F.col("o_custkey") % 50).cast("string").alias("route_id"), F.when((F.col("o_orderstatus") == "P") & alone, "CANCELED").otherwise("SCHEDULED").alias("trip_schedule_relationship"),
+        F.when(~alone & (F.col("l_partkey") % 23 != 0), F.col("l_linenumber")).cast("bigint").alias("stop_sequence"), F.when(F.col("l_suppkey") % 9 == 0, " ").otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("stop_id"),
+        F.when(F.col("l_partkey") % 13 != 0, delay).alias("arrival_delay"), F.when(F.col("l_partkey") % 11 != 0, since + delay).alias("arrival_time"), F.when(F.col("l_partkey") % 17 != 0, delay + 30).alias("departure_delay"), (since + 120 + delay).alias("departure_time"),
+        F.when(F.col("l_returnflag") == "R", "SKIPPED").otherwise("SCHEDULED").alias("schedule_relationship"), alone.alias("is_trip_level_only"), at.alias("snapshot_timestamp"), F.when(F.col("l_partkey") % 29 != 0, at + 19).alias("fetched_at"),
+    )

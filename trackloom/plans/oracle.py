@@ -31,7 +31,7 @@ _add("planned_", """with v as (select distinct o_orderkey, o_custkey, cast(date_
   select static_version, feed, cast(o_orderkey as varchar) trip_id, n::bigint stop_sequence, 'S' || cast((o_orderkey + n) % 100 + 1 as varchar) stop_id,
    case when n > 1 then o_orderkey % 24 * 3600 + n * 600 end arrival_s, o_orderkey % 24 * 3600 + n * 600 + 120 departure_s
   from v, (values ('rv'), ('fv')) f(feed), range(1, 8) r(n) where (feed = 'rv' or o_custkey % 9 = 0) and n <= 3 + o_orderkey % 4""")
-_add("messages_", """select source, service_date, trip_key, trip_id, o_orderstatus <> 'O' trip_cancelled, cast(service_date as timestamp) + to_seconds(43200 + o_custkey % 60) snapshot_ts from trips_ where o_orderkey % 7 = 3""")
+_add("messages_", """select source, service_date, trip_key, trip_id, o_orderstatus <> 'O' trip_cancelled, cast(service_date as timestamp) + to_seconds(43200 + o_custkey % 60) snapshot_ts from trips_""")
 _OK = "{0} between -3600 and 86400"
 _LATEST = "qualify row_number() over (partition by source, trip_key, stop_sequence order by snapshot_ts desc, fetched_at desc, {0}) = 1"
 _add("halts_", """select source, service_date, trip_key, trip_id, stop_sequence, arg_max(stop_id, (snapshot_ts, fetched_at, stop_id)) filter (where stop_id is not null) stop_id, max(snapshot_ts) last_ts,
@@ -97,7 +97,8 @@ _add("quality_", """select *, measured_arr / nullif(planned_arr, 0)::double cove
   (select service_date, source, count(distinct trip_key) trips, count(*) stops, count(sched_arr) planned_arr, count(sched_dep) planned_dep, count(arr_delay_s) measured_arr, count(dep_delay_s) measured_dep, count(*) filter (where trip_cancelled) cancelled_stops, count(*) filter (where stop_skipped) skipped_stops, count(*) filter (where dst_ambiguous) dst_stops,
   count(*) filter (where sched_arr is not null and arr_delay_s is null and not (trip_cancelled or stop_skipped or dst_ambiguous)) unexplained_arr, count(*) filter (where sched_dep is not null and dep_delay_s is null and not (trip_cancelled or stop_skipped or dst_ambiguous)) unexplained_dep,
   count(*) filter (where stop_no > 1 and not is_direct) gap_sections, count(stop_name) named_stops, count(*) filter (where not is_final) not_final from runs_ group by 1, 2)""")
-_add("poll_rows_", "select case when user_id % 2 = 0 then 'north' else 'south' end source, date_trunc('second', ts)::timestamp fetched_at, date_trunc('second', ts)::timestamp - to_seconds(event_id % 40) snapshot_ts from events where event_type = 'purchase'")
+_add("fetches_", "select event_id, user_id, date_trunc('day', ts)::timestamp + to_seconds(date_diff('second', date_trunc('day', ts)::timestamp, date_trunc('second', ts)::timestamp) // 2) fetched_at from events")
+_add("poll_rows_", "select case when user_id % 2 = 0 then 'north' else 'south' end source, fetched_at, fetched_at - to_seconds(event_id % 40) snapshot_ts from fetches_")
 _add("polls_", """select *, date_diff('second', lag(fetched_at) over (partition by source order by fetched_at), fetched_at) gap_s, date_diff('second', snapshot_ts, fetched_at) feed_age_s from (select source, fetched_at, max(snapshot_ts) snapshot_ts from poll_rows_ group by 1, 2)""")
 _add("hours_", "select source, max(fetched_at) last, unnest(generate_series(date_trunc('hour', min(fetched_at)), date_trunc('hour', max(fetched_at)), interval 1 hour)) hour_begin from polls_ group by 1")
 _add("hourly_", "select source, date_trunc('hour', fetched_at) hour_begin, count(*) polls, max(gap_s) largest_gap_s, sum(feed_age_s)::double / nullif(count(feed_age_s), 0) feed_age_mean_s, max(feed_age_s) feed_age_max_s, min(fetched_at) first_poll, max(fetched_at) last_poll from polls_ group by 1, 2")
@@ -146,6 +147,48 @@ _add("steps_", """select source, trip_key, position, step, kind, part_s / 60.0::
 _Q = "100.0::double * sum(stops_punctual) / nullif(sum(stops_measured), 0) quota_measured, 100.0::double * sum(stops_punctual) / nullif(sum(stops_planned), 0) quota_planned"
 _add("curve_", f"select threshold_min, sum(stops_punctual)::bigint punctual, sum(stops_measured)::bigint measured, sum(stops_planned)::bigint planned, {_Q} from ext_punctuality_ where source = 'south' group by 1")
 
+_add("swiss_raw_", """select t.service_date, '85:11:' || t.trip_id trip_id, case when t.o_custkey % 3 <> 0 then cast(t.o_custkey as varchar) end block_id, t.o_orderstatus = 'P' trip_cancelled, cast(l_suppkey as varchar) || '-' || cast(l_partkey as varchar) stop_id, 'Halt ' || l_suppkey stop_name, 'IC' || (t.o_custkey % 90) line,
+  cast(t.service_date as timestamp) + to_seconds(t.o_orderkey % 26 * 3600 + l_linenumber * 600) plan, to_seconds(cast(l_quantity as bigint) * 7 - 60) late, l_partkey, l_suppkey from lineitem join trips_ t on l_orderkey = t.o_orderkey where t.o_orderkey % 6 <> 0""")
+_add("swiss_timed_", """select *, case when l_partkey % 5 <> 0 then plan end sched_arr, case when l_partkey % 7 <> 0 then plan + interval 2 minute end sched_dep, l_suppkey % 4 = 0 real_arr, l_partkey % 4 = 0 real_dep,
+  case when l_partkey % 5 <> 0 and l_suppkey % 4 = 0 then plan + late end actual_arr, case when l_partkey % 7 <> 0 and l_partkey % 4 = 0 then plan + late + interval 1 minute end actual_dep from swiss_raw_""")
+_add("swiss_", """select 'swiss' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, row_number() over (partition by service_date, trip_id order by coalesce(sched_arr, sched_dep) nulls last, sched_dep nulls last, stop_id, actual_arr nulls last, actual_dep nulls last) stop_sequence, stop_id, stop_name, sched_arr, sched_dep, actual_arr, actual_dep,
+  date_diff('second', sched_arr, actual_arr) arr_delay_s, date_diff('second', sched_dep, actual_dep) dep_delay_s, (sched_arr is null or real_arr) and (sched_dep is null or real_dep) is_final, false stop_skipped, trip_cancelled, line, block_id from swiss_timed_""")
+_add("raw_", """select cast(o_orderkey as varchar) trip_id, cast(o_orderdate as date) service_date, case when l_partkey % 19 <> 0 and l_partkey % 23 <> 0 then l_linenumber::bigint end stop_sequence, case when l_suppkey % 9 <> 0 then 'S' || l_suppkey end stop_id, s, d, l_partkey, l_returnflag = 'R' skipped, o_orderstatus = 'P' and l_partkey % 19 = 0 cancelled, l_partkey % 19 = 0 alone,
+  s + l_partkey % 3600 snapshot, case when l_partkey % 29 <> 0 then s + l_partkey % 3600 + 19 end fetched from (select *, epoch(cast(o_orderdate as date))::bigint + o_orderkey % 24 * 3600 + l_linenumber * 600 s, cast(l_quantity as bigint) * 30 - 300 d from lineitem join orders on l_orderkey = o_orderkey)""")
+_BERLIN = "timezone('Europe/Berlin', to_timestamp({0}))"
+
+
+def _berlin(condition: str, moment: str) -> str:
+    return f"case when {condition} then {_BERLIN.format(moment)} end"
+
+
+#: Rows that violate a check.
+VIOLATIONS: dict[str, tuple[str, str]] = {
+    "scheduled_time_missing": ("error", "select 1 from observed_ where sched_arr is null and sched_dep is null"),
+    "arrivals_add_up": ("error", "select 1 from (select service_date, source, count(arr_delay_s) m, count(*) filter (where arr_delay_s is null and (trip_cancelled or stop_skipped or dst_ambiguous)) r, count(*) n from runs_ where sched_arr is not null group by 1, 2) a full join quality_ q using (service_date, source) where n is distinct from planned_arr or m + r + unexplained_arr is distinct from n"),
+    "cancellations_unresolved": ("warn", "select 1 from messages_ m where trip_cancelled and not exists (select 1 from events_ e where e.trip_key = m.trip_key)"),
+    "resolved_without_actuals": ("error", "select 1 from resolved_ where coalesce(actual_arr, actual_dep) is not null or coalesce(arr_delay_s, dep_delay_s) is not null"),
+    "no_run_provable": ("warn", "select service_date from coverage_ where service_date >= (select min(static_version) from planned_) group by 1 having count(*) filter (where complete) = 0"),
+    "arrival_after_departure_reconstructed": ("warn", "select 1 from observed_ where sched_arr > sched_dep"),
+    "outside_service_day_reconstructed": ("warn", "select 1 from (select service_date, unnest([sched_arr, sched_dep]) s from observed_) where date_diff('second', cast(service_date as timestamp), s) not between 0 and 108000"),
+    "several_names": ("warn", "select stop_id from static_stops_ group by 1 having count(distinct stop_name) > 1"),
+    "stop_repeated": ("error", "select 1 from observed_ group by source, trip_key, stop_sequence having count(*) > 1"),
+    "marts_agree": ("error", "select 1 from (select service_date, source, sum(run_measured) n, sum(run_delta_sum) s from origin_ group by 1, 2) a full join (select service_date, source, sum(run_measured) k, sum(run_delta_sum) t from bottlenecks_ group by 1, 2) b using (service_date, source) where n is distinct from k or s is distinct from t"),
+    "hours_complete": ("error", "select 1 from (select source, min(calendar_day + to_hours(\"hour\")) a, max(calendar_day + to_hours(\"hour\")) b, count(*) n from collection_ group by 1) where date_diff('hour', a, b) + 1 <> n"),
+    "stops_contiguous": ("error", "select 1 from observed_ group by source, trip_key having min(stop_sequence) <> 1 or max(stop_sequence) <> count(*)"),
+    "clock_change_stops": ("warn", f"select 1 from (select unnest([sched_arr, sched_dep]) s from events_) where s is not null and {_DST.format('s')}"),
+    "clock_change_without_metrics": ("error", "select 1 from runs_ where dst_ambiguous and coalesce(arr_delay_s, dep_delay_s, run_delta_s, dwell_delta_s) is not null"),
+    "curve_monotone": ("error", "select 1 from (select *, lag(stops_punctual) over (partition by service_date, source, line order by threshold_s) b, min(stops_planned) over w lo, max(stops_planned) over w hi from punctuality_ window w as (partition by service_date, source, line)) where b > stops_punctual or lo <> hi"),
+    "states_complete": ("error", f"select 1 from punctuality_ where {' + '.join(f'stops_{s}' for s in _STATES)} <> stops_planned"),
+    "buffer_within_origin": ("error", "select 1 from (select service_date, source, sum(evaluable) e from buffer_ group by 1, 2) full join (select service_date, source, sum(run_measured) m from origin_ group by 1, 2) using (service_date, source) where e > coalesce(m, 0)"),
+    "buffer_partitions": ("error", "select 1 from buffer_ where gained + lost + unchanged <> evaluable or entered_late + entered_on_time <> evaluable"),
+    "first_stop_alone_without_section": ("error", "select 1 from placed_ where (stop_no = first_no) <> (is_direct is null)"),
+    "deltas_chain": ("error", "select 1 from runs_ a join runs_ b on b.source = a.source and b.trip_key = a.trip_key and b.stop_no = a.stop_no - 1 where a.run_delta_s is not null and not (a.is_direct and a.run_delta_s is not distinct from a.arr_delay_s - b.dep_delay_s)"),
+    "arrival_after_departure": ("error", "select 1 from observed_ where sched_arr > sched_dep"),
+    "outside_service_day": ("error", "select 1 from (select service_date, unnest([sched_arr, sched_dep]) s from observed_) where date_diff('second', cast(service_date as timestamp), s) not between 0 and 108000"),
+    "origin_from_runs": ("error", "select 1 from (select service_date, source, sum(run_delta_s) s, count(run_delta_s) n, sum(dwell_delta_s) d, count(dwell_delta_s) k from runs_ where is_direct group by 1, 2) a full join (select service_date, source, sum(run_delta_sum) s2, sum(run_measured) n2, sum(dwell_delta_sum) d2, sum(dwell_measured) k2 from origin_ group by 1, 2) b using (service_date, source) where (s, n, d, k) is distinct from (s2, n2, d2, k2)"),
+}
+
 #: Final selects by query.
 FINAL: dict[str, str] = {
     "prj_reconstructed_schedule": "select source, trip_key, stop_sequence, snapshot_ts, sched_arr, sched_dep, arr_delay_s, dep_delay_s from reports_",
@@ -211,11 +254,25 @@ FINAL: dict[str, str] = {
     "rep_state_totals": f"select {', '.join(f'sum({c})::bigint {c}' for c in ('stops_planned', *(f'stops_{s}' for s in _STATES), 'trips', 'trips_cancelled', 'trips_unserved', 'trips_unserved_confirmed', 'trips_truncated'))} from ext_punctuality_ where source = 'south' and threshold_s = 360",
     "rep_line_table": f"select line, sum(trips)::bigint trips, sum(trips_cancelled)::bigint trips_cancelled, sum(trips_unserved)::bigint trips_unserved, sum(trips_unserved_confirmed)::bigint trips_unserved_confirmed, sum(trips_unserved_uncheckable)::bigint trips_unserved_uncheckable, sum(trips_truncated)::bigint trips_truncated, sum(stops_planned)::bigint stops_planned, {_Q} from ext_punctuality_ where source = 'south' and threshold_s = 360 group by 1",
     "stream_change_detection": "select event_id, user_id, event_type from (select *, lag(event_type) over w t, event_id // 50 - lag(event_id // 50) over w gap, row_number() over w n from events window w as (partition by user_id order by event_id)) where n = 1 or t is distinct from event_type or gap > 40",
+    "stg_swiss_events": "select * from swiss_",
+    "stg_realtime_reports": f"""select 'realtime' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, stop_sequence, stop_id, {_BERLIN.format('snapshot')} snapshot_ts, {_berlin('fetched is not null', 'coalesce(fetched, 0)')} fetched_at,
+  case when l_partkey % 13 <> 0 then d end arr_delay_s, case when l_partkey % 17 <> 0 then d + 30 end dep_delay_s, {_berlin('l_partkey % 11 <> 0', 's + d')} actual_arr, {_BERLIN.format('s + 120 + d')} actual_dep, skipped stop_skipped, cancelled trip_cancelled,
+  {_berlin('l_partkey % 11 <> 0 and l_partkey % 13 <> 0', 's')} sched_arr, {_berlin('l_partkey % 17 <> 0', 's + 90')} sched_dep from raw_ where not alone and stop_sequence is not null""",
+    "stg_realtime_messages": f"select 'realtime' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, cancelled trip_cancelled, {_BERLIN.format('snapshot')} snapshot_ts, {_berlin('fetched is not null', 'coalesce(fetched, 0)')} fetched_at from raw_ where alone",
+    "stg_realtime_polls": f"select 'realtime' source, {_BERLIN.format('fetched')} fetched_at, {_BERLIN.format('snapshot')} snapshot_ts from raw_ where fetched is not null",
+    "stg_realtime_unusable": "select strftime(service_date, '%Y%m%d') start_date, trip_id, count(*) n from raw_ where not alone and stop_sequence is null group by 1, 2",
+    "set_united_sources": "select * from events_ union all by name select * exclude (block_id) from swiss_",
+    "set_label_dictionaries": "select stop_id \"key\", 'stop' kind, max(stop_name) label, count(distinct stop_name) variants, min(static_version) first_seen, max(static_version) last_seen from static_stops_ group by 1 union all select cast(o_custkey % 500 as varchar), 'line', max(o_orderpriority), count(distinct o_orderpriority), date '2026-01-01', date '2026-01-01' from orders group by 1",
+    "fn_boundaries": f"select event_id, {', '.join(f"date_diff('{u}', ts, ts + to_seconds(event_id % 9000)) n_{u}" for u in ('minute', 'hour', 'day'))} from events",
+    "str_without_repeats": "select distinct trip_id, strftime(service_date, '%Y%m%d') start_date, stop_sequence, snapshot snapshot_timestamp from raw_",
+    "srt_run_table": "select * from ext_runs_",
     "dq_reconciliation": "with a as (select service_date, source, sum(run_measured)::bigint n, sum(run_delta_sum)::bigint s from origin_ group by 1, 2), b as (select service_date, source, sum(run_measured)::bigint n, sum(run_delta_sum)::bigint s from bottlenecks_ group by 1, 2) select coalesce(a.service_date, b.service_date) service_date, coalesce(a.source, b.source) source, a.n origin_measured, b.n bottleneck_measured, a.s origin_sum, b.s bottleneck_sum from a full join b on a.service_date = b.service_date and a.source = b.source",
     "dq_previous_stop": "select a.source, a.trip_key, a.stop_no, a.is_direct, b.dep_delay_s prev_dep_delay_s, a.arr_delay_s - b.dep_delay_s expected_run_s from runs_ a join runs_ b on b.source = a.source and b.trip_key = a.trip_key and b.stop_no = a.stop_no - 1",
     "dq_summary": "select 'error' severity, count(*) filter (where arr_delay_s is not null and dst_ambiguous) dst_metrics, count(*) filter (where stop_no > 1 and not is_direct) gaps from runs_",
 }
 
+FINAL |= {f"dq_{name}": f"select '{name}' \"name\", '{severity}' severity, count(*) violations from ({rows})" for name, (severity, rows) in VIOLATIONS.items()}
+
 #: Columns of dates and times by query, which are returned as text.
 TEXTS: dict[str, str] = {
     "rep_data_state": "first_day last_day",
@@ -247,6 +304,13 @@ TEXTS: dict[str, str] = {
     "rep_top_sections": "service_date",
     "rep_coverage": "service_date",
     "rep_run_sources": "day",
+    "stg_swiss_events": "service_date sched_arr sched_dep actual_arr actual_dep",
+    "stg_realtime_reports": "service_date snapshot_ts fetched_at actual_arr actual_dep sched_arr sched_dep",
+    "stg_realtime_messages": "service_date snapshot_ts fetched_at",
+    "stg_realtime_polls": "fetched_at snapshot_ts",
+    "set_united_sources": "service_date sched_arr sched_dep actual_arr actual_dep",
+    "set_label_dictionaries": "first_seen last_seen",
+    "srt_run_table": "service_date departs",
     "dq_reconciliation": "service_date",
 }
 

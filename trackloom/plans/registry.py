@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.config import DEFAULT, Config
-from trackloom.functions.civil_time import is_clock_change_hour, plus_seconds, wall_clock, within_grace
+from trackloom.functions.civil_time import boundaries_between, is_clock_change_hour, plus_seconds, wall_clock, within_grace
 from trackloom.functions.rail import plausible
 from trackloom.operators import consolidate, polls, sections, timetable
 from trackloom.plans import driver_views as views
 from trackloom.plans import extracts, marts, oracle, quality, reports
-from trackloom.sources.timetable import lines_of_trips, path_origin
+from trackloom.plans.store import Kept
+from trackloom.sources import staging
+from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
 from trackloom.streaming.changes import changes, in_scope
+from trackloom.streaming.collector import drop_repeated
 
 Query = Callable[[SparkSession, str], DataFrame]
 SOURCE = "south"
@@ -32,16 +35,26 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 class Rail:
-    """The relations of one folder, built on demand; lazy, so a query reads what it needs."""
+    """The relations of one folder, built on demand; lazy, so a query reads what it needs.
+
+    Consolidated stops, the run detail and the marts are materialised once for a state of the folder, as in a daily build;
+    extracts, reports and checks read these tables.
+    """
+
+    KEPT = ("consolidated", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "collection")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
     def __getattr__(self, name: str):
-        made = getattr(self, f"make_{name}")()
+        build = getattr(self, f"make_{name}")
+        made = self.kept.table(name, build) if name in Rail.KEPT else build()
         setattr(self, name, made)
         return made
 
+    def make_kept(self):
+        return Kept(self.spark, self.dir)
+
     def make_reports(self):
         return views.reports(self.spark, self.dir)
 
@@ -61,7 +74,7 @@ class Rail:
         return consolidate.with_names(self.consolidated, self.stop_names, self.line_names)
 
     def make_cancelled(self):
-        return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.reports, self.planned, self.stop_names, self.line_names)
+        return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.consolidated, self.planned, self.stop_names, self.line_names)
 
     def make_events(self):
         return sections.stop_events(self.observed, self.cancelled)
@@ -118,6 +131,17 @@ class Rail:
     def make_steps(self):
         return reports.waterfall(self.ext_runs)
 
+    def make_swiss(self):
+        return staging.swiss_events(views.swiss_raw(self.spark, self.dir))
+
+    def make_raw(self):
+        return views.realtime_raw(self.spark, self.dir)
+
+    def make_checked(self):
+        """The tables of the checks by name; the driver's reports stand for a source that numbers its stops."""
+        names = ("events", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "collection", "observed", "cancelled", "coverage", "planned")
+        return {n: getattr(self, n) for n in names} | {"messages": views.messages(self.spark, self.dir), "dictionary": self.stop_names, "numbered": self.observed}
+
     def table(self, name: str) -> DataFrame:
         return views.read(self.spark, self.dir, name)
 
@@ -159,6 +183,25 @@ def _changes(r: Rail) -> DataFrame:
     return changes(events, ["user_id"], ["event_id"], ["event_type"], "poll", 40).drop("poll")
 
 
+def _boundaries(r: Rail) -> DataFrame:
+    later = plus_seconds(F.col("ts").cast("timestamp_ntz"), F.col("event_id") % 9000)
+    parts = {f"n_{u}": boundaries_between(u, F.col("ts").cast("timestamp_ntz"), later) for u in ("minute", "hour", "day")}
+    return r.table("events").select("event_id", *(c.alias(n) for n, c in parts.items()))
+
+
+def _dictionaries(r: Rail) -> DataFrame:
+    lines = r.table("orders").select(F.to_date(F.lit("2026-01-01")).alias("static_version"), (F.col("o_custkey") % 500).cast("string").alias("trip_id"), F.col("o_orderpriority").alias("line"))
+    return label_dictionaries(views.static_stops(r.spark, r.dir), lines)
+
+
+def _once(r: Rail) -> DataFrame:
+    return drop_repeated(r.raw.unionByName(r.raw)).select("trip_id", "start_date", "stop_sequence", "snapshot_timestamp")
+
+
+def _check(check: quality.Check) -> Callable[[Rail], DataFrame]:
+    return lambda r: quality.verdict(check, r.checked)
+
+
 #: Each query as a function of Rail.
 PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "prj_reconstructed_schedule": lambda r: r.reports.select("source", "trip_key", "stop_sequence", "snapshot_ts", "sched_arr", "sched_dep", "arr_delay_s", "dep_delay_s"),
@@ -176,16 +219,16 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "win_derived_sequence": _derived_sequence,
     "win_section_deltas": lambda r: sections.section_deltas(r.events).select("source", "trip_key", "stop_sequence", "prev_stop_id", "is_direct", "run_delta_s", "dwell_delta_s"),
     "win_poll_gaps": lambda r: r.polled,
-    "consolidated_stops": lambda r: r.consolidated,
+    "consolidated_stops": lambda r: r.make_consolidated(),
     "stop_events": lambda r: r.events,
     "stop_states": lambda r: marts.stop_states(r.runs).select("source", "trip_key", "stop_no", "has_arrival", "state"),
-    "mart_run_detail": lambda r: r.runs,
-    "mart_delay_origin": lambda r: r.origin,
-    "mart_bottlenecks": lambda r: r.bottlenecks,
-    "mart_buffer_balance": lambda r: r.buffer,
-    "mart_punctuality": lambda r: r.punctuality,
-    "mart_data_quality": lambda r: r.quality,
-    "mart_collection": lambda r: r.collection,
+    "mart_run_detail": lambda r: r.make_runs(),
+    "mart_delay_origin": lambda r: r.make_origin(),
+    "mart_bottlenecks": lambda r: r.make_bottlenecks(),
+    "mart_buffer_balance": lambda r: r.make_buffer(),
+    "mart_punctuality": lambda r: r.make_punctuality(),
+    "mart_data_quality": lambda r: r.make_quality(),
+    "mart_collection": lambda r: r.make_collection(),
     "ext_sections": lambda r: r.ext_sections,
     "ext_collection": lambda r: r.ext_collection,
     "ext_punctuality": lambda r: r.ext_punctuality,
@@ -224,11 +267,23 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "rep_state_totals": lambda r: reports.state_totals(r.ext_punctuality, SOURCE),
     "rep_line_table": lambda r: reports.line_table(r.ext_punctuality, SOURCE),
     "stream_change_detection": _changes,
+    "stg_swiss_events": lambda r: r.swiss,
+    "stg_realtime_reports": lambda r: staging.realtime_reports(r.raw),
+    "stg_realtime_messages": lambda r: staging.realtime_messages(r.raw),
+    "stg_realtime_polls": lambda r: staging.realtime_polls(r.raw),
+    "stg_realtime_unusable": lambda r: staging.unusable(r.raw),
+    "set_united_sources": lambda r: sections.stop_events(r.swiss, r.observed, r.cancelled),
+    "set_label_dictionaries": _dictionaries,
+    "fn_boundaries": _boundaries,
+    "str_without_repeats": _once,
+    "srt_run_table": lambda r: reports.ordered(r.ext_runs, "source", "service_date", "trip_key", "stop_no"),
     "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
     "dq_previous_stop": lambda r: quality.previous_stop(r.runs),
     "dq_summary": lambda r: quality.summary(r.runs),
 }
 
+PLANS |= {f"dq_{c.name}": _check(c) for c in quality.CHECKS}
+
 
 def _query(plan: Callable[[Rail], DataFrame]) -> Query:
     return lambda spark, sf_dir: as_text(plan(Rail(spark, sf_dir)))

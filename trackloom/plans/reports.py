@@ -26,6 +26,11 @@ def data_state(quality: DataFrame, names: dict[str, str]) -> DataFrame:
     return quality.groupBy("source").agg(F.count(F.lit(1)).alias("days"), total(F.col("trips")).alias("trips"), total(F.col("stops")).alias("stops"), F.min("service_date").alias("first_day"), F.max("service_date").alias("last_day")).withColumn("label", source_label(names))
 
 
+def ordered(df: DataFrame, *columns: str) -> DataFrame:
+    """SRT-04: all rows in the order of some columns, nulls last; `-` before a name for downward."""
+    return df.orderBy(*(F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last() for c in columns))
+
+
 def of_source(df: DataFrame, source: str) -> DataFrame:
     """RPT-02."""
     return df.where(F.col("source") == source)

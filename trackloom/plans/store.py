@@ -1,14 +1,67 @@
-"""Materialisations: views, full rebuilds, and marts replaced day by day."""
+"""Materialisations: views, full rebuilds, marts replaced day by day, tables kept for the queries of a session."""
 
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import time
+import uuid
+from collections.abc import Callable
+from datetime import date
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackloom.sources.files import folder, listed
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="trackloom-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all machines share; a local session that names none takes a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return found or _local_folder()
+
+
+class Kept:
+    """Tables written once for all queries over one state of some inputs; a changed input file makes another state."""
+
+    _made: dict[tuple, str] = {}
+
+    def __init__(self, spark: SparkSession, inputs: str):
+        self.spark = spark
+        state = []
+        for path in [*listed(spark, f"{inputs}/*"), *listed(spark, f"{inputs}/*/*")]:
+            files, place = folder(spark, path)
+            status = files.getFileStatus(place)
+            state.append((path, status.getLen(), status.getModificationTime()))
+        self.key = spark.sparkContext.applicationId, tuple(state)
+
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table of that name, built and written where this state has none yet."""
+        key = *self.key, name
+        if key not in Kept._made:
+            path = f"{shared_folder(self.spark)}/kept-{uuid.uuid4().hex}/{name}"
+            build().write.option("compression", "zstd").parquet(path)
+            Kept._made[key] = path
+        return self.spark.read.parquet(Kept._made[key])
+
+    @staticmethod
+    def forget(spark: SparkSession) -> None:
+        """Removes all kept tables of this process."""
+        for path in Kept._made.values():
+            files, place = folder(spark, path)
+            files.delete(place.getParent(), True)
+        Kept._made.clear()
+
 
 def view(df: DataFrame, name: str) -> DataFrame:
     """SNK-03."""
@@ -22,14 +75,10 @@ def rebuild(df: DataFrame, path: str, day: str | None = None) -> None:
     (writer.partitionBy(day) if day else writer).parquet(path)
 
 
-def border_day(spark: SparkSession, path: str, day: str):
-    """PRJ-27: the last day that a table holds, None if there is no table; read from partition names alone."""
-    try:
-        return spark.read.parquet(path).agg(F.max(day)).first()[0]
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+def border_day(spark: SparkSession, path: str, day: str) -> date | None:
+    """PRJ-27: the last day that a table partitioned by `day` holds, None if there is no table; from folder names alone."""
+    found = [m[1] for p in listed(spark, f"{path}/{day}=*") if (m := re.search(rf"/{day}=(\d{{4}}-\d{{2}}-\d{{2}})$", p))]
+    return date.fromisoformat(max(found)) if found else None
 
 
 def from_border(df: DataFrame, border, day: str) -> DataFrame:
@@ -37,14 +86,23 @@ def from_border(df: DataFrame, border, day: str) -> DataFrame:
     return df if border is None else df.where(F.col(day) >= F.lit(border))
 
 
+#: Rows that a file of a day's partition holds at most.
+FILE_ROWS = 4_000_000
+
+
 def refresh(df: DataFrame, path: str, day: str) -> None:
-    """SNK-05/06: replaces exactly the days that `df` holds; others stay. The border day is replaced whole."""
-    df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
+    """SNK-05/06: replaces exactly the days that `df` holds; others stay. The border day is replaced whole.
+
+    Rows are dealt by day, and adaptive execution splits a day of many rows over tasks, so that a full day needs no one task.
+    """
+    dealt = df.hint("rebalance", day)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).partitionBy(day).parquet(path)
 
 
 def refresh_from(spark: SparkSession, build, path: str, day: str) -> None:
     """An incremental step: build(border) gives the rows from the border day on."""
-    refresh(from_border(build(border_day(spark, path, day)), border_day(spark, path, day), day), path, day)
+    border = border_day(spark, path, day)
+    refresh(from_border(build(border), border, day), path, day)
 
 
 def rebuild_days(df: DataFrame, path: str, day: str, days: list) -> None:
@@ -78,14 +136,17 @@ def heartbeat_problems(path: str | Path, now: float | None = None, most_age: int
 
 
 def feed_problems(heartbeat: dict, newest_file_age: int, free_mb: int, least_age: int = -120, most_age: int = 300, least_share: int = 10, most_file_age: int = 7200, least_mb: int = 2048) -> list[str]:
-    """OPS-2: feed age, trips in scope per thousand, age of the newest file, free disk."""
+    """OPS-2: a failed poll, feed age, trips in scope per thousand, age of the newest file, free disk."""
     out = []
-    age = heartbeat.get("feed_age_seconds", 0)
-    if not least_age <= age <= most_age:
-        out.append(f"the feed is {age} s old")
-    entities, kept = heartbeat.get("entity_count", 0), heartbeat.get("in_scope_count", 0)
-    if entities and 1000 * kept / entities < least_share:
-        out.append(f"{1000 * kept / entities:.1f} of 1000 trips are in scope")
+    if "error" in heartbeat:
+        out.append(f"the last poll failed: {heartbeat['error']}")
+    else:
+        age = heartbeat["feed_age_seconds"]
+        if not least_age <= age <= most_age:
+            out.append(f"the feed is {age} s old")
+        entities, kept = heartbeat["entity_count"], heartbeat["in_scope_count"]
+        if not entities or 1000 * kept / entities < least_share:
+            out.append(f"{kept} of {entities} trips are in scope")
     if newest_file_age > most_file_age:
         out.append(f"the newest file is {newest_file_age} s old")
     if free_mb < least_mb:

@@ -8,7 +8,6 @@ the generation for change detection.
 from __future__ import annotations
 
 import gzip
-import json
 import logging
 import time
 import urllib.request
@@ -181,14 +180,30 @@ def fetch_http(url: str, attempts: int = 3, timeout: float = 25.0, wait: float =
     raise AssertionError
 
 
-def snapshot_rows(raw: bytes, fetched_at: int, generation: int, scope: frozenset[str] | None = None) -> Iterator[tuple]:
-    """Rows of RAW_SCHEMA. With a scope, trips that call at none of its stops are left out, but for those that name no stop."""
-    stamp = snapshot_timestamp(raw)
+@dataclass
+class Poll:
+    """What a poll brought: its rows, as of RAW_SCHEMA, and what a heartbeat tells of it."""
+
+    rows: list[tuple]
+    feed_timestamp: int = 0
+    entity_count: int = 0
+    in_scope_count: int = 0
+
+
+def decode(raw: bytes, fetched_at: int, generation: int, scope: frozenset[str] | None = None) -> Poll:
+    """A snapshot's rows. With a scope, trips that call at none of its stops are left out, but for those that name no stop."""
+    out = Poll([], snapshot_timestamp(raw))
     for trip in walk(raw):
+        out.entity_count += 1
         named = {r.stop_id for r in trip if r.stop_id}
         if scope is None or not named or named & scope:
-            for r in trip:
-                yield (*astuple(r), stamp, fetched_at, generation)
+            out.in_scope_count += 1
+            out.rows += [(*astuple(r), out.feed_timestamp, fetched_at, generation) for r in trip]
+    return out
+
+
+def snapshot_rows(raw: bytes, fetched_at: int, generation: int, scope: frozenset[str] | None = None) -> Iterator[tuple]:
+    return iter(decode(raw, fetched_at, generation, scope).rows)
 
 
 def _replayed(folder: str) -> list[Path]:
@@ -202,7 +217,7 @@ def _load(path: Path) -> tuple[bytes, int]:
 
 
 class FeedSource(DataSource):
-    """`spark.readStream.format("gtfs_feed")`: option `url` polls over HTTP, option `path` replays files `<epoch seconds>.pb`; `scope` is a comma-joined list of stops, `errors` a file that failed polls are noted in."""
+    """`spark.readStream.format("gtfs_feed")`: option `url` polls over HTTP, option `path` replays files `<epoch seconds>.pb`; `scope` is a comma-joined list of stops."""
 
     @classmethod
     def name(cls) -> str:
@@ -238,7 +253,11 @@ class ReplayReader(DataSourceReader):
 
 
 class PollReader(SimpleDataSourceStreamReader):
-    """One poll a micro-batch. A failed or undecodable poll yields no rows, is noted, and doesn't advance the generation."""
+    """One poll a micro-batch. A failed or undecodable poll yields no rows and doesn't advance the generation.
+
+    The offset carries what the poll found, or its error, so that whoever follows the query's progress learns of it,
+    and a failed poll makes a batch of its own, without rows.
+    """
 
     def __init__(self, options: dict):
         self.options = dict(options)
@@ -262,14 +281,12 @@ class PollReader(SimpleDataSourceStreamReader):
             if polled is None:
                 return iter(()), start
             raw, fetched, at = polled
-            rows = list(snapshot_rows(raw, fetched, start["generation"], _scope(self.options)))
+            found = decode(raw, fetched, start["generation"], _scope(self.options))
         except Exception as e:  # one bad poll never ends the stream
             log.warning("poll failed: %s", e)
-            if self.options.get("errors"):
-                with open(self.options["errors"], "a", encoding="utf-8") as f:
-                    print(json.dumps({"at": int(time.time()), "error": str(e)}), file=f)
-            return iter(()), {"generation": start["generation"], "file": moved}
-        return iter(rows), {"generation": start["generation"] + 1, "file": at}
+            return iter(()), {"generation": start["generation"], "file": moved, "polled_at": int(time.time()), "error": str(e) or type(e).__name__}
+        told = {"polled_at": fetched, "feed_timestamp": found.feed_timestamp, "entity_count": found.entity_count, "in_scope_count": found.in_scope_count}
+        return iter(found.rows), {"generation": start["generation"] + 1, "file": at, **told}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         if "url" in self.options:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import glob
 import logging
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from trackloom.config import DEFAULT, Config
 from trackloom.functions.civil_time import blank_to_null, seconds_between, strict_date, strict_time, wall_clock
 from trackloom.functions.rail import trip_key
+from trackloom.sources.files import csv_by_name, listed
 
 log = logging.getLogger(__name__)
 RAW = "trip_id string, start_date string, route_id string, trip_schedule_relationship string, stop_sequence bigint, stop_id string, arrival_delay int, arrival_time bigint, departure_delay int, departure_time bigint, schedule_relationship string, is_trip_level_only boolean, snapshot_timestamp bigint, fetched_at bigint"
@@ -23,24 +23,17 @@ def raw_reports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_guarded(spark: SparkSession, pattern: str, schema: str, read) -> DataFrame:
-    """SRC-10, PRJ-28: read(pattern), or a typed empty table with a warning where no file matches a local pattern."""
-    if "://" not in pattern and not glob.glob(pattern):
+    """SRC-10, PRJ-28: read(paths) of the files that match a pattern, or a typed empty table with a warning where none does."""
+    paths = listed(spark, pattern)
+    if not paths:
         log.warning("no file matches %s", pattern)
         return spark.createDataFrame([], schema)
-    return read(pattern)
+    return read(paths)
 
 
 def swiss_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SRC-07: daily files, semicolon-separated, all text, united by column name.
-
-    Each file is read with its own header; one header for many files would fill columns by position. A
-    missing column is an error.
-    """
-    out = None
-    for path in paths:
-        rows = spark.read.option("header", True).option("sep", ";").option("inferSchema", False).csv(path).select(*SWISS)
-        out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], ", ".join(f"{c} string" for c in SWISS))
+    """SRC-07: daily files, semicolon-separated, all text, united by column name; a missing column is an error."""
+    return csv_by_name(spark, paths, {c: "string" for c in SWISS}, ";").drop("_path")
 
 
 def swiss_events(raw: DataFrame) -> DataFrame:
@@ -53,7 +46,7 @@ def swiss_events(raw: DataFrame) -> DataFrame:
         F.coalesce(text["AN_PROGNOSE_STATUS"] == "REAL", F.lit(False)).alias("real_arr"), F.coalesce(text["AB_PROGNOSE_STATUS"] == "REAL", F.lit(False)).alias("real_dep"),
     )
     actual = typed.withColumns({f"actual_{k}": F.when(F.col(f"real_{k}"), F.col(f"seen_{k}")) for k in ("arr", "dep")})
-    order = Window.partitionBy("service_date", "trip_id").orderBy(F.coalesce("sched_arr", "sched_dep").asc_nulls_last(), F.col("sched_dep").asc_nulls_last(), "stop_id")
+    order = Window.partitionBy("service_date", "trip_id").orderBy(F.coalesce("sched_arr", "sched_dep").asc_nulls_last(), F.col("sched_dep").asc_nulls_last(), "stop_id", F.col("actual_arr").asc_nulls_last(), F.col("actual_dep").asc_nulls_last())
     return actual.select(
         F.lit("swiss").alias("source"), "service_date", trip_key(F.col("service_date"), F.col("trip_id")).alias("trip_key"), "trip_id", F.row_number().over(order).cast("bigint").alias("stop_sequence"), "stop_id", "stop_name", "sched_arr", "sched_dep", "actual_arr", "actual_dep",
         *(seconds_between(F.col(f"sched_{k}"), F.col(f"actual_{k}")).alias(f"{k}_delay_s") for k in ("arr", "dep")),

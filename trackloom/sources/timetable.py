@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.civil_time import blank_to_null, timetable_seconds
+from trackloom.sources.files import csv_by_name, listed
 
 MEMBERS = ("stops.txt", "routes.txt", "trips.txt", "stop_times.txt")
 STOP_TIMES = ("trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time")
@@ -84,28 +85,15 @@ def path_origin(path) -> dict:
     return {"static_version": F.to_date(F.regexp_extract(path, r"v=(\d{4}-\d{2}-\d{2})", 1)), "feed": F.element_at(F.split(path, "/"), -2)}
 
 
-def _folders(base: str | Path, name: str) -> list[Path]:
-    return sorted(p for p in Path(base).glob(f"v=*/*/{name}"))
-
-
 def static_csv(spark: SparkSession, base: str | Path, name: str, columns: dict[str, str]) -> DataFrame:
-    """SRC-08: one table of all versions and feeds, by column name; files lacking a column have null there.
-
-    Each file is read with its own header: Spark's reader takes one header for many files and would fill
-    columns by position.
-    """
-    schema = ", ".join(f"{c} {t}" for c, t in columns.items())
-    out = spark.createDataFrame([], f"{schema}, static_version date, feed string")
-    for path in _folders(base, name):
-        rows = spark.read.option("header", True).csv(str(path))
-        rows = rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns))
-        out = out.unionByName(rows.withColumns({"static_version": F.lit(path.parent.parent.name[2:]).cast("date"), "feed": F.lit(path.parent.name)}))
-    return out
+    """SRC-08: one table of all versions and feeds, by column name; files lacking a column have null there."""
+    rows = csv_by_name(spark, listed(spark, f"{base}/v=*/*/{name}"), columns, lenient=True)
+    return rows.withColumns(path_origin(F.col("_path"))).drop("_path")
 
 
 def static_stop_times(spark: SparkSession, base: str | Path) -> DataFrame:
     """SRC-09/10, PRJ-28: derived stop times of all versions; a typed empty table and a warning where there are none."""
-    paths = [str(p) for p in _folders(base, "stop_times.parquet")]
+    paths = listed(spark, f"{base}/v=*/*/stop_times.parquet")
     if not paths:
         log.warning("no stop_times.parquet under %s", base)
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in STOP_TIMES) + ", static_version date, feed string")

@@ -1,4 +1,7 @@
-"""The collection as a stream: polls, change detection with keyed state, a partitioned Parquet sink, a heartbeat.
+"""The collection as two streams: polls, change detection with keyed state and a landing folder at the pace of the
+polls; an hourly flush of what has landed into a partitioned Parquet table. A heartbeat tells of each poll.
+
+    python -m trackloom.streaming.collector --url URL --data FOLDER --scope stops.csv
 
 State is keyed by (trip, service day, position). What it holds is bounded by the keys seen within the idle
 limit: a timer drops a key that long after its last report. A key dropped early or late costs one repeated
@@ -14,13 +17,14 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from trackloom.config import DEFAULT
+from trackloom.sources.feed import RAW_SCHEMA, FeedSource
 from trackloom.streaming.changes import STATE, position
 
 KEY = ("trip_id", "start_date", "position")
@@ -76,7 +80,8 @@ def detect_changes(reports: DataFrame, idle: int = DEFAULT.idle_polls, poll_inte
 def write_raw(changed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """SNK-01, STR-04/05: ZSTD Parquet under date= and hour= of the fetch, exactly once by the stream's checkpoint.
 
-    `trigger` holds arguments of DataStreamWriter.trigger, such as processingTime="1 hour".
+    `trigger` holds arguments of DataStreamWriter.trigger, such as processingTime="1 hour". One stream for short replays;
+    for polls and hourly files at their own paces see land() and flush().
     """
     at = F.timestamp_seconds("fetched_at")
     parts = changed.drop("generation").withColumn("date", F.date_format(at, "yyyy-MM-dd")).withColumn("hour", F.date_format(at, "HH"))
@@ -106,28 +111,126 @@ def write_heartbeat(path: str | Path, **values) -> None:
 
 
 class Heartbeat(StreamingQueryListener):
-    """Writes a heartbeat after each batch, and one with the error when the query ends with one."""
+    """SNK-02, STR-07/08: writes a heartbeat after each poll of one query, from the poll's offset and what the query observed.
+
+    A failed poll's has the error, and no counts, so that it can't pass for one without delays. Other queries of the session are passed over.
+    """
 
-    def __init__(self, path: str):
-        self.path, self.last = path, {}
+    def __init__(self, path: str, query: str = "collector"):
+        self.path, self.query, self.ids, self.last = path, query, set(), {}
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if event.name == self.query:
+            self.ids.add(str(event.runId))
 
     def onQueryIdle(self, event) -> None:
-        self._write()
+        pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        states = p.stateOperators
-        self.last = {"batch": p.batchId, "entity_count": p.numInputRows, "changed_count": p.sink.numOutputRows if p.sink else -1, "tracked_keys": sum(s.numRowsTotal for s in states)}
+        if p.name != self.query or not p.sources:
+            return
+        told = p.sources[0].endOffset
+        told = json.loads(told) if isinstance(told, str) and told.startswith("{") else told if isinstance(told, dict) else {}
+        if "polled_at" not in told:
+            return
+        changed = p.observedMetrics.get(CHANGED)
+        polled = told["polled_at"]
+        if "error" in told:
+            self.last = {"error": told["error"]}
+        else:
+            stamp = told["feed_timestamp"]
+            self.last = {"feed_timestamp": stamp, "feed_age_seconds": feed_age(stamp, polled), "entity_count": told["entity_count"], "in_scope_count": told["in_scope_count"], "changed_count": changed["changed"] if changed is not None else 0}
+        self.last |= {"polled_at": polled, "tracked_keys": max((s.numRowsTotal for s in p.stateOperators), default=0)}
         self._write()
 
     def onQueryTerminated(self, event) -> None:
-        self._write(error=event.exception) if event.exception else self._write()
+        if str(event.runId) in self.ids and event.exception:
+            self._write(error=event.exception)
 
     def _write(self, **more) -> None:
-        write_heartbeat(self.path, polled_at=int(time.time()), resident_kb=resident_kb(), **self.last, **more)
+        write_heartbeat(self.path, **{"polled_at": int(time.time()), "resident_kb": resident_kb(), **self.last, **more})
+
+
+CHANGED = "collected"
+
+
+def land(spark: SparkSession, options: dict[str, str], landing: str, checkpoint: str, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True):
+    """STR-01: the query `collector`: a poll each interval, scope, change detection; each poll's changed rows as files of their own.
+
+    The batch is written in one go, so its state is updated once; one that runs again replaces its files. The session needs RocksDB state (STATE_STORE).
+    """
+    spark.dataSource.register(FeedSource)
+    polled = spark.readStream.format(FeedSource.name()).options(**options).load()
+    changed = detect_changes(polled, idle, poll_interval, timers).observe(CHANGED, F.count(F.lit(1)).alias("changed"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{landing}/batch={number}")
+
+    return changed.writeStream.queryName("collector").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime=f"{poll_interval} seconds").start()
+
+
+def flush(spark: SparkSession, landing: str, path: str, checkpoint: str, trigger: dict | None = None):
+    """SNK-01, STR-04/05: landed rows under date= and hour= of the flush, a file each; nothing landed, no file.
+
+    Spark aligns the trigger to the clock's full hours, whatever a flush takes. With trigger={"availableNow": True} it
+    flushes what is there and ends, as at a shutdown. Landed files go once they are flushed.
+    """
+    columns = RAW_SCHEMA.removesuffix(", generation bigint")
+    place = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)  # the first poll may come later
+    rows = spark.readStream.schema(columns).option("recursiveFileLookup", True).option("cleanSource", "delete").parquet(landing)
+    now = F.current_timestamp()
+    parts = rows.withColumn("date", F.date_format(now, "yyyy-MM-dd")).withColumn("hour", F.date_format(now, "HH")).coalesce(1)
+    return parts.writeStream.queryName("flush").format("parquet").partitionBy("date", "hour").option("compression", "zstd").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"processingTime": "1 hour"})).start()
+
+
+def collect(spark: SparkSession, options: dict[str, str], data: str, heartbeat: str, **more):
+    """The collector: land() and flush() under `data`, with a heartbeat. Returns both queries; stop() flushes what has landed."""
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+    spark.streams.addListener(Heartbeat(heartbeat))
+    landed = land(spark, options, f"{data}/landing", f"{data}/checkpoints/collector", **more)
+    return landed, flush(spark, f"{data}/landing", f"{data}/raw", f"{data}/checkpoints/flush")
+
+
+def stop(spark: SparkSession, queries, data: str) -> None:
+    """STR-05: ends the collector; what has landed is flushed first."""
+    for query in queries:
+        query.stop()
+    flush(spark, f"{data}/landing", f"{data}/raw", f"{data}/checkpoints/flush", {"availableNow": True}).awaitTermination()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Collects until SIGTERM or an interrupt."""
+    import argparse
+    import signal
+    import threading
+
+    from trackloom.session import build_session, ship
+    from trackloom.sources.scope import scope_stops
+
+    parser = argparse.ArgumentParser(description="Collects a realtime feed into a raw table.")
+    parser.add_argument("--url", required=True)
+    parser.add_argument("--data", required=True)
+    parser.add_argument("--scope")
+    parser.add_argument("--heartbeat", default="heartbeat.json")
+    parser.add_argument("--interval", type=int, default=DEFAULT.poll_interval)
+    given = parser.parse_args(argv)
+    interval = given.interval if given.interval > 0 else DEFAULT.poll_interval
+    spark = build_session("collector")
+    ship(spark)
+    options = {"url": given.url}
+    if given.scope:
+        options["scope"] = ",".join(r["stop_id"] for r in scope_stops(spark, given.scope).collect())  # the list of stops that the collection is about
+    ended = threading.Event()
+    for s in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(s, lambda *_: ended.set())
+    queries = collect(spark, options, given.data, given.heartbeat, poll_interval=interval, idle=7200 // interval)
+    while not ended.wait(1) and all(q.isActive for q in queries):
+        pass
+    stop(spark, queries, given.data)
+    spark.stop()
 
 
 def drop_repeated(reports: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -136,3 +239,7 @@ def drop_repeated(reports: DataFrame, watermark: str | None = None) -> DataFrame
     if watermark is None:
         return reports.dropDuplicates(key)
     return reports.withColumn("event_time", F.timestamp_seconds("snapshot_timestamp")).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(key)
+
+
+if __name__ == "__main__":
+    main()
