@@ -129,13 +129,13 @@ def test_static_versions(spark, tmp_path):
             z.writestr("trips.txt", "route_id,service_id,trip_id\nr1,x,t1\n")
             z.writestr("stop_times.txt", "trip_id,arrival_time,departure_time,stop_id,stop_sequence,extra\nt1,,25:10:00,S1,1,x\nt1,25:30:00,,S2,2,x\n")
 
-    timetable.archive_version(tmp_path, "2026-08-06", "rv", fetch, lambda p: timetable.derive_stop_times(spark, p))
-    made = timetable.archive_version(tmp_path, "2026-08-13", "fv", fetch)
-    assert timetable.archive_version(tmp_path, "2026-08-13", "fv", lambda p: 1 / 0) == made
-    assert [p.parent for p in timetable.backfill(spark, tmp_path)] == [made] and timetable.backfill(spark, tmp_path) == []
+    timetable.archive_version(spark, tmp_path, "2026-08-06", "rv", fetch, lambda p: timetable.derive_stop_times(spark, p))
+    made = timetable.archive_version(spark, tmp_path, "2026-08-13", "fv", fetch, lambda p: 1 / 0)  # derived later
+    assert timetable.archive_version(spark, tmp_path, "2026-08-13", "fv", lambda p: 1 / 0) == made
+    assert [p.rpartition("/")[0].endswith(made) for p in timetable.backfill(spark, tmp_path)] == [True] and timetable.backfill(spark, tmp_path) == []
     with pytest.raises(ZeroDivisionError):
-        timetable.archive_version(tmp_path, "2026-08-20", "rv", lambda p: 1 / 0)
-    assert not (tmp_path / "v=2026-08-20" / "rv").exists()
+        timetable.archive_version(spark, tmp_path, "2026-08-20", "rv", lambda p: 1 / 0)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["v=2026-08-06", "v=2026-08-13"]
     planned = timetable.planned_stops(timetable.static_stop_times(spark, tmp_path)).collect()
     assert {(r["static_version"], r["feed"], r["stop_sequence"], r["arrival_s"], r["departure_s"]) for r in planned} == {(d, f, *x) for d, f in ((date(2026, 8, 6), "rv"), (date(2026, 8, 13), "fv")) for x in ((1, None, 90600), (2, 91800, None))}
     stops = timetable.static_csv(spark, tmp_path, "stops.txt", {"stop_id": "string", "stop_name": "string", "platform_code": "string"})

@@ -16,7 +16,7 @@ from trackloom.functions.rail import plausible
 from trackloom.operators import consolidate, polls, sections, timetable
 from trackloom.plans import driver_views as views
 from trackloom.plans import extracts, marts, oracle, quality, reports
-from trackloom.plans.store import Kept
+from trackloom.plans.store import Kept, extremes
 from trackloom.sources import staging
 from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
 from trackloom.streaming.changes import changes, in_scope
@@ -272,6 +272,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "stg_realtime_messages": lambda r: staging.realtime_messages(r.raw),
     "stg_realtime_polls": lambda r: staging.realtime_polls(r.raw),
     "stg_realtime_unusable": lambda r: staging.unusable(r.raw),
+    "ops_raw_extremes": lambda r: extremes(r.raw),
     "set_united_sources": lambda r: sections.stop_events(r.swiss, r.observed, r.cancelled),
     "set_label_dictionaries": _dictionaries,
     "fn_boundaries": _boundaries,

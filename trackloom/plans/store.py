@@ -115,15 +115,20 @@ def extract(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def diagnose(raw: DataFrame) -> dict[str, dict]:
-    """SRC-16, OPS-3: extremes of the raw rows, in one pass."""
-    start = F.unix_timestamp(F.to_timestamp("start_date", "yyyyMMdd"))
+def extremes(raw: DataFrame) -> DataFrame:
+    """SRC-16: extremes of the raw rows in one row: delays, and hours of the scheduled arrival since the start of the service day."""
+    start = F.unix_date(F.to_date("start_date", "yyyyMMdd")).cast("bigint") * 86400
     hours = (F.col("arrival_time") - F.col("arrival_delay") - start) / 3600.0
-    row = raw.agg(
-        F.count(F.lit(1)).alias("rows"), F.min("arrival_delay").alias("arr_min"), F.max("arrival_delay").alias("arr_max"), F.min("departure_delay").alias("dep_min"), F.max("departure_delay").alias("dep_max"),
+    return raw.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("arrival_delay").alias("arr_min"), F.max("arrival_delay").alias("arr_max"), F.min("departure_delay").alias("dep_min"), F.max("departure_delay").alias("dep_max"),
         F.min(hours).alias("hour_min"), F.max(hours).alias("hour_max"), F.count_if((hours < 0) | (hours >= 30)).alias("outside"), F.count(hours).alias("timed"),
-    ).first().asDict()
-    return {"rows": {"n": row["rows"]}, "arrival_delay": {"min": row["arr_min"], "max": row["arr_max"]}, "departure_delay": {"min": row["dep_min"], "max": row["dep_max"]}, "hours": {"min": row["hour_min"], "max": row["hour_max"], "outside": row["outside"], "n": row["timed"]}}
+    )
+
+
+def diagnose(raw: DataFrame) -> dict[str, dict]:
+    """OPS-3: extremes() by what they are about."""
+    row = extremes(raw).first().asDict()
+    return {"rows": {"n": row["n_rows"]}, "arrival_delay": {"min": row["arr_min"], "max": row["arr_max"]}, "departure_delay": {"min": row["dep_min"], "max": row["dep_max"]}, "hours": {"min": row["hour_min"], "max": row["hour_max"], "outside": row["outside"], "n": row["timed"]}}
 
 
 def heartbeat_problems(path: str | Path, now: float | None = None, most_age: int = 300) -> list[str]:

@@ -6,6 +6,7 @@ import logging
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.civil_time import blank_to_null, timetable_seconds
-from trackloom.sources.files import csv_by_name, listed
+from trackloom.sources.files import csv_by_name, folder, listed
 
 MEMBERS = ("stops.txt", "routes.txt", "trips.txt", "stop_times.txt")
 STOP_TIMES = ("trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time")
@@ -38,46 +39,51 @@ def extract_members(archive: str | Path, folder: str | Path, members: tuple[str,
     return found
 
 
-def archive_version(base: str | Path, version: str, feed: str, fetch: Callable[[Path], None], derive: Callable[[Path], None] | None = None) -> Path:
+def archive_version(spark: SparkSession, base: str | Path, version: str, feed: str, fetch: Callable[[Path], None], derive: Callable[[str], None] | None = None) -> str:
     """SRC-11, SNK-09: a version under `base`/v=<date>/<feed>/, published by rename; one that is there stays as it is.
 
-    `fetch` writes the zip to the path it is given. A failing `derive` is logged, as the archive can be
-    fetched only while it is the latest; the derived files can be made later.
+    `base` may lie on any file system. `fetch` writes the zip to the local path it is given. A failing `derive` is logged,
+    as the archive can be fetched only while it is the latest; the derived files can be made later.
     """
-    target = Path(base) / f"v={version}" / feed
-    if target.exists():
-        return target
-    target.parent.mkdir(parents=True, exist_ok=True)
-    made = Path(tempfile.mkdtemp(prefix=f".{feed}-", dir=target.parent))
+    files, target = folder(spark, f"{base}/v={version}/{feed}")
+    if files.exists(target):
+        return target.toString()
+    _, made = folder(spark, f"{base}/_made-{uuid.uuid4().hex}")
     try:
-        fetch(made / "latest.zip")
-        extract_members(made / "latest.zip", made)
-        (made / "latest.zip").unlink()
+        with tempfile.TemporaryDirectory() as here:
+            fetch(Path(here) / "latest.zip")
+            for name in extract_members(Path(here) / "latest.zip", here):
+                files.copyFromLocalFile(False, True, folder(spark, f"file://{here}/{name}")[1], folder(spark, f"{made.toString()}/{name}")[1])
         if derive:
             try:
-                derive(made)
+                derive(made.toString())
             except Exception:
-                log.exception("derived files of %s are missing", target)
-        os.rename(made, target)
+                log.exception("derived files of %s are missing", target.toString())
+        files.mkdirs(target.getParent())
+        if not files.rename(made, target):
+            raise OSError(f"{target.toString()} can't be made")
     except BaseException:
-        shutil.rmtree(made, ignore_errors=True)
+        files.delete(made, True)
         raise
-    return target
+    return target.toString()
 
 
-def derive_stop_times(spark: SparkSession, folder: str | Path) -> Path:
-    """SRC-13: stop_times.txt as Parquet of its five columns, all text, written aside and renamed."""
-    folder = Path(folder)
-    target, made = folder / "stop_times.parquet", folder / ".stop_times.parquet"
-    rows = spark.read.option("header", True).option("encoding", "UTF-8").csv(str(folder / "stop_times.txt"))
-    rows.select(*STOP_TIMES).write.mode("overwrite").option("compression", "zstd").parquet(str(made))
-    os.rename(made, target)
-    return target
+def derive_stop_times(spark: SparkSession, place: str) -> str:
+    """SRC-13: stop_times.txt of a folder as Parquet of its five columns, all text, written aside and renamed."""
+    files, target = folder(spark, f"{place}/stop_times.parquet")
+    _, made = folder(spark, f"{place}/.stop_times.parquet")
+    rows = spark.read.option("header", True).option("encoding", "UTF-8").csv(f"{place}/stop_times.txt")
+    rows.select(*STOP_TIMES).write.mode("overwrite").option("compression", "zstd").parquet(made.toString())
+    if not files.rename(made, target):
+        raise OSError(f"{target.toString()} can't be made")
+    return target.toString()
 
 
-def backfill(spark: SparkSession, base: str | Path) -> list[Path]:
+def backfill(spark: SparkSession, base: str | Path) -> list[str]:
     """SRC-14: derived files that are missing, made."""
-    return [derive_stop_times(spark, p.parent) for p in sorted(Path(base).glob("v=*/*/stop_times.txt")) if not (p.parent / "stop_times.parquet").exists()]
+    places = [p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.txt")]
+    missing = set(places) - {p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.parquet")}
+    return [derive_stop_times(spark, p) for p in sorted(missing)]
 
 
 def path_origin(path) -> dict:
