@@ -46,7 +46,7 @@ def test_edited_texts_and_neighbours(spark, tmp_path, ids, monkeypatch):
     assert len(out) == len(rows)
     if len(set(ids)) == len(rows):
         rows.sort()
-        want = {}
+        want, texts, after = {}, {i: t for i, t, _ in rows}, {i: rows[(k + 1) % len(rows)][1] for k, (i, *_) in enumerate(rows)}
         for k, (i, t, _) in enumerate(rows):
             n, nxt = len(t) // 2, rows[(k + 1) % len(rows)][1]
             edited = t[: len(t) - n] + nxt[:n]
@@ -55,6 +55,8 @@ def test_edited_texts_and_neighbours(spark, tmp_path, ids, monkeypatch):
             w = want[r["doc_id"]]
             assert (r["n_chars"], r["edited_sha256"]) == w[:2]
             assert abs(r["near_edited"] - w[2]) < 0.01 and abs(r["near_next"] - w[3]) < 0.01
+            own, following = shingles(texts[r["doc_id"]]), shingles(after[r["doc_id"]])
+            assert (r["shingles"], r["shingles_of_both"]) == (len(own), len(own | following)) and abs(r["within_next"] - len(own & following) / len(own)) < 1e-9  # exact under k
 
 
 def test_edges(spark, tmp_path):
