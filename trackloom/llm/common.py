@@ -13,6 +13,8 @@ from trackloom.session import ship
 #: White space of the contracts: space and the controls from tab to carriage return.
 BLANK = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANK}]+"
+#: Narrow rows in a part of a table that cut() knows the size of.
+PART_ROWS = 25_000
 BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
@@ -48,10 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written once to the shared folder, so that nothing before it runs again and a lost executor loses no part of it."""
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """`df` written once to the shared folder, so that nothing before it runs again and a lost executor loses no part of it.
+
+    Where it is known to have at most `rows` narrow rows, it is written in parts of about PART_ROWS, so that small tables
+    don't leave a file for each shuffle partition, nor the stages that read them.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(1 + rows // PART_ROWS)).checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of files that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -67,13 +79,21 @@ def beside(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Rows of a table that may be broadcast.
+FEW_ROWS = 100_000
+
+
 def attach(many: DataFrame, one: DataFrame, key: str, rows: int, hot: int = 256) -> DataFrame:
     """`many` joined with `one` on `key`, wherever the rows of a key lie: none of its rows move for a hot one.
 
-    `one`, written by cut(), has a row for each key and `n`, how many of the `rows` rows of `many` have it at most. Keys
-    of over max(hot, rows / 100,000) rows are fewer than 100,000, so these are broadcast; the others are joined by shuffle.
+    `one` has a row for each key of `many` and `n`, how many of the `rows` rows of `many` have it at most. Of up to FEW_ROWS
+    rows, it has no more itself, and is broadcast. Else it is written, and its keys of over max(hot, rows / FEW_ROWS)
+    rows are fewer than FEW_ROWS, so these are broadcast; the others are joined by shuffle.
     """
-    limit = max(hot, rows // 100_000)
+    if rows <= FEW_ROWS:
+        return many.join(F.broadcast(one.drop("n")), key)
+    limit = max(hot, rows // FEW_ROWS)
+    one = cut(one)
     if one.where(F.col("n") > limit).isEmpty():
         return many.join(one.drop("n"), key)
     few = F.broadcast(one.where(F.col("n") > limit).drop("n"))

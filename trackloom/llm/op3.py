@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.llm import warc
-from trackloom.llm.common import prepare, shared_dir, table
+from trackloom.llm.common import prepare, remove, shared_dir, table
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 100
@@ -115,7 +115,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
-    """`pages` written to `folder`/arc, converted to `folder`/warc, and read back.
+    """`pages` written to `folder`/arc, converted to `folder`/warc, and read back; the ARC archives go once they are converted.
 
     A page is a revisit if it isn't the first of its payload, so repeated rows of the first page are
     responses too. A null page_id comes after all others. A file has at most FILE_RECORDS records, of any sizes.
@@ -125,6 +125,7 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     prepare(spark)
     write_arc(pages, f"{folder}/arc")
     write_warc(with_revisits(converted(spark, f"{folder}/arc"), converted(spark, f"{folder}/arc", whole=False)), f"{folder}/warc")
+    remove(spark, f"{folder}/arc")
     return read_back(spark, f"{folder}/warc")
 
 

@@ -249,20 +249,21 @@ def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: D
     size = F.sum("size") if "size" in rows.columns else F.lit(0)
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / BUCKET), F.least(F.count(F.lit(1)), F.ceil(size / BUCKET_BYTES))).cast("int")
     several = cut(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), chunks.alias("chunks")).where("n > 1"))
-    counted = cut(rows.select(*groups, "id").join(beside(several.drop("n")), groups))
+    left = several.agg(F.sum("n")).first()[0] or 0
+    counted = cut(rows.select(*groups, "id").join(beside(several.drop("n")), groups), left)
     deal = lambda k: F.pmod(F.xxhash64("id", *groups, F.lit(k)), F.col("chunks")).cast("int")
     found = connected(counted.where("chunks = 1").select(*groups, "id"), groups, near, limit, data)
     large = counted.where("chunks > 1")
     if large.isEmpty():
-        return cut(found)
+        return cut(found, left)
     for k in range(DEALS):
         found = found.union(connected(large.select(*groups, deal(k).alias("own"), "id"), [*groups, "own"], near, limit, data))
-    links = cut(found)
+    links = cut(found, (1 + DEALS) * left)
     roots = components(links)
-    labelled = cut(large.join(roots, F.col("id") == F.col("node"), "left").select(*groups, "id", F.coalesce("root", "id").alias("root")))
-    shares = cut(labelled.groupBy(*groups, "root").agg(F.count(F.lit(1)).alias("n")))
+    labelled = cut(large.join(roots, F.col("id") == F.col("node"), "left").select(*groups, "id", F.coalesce("root", "id").alias("root")), left)
+    shares = cut(labelled.groupBy(*groups, "root").agg(F.count(F.lit(1)).alias("n")), left)
     spread = shares.groupBy(*groups).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all")).where(F.col("all") > F.col("most.n"))
-    apart = cut(spread.select(*groups, F.col("most.root").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / BUCKET).cast("int").alias("minors")).join(several, groups))
+    apart = cut(spread.select(*groups, F.col("most.root").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / BUCKET).cast("int").alias("minors")).join(several, groups), left)
     if apart.isEmpty():
         return links
     parted = labelled.join(beside(apart), groups)
@@ -280,7 +281,8 @@ def bucket_links(rows: DataFrame, groups: list[str], near, limit: float, data: D
 def links(nodes: DataFrame, max_bits: int = 4, crowd: int = 0) -> DataFrame:
     """(u, v), u > v: links that connect all fingerprints of `nodes`.fp, distinct, within `max_bits` of each other."""
     signed = lambda m: m - (1 << 64) if m >> 63 else m
-    choices = F.array(*(F.lit(signed(m)) for m in block_masks(nodes.count(), max_bits, crowd)))
+    rows = nodes.count()
+    choices = F.array(*(F.lit(signed(m)) for m in block_masks(rows, max_bits, crowd)))
     keyed, groups, found = nodes.select(F.col("fp").alias("id"), F.explode(choices).alias("mask")), ["mask", "key"], None
     while True:
         keyed = keyed.withColumn("key", F.col("id").bitwiseAND(F.col("mask")))
@@ -292,7 +294,7 @@ def links(nodes: DataFrame, max_bits: int = 4, crowd: int = 0) -> DataFrame:
         part = connected(keyed.join(few, groups, "left_anti") if finer else keyed, groups, within_bits, max_bits)
         found = part if found is None else found.union(part)
         if not finer:
-            return cut(found.distinct())
+            return cut(found.distinct(), rows)
         again = F.create_map(*(x for m, subs in finer.items() for x in (F.lit(m), F.array(*map(F.lit, subs)))))
         keyed = cut(keyed.join(few, groups).select("id", F.explode(again[F.col("mask")]).alias("mask")).distinct())
 
@@ -302,11 +304,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen, rows = None, edges.count()
     while True:
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")))
-        large = cut(attach(both, least, "u", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = cut(attach(both, least, "u", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), rows)
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         small = attach(large, least, "u", rows).select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))))
-        edges = cut(small.where("u <> v").distinct())
+        edges = cut(small.where("u <> v").distinct(), 2 * rows)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
@@ -314,10 +316,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def named(nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
-    """(key, n, component_id), written, for `nodes` (key, least, n): the least of each component's, by components() of the keys."""
+    """(key, n, component_id) for `nodes` (key, least, n): the least of each component's, by components() of the keys."""
     rooted = cut(nodes.join(roots, F.col(key) == F.col("node"), "left").select(key, "least", F.col("n").alias("copies"), F.coalesce("root", key).alias("root")))
-    joined = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
-    return cut(attach(rooted, joined, "root", rooted.count()).select(key, F.col("copies").alias("n"), "component_id"))
+    joined = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    return attach(rooted, joined, "root", rooted.count()).select(key, F.col("copies").alias("n"), "component_id")
 
 
 def group(fps: DataFrame, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
