@@ -50,7 +50,7 @@ class Kept:
         key = *self.key, name
         if key not in Kept._made:
             path = f"{shared_folder(self.spark)}/kept-{uuid.uuid4().hex}/{name}"
-            build().write.option("compression", "zstd").parquet(path)
+            build().write.option("compression", "lz4").parquet(path)  # for a session, so quick before small
             Kept._made[key] = path
         return self.spark.read.parquet(Kept._made[key])
 
