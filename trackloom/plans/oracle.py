@@ -261,7 +261,7 @@ FINAL: dict[str, str] = {
     "stg_realtime_messages": f"select 'realtime' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, cancelled trip_cancelled, {_BERLIN.format('snapshot')} snapshot_ts, {_berlin('fetched is not null', 'coalesce(fetched, 0)')} fetched_at from raw_ where alone",
     "stg_realtime_polls": f"select 'realtime' source, {_BERLIN.format('fetched')} fetched_at, {_BERLIN.format('snapshot')} snapshot_ts from raw_ where fetched is not null",
     "stg_realtime_unusable": "select strftime(service_date, '%Y%m%d') start_date, trip_id, count(*) n from raw_ where not alone and stop_sequence is null group by 1, 2",
-    "ops_raw_extremes": """select count(*) n_rows, min(a) arr_min, max(a) arr_max, min(d2) dep_min, max(d2) dep_max, min(h) hour_min, max(h) hour_max, count(*) filter (where h < 0 or h >= 30) outside, count(h) timed from
+    "raw_extremes": """select count(*) n_rows, min(a) arr_min, max(a) arr_max, min(d2) dep_min, max(d2) dep_max, min(h) hour_min, max(h) hour_max, count(*) filter (where h < 0 or h >= 30) outside, count(h) timed from
   (select case when l_partkey % 13 <> 0 then d::integer end a, case when l_partkey % 17 <> 0 then (d + 30)::integer end d2, case when l_partkey % 13 <> 0 and l_partkey % 11 <> 0 then (s - epoch(service_date)::bigint) / 3600.0::double end h from raw_)""",
     "set_united_sources": "select * from events_ union all by name select * exclude (block_id) from swiss_",
     "set_label_dictionaries": "select stop_id \"key\", 'stop' kind, max(stop_name) label, count(distinct stop_name) variants, min(static_version) first_seen, max(static_version) last_seen from static_stops_ group by 1 union all select cast(o_custkey % 500 as varchar), 'line', max(o_orderpriority), count(distinct o_orderpriority), date '2026-01-01', date '2026-01-01' from orders group by 1",

@@ -272,7 +272,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "stg_realtime_messages": lambda r: staging.realtime_messages(r.raw),
     "stg_realtime_polls": lambda r: staging.realtime_polls(r.raw),
     "stg_realtime_unusable": lambda r: staging.unusable(r.raw),
-    "ops_raw_extremes": lambda r: extremes(r.raw),
+    "raw_extremes": lambda r: extremes(r.raw),
     "set_united_sources": lambda r: sections.stop_events(r.swiss, r.observed, r.cancelled),
     "set_label_dictionaries": _dictionaries,
     "fn_boundaries": _boundaries,
