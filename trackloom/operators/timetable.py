@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.config import DEFAULT, Config
 from trackloom.functions.civil_time import is_final, plus_seconds
 from trackloom.functions.rail import count_where
+from trackloom.operators.consolidate import with_names
 
 
 def planned_of(trips: DataFrame, planned: DataFrame) -> DataFrame:
@@ -42,27 +43,28 @@ def with_valid_stops(candidates: DataFrame, planned: DataFrame) -> DataFrame:
     return dated.withColumn("valid", F.coalesce(F.col("_newest") & (F.min(feed).over(trip) == F.max(feed).over(trip)), F.lit(False))).drop("_newest")
 
 
-def cancelled_stops(messages: DataFrame, observed: DataFrame, planned: DataFrame, stop_names: DataFrame, line_names: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """JOI-04/05, AGG-03: trips cancelled by a message without stops, as their planned stops.
+def cancelled_rows(messages: DataFrame, observed: DataFrame, planned: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """JOI-04/05, AGG-03: trips cancelled by a message without stops, as their planned stops, in the columns of consolidated stops.
 
     `messages` has source, service_date, trip_key, trip_id, trip_cancelled, snapshot_ts.
     """
     last = messages.where("trip_cancelled").groupBy("source", "service_date", "trip_key", "trip_id").agg(F.max("snapshot_ts").alias("last_snapshot_ts"))
     unseen = last.join(observed.select("trip_key").distinct(), "trip_key", "left_anti")
-    matched = with_valid_stops(unseen, planned).where("valid")
     start = F.col("service_date").cast("timestamp_ntz")
-    stops = matched.select("source", "service_date", "trip_key", "trip_id", F.col("stop_sequence").cast("bigint").alias("stop_sequence"), "stop_id", plus_seconds(start, F.col("arrival_s")).alias("sched_arr"), plus_seconds(start, F.col("departure_s")).alias("sched_dep"), "last_snapshot_ts")
-    names = stop_names.select(F.col("key").alias("stop_id"), F.col("label").alias("stop_name"))
-    lines = line_names.select(F.col("key").alias("trip_id"), F.col("label").alias("line"))
+    stops = with_valid_stops(unseen, planned).where("valid").withColumns({"sched_arr": plus_seconds(start, F.col("arrival_s")), "sched_dep": plus_seconds(start, F.col("departure_s"))})
     moment, number = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("bigint")
-    return stops.join(names, "stop_id", "left").join(lines, "trip_id", "left").select(
-        "source", "service_date", "trip_key", "trip_id", "stop_sequence", "stop_id", "stop_name", "sched_arr", "sched_dep",
+    return stops.select(
+        "source", "service_date", "trip_key", "trip_id", F.col("stop_sequence").cast("bigint").alias("stop_sequence"), "stop_id", "sched_arr", "sched_dep",
         moment.alias("actual_arr"), moment.alias("actual_dep"), number.alias("arr_delay_s"), number.alias("dep_delay_s"),
-        is_final(F.col("last_snapshot_ts"), F.col("sched_arr"), F.col("sched_dep"), config.grace_minutes).alias("is_final"),
-        F.lit(False).alias("stop_skipped"), F.lit(True).alias("trip_cancelled"), "line",
+        is_final(F.col("last_snapshot_ts"), F.col("sched_arr"), F.col("sched_dep"), config.grace_minutes).alias("is_final"), F.lit(False).alias("stop_skipped"), F.lit(True).alias("trip_cancelled"),
     )
 
 
+def cancelled_stops(messages: DataFrame, observed: DataFrame, planned: DataFrame, stop_names: DataFrame, line_names: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """cancelled_rows() with names."""
+    return with_names(cancelled_rows(messages, observed, planned, config), stop_names, line_names)
+
+
 def run_coverage(events: DataFrame, planned: DataFrame) -> DataFrame:
     """AGG-07/08, JOI-08..10: for each unserved run, whether the observed stops cover its planned ones.
 

@@ -77,7 +77,9 @@ class Rail:
         return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.consolidated, self.planned, self.stop_names, self.line_names)
 
     def make_events(self):
-        return sections.stop_events(self.observed, self.cancelled)
+        """Both kinds of rows first, so that the names are joined once."""
+        rows = timetable.cancelled_rows(views.messages(self.spark, self.dir), self.consolidated, self.planned)
+        return sections.stop_events(consolidate.with_names(self.consolidated.unionByName(rows), self.stop_names, self.line_names))
 
     def make_runs(self):
         return marts.run_detail(self.events)
