@@ -14,10 +14,11 @@ from trackloom.llm.op7 import op7_exact_topk
 from trackloom.llm.op8 import op8_toxicity
 from trackloom.llm.op9 import op9_mix_sources
 from trackloom.llm.op10 import op10_hilbert_shards
+from trackloom.llm.op12 import op12_merkle_manifest
 
 
 def queries() -> dict:
-    found = [op1_pack_sequences, op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op5_token_rollup, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards]
+    found = [op1_pack_sequences, op2_fingerprints, op3_arc_to_warc, op4_simhash_groups, op5_token_rollup, op6_personal_data, op7_exact_topk, op8_toxicity, op9_mix_sources, op10_hilbert_shards, op12_merkle_manifest]
     return {f.__name__: f for f in found}
 
 
