@@ -94,6 +94,13 @@ def test_the_query_against_brute_force(spark, tmp_path):
     assert any(r["verified"] for r in out) and not all(r["verified"] for r in out)
 
 
+def test_roots_of_many_groups_cross_parts(spark):
+    rows = [(i, f"s{i % 40}", "en", 1, "t") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    got = merkle.manifest(df, "source", ["doc_id"], VALUES, rows_per_part=11).select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("proof"))).collect()
+    assert key(got) == key(r[:5] for r in brute(rows))
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10])
 def test_small_tables(spark, n):
     rows = [(i, "s", "en", 1, "t") for i in range(n)]

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from trackloom.llm.common import attach, cut, prepare
 
 FAN = 3
-#: Levels that one shuffle of ragged nodes builds: 3 ** 12 nodes, 531,441, under a coordinate at most.
-STRIDE = 12
+#: Levels that one shuffle of ragged nodes builds: 3 ** 6 nodes, 729, under a coordinate at most.
+STRIDE = 6
 #: Leaves of a part, about 1.3 KB each with their proofs.
 ROWS = 32_768
 
@@ -175,12 +175,12 @@ def grow(leaves: DataFrame, order: list[str], rows: int = ROWS) -> DataFrame:
     asked = pa.Table.from_pylist(crossing, pa.schema([("part", pa.int32()), ("group", pa.string()), ("begins", pa.int64()), ("n", pa.int64()), ("total", pa.int64())]))
 
     def ragged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finish(part: int, group: str, digests: list[str]) -> Iterator[pa.RecordBatch]:
+        def finish(part: int, group: str | None, digests: list[str]) -> Iterator[pa.RecordBatch]:
             if (part, group) in sent.value and digests:
                 found = subtrees(digests, *sent.value[part, group])
                 yield pa.RecordBatch.from_pylist([{"group": group, "level": k, "index": i, "digest": d} for k, i, d in found], _node)
 
-        part, group, held = -1, "", []
+        part, group, held = -1, None, []
         for batch in batches:
             groups = batch.column(1).to_pylist()
             for a, z in _runs(groups):
