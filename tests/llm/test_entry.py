@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.001"
 
 def test_a_query_for_each_operator():
     found = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in found) == 1
     assert found["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mixing", "packing"]
