@@ -52,6 +52,27 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.select("source", "service_date", "trip_key", "trip_id", (F.col("o_orderstatus") != "O").alias("trip_cancelled"), plus_seconds(F.col("service_date").cast("timestamp_ntz"), 43200 + F.col("o_custkey") % 60).alias("snapshot_ts"))
 
 
+def increments(reports: DataFrame, messages: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Reports and messages as three increments by service day; of the first quarter, reports seen in certain seconds come last, as late ones."""
+    span = messages.agg(F.min("service_date").alias("first"), F.datediff(F.max("service_date"), F.min("service_date")).alias("days")).first()
+    if span["first"] is None:
+        return []
+    first, cuts = F.lit(span["first"]), [F.date_add(F.lit(span["first"]), (span["days"] + 1) * k // 3) for k in (1, 2)]
+    number = F.when(F.col("service_date") < cuts[0], 1).when(F.col("service_date") < cuts[1], 2).otherwise(3)
+    late = (F.trunc("service_date", "quarter") == F.trunc(first, "quarter")) & (F.second("snapshot_ts") < 10)
+    return [(reports.where(F.when(late, 3).otherwise(number) == n), messages.where(number == n)) for n in (1, 2, 3)]
+
+
+def poll_increments(rows: DataFrame) -> list[DataFrame]:
+    """Polls as three increments by the time of their fetch; the second's first hours are among the first's."""
+    span = rows.agg(F.min("fetched_at").alias("first"), F.max("fetched_at").alias("last")).first()
+    if span["first"] is None:
+        return []
+    cuts = [F.lit(span["first"] + (span["last"] - span["first"]) * k / 3) for k in (1, 2)]
+    at = F.col("fetched_at")
+    return [rows.where(at < cuts[0]), rows.where((at >= cuts[0] - F.expr("interval 3 hours")) & (at < cuts[1])), rows.where(at >= cuts[1])]
+
+
 def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as planned runs of four to seven stops, in up to two timetable versions and feeds."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))

@@ -120,12 +120,15 @@ def data_quality(runs: DataFrame) -> DataFrame:
     return found.withColumns({"coverage_arr": ratio(F.col("measured_arr"), F.col("planned_arr")), "coverage_dep": ratio(F.col("measured_dep"), F.col("planned_dep")), "name_share": ratio(F.col("named_stops"), F.col("stops"))})
 
 
-def collection(polled: DataFrame, config: Config = DEFAULT) -> DataFrame:
+def collection(polled: DataFrame, config: Config = DEFAULT, since: DataFrame | None = None) -> DataFrame:
     """M7, STR-10, AGG-18/19: polls per hour, with a row for each hour from the first poll to the last.
 
-    The hours come from the bounds of all polls, so a failure over midnight keeps its rows.
+    The hours come from the bounds of all polls, so a failure over midnight keeps its rows. In an increment, `since`
+    (source, since) has the moment from which a source that polled earlier has hours, whenever its next poll came.
     """
     bounds = polled.groupBy("source").agg(F.min("fetched_at").alias("first"), F.max("fetched_at").alias("last"))
+    if since is not None:
+        bounds = bounds.join(since, "source", "left").withColumn("first", F.coalesce("since", "first")).drop("since")
     hours = bounds.select("source", "last", F.explode(F.sequence(hour_start(F.col("first")), hour_start(F.col("last")), F.expr("interval 1 hour"))).alias("hour_begin"))
     seen = polled.groupBy("source", hour_start(F.col("fetched_at")).alias("hour_begin")).agg(
         F.count(F.lit(1)).alias("polls"), F.max("gap_s").alias("largest_gap_s"), total(F.col("feed_age_s")).alias("feed_age_sum"), F.count("feed_age_s").alias("feed_age_n"), F.max("feed_age_s").alias("feed_age_max_s"), F.min("fetched_at").alias("first_poll"), F.max("fetched_at").alias("last_poll")

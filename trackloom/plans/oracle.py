@@ -273,6 +273,9 @@ FINAL: dict[str, str] = {
     "dq_summary": "select 'error' severity, count(*) filter (where arr_delay_s is not null and dst_ambiguous) dst_metrics, count(*) filter (where stop_no > 1 and not is_direct) gaps from runs_",
 }
 
+#: A table of increments equals the one built at once.
+WHOLE = {"inc_consolidated_stops": "consolidated_stops", "inc_run_detail": "mart_run_detail", "inc_delay_origin": "mart_delay_origin", "inc_bottlenecks": "mart_bottlenecks", "inc_buffer_balance": "mart_buffer_balance", "inc_punctuality": "mart_punctuality", "inc_data_quality": "mart_data_quality", "inc_poll_gaps": "win_poll_gaps", "inc_collection": "mart_collection"}
+FINAL |= {name: FINAL[whole] for name, whole in WHOLE.items()}
 FINAL |= {f"dq_{name}": f"select '{name}' \"name\", '{severity}' severity, count(*) violations from ({rows})" for name, (severity, rows) in VIOLATIONS.items()}
 
 #: Columns of dates and times by query, which are returned as text.
@@ -315,6 +318,7 @@ TEXTS: dict[str, str] = {
     "srt_run_table": "service_date departs",
     "dq_reconciliation": "service_date",
 }
+TEXTS |= {name: TEXTS[whole] for name, whole in WHOLE.items()}
 
 
 def _needs(sql: str, found: list[str]) -> None:

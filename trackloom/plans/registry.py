@@ -16,6 +16,7 @@ from trackloom.functions.rail import plausible
 from trackloom.operators import consolidate, polls, sections, timetable
 from trackloom.plans import driver_views as views
 from trackloom.plans import extracts, marts, oracle, quality, reports
+from trackloom.plans.incremental import DailyMarts
 from trackloom.plans.store import Kept, extremes
 from trackloom.sources import staging
 from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
@@ -112,6 +113,17 @@ class Rail:
     def make_collection(self):
         return marts.collection(self.polled)
 
+    def make_incremental(self):
+        """The tables of increments, loaded once for a state of the folder: three by service day, the last with late reports of the first quarter, and three of polls."""
+        path = self.kept.place("incremental")
+        daily = DailyMarts(self.spark, path, self.planned, self.stop_names, self.line_names, "quarter")
+        if not daily.tables["collection"].periods():
+            for n, (reports, messages) in enumerate(views.increments(self.reports, views.messages(self.spark, self.dir)), 1):
+                daily.load(reports, messages, str(n))
+            for rows in views.poll_increments(views.poll_rows(self.spark, self.dir)):
+                daily.load_polls(rows)
+        return daily
+
     def make_ext_sections(self):
         return extracts.sections(self.bottlenecks, WIDE)
 
@@ -204,6 +216,9 @@ def _check(check: quality.Check) -> Callable[[Rail], DataFrame]:
     return lambda r: quality.verdict(check, r.checked)
 
 
+#: Tables of increments by query.
+INCREMENTAL = {"consolidated_stops": "consolidated", "run_detail": "runs", "delay_origin": "origin", "bottlenecks": "bottlenecks", "buffer_balance": "buffer", "punctuality": "punctuality", "data_quality": "quality", "poll_gaps": "polls", "collection": "collection"}
+
 #: Each query as a function of Rail.
 PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "prj_reconstructed_schedule": lambda r: r.reports.select("source", "trip_key", "stop_sequence", "snapshot_ts", "sched_arr", "sched_dep", "arr_delay_s", "dep_delay_s"),
@@ -279,6 +294,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "set_label_dictionaries": _dictionaries,
     "fn_boundaries": _boundaries,
     "str_without_repeats": _once,
+    **{f"inc_{query}": lambda r, name=name: r.incremental.read(name) for query, name in INCREMENTAL.items()},
     "srt_run_table": lambda r: reports.ordered(r.ext_runs, "source", "service_date", "trip_key", "stop_no"),
     "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
     "dq_previous_stop": lambda r: quality.previous_stop(r.runs),

@@ -32,27 +32,40 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Kept:
-    """Tables written once for all queries over one state of some inputs; a changed input file makes another state."""
+    """Tables written once for all queries over one state of some inputs; a file that is new, gone or changed, however deep, makes another state.
+
+    Spark lists the files, in parallel where there are many folders, and sums them up on the executors. The tables go with
+    the process that made them.
+    """
 
     _made: dict[tuple, str] = {}
+    _written: set[str] = set()
 
     def __init__(self, spark: SparkSession, inputs: str):
         self.spark = spark
-        state = []
-        for path in [*listed(spark, f"{inputs}/*"), *listed(spark, f"{inputs}/*/*")]:
-            files, place = folder(spark, path)
-            status = files.getFileStatus(place)
-            state.append((path, status.getLen(), status.getModificationTime()))
-        self.key = spark.sparkContext.applicationId, tuple(state)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
+        each = F.xxhash64("path", "length", "modificationTime")
+        state = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(each), F.sum(each.cast("decimal(38,0)"))).first()
+        self.key = spark.sparkContext.applicationId, inputs, *map(str, state)
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table of that name, built and written where this state has none yet."""
+        path = self.place(name)
+        if path not in Kept._written:
+            build().write.option("compression", "lz4").parquet(path)  # for a session, so quick before small
+            Kept._written.add(path)
+        return self.spark.read.parquet(path)
+
+    def place(self, name: str) -> str:
+        """A folder of this state for a table, which goes when the process ends."""
         key = *self.key, name
         if key not in Kept._made:
             path = f"{shared_folder(self.spark)}/kept-{uuid.uuid4().hex}/{name}"
-            build().write.option("compression", "lz4").parquet(path)  # for a session, so quick before small
+            files, made = folder(self.spark, path)
+            files.mkdirs(made.getParent())
+            files.deleteOnExit(made.getParent())
             Kept._made[key] = path
-        return self.spark.read.parquet(Kept._made[key])
+        return Kept._made[key]
 
     @staticmethod
     def forget(spark: SparkSession) -> None:
@@ -61,6 +74,7 @@ class Kept:
             files, place = folder(spark, path)
             files.delete(place.getParent(), True)
         Kept._made.clear()
+        Kept._written.clear()
 
 
 def view(df: DataFrame, name: str) -> DataFrame:
