@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions.civil_time import plus_seconds
 from trackloom.functions.rail import trip_key
 from trackloom.operators.consolidate import reconstruct_schedule
+from trackloom.sources.files import listed
 from trackloom.sources.timetable import label_dictionary, planned_stops
 
 #: Display names of the two made-up sources.
@@ -149,3 +150,46 @@ def realtime_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 13 != 0, delay).alias("arrival_delay"), F.when(F.col("l_partkey") % 11 != 0, since + delay).alias("arrival_time"), F.when(F.col("l_partkey") % 17 != 0, delay + 30).alias("departure_delay"), (since + 120 + delay).alias("departure_time"),
         F.when(F.col("l_returnflag") == "R", "SKIPPED").otherwise("SCHEDULED").alias("schedule_relationship"), alone.alias("is_trip_level_only"), at.alias("snapshot_timestamp"), F.when(F.col("l_partkey") % 29 != 0, at + 19).alias("fetched_at"),
     )
+
+
+def day_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw realtime rows as one snapshot a service day, a day after its start."""
+    rows = realtime_raw(spark, sf_dir)
+    at = F.unix_date(F.to_date("start_date", "yyyyMMdd")).cast("bigint") * 86400 + 86400
+    return rows.withColumn("snapshot_timestamp", at).withColumn("fetched_at", at + 19)
+
+
+def event_reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events as reports about users, fifty a poll, in three parts one after the other."""
+    events = read(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    none = {c: F.lit(None).cast(t) for c, t in (("stop_sequence", "bigint"), ("arrival_delay", "int"), ("arrival_time", "bigint"), ("departure_delay", "int"), ("departure_time", "bigint"))}
+    rows = events.withColumns(none).select(
+        F.col("user_id").cast("string").alias("trip_id"), F.lit("").alias("start_date"), F.lit("").alias("route_id"), F.lit("SCHEDULED").alias("trip_schedule_relationship"), "stop_sequence", F.lit("").alias("stop_id"), "arrival_delay", "arrival_time",
+        "departure_delay", "departure_time", F.col("event_type").alias("schedule_relationship"), F.lit(True).alias("is_trip_level_only"), F.col("event_id").alias("snapshot_timestamp"), F.col("event_id").alias("fetched_at"), F.expr("event_id div 50").alias("generation"),
+    )
+    part = F.expr(f"least(snapshot_timestamp * 3 div {last + 1}, 2)")
+    return [rows.where(part == k) for k in range(3)]
+
+
+def overlapping_writers(raw: DataFrame, lag: int = 30) -> list[DataFrame]:
+    """Raw rows as two writers deliver them in three parts; the second comes `lag` days behind the first."""
+    span = raw.agg(F.min("snapshot_timestamp").alias("a"), F.max("snapshot_timestamp").alias("z")).first()
+    if span["a"] is None:
+        return [raw]
+    at, cuts = F.col("snapshot_timestamp"), [span["a"] + (span["z"] - span["a"]) * k // 3 for k in (1, 2)]
+    part = lambda moved: F.when(at + moved < cuts[0], 0).when(at + moved < cuts[1], 1).otherwise(2)
+    return [raw.where(part(0) == k).unionByName(raw.where(part(lag * 86400) == k)) for k in range(3)]
+
+
+def swiss_files(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """swiss_raw() as CSV files of three column orders, one of them with a column more; returns their folders."""
+    rows = swiss_raw(spark, sf_dir)
+    orders = [rows.columns, rows.columns[::-1], sorted(rows.columns)]
+    split = F.pmod(F.xxhash64("FAHRT_BEZEICHNER"), F.lit(3))
+    for k, columns in enumerate(orders):
+        if listed(spark, f"{path}/{k}/_SUCCESS"):
+            continue
+        part = rows.where(split == k).select(*([F.lit("x;y").alias("BETREIBER_ABK")] if k == 1 else []), *columns)
+        part.write.mode("overwrite").option("header", True).option("sep", ";").option("emptyValue", "").csv(f"{path}/{k}")
+    return [f"{path}/{k}" for k in range(len(orders))]

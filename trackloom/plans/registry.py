@@ -18,10 +18,11 @@ from trackloom.plans import driver_views as views
 from trackloom.plans import extracts, marts, oracle, quality, reports
 from trackloom.plans.incremental import DailyMarts
 from trackloom.plans.store import Kept, extremes
-from trackloom.sources import staging
+from trackloom.sources import staging, wire
 from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
 from trackloom.streaming.changes import changes, in_scope
-from trackloom.streaming.collector import drop_repeated
+from trackloom.streaming.collector import detect_changes, drop_repeated
+from trackloom.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 SOURCE = "south"
@@ -212,6 +213,25 @@ def _once(r: Rail) -> DataFrame:
     return drop_repeated(r.raw.unionByName(r.raw)).select("trip_id", "start_date", "stop_sequence", "snapshot_timestamp")
 
 
+def _streamed_changes(r: Rail) -> DataFrame:
+    found = replay(r.spark, views.event_reports(r.spark, r.dir), lambda rows: detect_changes(rows, 40, timers=False), r.kept.place("changes"))
+    return found.select(F.col("snapshot_timestamp").alias("event_id"), F.col("trip_id").cast("bigint").alias("user_id"), F.col("schedule_relationship").alias("event_type"))
+
+
+def _streamed_once(r: Rail) -> DataFrame:
+    return replay(r.spark, views.overlapping_writers(r.raw), lambda rows: drop_repeated(rows, "60 days"), r.kept.place("once")).select("trip_id", "start_date", "stop_sequence", "snapshot_timestamp")
+
+
+def _round_trip(r: Rail) -> DataFrame:
+    rows = views.day_polls(r.spark, r.dir)
+    sent = wire.snapshots(rows, wire.number(99, 7) + wire.nested(98, "later"), F.col("snapshot_timestamp") / 86400 % 2 == 0)
+    return wire.decoded(sent)
+
+
+def _swiss_files(r: Rail) -> DataFrame:
+    return staging.swiss_events(staging.swiss_csv(r.spark, views.swiss_files(r.spark, r.dir, r.kept.place("swiss"))))
+
+
 def _check(check: quality.Check) -> Callable[[Rail], DataFrame]:
     return lambda r: quality.verdict(check, r.checked)
 
@@ -284,6 +304,10 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "rep_state_totals": lambda r: reports.state_totals(r.ext_punctuality, SOURCE),
     "rep_line_table": lambda r: reports.line_table(r.ext_punctuality, SOURCE),
     "stream_change_detection": _changes,
+    "stream_changes_replayed": _streamed_changes,
+    "stream_without_repeats": _streamed_once,
+    "src_feed_round_trip": _round_trip,
+    "src_csv_by_name": _swiss_files,
     "stg_swiss_events": lambda r: r.swiss,
     "stg_realtime_reports": lambda r: staging.realtime_reports(r.raw),
     "stg_realtime_messages": lambda r: staging.realtime_messages(r.raw),

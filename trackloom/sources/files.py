@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,27 +20,27 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(x.getPath().toString() for x in files.globStatus(place) or [])
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    files, place = folder(spark, path)
-    stream = files.open(place)
-    try:
-        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
-    finally:
-        stream.close()
-
-
 def csv_by_name(spark: SparkSession, paths: list[str], columns: dict[str, str], sep: str = ",", lenient: bool = False) -> DataFrame:
-    """Text columns of CSV files by name, with `_path`: one read for each distinct header, however many files share it.
+    """Text columns of CSV files by name, with `_path`, in one plan: each row is parsed by its own file's header.
 
-    Spark's reader takes one header for many files and fills columns by position, so files of one header are read together
-    and united by name. A column that a file lacks is an error, or null where `lenient`.
+    Spark's reader takes one header for many files and fills columns by position. Here the lines are read as text; the first of
+    each file is its header, found by an aggregate of one row a file, and joined to the lines by the file. A column
+    that a file lacks is an error when its rows are read, or null where `lenient`. A line equal to its file's header is none
+    of the rows; records don't span lines; a byte-order mark and blanks around names don't count.
     """
-    by_header: dict[str, list[str]] = {}
-    for path in paths:
-        by_header.setdefault(first_line(spark, path), []).append(path)
-    out = spark.createDataFrame([], ", ".join([*(f"{c} {t}" for c, t in columns.items()), "_path string"]))
-    for _, alike in sorted(by_header.items()):
-        rows = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(alike)
-        wanted = (F.lit(None).cast("string").alias(c) if lenient and c not in rows.columns else F.col(c) for c in columns)
-        out = out.unionByName(rows.select(*wanted, F.col("_metadata.file_path").alias("_path")))
-    return out
+    wanted = [F.lit(None).cast("string").alias(c) for c in columns]
+    if not paths:
+        return spark.range(0).select(*wanted, F.lit("").alias("_path"))
+    lines = spark.read.text(paths).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    # within a file's first block, lines are numbered as they stand
+    numbered = lines.where("_block = 0").withColumn("_line", F.monotonically_increasing_id())
+    first = numbered.groupBy("_path").agg(F.min_by("value", "_line").alias("_header"))
+    fields = lambda text, n: F.from_csv(text, F.lit(", ".join(f"c{i} string" for i in range(n))), {"sep": sep, "mode": "PERMISSIVE"})
+    most = first.agg(F.max(F.size(F.split("_header", re.escape(sep))))).first()[0] or 1  # a number
+    array = lambda text: F.array(*(fields(text, most)[f"c{i}"] for i in range(most)))
+    named = first.withColumn("_names", F.transform(array(F.regexp_replace("_header", "^\ufeff", "")), lambda c: F.trim(c)))
+    places = named.withColumns({f"_at{k}": F.array_position("_names", c) for k, c in enumerate(columns)}).drop("_names")
+    rows = lines.join(places, "_path").where(F.col("value") != F.col("_header")).withColumn("_fields", array(F.col("value")))
+    absent = lambda c: F.lit(None).cast("string") if lenient else F.raise_error(F.concat(F.col("_path"), F.lit(f" has no column {c}"))).cast("string")
+    value = lambda k, c: F.when(F.col(f"_at{k}") > 0, F.try_element_at("_fields", F.col(f"_at{k}").cast("int"))).otherwise(absent(c))
+    return rows.select(*(value(k, c).alias(c) for k, c in enumerate(columns)), "_path")
