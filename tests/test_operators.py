@@ -185,3 +185,34 @@ def test_marts_do_not_depend_on_order_and_states_add_up(spark, rows, seed):
         assert sum(r[f"stops_{s}"] for s in marts.STATES) == r["stops_planned"] and r["stops_punctual"] <= r["stops_measured"]
     curve = [r["stops_punctual"] for r in a]
     assert curve == sorted(curve)
+
+
+def test_as_of_join_by_merging(spark):
+    from trackloom.operators.asof import as_of
+
+    rng = random.Random(8)
+    days = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(40)]), n) for n in range(200)]
+    versions = sorted({(rng.choice(["a", "b"]), rng.randrange(40)) for _ in range(30)}) + [(None, 3), ("a", None)]
+    left = spark.createDataFrame(days, "k string, day int, n int").repartition(3)
+    right = spark.createDataFrame([(k, v, f"{k}{v}") for k, v in versions], "k string, v int, x string")
+    found = as_of(left, right, ["k"], "day", "v", ["x"])
+    want = []
+    for k, day, n in days:
+        known = [v for q, v in versions if q == k and k is not None and v is not None and day is not None and v <= day]
+        want.append((k, day, n, max(known, default=None), f"{k}{max(known)}" if known else None))
+    assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(want, found.schema).collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 1
+
+
+def test_an_as_of_join_grows_by_sum(spark):
+    """A trip of many days and many versions: the rows that its window gets are both, not their product."""
+    from datetime import timedelta
+
+    days, n = 300, 200
+    candidates = spark.createDataFrame([(f"t_{i}", "t", DAY + timedelta(i)) for i in range(days)], "trip_key string, trip_id string, service_date date")
+    planned = spark.createDataFrame([(DAY + timedelta(2 * i), "rv", "t", 1, "S", None, 1) for i in range(n)], PLANNED)
+    found = timetable.valid_version(candidates, planned)
+    assert found.count() == days and found.where(F.datediff("static_version", F.lit(DAY)) % 2 == 0).count() == days
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) == 1 and "LeftSemi" in joins[0]  # the timetable shrinks to the trips asked for; nothing else is joined

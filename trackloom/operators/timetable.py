@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.config import DEFAULT, Config
 from trackloom.functions.civil_time import is_final, plus_seconds
 from trackloom.functions.rail import count_where
+from trackloom.operators.asof import as_of
 from trackloom.operators.consolidate import with_names
 
 
@@ -19,14 +20,13 @@ def planned_of(trips: DataFrame, planned: DataFrame) -> DataFrame:
 def valid_version(candidates: DataFrame, planned: DataFrame) -> DataFrame:
     """JOI-02/03, R11: per trip_key the newest timetable version not after its service day, if one feed alone has the trip.
 
-    `planned` shrinks to the trips asked for and to their distinct (trip_id, version, feed) before the join, so the join
-    carries a row for each version of a trip, not for each stop.
+    `planned` shrinks to the trips asked for and to a row for each version of a trip; an as-of join by merging gives each service
+    day its version, so a trip's rows are its versions and its days, never their product.
     """
-    versions = planned_of(candidates, planned).groupBy("trip_id", "static_version").agg(F.min("feed").alias("feed"), F.countDistinct("feed").alias("feeds"))
+    versions = planned_of(candidates, planned).groupBy("trip_id", "static_version").agg(F.min("feed").alias("feed"), (F.min("feed") == F.max("feed")).alias("alone"))
     asked = candidates.select("trip_key", "trip_id", "service_date").distinct()
-    found = asked.join(versions, "trip_id").where("static_version <= service_date")
-    newest = found.groupBy("trip_key").agg(F.max(F.struct("static_version", "feeds", "feed")).alias("v"))
-    return newest.where("v.feeds = 1").select("trip_key", "v.static_version", "v.feed")
+    found = as_of(asked, versions, ["trip_id"], "service_date", "static_version", ["feed", "alone"])
+    return found.where("alone").select("trip_key", "static_version", "feed")
 
 
 def with_valid_stops(candidates: DataFrame, planned: DataFrame) -> DataFrame:
