@@ -263,6 +263,11 @@ FINAL: dict[str, str] = {
   case when l_partkey % 13 <> 0 then d::integer end arrival_delay, case when l_partkey % 11 <> 0 then s + d end arrival_time, case when l_partkey % 17 <> 0 then (d + 30)::integer end departure_delay, s + 120 + d departure_time, case when l_returnflag = 'R' then 'SKIPPED' else 'SCHEDULED' end schedule_relationship, false is_trip_level_only, day_end snapshot_timestamp, day_end + 19 fetched_at
   from sent_ where l_partkey % 19 <> 0
   union all select distinct cast(o_orderkey as varchar), strftime(cast(o_orderdate as date), '%Y%m%d'), cast(o_custkey % 50 as varchar), case when o_orderstatus = 'P' then 'CANCELED' else 'SCHEDULED' end, null::bigint, '', null::integer, null::bigint, null::integer, null::bigint, '', true, day_end, day_end + 19 from sent_ where l_partkey % 19 = 0""",
+    "src_raw_store": """select cast(o_orderkey as varchar) trip_id, strftime(cast(o_orderdate as date), '%Y%m%d') start_date, case when old then null else cast(o_custkey % 50 as varchar) end route_id, case when old then null when o_orderstatus = 'P' and l_partkey % 19 = 0 then 'CANCELED' else 'SCHEDULED' end trip_schedule_relationship, number_ stop_sequence,
+  case when l_suppkey % 9 = 0 then ' ' else 'S' || l_suppkey end stop_id, case when l_partkey % 13 <> 0 then d::integer end arrival_delay, case when l_partkey % 11 <> 0 then s + d end arrival_time, case when l_partkey % 17 <> 0 then (d + 30)::integer end departure_delay, s + 120 + d departure_time,
+  case when l_returnflag = 'R' then 'SKIPPED' else 'SCHEDULED' end schedule_relationship, l_partkey % 19 = 0 is_trip_level_only, at_ snapshot_timestamp, case when l_partkey % 29 <> 0 then at_ + 19 end fetched_at
+  from (select *, coalesce(number_, 0) % 2 = 1 old, 1787270400 + (s + l_partkey % 3600) % 3 * 86400 + (s + l_partkey % 3600) % 4 * 21600 at_ from (select *, case when l_partkey % 19 <> 0 and l_partkey % 23 <> 0 then l_linenumber::bigint end number_ from sent_))
+  where cast(make_timestamp(at_ * 1000000) as date) = date '2026-08-22'""",
     "stg_realtime_messages": f"select 'realtime' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, cancelled trip_cancelled, {_BERLIN.format('snapshot')} snapshot_ts, {_berlin('fetched is not null', 'coalesce(fetched, 0)')} fetched_at from raw_ where alone",
     "stg_realtime_polls": f"select 'realtime' source, {_BERLIN.format('fetched')} fetched_at, {_BERLIN.format('snapshot')} snapshot_ts from raw_ where fetched is not null",
     "stg_realtime_unusable": "select strftime(service_date, '%Y%m%d') start_date, trip_id, count(*) n from raw_ where not alone and stop_sequence is null group by 1, 2",

@@ -6,6 +6,7 @@ Each is a plan over driver_views. Dates and times are returned as text, so that
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from trackloom.plans import extracts, marts, oracle, quality, reports
 from trackloom.plans.incremental import DailyMarts
 from trackloom.plans.store import Kept, extremes
 from trackloom.sources import staging, wire
+from trackloom.sources.files import listed
+from trackloom.sources.rawstore import append_raw, read_raw
 from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
 from trackloom.streaming.changes import changes, in_scope
 from trackloom.streaming.collector import detect_changes, drop_repeated
@@ -232,6 +235,16 @@ def _swiss_files(r: Rail) -> DataFrame:
     return staging.swiss_events(staging.swiss_csv(r.spark, views.swiss_files(r.spark, r.dir, r.kept.place("swiss"))))
 
 
+def _raw_store(r: Rail) -> DataFrame:
+    """The second of three days, of rows that an older writer wrote without routes and relations, and a newer one with a column more."""
+    path, rows = r.kept.place("raw"), views.three_days(r.spark, r.dir)
+    if not listed(r.spark, f"{path}/date=*"):
+        old = F.coalesce(F.col("stop_sequence"), F.lit(0)) % 2 == 1
+        append_raw(rows.where(old).drop("route_id", "trip_schedule_relationship"), path, "old")
+        append_raw(rows.where(~old).withColumn("vehicle", F.lit("v")), path, "new")
+    return read_raw(r.spark, path, date(2026, 8, 22), date(2026, 8, 22))
+
+
 def _check(check: quality.Check) -> Callable[[Rail], DataFrame]:
     return lambda r: quality.verdict(check, r.checked)
 
@@ -307,6 +320,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "stream_changes_replayed": _streamed_changes,
     "stream_without_repeats": _streamed_once,
     "src_feed_round_trip": _round_trip,
+    "src_raw_store": _raw_store,
     "src_csv_by_name": _swiss_files,
     "stg_swiss_events": lambda r: r.swiss,
     "stg_realtime_reports": lambda r: staging.realtime_reports(r.raw),
