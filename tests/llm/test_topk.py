@@ -55,8 +55,9 @@ def test_sortable_totals():
     assert topk.sortable(topk.LEAST + 1) is None and topk.sortable(topk.MOST) is None
 
 
-def test_survivors_reach_the_cutoff():
-    """Exactly the pairs that reach the cutoff are left."""
+@pytest.mark.parametrize("lists", [1, 2, 3, 8])
+def test_survivors_reach_the_cutoff(lists):
+    """Exactly the pairs that reach the cutoff are left, of few that pass the threshold."""
     rng = np.random.default_rng(1)
     v = rng.normal(size=(4000, 64))
     v = topk.scaled(v / np.linalg.norm(v, axis=1)[:, None])
@@ -64,7 +65,9 @@ def test_survivors_reach_the_cutoff():
     total = q @ v.T
     total[np.arange(40), np.arange(40)] = -np.inf
     cutoff = np.sort(total, axis=1)[:, -10]
-    found = topk.survivors(q, v, cutoff, ids[:40], ids, 8)
+    found = topk.survivors(q, v, cutoff, ids[:40], ids, lists)
+    if lists == topk.LISTS:
+        assert topk.passing(q, v, cutoff, lists)[0].mean() < 0.2
     assert sorted(zip(found[0].tolist(), found[1].tolist())) == sorted(map(tuple, np.argwhere(total >= cutoff[:, None]).tolist()))
 
 

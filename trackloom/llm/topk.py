@@ -4,10 +4,10 @@ The dimensions are cut into `lists` stretches; for a query, a stretch ranks all
 it. (1) Each block of vectors gathers the best k entries of one list, the lists by turns, and the totals of those
 few entries alone; the k-th best total seen is a safe cutoff, as k vectors reach it. (2) The cutoff is broadcast
 with the queries. A vector whose total reaches it has a partial score of cutoff / lists at least in some list, so
-each block collects the entries that pass this uniform threshold in the first list, or whose lengths in a
-later stretch still allow it there (Cauchy-Schwarz). (3) For those alone the remaining lists are resolved, one after the
-other; an entry goes as soon as what it has and what the lengths of the rest allow stay under the cutoff. The
-totals that reach it compete, and a task sends its best k a query on.
+each block scores its lists, as products of matrices, and collects the entries that pass this uniform threshold in one of
+them. (3) Those alone are resolved: their totals are compared with the cutoff and compete, and a task sends its best k a
+query on. Few lists prune best: partial scores of unrelated vectors spread as the root of a list's length, the threshold
+as the length itself.
 
 Queries of up to CHUNK_BYTES are broadcast, and no vector moves. More queries are dealt to chunks of that size and
 the vectors to cells of about CELL_BYTES; each chunk meets each cell as one group of a cogroup, so any number of
@@ -36,6 +36,8 @@ from trackloom.llm.common import cut, prepare
 
 CHUNK_BYTES, CELL_BYTES = 16 << 20, 32 << 20
 SCALE = 1024.0
+#: Stretches of dimensions; see above for why they are few.
+LISTS = 2
 #: Numbers held at once, per block of vectors.
 CELLS = 2 << 20
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -177,35 +179,24 @@ def resolve(asked: Asked, batches: Iterator[pa.RecordBatch], k: int, lists: int)
     yield best.rows(asked.ids)
 
 
+def passing(q: np.ndarray, b: np.ndarray, cutoff: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each (query, vector) is over the uniform threshold in some list, and its total."""
+    level = np.floor(cutoff / lists)[:, None]
+    over, total = np.zeros((len(q), len(b)), bool), np.zeros((len(q), len(b)))
+    for a, z in stretches(q.shape[1], lists):
+        local = q[:, a:z] @ b[:, a:z].T
+        over |= local >= level
+        total += local
+    return over, total
+
+
 def survivors(q: np.ndarray, b: np.ndarray, cutoff: np.ndarray, ids: np.ndarray, own: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, total) of the pairs whose totals reach the cutoff."""
-    cuts = stretches(q.shape[1], lists)
-    lengths = [np.stack([np.sqrt((side[:, a:z] ** 2).sum(axis=1)) * (1 + 1e-9) for a, z in cuts], axis=1) for side in (q, b)]
-    score = q[:, : cuts[0][1]] @ b[:, : cuts[0][1]].T
-    over = score >= (cutoff / lists)[:, None]
-    for j in range(1, lists):
-        over |= np.outer(lengths[0][:, j], lengths[1][:, j]) >= (cutoff / lists)[:, None]
-    over &= own[None, :] != ids[:, None]
-    pairs: tuple[np.ndarray, np.ndarray] | None = None
-    for j in range(1, lists + 1):
-        rest = slice(j, lists)
-        if pairs is None:
-            over &= score + lengths[0][:, rest] @ lengths[1][:, rest].T >= cutoff[:, None]
-            if j < lists and np.count_nonzero(over) * 8 > over.size:  # most are left: whole columns
-                a, z = cuts[j]
-                score += q[:, a:z] @ b[:, a:z].T
-                continue
-            pairs = np.nonzero(over)
-            score = score[pairs]
-        else:
-            keep = score + (lengths[0][pairs[0], rest] * lengths[1][pairs[1], rest]).sum(axis=1) >= cutoff[pairs[0]]
-            pairs, score = (pairs[0][keep], pairs[1][keep]), score[keep]
-        if j < lists:
-            a, z = cuts[j]
-            for part in range(0, len(score), 1 << 14):
-                x, y = pairs[0][part : part + (1 << 14)], pairs[1][part : part + (1 << 14)]
-                score[part : part + (1 << 14)] += np.einsum("ij,ij->i", q[x, a:z], b[y, a:z])
-    return pairs[0], pairs[1], score.astype(np.int64)
+    """(query, vector, total) of the pairs whose totals reach the cutoff: those over the threshold in some list, resolved."""
+    over, total = passing(q, b, cutoff, lists)
+    pairs = np.nonzero(over & (own[None, :] != ids[:, None]))
+    score = total[pairs]
+    keep = score >= cutoff[pairs[0]]
+    return pairs[0][keep], pairs[1][keep], score[keep].astype(np.int64)
 
 
 def wide_totals(best: Best, asked: Asked, rows: np.ndarray, asks: np.ndarray, own: np.ndarray, block: np.ndarray) -> None:
@@ -219,7 +210,7 @@ def wide_totals(best: Best, asked: Asked, rows: np.ndarray, asks: np.ndarray, ow
         best.add_wide(r, ((int(n), int(i)) for n, i in zip(total.tolist(), own.tolist(), strict=True) if i != asked.ids[r] and (low is None or n >= low)))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = 8) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LISTS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of `vectors` (vec_id, embedding) for each of `queries`, but itself."""
     prepare(vectors.sparkSession)
     vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
