@@ -155,23 +155,24 @@ class Heartbeat(StreamingQueryListener):
 CHANGED = "collected"
 
 
-def land(spark: SparkSession, options: dict[str, str], landing: str, checkpoint: str, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True):
+def land(spark: SparkSession, options: dict[str, str], landing: str, checkpoint: str, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True, files: int = 1):
     """STR-01: the query `collector`: a poll each interval, scope, change detection; each poll's changed rows as files of their own.
 
-    The batch is written in one go, so its state is updated once; one that runs again replaces its files. The session needs RocksDB state (STATE_STORE).
+    The batch is written in one go, so its state is updated once; one that runs again replaces its files. A poll lands in `files`
+    files at most, one for a regional feed's few hundred rows; a national one takes more. The session needs RocksDB state (STATE_STORE).
     """
     spark.dataSource.register(FeedSource)
     polled = spark.readStream.format(FeedSource.name()).options(**options).load()
     changed = detect_changes(polled, idle, poll_interval, timers).observe(CHANGED, F.count(F.lit(1)).alias("changed"))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{landing}/batch={number}")
+        batch.coalesce(files).write.mode("overwrite").option("compression", "zstd").parquet(f"{landing}/batch={number}")
 
     return changed.writeStream.queryName("collector").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime=f"{poll_interval} seconds").start()
 
 
-def flush(spark: SparkSession, landing: str, path: str, checkpoint: str, trigger: dict | None = None):
-    """SNK-01, STR-04/05: landed rows under date= and hour= of the flush, a file each; nothing landed, no file.
+def flush(spark: SparkSession, landing: str, path: str, checkpoint: str, trigger: dict | None = None, files: int = 1):
+    """SNK-01, STR-04/05: landed rows under date= and hour= of the flush, in `files` files at most; nothing landed, no file.
 
     Spark aligns the trigger to the clock's full hours, whatever a flush takes. With trigger={"availableNow": True} it
     flushes what is there and ends, as at a shutdown. Landed files go once they are flushed.
@@ -181,17 +182,17 @@ def flush(spark: SparkSession, landing: str, path: str, checkpoint: str, trigger
     place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)  # the first poll may come later
     rows = spark.readStream.schema(columns).option("recursiveFileLookup", True).option("cleanSource", "delete").parquet(landing)
     now = F.current_timestamp()
-    parts = rows.withColumn("date", F.date_format(now, "yyyy-MM-dd")).withColumn("hour", F.date_format(now, "HH")).coalesce(1)
+    parts = rows.withColumn("date", F.date_format(now, "yyyy-MM-dd")).withColumn("hour", F.date_format(now, "HH")).coalesce(files)
     return parts.writeStream.queryName("flush").format("parquet").partitionBy("date", "hour").option("compression", "zstd").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"processingTime": "1 hour"})).start()
 
 
-def collect(spark: SparkSession, options: dict[str, str], data: str, heartbeat: str, **more):
+def collect(spark: SparkSession, options: dict[str, str], data: str, heartbeat: str, files: int = 1, **more):
     """The collector: land() and flush() under `data`, with a heartbeat. Returns both queries; stop() flushes what has landed."""
     for key, value in STATE_STORE.items():
         spark.conf.set(key, value)
     spark.streams.addListener(Heartbeat(heartbeat))
-    landed = land(spark, options, f"{data}/landing", f"{data}/checkpoints/collector", **more)
-    return landed, flush(spark, f"{data}/landing", f"{data}/raw", f"{data}/checkpoints/flush")
+    landed = land(spark, options, f"{data}/landing", f"{data}/checkpoints/collector", files=files, **more)
+    return landed, flush(spark, f"{data}/landing", f"{data}/raw", f"{data}/checkpoints/flush", files=files)
 
 
 def stop(spark: SparkSession, queries, data: str) -> None:
