@@ -42,8 +42,9 @@ def as_text(df: DataFrame) -> DataFrame:
 class Rail:
     """The relations of one folder, built on demand; lazy, so a query reads what it needs.
 
-    Consolidated stops, the run detail and the marts are materialised once for a state of the folder, as in a daily build;
-    extracts, reports and checks read these tables.
+    Consolidated stops, the run detail and the marts are materialised once for a state of the folder, as in a daily build();
+    extracts, reports and checks read these tables, and make them where they are missing. A mart's own query reads them
+    only where they are there already (`seen`, `detail`): by itself it is quicker in one plan.
     """
 
     KEPT = ("consolidated", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "collection")
@@ -75,25 +76,33 @@ class Rail:
     def make_consolidated(self):
         return consolidate.consolidate(self.reports)
 
+    def make_seen(self):
+        """Consolidated stops: kept ones, else within the plan."""
+        return self.consolidated if self.kept.has("consolidated") else self.make_consolidated()
+
+    def make_detail(self):
+        """The run detail: the kept one, else within the plan."""
+        return self.runs if self.kept.has("runs") else self.make_runs()
+
     def make_observed(self):
-        return consolidate.with_names(self.consolidated, self.stop_names, self.line_names)
+        return consolidate.with_names(self.seen, self.stop_names, self.line_names)
 
     def make_cancelled(self):
-        return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.consolidated, self.planned, self.stop_names, self.line_names)
+        return timetable.cancelled_stops(views.messages(self.spark, self.dir), self.seen, self.planned, self.stop_names, self.line_names)
 
     def make_events(self):
         """Both kinds of rows first, so that the names are joined once."""
-        rows = timetable.cancelled_rows(views.messages(self.spark, self.dir), self.consolidated, self.planned)
-        return sections.stop_events(consolidate.with_names(self.consolidated.unionByName(rows), self.stop_names, self.line_names))
+        rows = timetable.cancelled_rows(views.messages(self.spark, self.dir), self.seen, self.planned)
+        return sections.stop_events(consolidate.with_names(self.seen.unionByName(rows), self.stop_names, self.line_names))
 
     def make_runs(self):
         return marts.run_detail(self.events)
 
     def make_coverage(self):
-        return timetable.run_coverage(self.consolidated, self.planned)
+        return timetable.run_coverage(self.seen, self.planned)
 
     def make_candidates(self):
-        runs = self.consolidated.groupBy("service_date", "trip_key", "trip_id").agg(F.bool_and("stop_skipped").alias("a"), F.bool_or("trip_cancelled").alias("b"))
+        runs = self.seen.groupBy("service_date", "trip_key", "trip_id").agg(F.bool_and("stop_skipped").alias("a"), F.bool_or("trip_cancelled").alias("b"))
         return runs.where("a and not b").select("service_date", "trip_key", "trip_id")
 
     def make_origin(self):
@@ -192,7 +201,7 @@ def _plausible(r: Rail) -> DataFrame:
 
 
 def _derived_sequence(r: Rail) -> DataFrame:
-    timed = r.consolidated.where("coalesce(sched_arr, sched_dep) is not null").withColumn("raw_sequence", F.col("stop_sequence"))
+    timed = r.seen.where("coalesce(sched_arr, sched_dep) is not null").withColumn("raw_sequence", F.col("stop_sequence"))
     return sections.derive_sequence(timed).select("source", "trip_key", "raw_sequence", "stop_sequence")
 
 
@@ -271,13 +280,13 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "win_poll_gaps": lambda r: r.polled,
     "consolidated_stops": lambda r: r.make_consolidated(),
     "stop_events": lambda r: r.events,
-    "stop_states": lambda r: marts.stop_states(r.runs).select("source", "trip_key", "stop_no", "has_arrival", "state"),
+    "stop_states": lambda r: marts.stop_states(r.detail).select("source", "trip_key", "stop_no", "has_arrival", "state"),
     "mart_run_detail": lambda r: r.make_runs(),
-    "mart_delay_origin": lambda r: r.make_origin(),
-    "mart_bottlenecks": lambda r: r.make_bottlenecks(),
-    "mart_buffer_balance": lambda r: r.make_buffer(),
-    "mart_punctuality": lambda r: r.make_punctuality(),
-    "mart_data_quality": lambda r: r.make_quality(),
+    "mart_delay_origin": lambda r: marts.delay_origin(r.detail),
+    "mart_bottlenecks": lambda r: marts.bottlenecks(r.detail),
+    "mart_buffer_balance": lambda r: marts.buffer_balance(r.detail),
+    "mart_punctuality": lambda r: marts.punctuality(r.detail, r.coverage),
+    "mart_data_quality": lambda r: marts.data_quality(r.detail),
     "mart_collection": lambda r: r.make_collection(),
     "ext_sections": lambda r: r.ext_sections,
     "ext_collection": lambda r: r.ext_collection,
@@ -342,6 +351,14 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
 PLANS |= {f"dq_{c.name}": _check(c) for c in quality.CHECKS}
 
 
+def build(spark: SparkSession, sf_dir: str) -> Rail:
+    """A daily build: the kept tables in the order that they need each other, those that are there already left alone."""
+    rail = Rail(spark, sf_dir)
+    for name in Rail.KEPT:
+        getattr(rail, name)
+    return rail
+
+
 def _query(plan: Callable[[Rail], DataFrame]) -> Query:
     return lambda spark, sf_dir: as_text(plan(Rail(spark, sf_dir)))
 

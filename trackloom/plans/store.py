@@ -56,6 +56,9 @@ class Kept:
             Kept._written.add(path)
         return self.spark.read.parquet(path)
 
+    def has(self, name: str) -> bool:
+        return Kept._made.get((*self.key, name)) in Kept._written
+
     def place(self, name: str) -> str:
         """A folder of this state for a table, which goes when the process ends."""
         key = *self.key, name
