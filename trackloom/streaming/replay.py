@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackloom.session import ship
 from trackloom.sources.files import folder
 from trackloom.streaming.collector import STATE_STORE
 
@@ -16,6 +17,7 @@ def replay(spark: SparkSession, parts: Iterable[DataFrame], transform: Callable[
     Each part is a stop and a restart: its query reads what has landed since the checkpoint, keeps its state there and ends. A
     replay that was broken off goes on where it stood, as landed parts and the checkpoint stay.
     """
+    ship(spark)
     before = {key: spark.conf.get(key, None) for key in STATE_STORE}
     for key, value in STATE_STORE.items():
         spark.conf.set(key, value)
