@@ -216,3 +216,18 @@ def test_an_as_of_join_grows_by_sum(spark):
     assert found.count() == days and found.where(F.datediff("static_version", F.lit(DAY)) % 2 == 0).count() == days
     joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
     assert len(joins) == 1 and "LeftSemi" in joins[0]  # the timetable shrinks to the trips asked for; nothing else is joined
+
+
+def test_distinct_counts_add_up_over_days(spark):
+    from trackloom.operators import distinct
+
+    rng = random.Random(4)
+    rows = [(d, rng.choice("xy"), rng.choice([None, *range(90_000)]), rng.randrange(3)) for d in range(6) for _ in range(300)]
+    df = spark.createDataFrame(rows, "day int, line string, a int, b int")
+    first = distinct.number(df.where("day < 3"), ["a", "b"])
+    more = distinct.number(df, ["a", "b"], first)
+    both = first.unionByName(more).collect()
+    assert len({r["id"] for r in both}) == len(both) == len({(a, b) for _, _, a, b in rows if a is not None}) and min(r["id"] for r in both) == 1
+    sets = distinct.daily_sets(df, first.unionByName(more.withColumn("id", F.col("id") + 70_000)), ["day", "line"], ["a", "b"])  # over several bitmaps
+    got = {(r["line"], r["distinct"]) for r in distinct.merged_count(sets.where("day between 2 and 4"), ["line"]).collect()}
+    assert got == {(x, len({(a, b) for d, line, a, b in rows if line == x and 2 <= d <= 4 and a is not None})) for x in "xy"}

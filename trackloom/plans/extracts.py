@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.config import DEFAULT, Config
 from trackloom.functions.rail import NO_LINE, arrow, label, total
+from trackloom.operators.distinct import merged_count
 
 
 def last_days(df: DataFrame, day: str, n: int) -> DataFrame:
@@ -54,6 +55,16 @@ def buffer_lines(mart: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return recent.groupBy("source", "line").agg(F.countDistinct(arrow(F.col("from_label"), F.col("to_label"))).alias("sections"), *(total(F.col(c)).alias(c) for c in BUFFER if c not in ("gained", "unchanged")))
 
 
+def buffer_lines_of_state(mart: DataFrame, sets: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """EXT-4, AGG-21 over increments: sums from the mart's days, distinct sections from these days' sets, which merge exactly."""
+    recent = last_days(mart, "service_date", config.window_days)
+    lined = lambda df: df.withColumn("line", F.coalesce("line", F.lit(NO_LINE)))
+    sums = lined(recent).groupBy("source", "line").agg(*(total(F.col(c)).alias(c) for c in BUFFER if c not in ("gained", "unchanged")))
+    of_days = sets.join(recent.select("source", "service_date").distinct(), ["source", "service_date"], "left_semi")  # the mart's days: a day may have no set
+    counted = merged_count(lined(of_days), ["source", "line"])
+    return sums.join(counted, ["source", "line"], "left").withColumn("sections", F.coalesce("distinct", F.lit(0)).cast("bigint")).drop("distinct")
+
+
 def buffer_sections(mart: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """EXT-5: the last days by line and section, for the busiest sections."""
     recent = last_days(mart, "service_date", config.window_days).withColumn("line", F.coalesce("line", F.lit(NO_LINE)))

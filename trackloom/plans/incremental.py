@@ -15,19 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.config import DEFAULT, Config
-from trackloom.operators import consolidate, polls, sections, timetable
+from trackloom.operators import consolidate, distinct, polls, sections, timetable
 from trackloom.plans import marts
 from trackloom.plans.periods import PeriodTable, period_of
+from trackloom.sources.files import listed
 
-BY_SERVICE_DAY = ("reports", "messages", "consolidated", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality")
+BY_SERVICE_DAY = ("reports", "messages", "consolidated", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "line_sections")
 DAYS = dict.fromkeys(BY_SERVICE_DAY, "service_date") | {"polls": "fetched_at", "ends": "last_poll", "collection": "calendar_day"}
 
 
+SECTION = ("source", "from_label", "to_label")
+
+
 class DailyMarts:
     """The tables of one folder by name; `planned`, `stop_names` and `line_names` are the timetable's relations."""
 
     def __init__(self, spark: SparkSession, path: str, planned: DataFrame, stop_names: DataFrame, line_names: DataFrame, unit: str = "day", config: Config = DEFAULT):
-        self.spark, self.unit, self.config = spark, unit, config
+        self.spark, self.path, self.unit, self.config = spark, path, unit, config
         self.planned, self.stop_names, self.line_names = planned, stop_names, line_names
         self.tables = {name: PeriodTable(spark, f"{path}/{name}", day, unit) for name, day in DAYS.items()}
 
@@ -58,9 +62,22 @@ class DailyMarts:
         put("origin", marts.delay_origin(runs))
         put("bottlenecks", marts.bottlenecks(runs))
         put("buffer", marts.buffer_balance(runs, self.config))
+        buffer = self.read("buffer", periods, start)
+        put("line_sections", distinct.daily_sets(buffer, self.numbered(buffer), ["service_date", "source", "line"], list(SECTION)))
         put("punctuality", marts.punctuality(runs, timetable.run_coverage(seen, self.planned), self.config))
         put("quality", marts.data_quality(runs))
 
+    def numbered(self, rows: DataFrame) -> DataFrame:
+        """AGG-21: the sections of the network with their numbers, those of `rows` that are new added behind the known ones.
+
+        A number never changes, so sets of earlier days stay valid. The dictionary has a row for each section, not for each day.
+        """
+        path = f"{self.path}/sections"
+        known = self.spark.read.parquet(path) if listed(self.spark, f"{path}/*.parquet") else None
+        new = distinct.number(rows, list(SECTION), known)
+        new.write.mode("append").parquet(path)
+        return self.spark.read.parquet(path)
+
     def load_polls(self, rows: DataFrame) -> date | None:
         """An increment of polls (source, fetched_at, snapshot_ts); polls that are known already change nothing. Returns the first period built."""
         fresh = rows.where("fetched_at is not null")

@@ -342,6 +342,7 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "fn_boundaries": _boundaries,
     "str_without_repeats": _once,
     **{f"inc_{query}": lambda r, name=name: r.incremental.read(name) for query, name in INCREMENTAL.items()},
+    "inc_ext_buffer_lines": lambda r: extracts.buffer_lines_of_state(r.incremental.read("buffer"), r.incremental.read("line_sections"), WIDE),
     "srt_run_table": lambda r: reports.ordered(r.ext_runs, "source", "service_date", "trip_key", "stop_no"),
     "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
     "dq_previous_stop": lambda r: quality.previous_stop(r.runs),
