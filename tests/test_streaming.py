@@ -153,3 +153,15 @@ def test_scope_filter_is_by_trip(spark):
 def test_repeated_rows(spark):
     df = spark.createDataFrame([("t", "d", 1, 5)] * 3 + [("t", "d", 1, 6)], "trip_id string, start_date string, stop_sequence bigint, snapshot_timestamp bigint")
     assert collector.drop_repeated(df).count() == 2
+
+
+def test_heartbeats_are_kept_by_day(spark, tmp_path):
+    beats = [{"polled_at": 1787270400 + 1800 * i, "resident_kb": 1, "feed_age_seconds": 10 + i, "changed_count": i % 2, "tracked_keys": i} for i in range(5)]
+    beats[3] = {"polled_at": beats[3]["polled_at"], "error": "status 503"}
+    for b in [*beats, beats[-1], {"polled_at": 1787270399, "changed_count": 3}]:
+        collector.log_heartbeat(tmp_path / "log", **b)
+    assert sorted(p.name for p in (tmp_path / "log").iterdir()) == ["2026-08-20.jsonl", "2026-08-21.jsonl"]
+    got = collector.heartbeats(spark, f"{tmp_path}/log")
+    assert got.count() == 6 and got.where("error is not null and changed_count is null").count() == 1
+    hours = {str(r["hour_begin"])[11:13]: (r["polls"], r["failed"], r["unchanged"], r["feed_age_max_s"]) for r in collector.heartbeat_hours(got).collect()}
+    assert hours == {"23": (1, 0, 0, None), "00": (2, 0, 1, 11), "01": (2, 1, 1, 12), "02": (1, 0, 1, 14)}

@@ -110,14 +110,41 @@ def write_heartbeat(path: str | Path, **values) -> None:
     os.replace(made, path)
 
 
+#: A heartbeat as a row. A failed poll has its error and no counts.
+HEARTBEAT = "polled_at bigint, error string, feed_timestamp bigint, feed_age_seconds bigint, entity_count bigint, in_scope_count bigint, changed_count bigint, tracked_keys bigint, resident_kb bigint"
+
+
+def log_heartbeat(folder: str | Path, **values) -> None:
+    """Adds a heartbeat to its day's file, one JSON line written at once."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    day = time.strftime("%Y-%m-%d", time.gmtime(values["polled_at"]))
+    with open(Path(folder) / f"{day}.jsonl", "a", encoding="utf-8") as f:
+        f.write(json.dumps(values) + "\n")
+
+
+def heartbeats(spark: SparkSession, folder: str) -> DataFrame:
+    """All logged heartbeats, failed polls among them; of a poll that was told twice, as after a restart, one."""
+    return spark.read.schema(HEARTBEAT).json(folder).dropDuplicates(["polled_at"])
+
+
+def heartbeat_hours(beats: DataFrame) -> DataFrame:
+    """Polls by hour as the collector tells of them, to hold the collection mart against, which knows polls by their rows alone."""
+    at = F.timestamp_seconds("polled_at").cast("timestamp_ntz")
+    failed = F.col("error").isNotNull()
+    return beats.groupBy(F.date_trunc("hour", at).cast("timestamp_ntz").alias("hour_begin")).agg(
+        F.count(F.lit(1)).alias("polls"), F.count_if(failed).alias("failed"), F.count_if(~failed & (F.coalesce("changed_count", F.lit(0)) == 0)).alias("unchanged"), F.max("feed_age_seconds").alias("feed_age_max_s"), F.max("tracked_keys").alias("tracked_keys_max")
+    )
+
+
 class Heartbeat(StreamingQueryListener):
     """SNK-02, STR-07/08: writes a heartbeat after each poll of one query, from the poll's offset and what the query observed.
 
     A failed poll's has the error, and no counts, so that it can't pass for one without delays. Other queries of the session are passed over.
     """
 
-    def __init__(self, path: str, query: str = "collector"):
-        self.path, self.query, self.ids, self.last = path, query, set(), {}
+    def __init__(self, path: str, query: str = "collector", log: str | None = None):
+        """`log` is a folder that keeps every heartbeat of a poll, for heartbeats()."""
+        self.path, self.query, self.ids, self.last, self.log = path, query, set(), {}, log
 
     def onQueryStarted(self, event) -> None:
         if event.name == self.query:
@@ -149,7 +176,10 @@ class Heartbeat(StreamingQueryListener):
             self._write(error=event.exception)
 
     def _write(self, **more) -> None:
-        write_heartbeat(self.path, **{"polled_at": int(time.time()), "resident_kb": resident_kb(), **self.last, **more})
+        told = {"polled_at": int(time.time()), "resident_kb": resident_kb(), **self.last, **more}
+        write_heartbeat(self.path, **told)
+        if self.log:
+            log_heartbeat(self.log, **told)
 
 
 CHANGED = "collected"
@@ -187,10 +217,10 @@ def flush(spark: SparkSession, landing: str, path: str, checkpoint: str, trigger
 
 
 def collect(spark: SparkSession, options: dict[str, str], data: str, heartbeat: str, files: int = 1, **more):
-    """The collector: land() and flush() under `data`, with a heartbeat. Returns both queries; stop() flushes what has landed."""
+    """The collector: land() and flush() under `data`, with a heartbeat, all of which are logged beside it. Returns both queries; stop() flushes what has landed."""
     for key, value in STATE_STORE.items():
         spark.conf.set(key, value)
-    spark.streams.addListener(Heartbeat(heartbeat))
+    spark.streams.addListener(Heartbeat(heartbeat, log=f"{heartbeat}.log"))
     landed = land(spark, options, f"{data}/landing", f"{data}/checkpoints/collector", files=files, **more)
     return landed, flush(spark, f"{data}/landing", f"{data}/raw", f"{data}/checkpoints/flush", files=files)
 
