@@ -78,11 +78,11 @@ class Rail:
 
     def make_seen(self):
         """Consolidated stops: kept ones, else within the plan."""
-        return self.consolidated if self.kept.has("consolidated") else self.make_consolidated()
+        return self.consolidated if Kept.any() and self.kept.has("consolidated") else self.make_consolidated()
 
     def make_detail(self):
         """The run detail: the kept one, else within the plan."""
-        return self.runs if self.kept.has("runs") else self.make_runs()
+        return self.runs if Kept.any() and self.kept.has("runs") else self.make_runs()
 
     def make_observed(self):
         return consolidate.with_names(self.seen, self.stop_names, self.line_names)

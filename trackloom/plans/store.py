@@ -70,6 +70,11 @@ class Kept:
             Kept._made[key] = path
         return Kept._made[key]
 
+    @staticmethod
+    def any() -> bool:
+        """Whether this process has written any table; if not, no state needs to be known."""
+        return bool(Kept._written)
+
     @staticmethod
     def forget(spark: SparkSession) -> None:
         """Removes all kept tables of this process."""
