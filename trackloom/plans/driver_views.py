@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.civil_time import plus_seconds
 from trackloom.functions.rail import trip_key
 from trackloom.operators.consolidate import reconstruct_schedule
+from trackloom.sources.archives import zipped
 from trackloom.sources.files import listed
 from trackloom.sources.timetable import label_dictionary, planned_stops
 
@@ -86,11 +89,16 @@ def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stops.select("static_version", "feed", F.col("o_orderkey").cast("string").alias("trip_id"), F.col("n").cast("bigint").alias("stop_sequence"), stop.alias("stop_id"), F.when(F.col("n") > 1, at).alias("arrival_s"), (at + 120).alias("departure_s"))
 
 
-def planned_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by way of a timetable's text, as a feed delivers it."""
+def planned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """planned() with the columns of a timetable's text, times as hours, minutes and seconds."""
     clock = lambda s: F.concat(F.lpad(F.floor(s / 3600).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.floor(s / 60 % 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((s % 60).cast("string"), 2, "0"))
     rows = planned(spark, sf_dir)
-    return planned_stops(rows.select("static_version", "feed", "trip_id", F.col("stop_sequence").cast("string").alias("stop_sequence"), "stop_id", F.coalesce(clock(F.col("arrival_s")), F.lit("")).alias("arrival_time"), clock(F.col("departure_s")).alias("departure_time")))
+    return rows.select("static_version", "feed", "trip_id", F.col("stop_sequence").cast("string").alias("stop_sequence"), "stop_id", F.coalesce(clock(F.col("arrival_s")), F.lit("")).alias("arrival_time"), clock(F.col("departure_s")).alias("departure_time"))
+
+
+def planned_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of a timetable's text, as a feed delivers it."""
+    return planned_stops(planned_text(spark, sf_dir))
 
 
 def static_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,3 +207,25 @@ def three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw realtime rows as fetched on three days, at four hours each; a fetch that isn't known is read off the snapshot."""
     at = 1787270400 + F.col("snapshot_timestamp") % 3 * 86400 + F.col("snapshot_timestamp") % 4 * 21600
     return realtime_raw(spark, sf_dir).withColumn("fetched_at", F.when(F.col("fetched_at").isNotNull(), at + 19)).withColumn("snapshot_timestamp", at)
+
+
+#: First lines of a timetable's members by feed: one feed has its columns the other way round, one column more and a byte-order mark.
+TIMETABLE = {"stop_times.txt": ["trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time"], "trips.txt": ["trip_id", "route_id"], "routes.txt": ["route_id", "route_short_name"], "stops.txt": ["stop_id", "stop_name"]}
+HEADERS = {"rv": {m: ",".join(c) for m, c in TIMETABLE.items()}, "fv": {m: "\ufeff" + ",".join(["note", *c[::-1]]) for m, c in TIMETABLE.items()}}
+
+
+def timetable_zips(spark: SparkSession, sf_dir: str, most: int = 1_000_000) -> DataFrame:
+    """planned() as zipped timetables: one for each version and feed, or several of about `most` stops where there are more."""
+    stops = planned_text(spark, sf_dir)
+    sizes = stops.groupBy("static_version", "feed").agg(F.expr(f"count(1) div {most} + 1").alias("parts"))
+    dealt = stops.join(sizes, ["static_version", "feed"]).withColumn("part", F.pmod(F.xxhash64("trip_id"), F.col("parts")).cast("int")).drop("parts")
+    key = ["static_version", "feed", "part"]
+    routes = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("trip_id"), (F.col("o_custkey") % 50).cast("string").alias("route_id"))
+    trips = dealt.select(*key, "trip_id").distinct().join(routes, "trip_id")
+    members = {
+        "stop_times.txt": dealt, "trips.txt": trips, "stops.txt": dealt.select(*key, "stop_id").distinct().withColumn("stop_name", F.concat(F.lit("Stop, "), F.col("stop_id"))),
+        "routes.txt": trips.select(*key, "route_id").distinct().withColumn("route_short_name", F.concat(F.lit("L"), F.col("route_id"))),
+    }
+    line = lambda c: F.when(F.col("feed") == "rv", F.to_csv(F.struct(*c))).otherwise(F.concat(F.lit("x,"), F.to_csv(F.struct(*c[::-1]))))
+    lines = [rows.select(*key, F.lit(m).alias("member"), line(TIMETABLE[m]).alias("line")) for m, rows in members.items()]
+    return zipped(reduce(DataFrame.unionByName, lines), HEADERS)

@@ -268,6 +268,9 @@ FINAL: dict[str, str] = {
   case when l_returnflag = 'R' then 'SKIPPED' else 'SCHEDULED' end schedule_relationship, l_partkey % 19 = 0 is_trip_level_only, at_ snapshot_timestamp, case when l_partkey % 29 <> 0 then at_ + 19 end fetched_at
   from (select *, coalesce(number_, 0) % 2 = 1 old, 1787270400 + (s + l_partkey % 3600) % 3 * 86400 + (s + l_partkey % 3600) % 4 * 21600 at_ from (select *, case when l_partkey % 19 <> 0 and l_partkey % 23 <> 0 then l_linenumber::bigint end number_ from sent_))
   where cast(make_timestamp(at_ * 1000000) as date) = date '2026-08-22'""",
+    "src_timetable_archive": """select p.static_version, p.feed, p.trip_id, p.stop_sequence, p.stop_id, 'Stop, ' || p.stop_id stop_name, 'L' || (o.o_custkey % 50) line, p.arrival_s, p.departure_s
+  from planned_ p join orders o on cast(o.o_orderkey as varchar) = p.trip_id""",
+    "src_timetable_as_of": "select * from planned_ p where static_version = (select max(q.static_version) from planned_ q where q.feed = p.feed and q.static_version <= date '1995-06-17')",
     "stg_realtime_messages": f"select 'realtime' source, service_date, cast(service_date as varchar) || '_' || trip_id trip_key, trip_id, cancelled trip_cancelled, {_BERLIN.format('snapshot')} snapshot_ts, {_berlin('fetched is not null', 'coalesce(fetched, 0)')} fetched_at from raw_ where alone",
     "stg_realtime_polls": f"select 'realtime' source, {_BERLIN.format('fetched')} fetched_at, {_BERLIN.format('snapshot')} snapshot_ts from raw_ where fetched is not null",
     "stg_realtime_unusable": "select strftime(service_date, '%Y%m%d') start_date, trip_id, count(*) n from raw_ where not alone and stop_sequence is null group by 1, 2",
@@ -296,6 +299,8 @@ TEXTS: dict[str, str] = {
     "prj_reconstructed_schedule": "snapshot_ts sched_arr sched_dep",
     "prj_plausible_reports": "snapshot_ts",
     "prj_timetable_seconds": "static_version",
+    "src_timetable_archive": "static_version",
+    "src_timetable_as_of": "static_version",
     "prj_wall_clock": "local_time",
     "prj_path_origin": "static_version",
     "join_lines_of_trips": "static_version",

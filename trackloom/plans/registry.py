@@ -20,9 +20,10 @@ from trackloom.plans import extracts, marts, oracle, quality, reports
 from trackloom.plans.incremental import DailyMarts
 from trackloom.plans.store import Kept, extremes
 from trackloom.sources import staging, wire
+from trackloom.sources.archives import publish, valid_on
 from trackloom.sources.files import listed
 from trackloom.sources.rawstore import append_raw, read_raw
-from trackloom.sources.timetable import label_dictionaries, lines_of_trips, path_origin
+from trackloom.sources.timetable import backfill, label_dictionaries, lines_of_trips, path_origin, planned_stops, static_csv, static_stop_times
 from trackloom.streaming.changes import changes, in_scope
 from trackloom.streaming.collector import detect_changes, drop_repeated
 from trackloom.streaming.replay import replay
@@ -32,6 +33,8 @@ SOURCE = "south"
 #: The driver's trips lie thinly over seven years, so the extracts take a year.
 WIDE = Config(window_days=365)
 MIN_RUNS = 1
+#: A day whose timetables are read.
+AS_OF = date(1995, 6, 17)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -254,6 +257,32 @@ def _raw_store(r: Rail) -> DataFrame:
     return read_raw(r.spark, path, date(2026, 8, 22), date(2026, 8, 22))
 
 
+def _published(r: Rail) -> str:
+    """The archive of timetables, published in two goes: the first without derived files, the second with all versions again. What the first lacks is made later."""
+    base = r.kept.place("timetables")
+    if not listed(r.spark, f"{base}/_SUCCESS"):
+        zips = r.kept.table("zips", lambda: views.timetable_zips(r.spark, r.dir))
+        publish(r.spark, zips.where("month(static_version) <= 6"), base, derive=False)
+        publish(r.spark, zips, base)
+        backfill(r.spark, base)
+        r.spark.range(0).write.mode("append").parquet(base)  # all is there
+    return base
+
+
+def _archived(r: Rail) -> DataFrame:
+    """Planned stops of all versions with names and lines, from the archive's four members."""
+    base, at = _published(r), ["static_version", "feed"]
+    member = lambda name, *columns: static_csv(r.spark, base, name, dict.fromkeys(columns, "string")).distinct()
+    lines = lines_of_trips(member("trips.txt", "trip_id", "route_id"), member("routes.txt", "route_id", "route_short_name"))
+    named = planned_stops(static_stop_times(r.spark, base)).join(member("stops.txt", "stop_id", "stop_name"), [*at, "stop_id"], "left")
+    return named.join(lines, [*at, "trip_id"], "left").select(*at, "trip_id", "stop_sequence", "stop_id", "stop_name", "line", "arrival_s", "departure_s")
+
+
+def _as_of(r: Rail) -> DataFrame:
+    base = _published(r)
+    return planned_stops(static_stop_times(r.spark, base, valid_on(r.spark, base, AS_OF)))
+
+
 def _check(check: quality.Check) -> Callable[[Rail], DataFrame]:
     return lambda r: quality.verdict(check, r.checked)
 
@@ -331,6 +360,8 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "src_feed_round_trip": _round_trip,
     "src_raw_store": _raw_store,
     "src_csv_by_name": _swiss_files,
+    "src_timetable_archive": _archived,
+    "src_timetable_as_of": _as_of,
     "stg_swiss_events": lambda r: r.swiss,
     "stg_realtime_reports": lambda r: staging.realtime_reports(r.raw),
     "stg_realtime_messages": lambda r: staging.realtime_messages(r.raw),

@@ -26,12 +26,12 @@ def csv_by_name(spark: SparkSession, paths: list[str], columns: dict[str, str],
     Spark's reader takes one header for many files and fills columns by position. Here the lines are read as text; the first of
     each file is its header, found by an aggregate of one row a file, and joined to the lines by the file. A column
     that a file lacks is an error when its rows are read, or null where `lenient`. A line equal to its file's header is none
-    of the rows; records don't span lines; a byte-order mark and blanks around names don't count.
+    of the rows; a path may be a folder of files, at any depth; records don't span lines; a byte-order mark and blanks around names don't count.
     """
     wanted = [F.lit(None).cast("string").alias(c) for c in columns]
     if not paths:
         return spark.range(0).select(*wanted, F.lit("").alias("_path"))
-    lines = spark.read.text(paths).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    lines = spark.read.text(paths, recursiveFileLookup=True).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
     # within a file's first block, lines are numbered as they stand
     numbered = lines.where("_block = 0").withColumn("_line", F.monotonically_increasing_id())
     first = numbered.groupBy("_path").agg(F.min_by("value", "_line").alias("_header"))

@@ -80,10 +80,28 @@ def derive_stop_times(spark: SparkSession, place: str) -> str:
 
 
 def backfill(spark: SparkSession, base: str | Path) -> list[str]:
-    """SRC-14: derived files that are missing, made."""
-    places = [p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.txt")]
-    missing = set(places) - {p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.parquet")}
-    return [derive_stop_times(spark, p) for p in sorted(missing)]
+    """SRC-14: derived files that are missing, made by one job over all their versions, written aside and renamed; others aren't touched."""
+    places = {p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.txt")}
+    missing = sorted(places - {p.rpartition("/")[0] for p in listed(spark, f"{base}/v=*/*/stop_times.parquet")})
+    if not missing:
+        return []
+    aside = f"{base}/_derived-{uuid.uuid4().hex}"
+    files, made = folder(spark, aside)
+    try:
+        rows = csv_by_name(spark, [f"{p}/stop_times.txt" for p in missing], dict.fromkeys(STOP_TIMES, "string"))
+        place = lambda group: F.regexp_extract("_path", r"/v=([^/]+)/([^/]+)/stop_times\.txt", group)
+        placed = rows.select(*STOP_TIMES, place(1).alias("_v"), place(2).alias("_feed"))
+        placed.hint("rebalance", "_v", "_feed").write.option("compression", "zstd").partitionBy("_v", "_feed").parquet(aside)
+        for p in missing:
+            v, feed = p.split("/v=")[-1].split("/")
+            _, rowless = folder(spark, f"{aside}/_v={v}/_feed={feed}")
+            if not files.exists(rowless):  # a header alone
+                spark.createDataFrame([], ", ".join(f"{c} string" for c in STOP_TIMES)).coalesce(1).write.parquet(rowless.toString())
+            if not files.rename(rowless, folder(spark, f"{p}/stop_times.parquet")[1]):
+                raise OSError(f"{p}/stop_times.parquet can't be made")
+    finally:
+        files.delete(made, True)
+    return [f"{p}/stop_times.parquet" for p in missing]
 
 
 def path_origin(path) -> dict:
@@ -91,21 +109,25 @@ def path_origin(path) -> dict:
     return {"static_version": F.to_date(F.regexp_extract(path, r"v=(\d{4}-\d{2}-\d{2})", 1)), "feed": F.element_at(F.split(path, "/"), -2)}
 
 
+def _origin(path):
+    """path_origin() of a file, or of one within the folder that stands for it."""
+    return path_origin(F.regexp_replace(path, r"(/v=[^/]+/[^/]+)/.*$", "$1/x"))
+
+
 def static_csv(spark: SparkSession, base: str | Path, name: str, columns: dict[str, str]) -> DataFrame:
     """SRC-08: one table of all versions and feeds, by column name; files lacking a column have null there."""
     rows = csv_by_name(spark, listed(spark, f"{base}/v=*/*/{name}"), columns, lenient=True)
-    return rows.withColumns(path_origin(F.col("_path"))).drop("_path")
+    return rows.withColumns(_origin(F.col("_path"))).drop("_path")
 
 
-def static_stop_times(spark: SparkSession, base: str | Path) -> DataFrame:
-    """SRC-09/10, PRJ-28: derived stop times of all versions; a typed empty table and a warning where there are none."""
-    paths = listed(spark, f"{base}/v=*/*/stop_times.parquet")
+def static_stop_times(spark: SparkSession, base: str | Path, places: list[str] | None = None) -> DataFrame:
+    """SRC-09/10, PRJ-28: derived stop times of all versions, or of some folders of versions; a typed empty table and a warning where there are none."""
+    paths = listed(spark, f"{base}/v=*/*/stop_times.parquet") if places is None else [f"{p}/stop_times.parquet" for p in places]
     if not paths:
         log.warning("no stop_times.parquet under %s", base)
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in STOP_TIMES) + ", static_version date, feed string")
-    # the folder of a dataset is the last part but one of a part file's path
-    rows = spark.read.parquet(*paths).select(*STOP_TIMES, F.regexp_replace(F.col("_metadata.file_path"), r"/stop_times\.parquet.*$", "/x").alias("_path"))
-    return rows.withColumns(path_origin(F.col("_path"))).drop("_path")
+    rows = spark.read.parquet(*paths).select(*STOP_TIMES, F.col("_metadata.file_path").alias("_path"))
+    return rows.withColumns(_origin(F.col("_path"))).drop("_path")
 
 
 def planned_stops(stop_times: DataFrame) -> DataFrame:
