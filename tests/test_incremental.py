@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rows import DAY, PLANNED, report, reports
 
 from trackloom.operators import polls
-from trackloom.plans import marts
+from trackloom.plans import extracts, marts
 from trackloom.plans.incremental import DailyMarts
 from trackloom.plans.periods import PeriodTable
 from trackloom.plans.store import Kept
@@ -85,6 +85,40 @@ def test_a_build_opens_touched_periods_alone(spark, tmp_path, days):
         assert all(f"period={d[2]}/" in r["f"] for r in read.select(F.input_file_name().alias("f")).collect())
 
 
+def folders_of(df):
+    return {r["f"].split("period=")[1][:10] for r in df.select(F.input_file_name().alias("f")).collect()}
+
+
+def test_extracts_open_the_last_periods_alone(spark, tmp_path, days):
+    d, rows, said = days
+    made = daily(spark, tmp_path)
+    made.load(reports(spark, *rows), spark.createDataFrame(said, MESSAGES), "1")
+    for name in ("runs", "bottlenecks", "buffer", "punctuality"):
+        for n in (1, 2, 50):
+            assert rows_of(made.recent(name, n)) == rows_of(extracts.last_days(made.read(name), "service_date", n)), (name, n)
+    kept = made.read("bottlenecks")
+    assert rows_of(extracts.sections(made.recent("bottlenecks", 30))) == rows_of(extracts.sections(kept))
+    assert folders_of(made.recent("runs", 2)) == {str(x) for x in d[2:]}
+    plan = made.recent("runs", 1)._jdf.queryExecution().executedPlan().toString()
+    assert "period" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert folders_of(made.recent("line_sections", 1, "buffer")) <= {str(d[3])}
+    made.load(reports(spark, *[on(d[3] + timedelta(9), **report("11:50", "t1", 1, "S1", None, 60, "12:00"))]), spark.createDataFrame([], MESSAGES), "2")
+    assert folders_of(made.recent("runs", 1)) == {str(d[3] + timedelta(9))}
+
+
+def test_a_source_that_ended_opens_nothing_in_between(spark, tmp_path):
+    made = daily(spark, tmp_path, "month")
+    days_of = {"a": (0, 1), "b": range(2, 100), None: (3,)}
+    rows = spark.createDataFrame([(s, DAY + timedelta(d)) for s, ds in days_of.items() for d in ds], "source string, service_date date")
+    made.tables["runs"].replace(rows)
+    assert rows_of(made.recent("runs", 1)) == rows_of(rows)  # of tables whose days aren't kept, all
+    made.tables["days"].replace(rows.select(F.lit("runs").alias("mart"), "source", F.col("service_date").alias("day")))
+    found = made.recent("runs", 1)
+    assert rows_of(found) == rows_of(extracts.last_days(rows, "service_date", 1)) and found.count() == 2
+    assert folders_of(found) == {str((DAY + timedelta(k)).replace(day=1)) for k in (1, 99)}
+    assert made.recent("runs", 1, "punctuality").count() == 0
+
+
 def test_replacing_deletes_and_inserts(spark, tmp_path):
     table = PeriodTable(spark, f"{tmp_path}/t", "day")
     make = lambda *rows: spark.createDataFrame(list(rows), "day date, x int")

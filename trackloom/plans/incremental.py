@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackloom.config import DEFAULT, Config
@@ -21,7 +23,9 @@ from trackloom.plans.periods import PeriodTable, period_of
 from trackloom.sources.files import listed
 
 BY_SERVICE_DAY = ("reports", "messages", "consolidated", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "line_sections")
-DAYS = dict.fromkeys(BY_SERVICE_DAY, "service_date") | {"polls": "fetched_at", "ends": "last_poll", "collection": "calendar_day"}
+DAYS = dict.fromkeys(BY_SERVICE_DAY, "service_date") | {"polls": "fetched_at", "ends": "last_poll", "collection": "calendar_day"} | {"days": "day", "poll_days": "day"}
+#: Marts whose last days are extracted; `days` and `poll_days` keep which days of which source each of them has.
+OF_LAST_DAYS = ("runs", "bottlenecks", "buffer", "punctuality")
 
 
 SECTION = ("source", "from_label", "to_label")
@@ -66,6 +70,26 @@ class DailyMarts:
         put("line_sections", distinct.daily_sets(buffer, self.numbered(buffer), ["service_date", "source", "line"], list(SECTION)))
         put("punctuality", marts.punctuality(runs, timetable.run_coverage(seen, self.planned), self.config))
         put("quality", marts.data_quality(runs))
+        put("days", reduce(DataFrame.unionByName, (self._days_of(name, periods, start) for name in OF_LAST_DAYS)))
+
+    def _days_of(self, name: str, periods: list[date] | None = None, start: date | None = None) -> DataFrame:
+        return self.read(name, periods, start).select(F.lit(name).alias("mart"), "source", F.col(DAYS[name]).alias("day")).distinct()
+
+    def recent(self, name: str, n: int, of: str | None = None) -> DataFrame:
+        """SRC-15, WIN-09: rows on the last `n` days that each source has in a mart (`of`, else `name` itself), other periods unopened.
+
+        The days are kept beside the marts, a row for each day of a source, so a mart isn't read to know them. A source makes one
+        range of literals; one that ended long ago doesn't open what lies between. Rows without a source are in no extract.
+        """
+        of, day = of or name, F.col(DAYS[name])
+        kept = self.tables["poll_days" if of == "collection" else "days"]
+        if not kept.periods():
+            return self.read(name)
+        last = kept.read().where((F.col("mart") == of) & F.col("source").isNotNull()).withColumn("_rank", F.dense_rank().over(Window.partitionBy("source").orderBy(F.col("day").desc()))).where(F.col("_rank") <= n)
+        ends = last.groupBy("source").agg(F.min("day").alias("a"), F.max("day").alias("z"))
+        spans = ends.withColumns({"first": period_of(F.col("a"), self.unit), "last": period_of(F.col("z"), self.unit)}).collect()  # a row a source
+        of_source = lambda s: (F.col("source") == s["source"]) & day.between(F.lit(s["a"]), F.lit(s["z"])) & F.col("period").between(F.lit(s["first"]), F.lit(s["last"]))
+        return self.tables[name].read(within=reduce(or_, map(of_source, spans), F.lit(False)))
 
     def numbered(self, rows: DataFrame) -> DataFrame:
         """AGG-21: the sections of the network with their numbers, those of `rows` that are new added behind the known ones.
@@ -100,4 +124,5 @@ class DailyMarts:
         self.tables["ends"].replace(by.agg(F.min("fetched_at").alias("first_poll"), F.max("fetched_at").alias("last_poll")).drop("p"), start=start)
         since = None if before is None else before.select("source", F.lit(start).cast("timestamp_ntz").alias("since"))
         self.tables["collection"].replace(marts.collection(polled, self.config, since), start=start)
+        self.tables["poll_days"].replace(self._days_of("collection", start=start), start=start)
         return start

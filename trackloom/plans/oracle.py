@@ -289,6 +289,7 @@ FINAL: dict[str, str] = {
 #: Queries that reach by another way what another does: increments, streams, files.
 WHOLE = {"inc_consolidated_stops": "consolidated_stops", "inc_run_detail": "mart_run_detail", "inc_delay_origin": "mart_delay_origin", "inc_bottlenecks": "mart_bottlenecks", "inc_buffer_balance": "mart_buffer_balance", "inc_punctuality": "mart_punctuality", "inc_data_quality": "mart_data_quality", "inc_ext_buffer_lines": "ext_buffer_lines", "inc_poll_gaps": "win_poll_gaps", "inc_collection": "mart_collection"}
 WHOLE |= {"stream_changes_replayed": "stream_change_detection", "stream_without_repeats": "str_without_repeats", "src_csv_by_name": "stg_swiss_events"}
+WHOLE |= {f"inc_ext_{name}": f"ext_{name}" for name in ("sections", "collection", "punctuality", "buffer_sections", "run_sample")}
 FINAL |= {name: FINAL[whole] for name, whole in WHOLE.items()}
 FINAL |= {f"dq_{name}": f"select '{name}' \"name\", '{severity}' severity, count(*) violations from ({rows})" for name, (severity, rows) in VIOLATIONS.items()}
 

@@ -48,12 +48,12 @@ class PeriodTable:
         """The last period, which the next increment builds anew; None before the first."""
         return max(self.periods(), default=None)
 
-    def read(self, periods: Iterable[date] | None = None, start: date | None = None, before: date | None = None) -> DataFrame:
-        """Rows of some periods: those named, from `start` on, or before a period."""
+    def read(self, periods: Iterable[date] | None = None, start: date | None = None, before: date | None = None, within: Column | None = None) -> DataFrame:
+        """Rows of some periods: those named, from `start` on, before a period, or `within` a condition that names `period` by literals."""
         if self.columns and not self.periods():
             return self.spark.createDataFrame([], self.columns)
         rows, period = self.spark.read.parquet(self.path), F.col("period")
-        for condition in (None if periods is None else period.isin(sorted(periods)), None if start is None else period >= F.lit(start), None if before is None else period < F.lit(before)):
+        for condition in (None if periods is None else period.isin(sorted(periods)), None if start is None else period >= F.lit(start), None if before is None else period < F.lit(before), within):
             rows = rows if condition is None else rows.where(condition)
         return rows.drop("period", "batch")
 

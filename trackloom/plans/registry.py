@@ -373,7 +373,12 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "fn_boundaries": _boundaries,
     "str_without_repeats": _once,
     **{f"inc_{query}": lambda r, name=name: r.incremental.read(name) for query, name in INCREMENTAL.items()},
-    "inc_ext_buffer_lines": lambda r: extracts.buffer_lines_of_state(r.incremental.read("buffer"), r.incremental.read("line_sections"), WIDE),
+    "inc_ext_sections": lambda r: extracts.sections(r.incremental.recent("bottlenecks", WIDE.window_days), WIDE),
+    "inc_ext_collection": lambda r: extracts.collection(r.incremental.recent("collection", WIDE.window_days), WIDE),
+    "inc_ext_punctuality": lambda r: extracts.punctuality(r.incremental.recent("punctuality", WIDE.window_days), WIDE),
+    "inc_ext_buffer_lines": lambda r: extracts.buffer_lines_of_state(r.incremental.recent("buffer", WIDE.window_days), r.incremental.recent("line_sections", WIDE.window_days, "buffer"), WIDE),
+    "inc_ext_buffer_sections": lambda r: extracts.buffer_sections(r.incremental.recent("buffer", WIDE.window_days), WIDE),
+    "inc_ext_run_sample": lambda r: extracts.run_sample(r.incremental.recent("runs", DEFAULT.run_days)),
     "srt_run_table": lambda r: reports.ordered(r.ext_runs, "source", "service_date", "trip_key", "stop_no"),
     "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
     "dq_previous_stop": lambda r: quality.previous_stop(r.runs),
