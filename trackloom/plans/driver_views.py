@@ -218,7 +218,8 @@ def timetable_zips(spark: SparkSession, sf_dir: str, most: int = 1_000_000) -> D
     """planned() as zipped timetables: one for each version and feed, or several of about `most` stops where there are more."""
     stops = planned_text(spark, sf_dir)
     sizes = stops.groupBy("static_version", "feed").agg(F.expr(f"count(1) div {most} + 1").alias("parts"))
-    dealt = stops.join(sizes, ["static_version", "feed"]).withColumn("part", F.pmod(F.xxhash64("trip_id"), F.col("parts")).cast("int")).drop("parts")
+    # a row for each month and feed; joined by shuffle, a version's stops would come to one task
+    dealt = stops.join(F.broadcast(sizes), ["static_version", "feed"]).withColumn("part", F.pmod(F.xxhash64("trip_id"), F.col("parts")).cast("int")).drop("parts")
     key = ["static_version", "feed", "part"]
     routes = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("trip_id"), (F.col("o_custkey") % 50).cast("string").alias("route_id"))
     trips = dealt.select(*key, "trip_id").distinct().join(routes, "trip_id")
