@@ -100,6 +100,8 @@ def publish(spark: SparkSession, zips: DataFrame, base: str, derive: bool = True
         published = []
         for place in good:
             target = f"{base}/{'/'.join(place.split('/')[-2:])}"
+            if files.exists(folder(spark, target)[1]):  # published by another meanwhile; some file systems would move this one into it
+                continue
             files.mkdirs(folder(spark, target)[1].getParent())
             _rename(spark, place, target)
             published.append(target)
