@@ -62,3 +62,11 @@ def test_files_are_read_by_their_own_headers(spark, tmp_path):
     assert csv_by_name(spark, [], {"x": "string"}, ";").columns == ["x", "_path"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan
+
+
+def test_a_snapshot_is_put_together_at_once(spark):
+    sent = wire.snapshots(spark.createDataFrame(ROWS, RAW))
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert "listagg" in plan and "lambda" not in plan
+    first, second = (wire.snapshots(spark.createDataFrame(rows, RAW).repartition(3)).orderBy("snapshot_timestamp").collect() for rows in (ROWS, ROWS[::-1]))
+    assert [len(r["content"]) for r in first] == [len(r["content"]) for r in second]

@@ -81,7 +81,7 @@ def snapshots(rows: DataFrame, unknown: bytes = b"", header_last=None) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(heads, pa.binary()), pa.array(made, pa.binary())], names=["snapshot_timestamp", "fetched_at", "head", "entity"])
 
     encoded = trips.select(*SNAPSHOT, *TRIP, "stops").mapInArrow(encode, "snapshot_timestamp bigint, fetched_at bigint, head binary, entity binary")
-    body = F.aggregate(F.sort_array(F.collect_list("entity")), F.lit(b""), lambda all_, one: F.concat(all_, one))
+    body = F.expr("listagg(entity) within group (order by entity)")  # put together at once: appended one by one, a snapshot would be copied for each entity
     whole = encoded.groupBy(*SNAPSHOT).agg(F.first("head").alias("head"), body.alias("body"))
     last = F.lit(False) if header_last is None else header_last
     return whole.select(*SNAPSHOT, F.when(last, F.concat("body", "head")).otherwise(F.concat("head", "body")).alias("content"))
