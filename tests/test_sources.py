@@ -7,6 +7,7 @@ import pytest
 from trackloom.operators.sections import run_detail, stop_events
 from trackloom.plans import marts, store
 from trackloom.sources import feed, staging, timetable
+from trackloom.sources.files import csv_by_name
 from trackloom.sources.scope import scope_stops
 
 
@@ -193,3 +194,18 @@ def test_operational_checks(tmp_path, spark):
     assert len(store.feed_problems({"feed_age_seconds": 999, "entity_count": 1000, "in_scope_count": 1}, 9999, 1)) == 4
     assert len(store.feed_problems({"error": "timed out"}, 60, 9999)) == 1
     assert store.missing_columns({"p": spark.range(1)}, {"p": ["id", "x"]}) == {"p": ["x"]}
+
+
+def test_csv_lines_meet_their_headers_without_a_shuffle_and_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x;y;z\n1;'2;3\n\"4;5\";6;7\n")
+    (tmp_path / "b.csv").write_text("z;x\n8;9\n")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = csv_by_name(spark, [str(tmp_path)], dict.fromkeys("xyz", "string"), ";", lenient=True).drop("_path")
+        assert sorted(map(tuple, rows.collect()), key=repr) == sorted([("1", "'2", "3"), ("4;5", "6", "7"), ("9", None, "8")], key=repr)
+        plan = rows._jdf.queryExecution()
+        assert "SortMergeJoin" not in plan.executedPlan().toString()
+        assert max(line.count("from_csv(") for line in plan.optimizedPlan().toString().splitlines()) <= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Characters of headers and paths up to which they are broadcast to the lines.
+HEADERS = 16 << 20
+
+
 def folder(spark: SparkSession, path: str):
     """(file system, path) of a folder."""
     place = spark._jvm.org.apache.hadoop.fs.Path(str(path))
@@ -36,10 +40,14 @@ def csv_by_name(spark: SparkSession, paths: list[str], columns: dict[str, str],
     numbered = lines.where("_block = 0").withColumn("_line", F.monotonically_increasing_id())
     first = numbered.groupBy("_path").agg(F.min_by("value", "_line").alias("_header"))
     fields = lambda text, n: F.from_csv(text, F.lit(", ".join(f"c{i} string" for i in range(n))), {"sep": sep, "mode": "PERMISSIVE"})
-    most = first.agg(F.max(F.size(F.split("_header", re.escape(sep))))).first()[0] or 1  # a number
-    array = lambda text: F.array(*(fields(text, most)[f"c{i}"] for i in range(most)))
+    most, held = first.agg(F.max(F.size(F.split("_header", re.escape(sep)))), F.sum(F.length("_header") + F.length("_path"))).first()  # two numbers
+    most = most or 1
+    # read off a struct within an array, so that a line is parsed once and not again for each of its fields
+    array = lambda text: F.transform(F.array(fields(text, most)), lambda line: F.array(*(line[f"c{i}"] for i in range(most))))[0]
     named = first.withColumn("_names", F.transform(array(F.regexp_replace("_header", "^\ufeff", "")), lambda c: F.trim(c)))
     places = named.withColumns({f"_at{k}": F.array_position("_names", c) for k, c in enumerate(columns)}).drop("_names")
+    if (held or 0) <= HEADERS:  # else all lines would be shuffled by file, those of a file to one task
+        places = F.broadcast(places)
     rows = lines.join(places, "_path").where(F.col("value") != F.col("_header")).withColumn("_fields", array(F.col("value")))
     absent = lambda c: F.lit(None).cast("string") if lenient else F.raise_error(F.concat(F.col("_path"), F.lit(f" has no column {c}"))).cast("string")
     value = lambda k, c: F.when(F.col(f"_at{k}") > 0, F.try_element_at("_fields", F.col(f"_at{k}").cast("int"))).otherwise(absent(c))
