@@ -209,3 +209,9 @@ def test_csv_lines_meet_their_headers_without_a_shuffle_and_are_parsed_once(spar
         assert max(line.count("from_csv(") for line in plan.optimizedPlan().toString().splitlines()) <= 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
+def test_reports_look_a_zone_up_once(spark):
+    raw = spark.createDataFrame([], staging.RAW)
+    plan = staging.realtime_reports(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "convert_timezone" not in plan

@@ -26,8 +26,7 @@ def strict_time(c: Column, pattern: str = "dd.MM.yyyy HH:mm") -> Column:
 
 def wall_clock(epoch: Column, zone: str) -> Column:
     """PRJ-05: Unix seconds as a zone's wall clock."""
-    utc = F.timestamp_seconds(epoch).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.from_utc_timestamp(F.timestamp_seconds(epoch), zone).cast("timestamp_ntz")  # convert_timezone would look the zone up for each row
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:
