@@ -1,10 +1,11 @@
+import os
 from datetime import datetime
 
 import pytest
 from rows import PLANNED, at, event, events
 
 from trackloom.operators import polls, timetable
-from trackloom.plans import marts, quality
+from trackloom.plans import marts, quality, registry
 
 
 def tables(spark, *rows, numbered=(), messages=()):
@@ -66,3 +67,18 @@ def test_generic_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (5, "z")], "n int, s string")
     assert quality.not_null(df, "s").count() == 1 and quality.accepted(df, "s", ["a"]).count() == 1
     assert quality.in_range(df, "n", 1, 4).count() == 1 and quality.unique(df, "n").count() == 1
+
+
+def test_a_check_makes_the_tables_that_it_reads_alone():
+    made = []
+    t = quality.Tables({n: lambda n=n: made.append(n) or n for n in ("runs", "origin")})
+    assert t["runs"] == t["runs"] == "runs" and made == ["runs"] and set(t) == {"runs", "origin"} and len(t) == 2
+
+
+def test_a_check_of_observed_stops_keeps_no_mart(spark, tmp_path):
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no driver tables")
+    (tmp_path / "own").symlink_to(data)  # a path of its own, so that no other test's tables are found
+    rail = registry.Rail(spark, str(tmp_path / "own"))
+    assert rail.checked["numbered"].columns and not {"runs", "events", "origin", "punctuality"} & set(vars(rail))

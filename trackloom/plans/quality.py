@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -18,7 +18,25 @@ class Check:
 
     name: str
     severity: str
-    rows: Callable[[dict[str, DataFrame]], DataFrame]
+    rows: Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
+class Tables(Mapping):
+    """Tables by name, each made when it is first asked for, so that a check costs what it reads."""
+
+    def __init__(self, made: dict[str, Callable[[], DataFrame]]):
+        self._made, self._held = made, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._held:
+            self._held[name] = self._made[name]()
+        return self._held[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._made)
+
+    def __len__(self) -> int:
+        return len(self._made)
 
 
 def _moments(df: DataFrame) -> DataFrame:
@@ -63,7 +81,7 @@ def summary(runs: DataFrame) -> DataFrame:
     return runs.agg(F.lit("error").alias("severity"), count_where(F.col("arr_delay_s").isNotNull() & F.col("dst_ambiguous")).alias("dst_metrics"), count_where((F.col("stop_no") > 1) & ~F.col("is_direct")).alias("gaps"))
 
 
-def _unexplained(t: dict[str, DataFrame]) -> DataFrame:
+def _unexplained(t: Mapping[str, DataFrame]) -> DataFrame:
     """Planned arrivals are measured, have a reason, or are unexplained."""
     reason = F.col("trip_cancelled") | F.col("stop_skipped") | F.col("dst_ambiguous")
     again = t["runs"].where("sched_arr is not null").groupBy("service_date", "source").agg(count_where(F.col("arr_delay_s").isNotNull()).alias("m"), count_where(F.col("arr_delay_s").isNull() & reason).alias("r"), F.count(F.lit(1)).alias("n"))
@@ -71,23 +89,23 @@ def _unexplained(t: dict[str, DataFrame]) -> DataFrame:
     return again.join(measured, ["service_date", "source"], "full_outer").where("not (n <=> planned_arr and m + r + unexplained_arr <=> n)")
 
 
-def _marts_differ(t: dict[str, DataFrame]) -> DataFrame:
+def _marts_differ(t: Mapping[str, DataFrame]) -> DataFrame:
     return reconciliation(t["origin"], t["bottlenecks"]).where("not (origin_measured <=> bottleneck_measured and origin_sum <=> bottleneck_sum)")
 
 
-def _buffer_exceeds(t: dict[str, DataFrame]) -> DataFrame:
+def _buffer_exceeds(t: Mapping[str, DataFrame]) -> DataFrame:
     a = t["buffer"].groupBy("service_date", "source").agg(total(F.col("evaluable")).alias("evaluable"))
     b = t["origin"].groupBy("service_date", "source").agg(total(F.col("run_measured")).alias("run_measured"))
     return a.join(b, ["service_date", "source"], "full_outer").where("evaluable > coalesce(run_measured, 0)")
 
 
-def _origin_again(t: dict[str, DataFrame]) -> DataFrame:
+def _origin_again(t: Mapping[str, DataFrame]) -> DataFrame:
     a = t["runs"].where("is_direct").groupBy("service_date", "source").agg(total(F.col("run_delta_s")).alias("s"), F.count("run_delta_s").alias("n"), total(F.col("dwell_delta_s")).alias("ds"), F.count("dwell_delta_s").alias("dn"))
     b = t["origin"].groupBy("service_date", "source").agg(total(F.col("run_delta_sum")).alias("os"), total(F.col("run_measured")).alias("on"), total(F.col("dwell_delta_sum")).alias("ods"), total(F.col("dwell_measured")).alias("odn"))
     return a.join(b, ["service_date", "source"], "full_outer").where("not (s <=> os and n <=> on and ds <=> ods and dn <=> odn)")
 
 
-def _curve(t: dict[str, DataFrame]) -> DataFrame:
+def _curve(t: Mapping[str, DataFrame]) -> DataFrame:
     key = ["service_date", "source", "line"]
     w = Window.partitionBy(*key).orderBy("threshold_s")
     whole = Window.partitionBy(*key)
@@ -95,23 +113,23 @@ def _curve(t: dict[str, DataFrame]) -> DataFrame:
     return marked.where("before > stops_punctual or low <> high")
 
 
-def _chain(t: dict[str, DataFrame]) -> DataFrame:
+def _chain(t: Mapping[str, DataFrame]) -> DataFrame:
     """Run deltas agree with the stop before; ambiguous stops carry none, nor do stops after them."""
     return previous_stop(t["runs"]).join(t["runs"].select("source", "trip_key", "stop_no", "run_delta_s"), ["source", "trip_key", "stop_no"]).where("run_delta_s is not null and not (is_direct and run_delta_s <=> expected_run_s)")
 
 
-def _missing_hours(t: dict[str, DataFrame]) -> DataFrame:
+def _missing_hours(t: Mapping[str, DataFrame]) -> DataFrame:
     at = plus = F.col("calendar_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))
     return t["collection"].groupBy("source").agg(F.min(at).alias("first"), F.max(plus).alias("last"), F.count(F.lit(1)).alias("n")).where(boundaries_between("hour", F.col("first"), F.col("last")) + 1 != F.col("n"))
 
 
-def _no_run_provable(t: dict[str, DataFrame]) -> DataFrame:
+def _no_run_provable(t: Mapping[str, DataFrame]) -> DataFrame:
     """JOI-23: days since the first timetable on which no unserved run is covered; the first version is one value, not a side of a join."""
     first = t["planned"].agg(F.min("static_version")).scalar()
     return t["coverage"].where(F.col("service_date") >= first).groupBy("service_date").agg(F.count_if(F.col("complete")).alias("n")).where("n = 0")
 
 
-def _first_stop(t: dict[str, DataFrame]) -> DataFrame:
+def _first_stop(t: Mapping[str, DataFrame]) -> DataFrame:
     """Exactly the first stop of a trip has no section before it."""
     return t["runs"].withColumn("first_no", F.min("stop_no").over(Window.partitionBy("source", "trip_key"))).where("(stop_no = first_no) <> (is_direct is null)")
 
@@ -145,12 +163,12 @@ CHECKS = (
 )
 
 
-def run_checks(tables: dict[str, DataFrame], checks=CHECKS) -> list[tuple[str, str, int]]:
+def run_checks(tables: Mapping[str, DataFrame], checks=CHECKS) -> list[tuple[str, str, int]]:
     """(name, severity, violations) of each check."""
     return [(c.name, c.severity, c.rows(tables).count()) for c in checks]
 
 
-def verdict(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+def verdict(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row: the check, its severity, its violations."""
     return check.rows(tables).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check.name).alias("name"), F.lit(check.severity).alias("severity"), "violations")
 

@@ -168,9 +168,10 @@ class Rail:
         return views.realtime_raw(self.spark, self.dir)
 
     def make_checked(self):
-        """The tables of the checks by name; the driver's reports stand for a source that numbers its stops."""
+        """The tables of the checks by name, each made when a check asks for it; the driver's reports stand for a source that numbers its stops."""
         names = ("events", "runs", "origin", "bottlenecks", "buffer", "punctuality", "quality", "collection", "observed", "cancelled", "coverage", "planned")
-        return {n: getattr(self, n) for n in names} | {"messages": views.messages(self.spark, self.dir), "dictionary": self.stop_names, "numbered": self.observed}
+        made = {n: lambda n=n: getattr(self, n) for n in names}
+        return quality.Tables(made | {"messages": lambda: views.messages(self.spark, self.dir), "dictionary": lambda: self.stop_names, "numbered": lambda: self.observed})
 
     def table(self, name: str) -> DataFrame:
         return views.read(self.spark, self.dir, name)
