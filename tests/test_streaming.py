@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import time
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from rows import event, events
 from test_sources import RAW, entity, snapshot, stop_update
 
+from trackloom.plans import registry
 from trackloom.sources import feed
 from trackloom.streaming import collector
 from trackloom.streaming.changes import STATE, changes, in_scope, position
@@ -165,3 +167,13 @@ def test_heartbeats_are_kept_by_day(spark, tmp_path):
     assert got.count() == 6 and got.where("error is not null and changed_count is null").count() == 1
     hours = {str(r["hour_begin"])[11:13]: (r["polls"], r["failed"], r["unchanged"], r["feed_age_max_s"]) for r in collector.heartbeat_hours(got).collect()}
     assert hours == {"23": (1, 0, 0, None), "00": (2, 0, 1, 11), "01": (2, 1, 1, 12), "02": (1, 0, 1, 14)}
+
+
+def test_streamed_copies_land_with_the_columns_that_tell_them_apart_alone(spark, tmp_path):
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no driver tables")
+    (tmp_path / "own").symlink_to(data)
+    rail = registry.Rail(spark, str(tmp_path / "own"))
+    assert registry.PLANS["stream_without_repeats"](rail).count() == rail.raw.select("trip_id", "start_date", "stop_sequence", "snapshot_timestamp").distinct().count()
+    assert rail.kept.has("once_raw") and len(spark.read.option("recursiveFileLookup", True).parquet(f"{rail.kept.place('once')}/landed").columns) == 4
