@@ -158,3 +158,12 @@ def test_the_query_against_brute_force(spark, tmp_path):
     fps = [brute_fingerprint(t or "") for _, t, _ in rows]
     want = {(i, f"{f:016x}", rows[g][0]) for (i, _, _), f, g in zip(rows, fps, brute_groups(fps, 4))}
     assert {tuple(r) for r in op4_simhash_groups(spark, str(tmp_path)).collect()} == want
+
+
+def test_near_copies_meet_by_fingerprints(docs, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join(words[::-1]))]
+    none = lambda rows, groups, near, limit, data, real=simhash.bucket_links: real(rows.where("false") if "t" in groups else rows, groups, near, limit, data)
+    monkeypatch.setattr(simhash, "bucket_links", none)  # no band is shared
+    found = {r["key"]: r["component_id"] for r in simhash.near_copies(docs(rows).select(F.col("doc_id").alias("key"), "text"), "key").collect()}
+    assert found == {1: 1, 2: 1, 3: 3}

@@ -329,11 +329,18 @@ def group(fps: DataFrame, max_bits: int = 4, key: str = "doc_id") -> DataFrame:
     return attach(fps, found, "fp", fps.count()).select(key, "fp", "component_id")
 
 
+def fingerprint_links(rows: DataFrame, max_bits: int = 4) -> DataFrame:
+    """(u, v), u > v: links that connect the ids of `rows` (id, fp), written by cut(), whose fingerprints group() would link."""
+    pairs = cut(rows.distinct())
+    grouped = group(pairs, max_bits, "id")
+    return grouped.where(F.col("id") > F.col("component_id")).select(F.col("id").alias("u"), F.col("component_id").alias("v"))
+
+
 def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text") -> DataFrame:
     """(key, component_id) for documents whose five-word shingles resemble each other by `least` or more.
 
-    Texts that share a band of their signatures meet, and two bits of each value reject far pairs. Within the
-    groups so linked, each link is verified by the exact Jaccard of the whole sets of 64-bit shingle hashes, which
+    Texts whose fingerprints differ in 4 bits or fewer meet, by the same pigeonhole blocks as group(), and so do texts that
+    share a band of their MinHash signatures, where two bits of each value reject far pairs. Within the groups so linked, each link is verified by the exact Jaccard of the whole sets of 64-bit shingle hashes, which
     are made again for the texts of these groups alone.
     """
 
@@ -346,8 +353,9 @@ def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text
             for i, t in enumerate(batch.column(2)):
                 found = hashed(t.as_py())
                 ids[i], sizes[i], signed[i] = xxhash.xxh64_intdigest(found.tobytes(), SEED), found.nbytes, signature(found)
+            fps = [fingerprint((t.as_py() or "").encode()) for t in batch.column(2)]
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(signed).ravel()), BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids.view(np.int64)), pa.array(sizes), bands, pa.array(two_bits(signed), pa.binary())], names=["key", "hash", "id", "size", "bands", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids.view(np.int64)), pa.array(sizes), bands, pa.array(two_bits(signed), pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], names=["key", "hash", "id", "size", "bands", "bits", "fp"])
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,10 +367,11 @@ def near_copies(docs: DataFrame, key: str, least: float = 0.8, text: str = "text
     prepare(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(key, F.xxhash64(key, text).alias("hash"), text)
-    rows = cut(texts.mapInArrow(compute, f"key {kind}, hash bigint, id bigint, size bigint, bands array<bigint>, bits binary"))
+    rows = cut(texts.mapInArrow(compute, f"key {kind}, hash bigint, id bigint, size bigint, bands array<bigint>, bits binary, fp bigint"))
     nodes = cut(rows.groupBy("id").agg(F.min("key").alias("least"), F.min("hash").alias("hash"), F.min_by("key", "hash").alias("of"), *(F.first(c).alias(c) for c in ("size", "bands", "bits")), F.count(F.lit(1)).alias("n")))
     keyed = nodes.select("id", F.posexplode("bands").alias("t", "band"))
-    roots = components(bucket_links(keyed, ["t", "band"], loosely_alike, LOOSE, nodes.select("id", F.col("bits").alias("data"))))
+    met = bucket_links(keyed, ["t", "band"], loosely_alike, LOOSE, nodes.select("id", F.col("bits").alias("data")))
+    roots = components(cut(met.union(fingerprint_links(rows.select("id", "fp"))).distinct()))
     several = cut(nodes.join(roots, F.col("id") == F.col("node")).select(F.col("root").alias("bucket"), "id", "hash", "of", "size", "bits"))
     # a text for each set: that of the row whose hash its node holds
     found = texts.join(beside(several.select("hash")), "hash", "left_semi").select("hash", F.col(key).alias("key"), F.col(text).alias("text")).dropDuplicates(["hash", "key"])
