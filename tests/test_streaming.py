@@ -177,3 +177,15 @@ def test_streamed_copies_land_with_the_columns_that_tell_them_apart_alone(spark,
     rail = registry.Rail(spark, str(tmp_path / "own"))
     assert registry.PLANS["stream_without_repeats"](rail).count() == rail.raw.select("trip_id", "start_date", "stop_sequence", "snapshot_timestamp").distinct().count()
     assert rail.kept.has("once_raw") and len(spark.read.option("recursiveFileLookup", True).parquet(f"{rail.kept.place('once')}/landed").columns) == 4
+
+
+def test_reports_are_compared_in_parts_that_grow_in_number(spark, monkeypatch):
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no driver tables")
+    monkeypatch.setattr(registry, "ONCE_ROWS", 1000)
+    rail = registry.Rail(spark, data)
+    once = registry.PLANS["str_without_repeats"](rail)
+    parts = 2 * rail.table("lineitem").count() // 1000 + 1
+    assert parts > 4 and once.rdd.getNumPartitions() == parts
+    assert once.count() == rail.raw.select(*once.columns).distinct().count()
