@@ -43,3 +43,12 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     if os.path.isdir(DATA):
         assert __spark_entry__.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ["stop_events", "mart_punctuality", "dq_deltas_chain", "dq_cancellations_unresolved", "stg_realtime_reports", "stg_swiss_events"])
+def test_what_grows_with_the_trips_is_not_broadcast(spark, name):
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in broadcast if "orderkey" in line or "trip_" in line], broadcast

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.config import DEFAULT, Config
 from trackloom.functions.civil_time import is_final, plus_seconds
 from trackloom.functions.rail import count_where
+from trackloom.operators import by_shuffle
 from trackloom.operators.asof import as_of
 from trackloom.operators.consolidate import with_names
 
@@ -35,7 +36,7 @@ def with_valid_stops(candidates: DataFrame, planned: DataFrame) -> DataFrame:
     One join by trip and one window by trip_key; a candidate without a planned stop keeps one row. The candidates are few,
     so a row for each stop of each version of theirs is little.
     """
-    stops = planned.withColumnsRenamed({"trip_id": "_trip_id"})
+    stops = by_shuffle(planned.withColumnsRenamed({"trip_id": "_trip_id"}))
     known = candidates.join(stops, (F.col("trip_id") == F.col("_trip_id")) & (F.col("static_version") <= F.col("service_date")), "left").drop("_trip_id")
     trip = Window.partitionBy("trip_key")
     dated = known.withColumn("_newest", F.col("static_version") == F.max("static_version").over(trip))
@@ -49,7 +50,7 @@ def cancelled_rows(messages: DataFrame, observed: DataFrame, planned: DataFrame,
     `messages` has source, service_date, trip_key, trip_id, trip_cancelled, snapshot_ts.
     """
     last = messages.where("trip_cancelled").groupBy("source", "service_date", "trip_key", "trip_id").agg(F.max("snapshot_ts").alias("last_snapshot_ts"))
-    unseen = last.join(observed.select("trip_key").distinct(), "trip_key", "left_anti")
+    unseen = last.join(by_shuffle(observed.select("trip_key").distinct()), "trip_key", "left_anti")
     start = F.col("service_date").cast("timestamp_ntz")
     stops = with_valid_stops(unseen, planned).where("valid").withColumns({"sched_arr": plus_seconds(start, F.col("arrival_s")), "sched_dep": plus_seconds(start, F.col("departure_s"))})
     moment, number = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("bigint")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.civil_time import plus_seconds
 from trackloom.functions.rail import trip_key
+from trackloom.operators import by_shuffle
 from trackloom.operators.consolidate import reconstruct_schedule
 from trackloom.sources.archives import zipped
 from trackloom.sources.files import listed
@@ -35,7 +36,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with orders as realtime reports: repeated (order, line) keys are repeated reports of a stop."""
     # dealt by the join's key at once: a table of one row group would else be projected by one task, and a join by shuffle wants the same deal
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition("l_orderkey")
-    rows = lines.join(_trips(read(spark, sf_dir, "orders")), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.join(by_shuffle(_trips(read(spark, sf_dir, "orders"))), F.col("l_orderkey") == F.col("o_orderkey"))
     planned = plus_seconds(F.col("service_date").cast("timestamp_ntz"), F.col("o_orderkey") % 24 * 3600 + F.col("l_linenumber") * 600)
     base = F.col("l_quantity").cast("bigint") * 30 - 300
     seen = rows.withColumn("planned", planned).withColumn("snapshot_ts", plus_seconds(F.col("planned"), (F.col("l_partkey") % 41 - 20) * 60 + F.col("l_suppkey") % 60))
@@ -129,7 +130,7 @@ def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def swiss_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with orders as the text rows of Swiss daily actuals: trains and buses, blanks, three statuses."""
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag").repartition("l_orderkey")
-    rows = lines.join(_trips(read(spark, sf_dir, "orders")), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.join(by_shuffle(_trips(read(spark, sf_dir, "orders"))), F.col("l_orderkey") == F.col("o_orderkey"))
     planned = plus_seconds(F.col("service_date").cast("timestamp_ntz"), F.col("o_orderkey") % 26 * 3600 + F.col("l_linenumber") * 600)
     seen = plus_seconds(planned, F.col("l_quantity").cast("bigint") * 7 - 60)
     text = lambda moment, pattern: F.date_format(moment, pattern)
@@ -147,7 +148,7 @@ def swiss_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def realtime_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with orders as raw realtime rows: epoch seconds, enumerations as text, rows about trips alone, rows without a stop number."""
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag").repartition("l_orderkey")
-    rows = lines.join(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day")), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.join(by_shuffle(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day"))), F.col("l_orderkey") == F.col("o_orderkey"))
     since = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.col("o_orderkey") % 24 * 3600 + F.col("l_linenumber") * 600
     delay = (F.col("l_quantity").cast("bigint") * 30 - 300).cast("int")
     at = since + F.col("l_partkey") % 3600
@@ -222,7 +223,7 @@ def timetable_zips(spark: SparkSession, sf_dir: str, most: int = 1_000_000) -> D
     dealt = stops.join(F.broadcast(sizes), ["static_version", "feed"]).withColumn("part", F.pmod(F.xxhash64("trip_id"), F.col("parts")).cast("int")).drop("parts")
     key = ["static_version", "feed", "part"]
     routes = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("trip_id"), (F.col("o_custkey") % 50).cast("string").alias("route_id"))
-    trips = dealt.select(*key, "trip_id").distinct().join(routes, "trip_id")
+    trips = dealt.select(*key, "trip_id").distinct().join(by_shuffle(routes), "trip_id")
     members = {
         "stop_times.txt": dealt, "trips.txt": trips, "stops.txt": dealt.select(*key, "stop_id").distinct().withColumn("stop_name", F.concat(F.lit("Stop, "), F.col("stop_id"))),
         "routes.txt": trips.select(*key, "route_id").distinct().withColumn("route_short_name", F.concat(F.lit("L"), F.col("route_id"))),

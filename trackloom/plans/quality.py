@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.civil_time import boundaries_between, is_clock_change_hour, seconds_between
 from trackloom.functions.rail import count_where, total
+from trackloom.operators import by_shuffle
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def reconciliation(origin: DataFrame, bottlenecks: DataFrame) -> DataFrame:
 def previous_stop(runs: DataFrame) -> DataFrame:
     """JOI-21: each stop joined with the stop numbered one less, to check the lag against."""
     before = runs.select("source", "trip_key", (F.col("stop_no") + 1).alias("stop_no"), F.col("dep_delay_s").alias("prev_dep_delay_s"))
-    joined = runs.join(before, ["source", "trip_key", "stop_no"])
+    joined = runs.join(by_shuffle(before), ["source", "trip_key", "stop_no"])
     return joined.select("source", "trip_key", "stop_no", "is_direct", "prev_dep_delay_s", (F.col("arr_delay_s") - F.col("prev_dep_delay_s")).alias("expected_run_s"))
 
 
@@ -115,7 +116,7 @@ def _curve(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def _chain(t: Mapping[str, DataFrame]) -> DataFrame:
     """Run deltas agree with the stop before; ambiguous stops carry none, nor do stops after them."""
-    return previous_stop(t["runs"]).join(t["runs"].select("source", "trip_key", "stop_no", "run_delta_s"), ["source", "trip_key", "stop_no"]).where("run_delta_s is not null and not (is_direct and run_delta_s <=> expected_run_s)")
+    return previous_stop(t["runs"]).join(by_shuffle(t["runs"].select("source", "trip_key", "stop_no", "run_delta_s")), ["source", "trip_key", "stop_no"]).where("run_delta_s is not null and not (is_direct and run_delta_s <=> expected_run_s)")
 
 
 def _missing_hours(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -139,7 +140,7 @@ STATE_SUM = "stops_cancelled + stops_unserved_run + stops_truncated + stops_skip
 CHECKS = (
     Check("scheduled_time_missing", "error", lambda t: t["numbered"].where("sched_arr is null and sched_dep is null")),
     Check("arrivals_add_up", "error", _unexplained),
-    Check("cancellations_unresolved", "warn", lambda t: t["messages"].where("trip_cancelled").join(t["events"].select("trip_key").distinct(), "trip_key", "left_anti")),
+    Check("cancellations_unresolved", "warn", lambda t: t["messages"].where("trip_cancelled").join(by_shuffle(t["events"].select("trip_key").distinct()), "trip_key", "left_anti")),
     Check("resolved_without_actuals", "error", lambda t: t["cancelled"].where("actual_arr is not null or actual_dep is not null or arr_delay_s is not null or dep_delay_s is not null")),
     Check("no_run_provable", "warn", _no_run_provable),
     Check("arrival_after_departure_reconstructed", "warn", lambda t: _inverted(t["observed"])),
