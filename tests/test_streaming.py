@@ -3,6 +3,7 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from rows import event, events
@@ -76,6 +77,72 @@ def test_stream_and_batch_agree_with_a_plain_loop(spark, tmp_path, state_store,
     assert found(changes(keyed, KEY, ["generation"], list(STATE), "generation", idle).collect()) == want
 
 
+@pytest.mark.parametrize("timers", [False, True])
+def test_keys_of_one_bucket_are_compared_at_once_and_apart(spark, tmp_path, state_store, timers):
+    """Trips and a trip's stops share one bucket; the second start finds their state."""
+    spark.dataSource.register(feed.FeedSource)
+    (tmp_path / "in").mkdir()
+    snapshots = polled(5, 8)
+    for part in (range(4), range(4, 8)):
+        for i in part:
+            (tmp_path / "in" / f"{1787000000 + 30 * i}.pb").write_bytes(snapshots[i])
+        stream = collector.detect_changes(spark.readStream.format("gtfs_feed").option("path", str(tmp_path / "in")).load(), 3, 3600, timers, buckets=1)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="1 second").start()
+        try:
+            for _ in range(100):
+                if query.lastProgress and f'"file":{part[-1] + 1}' in (query.lastProgress.sources[0].endOffset or "").replace(" ", ""):
+                    break
+                time.sleep(0.2)
+        finally:
+            query.stop()
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert found(rows.collect()) == expected(snapshots, 3) and rows.columns == [c.split()[0] for c in feed.RAW_SCHEMA.split(", ")]
+
+
+class Held:
+    """A state of one bucket, in memory."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def getMapState(self, *_):
+        return self
+
+    def exists(self):
+        return bool(self.rows)
+
+    def getValue(self, key):
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_a_bucket_equals_a_plain_loop_over_its_keys(seed):
+    rng, last, held = random.Random(seed), {}, Held()
+    detector = collector.ChangeDetector(["n"], 3, None)
+    detector.init(held)
+    at = 0
+    for _ in range(6):
+        rows, want = [], []
+        for _ in range(rng.randrange(1, 40)):
+            at += rng.choice([0, 1, 1, 5])
+            key, state = rng.choice("abc"), rng.choice("xy")
+            if any(r[0] == key and r[2] == at for r in rows):
+                continue
+            before = last.get(key)
+            if before is None or before[0] != state or at - before[1] > 3:
+                want.append(len(rows))
+            last[key] = (state, at)
+            rows.append((key, state, at, at, None, len(rows)))
+        rng.shuffle(rows)
+        half = len(rows) // 2
+        chunks = [pd.DataFrame(x, columns=["key_text", "state_text", "generation", "snapshot_timestamp", "fetched_at", "n"]) for x in (rows[:half], rows[half:]) if x]
+        assert sorted(n for out in detector.handleInputRows((0,), iter(chunks), None) for n in out["n"]) == want
+        assert held.rows == {(k,): v for k, v in last.items()}
+
+
 def test_failed_poll_does_not_advance_the_generation(tmp_path):
     (tmp_path / "1.pb").write_bytes(RAW)
     (tmp_path / "2.pb").write_bytes(RAW[:-3])

@@ -35,6 +35,8 @@ WIDE = Config(window_days=365)
 MIN_RUNS = 1
 #: Rows with repeats that a task compares, about.
 ONCE_ROWS = 250_000
+#: Rows of a bucket of keys in a replay, about, and buckets that small tables have too.
+BUCKET_ROWS, LEAST_BUCKETS = 10_000, 64
 #: A day whose timetables are read.
 AS_OF = date(1995, 6, 17)
 
@@ -236,7 +238,8 @@ def _once(r: Rail) -> DataFrame:
 
 
 def _streamed_changes(r: Rail) -> DataFrame:
-    found = replay(r.spark, views.event_reports(r.spark, r.dir), lambda rows: detect_changes(rows, 40, timers=False), r.kept.place("changes"))
+    buckets = LEAST_BUCKETS + r.table("events").count() // BUCKET_ROWS
+    found = replay(r.spark, views.event_reports(r.spark, r.dir), lambda rows: detect_changes(rows, 40, timers=False, buckets=buckets), r.kept.place("changes"))
     return found.select(F.col("snapshot_timestamp").alias("event_id"), F.col("trip_id").cast("bigint").alias("user_id"), F.col("schedule_relationship").alias("event_type"))
 
 

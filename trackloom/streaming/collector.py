@@ -4,7 +4,7 @@ polls; an hourly flush of what has landed into a partitioned Parquet table. A he
     python -m trackloom.streaming.collector --url URL --data FOLDER --scope stops.csv
 
 State is keyed by (trip, service day, position). What it holds is bounded by the keys seen within the idle
-limit: a timer drops a key that long after its last report. A key dropped early or late costs one repeated
+limit: its time to live drops a key that long after its last report. A key dropped early or late costs one repeated
 row at most, never a lost one, as the generation kept beside the state decides what counts as forgotten.
 """
 
@@ -16,65 +16,66 @@ import time
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.types import StructType
 
 from trackloom.config import DEFAULT
 from trackloom.sources.feed import RAW_SCHEMA, FeedSource
 from trackloom.streaming.changes import STATE, position
 
 KEY = ("trip_id", "start_date", "position")
+#: Parts that keys are dealt to by hash. A checkpoint goes with the number that it began with; with another, keys count as forgotten.
+BUCKETS = 256
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 class ChangeDetector(StatefulProcessor):
-    """STR-02/03: rows whose state differs from the last of their key, or whose key was idle for too many generations."""
+    """STR-02/03: rows whose state differs from the last of their key, or whose key was idle for too many generations.
 
-    def __init__(self, idle: int, keep_ms: int | None):
-        self.idle, self.keep_ms = idle, keep_ms
+    Called for a bucket of keys, whose rows are compared at once; the state holds a row for each key.
+    """
+
+    def __init__(self, columns: list[str], idle: int, keep_ms: int | None):
+        self.columns, self.idle, self.keep_ms = columns, idle, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "state string, generation bigint")
+        self.last = handle.getMapState("last", "key string", "state string, generation bigint", self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         # reports of one batch may come in any order
-        batch = pd.concat(list(rows)).sort_values(["generation", "snapshot_timestamp", "fetched_at"], kind="stable")
-        before, at = self.last.get() if self.last.exists() else (None, None)
-        kept = []
-        for values, generation in zip(batch[list(STATE)].astype(object).to_numpy(), batch["generation"].to_numpy(), strict=True):
-            now = json.dumps([None if pd.isna(v) else (v if isinstance(v, str) else int(v)) for v in values])
-            kept.append(at is None or now != before or generation - at > self.idle)
-            before, at = now, int(generation)
-        self.last.update((before, at))
-        if self.keep_ms is not None:
-            for old in self.handle.listTimers():
-                self.handle.deleteTimer(old)
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.keep_ms)
-        if any(kept):
-            yield batch[kept]
-
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        return iter(())
+        batch = pd.concat(list(rows)).sort_values(["key_text", "generation", "snapshot_timestamp", "fetched_at"], ignore_index=True)
+        name, now, at = (batch[c].to_numpy() for c in ("key_text", "state_text", "generation"))
+        same = name[1:] == name[:-1]
+        changed = np.append(True, ~same | (now[1:] != now[:-1]) | (at[1:] - at[:-1] > self.idle))
+        known = self.last.exists()
+        for i in np.flatnonzero(np.append(True, ~same)):
+            held = self.last.getValue((name[i],)) if known else None
+            if held is not None:
+                changed[i] = now[i] != held[0] or at[i] - held[1] > self.idle
+        for i in np.flatnonzero(np.append(~same, True)):
+            self.last.updateValue((name[i],), (now[i], int(at[i])))
+        if changed.any():
+            yield batch.loc[changed, self.columns]
 
     def close(self) -> None:
         pass
 
 
-def detect_changes(reports: DataFrame, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True) -> DataFrame:
+def detect_changes(reports: DataFrame, idle: int = DEFAULT.idle_polls, poll_interval: int = DEFAULT.poll_interval, timers: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """The changed rows of a stream of RAW_SCHEMA rows; needs RocksDB state (STATE_STORE).
 
-    Timers free the state of idle keys. With them Spark runs batches without end, at the trigger's pace, so a
-    replay that is to stop at its end goes without.
+    Keys are dealt to `buckets`, as entering Python for each key takes far longer than comparing the rows of many; a task
+    holds a batch's rows of one bucket, so more rows take more buckets. Timers free the state of idle keys. With them Spark runs batches without end, at the trigger's pace, so a replay that is to stop at its
+    end goes without.
     """
     keyed = reports.withColumn("position", position(F.col("is_trip_level_only"), F.col("stop_sequence"), F.col("stop_id")))
-    schema: StructType = keyed.schema
-    return keyed.groupBy(*KEY).transformWithStateInPandas(ChangeDetector(idle, 1000 * idle * poll_interval if timers else None), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime" if timers else "None").select(*reports.columns)
+    dealt = keyed.select(*reports.columns, F.to_json(F.struct(*KEY)).alias("key_text"), F.to_json(F.struct(*STATE)).alias("state_text"), F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket"))
+    detector = ChangeDetector(reports.columns, idle, 1000 * idle * poll_interval if timers else None)
+    return dealt.groupBy("bucket").transformWithStateInPandas(detector, outputStructType=reports.schema, outputMode="Append", timeMode="ProcessingTime" if timers else "None")
 
 
 def write_raw(changed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
