@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__
 from trackloom.plans import registry
+from trackloom.plans.store import Kept
 
 DATA = "/root/testdata/sf0.001"
 duckdb = pytest.importorskip("duckdb")
@@ -52,3 +53,28 @@ def test_what_grows_with_the_trips_is_not_broadcast(spark, name):
     plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert not [line for line in broadcast if "orderkey" in line or "trip_" in line], broadcast
+
+
+#: Checks and reports that make kept tables, which stand between them and the raw tables.
+OVER_KEPT = (
+    "dq_arrivals_add_up", "dq_buffer_within_origin", "dq_cancellations_unresolved", "dq_curve_monotone", "dq_first_stop_alone_without_section", "dq_no_run_provable", "dq_outside_service_day",
+    "rep_asymmetry", "rep_buffer_sources", "rep_coverage", "rep_data_state", "rep_heatmap_top", "rep_one_source", "rep_reserve_works", "rep_run_lines", "rep_section_sources", "rep_split_total",
+)
+
+
+@pytest.mark.parametrize("name", OVER_KEPT)
+def test_what_grows_with_the_trips_is_not_broadcast_for_a_kept_table(spark, monkeypatch, name):
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    monkeypatch.setattr(Kept, "table", lambda self, name, build: build())  # the plan goes down to the raw tables
+    plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in broadcast if "orderkey" in line or "trip_" in line], broadcast
+
+
+def test_cancelled_stops_without_actuals_need_no_table(spark):
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    plan = registry.queries()["dq_resolved_without_actuals"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" not in plan and "Exchange SinglePartition" in plan
