@@ -121,3 +121,24 @@ def test_run_is_the_stages(spark, folder):
 def test_empty_tables(spark, folder, name):
     docs = spark.createDataFrame([], COLUMNS)
     assert dict(corpus_pipeline.STAGES)[name](spark, docs, folder).count() == 0
+
+
+def test_many_near_copies_are_not_broadcast(spark, monkeypatch):
+    """The keys of documents that go are a share of the documents: beyond FEW_ROWS they meet by a shuffle, with the same rows."""
+    from pyspark.sql import functions as F
+
+    from trackloom.llm import simhash, stages
+
+    gone, key = 100_001, F.col("key.b")
+    docs = spark.range(2 * gone).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    pairs = lambda rows, _: rows.select("key", F.when(key % 2 == 0, F.col("key")).otherwise(F.col("key").withField("b", key - 1)).alias("component_id"))
+    monkeypatch.setattr(simhash, "near_copies", pairs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = stages.drop_near_copies(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+        assert kept.agg(F.count("*"), F.count_if(F.col("doc_id") % 2 == 1)).first()[:] == (gone, 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
