@@ -61,9 +61,9 @@ def consolidate(reports: DataFrame, config: Config = DEFAULT) -> DataFrame:
 def with_names(events: DataFrame, stop_names: DataFrame, line_names: DataFrame) -> DataFrame:
     """JOI-06: stop_name by stop_id and line by trip_id, left null where no version knows them.
 
-    The dictionaries have a row per key. Lines have a key for each trip, so they grow with the events and are joined by shuffle;
-    Spark broadcasts the stops while they are small.
+    The dictionaries have a row per key. Lines have a key for each trip, so they grow with the events and are joined by shuffle,
+    first, as events often lie by trip already; Spark broadcasts the stops while they are small.
     """
     stops = stop_names.select(F.col("key").alias("stop_id"), F.col("label").alias("stop_name"))
     lines = line_names.select(F.col("key").alias("trip_id"), F.col("label").alias("line"))
-    return events.join(stops, "stop_id", "left").join(by_shuffle(lines), "trip_id", "left")
+    return events.join(by_shuffle(lines), "trip_id", "left").join(stops, "stop_id", "left")

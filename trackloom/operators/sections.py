@@ -13,14 +13,15 @@ EVENT = ("source", "service_date", "trip_key", "trip_id", "stop_sequence", "stop
 def trip_window():
     """The stops of a trip in order; source belongs to the key, as equal keys of two sources are two trips.
 
-    `_trip`, a hash of the key, comes first, so that the sort compares numbers, not keys that begin alike.
+    `_trip`, a hash of the key, comes first, so that the sort compares numbers, not keys that begin alike. trip_id is part of
+    trip_key, so it changes no trip; it tells Spark that rows dealt by trip_id lie right.
     """
-    return Window.partitionBy("_trip", "source", "trip_key").orderBy("stop_sequence")
+    return Window.partitionBy("_trip", "source", "trip_key", "trip_id").orderBy("stop_sequence")
 
 
 def by_trip(events: DataFrame) -> DataFrame:
-    """`events` dealt by trip, with `_trip`: every later step by trip finds its rows together."""
-    return events.repartition("source", "trip_key").withColumn("_trip", F.xxhash64("source", "trip_key"))
+    """`events` dealt by trip, unless they are already, with `_trip`: every later step by trip finds its rows together."""
+    return events.repartition("trip_id").withColumn("_trip", F.xxhash64("source", "trip_key"))
 
 
 def derive_sequence(events: DataFrame) -> DataFrame:

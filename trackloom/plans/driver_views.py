@@ -34,9 +34,9 @@ def _trips(orders: DataFrame) -> DataFrame:
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with orders as realtime reports: repeated (order, line) keys are repeated reports of a stop."""
-    # dealt by the join's key at once: a table of one row group would else be projected by one task, and a join by shuffle wants the same deal
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition("l_orderkey")
-    rows = lines.join(by_shuffle(_trips(read(spark, sf_dir, "orders"))), F.col("l_orderkey") == F.col("o_orderkey"))
+    # dealt by trip at once: the join, the consolidation and the windows by trip find its rows together, and no wider rows are shuffled
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("trip_id"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition("trip_id")
+    rows = lines.join(by_shuffle(_trips(read(spark, sf_dir, "orders"))), "trip_id")
     planned = plus_seconds(F.col("service_date").cast("timestamp_ntz"), F.col("o_orderkey") % 24 * 3600 + F.col("l_linenumber") * 600)
     base = F.col("l_quantity").cast("bigint") * 30 - 300
     seen = rows.withColumn("planned", planned).withColumn("snapshot_ts", plus_seconds(F.col("planned"), (F.col("l_partkey") % 41 - 20) * 60 + F.col("l_suppkey") % 60))
@@ -80,14 +80,15 @@ def poll_increments(rows: DataFrame) -> list[DataFrame]:
 
 def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as planned runs of four to seven stops, in up to two timetable versions and feeds."""
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    trip = F.col("o_orderkey").cast("string").alias("trip_id")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"), trip).repartition("trip_id")  # dealt by trip before its stops are made
     version = lambda days: F.trunc(F.date_add("day", days), "month")
     versions = F.array_distinct(F.array(version(F.lit(-40)), version((F.col("o_custkey") % 60 - 30).cast("int"))))
     feeds = F.when(F.col("o_custkey") % 9 == 0, F.array(F.lit("fv"), F.lit("rv"))).otherwise(F.array(F.lit("rv")))
     stops = orders.withColumn("static_version", F.explode(versions)).withColumn("feed", F.explode(feeds)).withColumn("n", F.explode(F.sequence(F.lit(1), (3 + F.col("o_orderkey") % 4).cast("int"))))
     at = F.col("o_orderkey") % 24 * 3600 + F.col("n") * 600
     stop = F.concat(F.lit("S"), ((F.col("o_orderkey") + F.col("n")) % 100 + 1).cast("string"))
-    return stops.select("static_version", "feed", F.col("o_orderkey").cast("string").alias("trip_id"), F.col("n").cast("bigint").alias("stop_sequence"), stop.alias("stop_id"), F.when(F.col("n") > 1, at).alias("arrival_s"), (at + 120).alias("departure_s"))
+    return stops.select("static_version", "feed", "trip_id", F.col("n").cast("bigint").alias("stop_sequence"), stop.alias("stop_id"), F.when(F.col("n") > 1, at).alias("arrival_s"), (at + 120).alias("departure_s"))
 
 
 def planned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
