@@ -6,7 +6,7 @@ from rows import DAY, PLANNED, report, reports
 
 from trackloom.operators import polls
 from trackloom.plans import extracts, marts
-from trackloom.plans.incremental import DailyMarts
+from trackloom.plans.incremental import DailyMarts, needed
 from trackloom.plans.periods import PeriodTable
 from trackloom.plans.store import Kept
 
@@ -170,3 +170,33 @@ def test_kept_tables_see_files_at_any_depth(spark, tmp_path):
     assert Kept(spark, f"{tmp_path}/in").table("t", build).count() == 10
     assert first.table("t", build).count() == 5
     assert date.fromisoformat("2026-08-21") == DAY
+
+
+def test_an_increment_builds_the_named_tables_alone(spark, tmp_path, days):
+    """A query pays for the tables it reads; others, asked for later, come from the same increments and equal a whole build."""
+    _, rows, told = days
+    seen, said = reports(spark, *rows), spark.createDataFrame(told, MESSAGES)
+    some, whole_build = daily(spark, f"{tmp_path}/some"), daily(spark, f"{tmp_path}/all")
+    for n, part in enumerate(("service_date <= '2026-08-21'", "service_date > '2026-08-21'")):
+        some.load(seen.where(part), said.where(part), str(n), needed(["consolidated"]))
+        whole_build.load(seen.where(part), said.where(part), str(n))
+    assert some.tables["consolidated"].periods() and not any(some.tables[t].periods() for t in ("runs", "buffer", "punctuality", "days"))
+    for n in range(2):
+        some.build_batch(str(n), needed(["buffer", "days"]) - needed(["consolidated"]))
+    assert not some.tables["punctuality"].periods()
+    for table in ("consolidated", "runs", "buffer"):
+        assert rows_of(some.read(table)) == rows_of(whole_build.read(table)) != []
+
+
+def test_finished_writes_leave_no_shuffle_files(spark, tmp_path, days):
+    """Of a period table's writes, the shuffles are free to be removed when the next begins."""
+    swept = []
+    import trackloom.plans.periods as periods
+
+    real = periods.swept
+    periods.swept = lambda s: (swept.append(1), real(s))
+    try:
+        daily(spark, f"{tmp_path}/t").load(reports(spark, *days[1]), spark.createDataFrame(days[2], MESSAGES), "1", needed(["consolidated"]))
+    finally:
+        periods.swept = real
+    assert len(swept) == 3

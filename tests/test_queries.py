@@ -78,3 +78,38 @@ def test_cancelled_stops_without_actuals_need_no_table(spark):
         pytest.skip("no driver tables")
     plan = registry.queries()["dq_resolved_without_actuals"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Scan parquet" not in plan and "Exchange SinglePartition" in plan
+
+
+def test_rows_by_trip_are_shuffled_once(spark):
+    """Consolidation and the windows by trip find the reports as the join dealt them: only narrow rows of the raw tables are shuffled by trip."""
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    plan = registry.queries()["mart_run_detail"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert dealt and not [line for line in dealt if "stop_sequence" in line or "_trip" in line or "source" in line and "trip_key" in line and "last" not in line and "trip_id" not in line], dealt
+
+
+def test_coverage_reads_the_kept_run_detail(spark):
+    """Where the run detail is kept, coverage doesn't consolidate the raw reports again."""
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    rail = registry.Rail(spark, DATA)
+    want = sorted(map(repr, rail.coverage.collect()))
+    rail = registry.Rail(spark, DATA)
+    rail.runs  # noqa: B018
+    assert "l_orderkey" not in rail.coverage._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, rail.coverage.collect())) == want != []
+
+
+def test_few_stop_names_are_broadcast_and_many_are_not(spark, monkeypatch):
+    if not os.path.isdir(DATA):
+        pytest.skip("no driver tables")
+    by_broadcast = lambda: "BroadcastHashJoin [stop_id" in registry.queries()["mart_run_detail"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert by_broadcast()
+        monkeypatch.setattr(registry, "MOST_NAMES", 0)
+        assert not by_broadcast()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

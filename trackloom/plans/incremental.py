@@ -28,6 +28,24 @@ DAYS = dict.fromkeys(BY_SERVICE_DAY, "service_date") | {"polls": "fetched_at", "
 OF_LAST_DAYS = ("runs", "bottlenecks", "buffer", "punctuality")
 
 
+#: Tables of polls; the others are of service days.
+OF_POLLS = ("polls", "ends", "collection", "poll_days")
+#: What each table of service days is made from; the marts whose days are kept add theirs to `days`.
+MADE_FROM = {"consolidated": ("reports", "messages"), "runs": ("consolidated",), "line_sections": ("buffer",)} | dict.fromkeys(("origin", "bottlenecks", "buffer", "punctuality", "quality"), ("runs",))
+
+
+def needed(names: Iterable[str]) -> set[str]:
+    """The named tables with all that they are made from. Polls are loaded together."""
+    out: set[str] = set()
+    left = list(names)
+    while left:
+        name = left.pop()
+        if name not in out:
+            out.add(name)
+            left += OF_POLLS if name in OF_POLLS else MADE_FROM.get(name, ())
+    return out
+
+
 SECTION = ("source", "from_label", "to_label")
 
 
@@ -42,11 +60,18 @@ class DailyMarts:
     def read(self, name: str, periods: Iterable[date] | None = None, start: date | None = None) -> DataFrame:
         return self.tables[name].read(periods, start)
 
-    def load(self, reports: DataFrame, messages: DataFrame, batch: str) -> list[date]:
-        """An increment of raw rows: they are added, and the periods they touch are built again. The same batch again changes nothing."""
+    def load(self, reports: DataFrame, messages: DataFrame, batch: str, names: Iterable[str] | None = None) -> list[date]:
+        """An increment of raw rows: they are added, and the periods they touch are built again, in the named tables or all. The same batch again changes nothing."""
         touched = sorted({*self.tables["reports"].append(reports, batch), *self.tables["messages"].append(messages, batch)})
         if touched:
-            self.build(self.read("reports", touched), self.read("messages", touched), touched)
+            self.build(self.read("reports", touched), self.read("messages", touched), touched, names=names)
+        return touched
+
+    def build_batch(self, batch: str, names: Iterable[str]) -> list[date]:
+        """The named tables in the periods that a batch, added earlier, touches. What they are made from is there, unless it is named too."""
+        touched = sorted({p for raw in ("reports", "messages") for p in self.tables[raw].periods(batch)})
+        if touched:
+            self.build(self.read("reports", touched), self.read("messages", touched), touched, names=names)
         return touched
 
     def advance(self, reports: DataFrame, messages: DataFrame) -> date | None:
@@ -55,22 +80,34 @@ class DailyMarts:
         self.build(*(df if border is None else df.where(F.col("service_date") >= F.lit(border)) for df in (reports, messages)), start=border)
         return border
 
-    def build(self, reports: DataFrame, messages: DataFrame, periods: list[date] | None = None, start: date | None = None) -> None:
-        """All tables of some periods, or from one on, from these periods' raw rows."""
-        put = lambda name, df: self.tables[name].replace(df, periods, start)
-        put("consolidated", consolidate.consolidate(reports, self.config))
-        seen = self.read("consolidated", periods, start)
-        rows = seen.unionByName(timetable.cancelled_rows(messages, seen, self.planned, self.config))
-        put("runs", marts.run_detail(sections.stop_events(consolidate.with_names(rows, self.stop_names, self.line_names))))
-        runs = self.read("runs", periods, start)
-        put("origin", marts.delay_origin(runs))
-        put("bottlenecks", marts.bottlenecks(runs))
-        put("buffer", marts.buffer_balance(runs, self.config))
-        buffer = self.read("buffer", periods, start)
-        put("line_sections", distinct.daily_sets(buffer, self.numbered(buffer), ["service_date", "source", "line"], list(SECTION)))
-        put("punctuality", marts.punctuality(runs, timetable.run_coverage(seen, self.planned), self.config))
-        put("quality", marts.data_quality(runs))
-        put("days", reduce(DataFrame.unionByName, (self._days_of(name, periods, start) for name in OF_LAST_DAYS)))
+    def build(self, reports: DataFrame, messages: DataFrame, periods: list[date] | None = None, start: date | None = None, names: Iterable[str] | None = None) -> None:
+        """The named tables, or all, of some periods, or from one on, from these periods' raw rows."""
+        names = set(DAYS) if names is None else set(names)
+        held = lambda name: self.read(name, periods, start)
+
+        def put(name: str, make) -> None:
+            if name in names:
+                self.tables[name].replace(make(), periods, start)
+
+        def run_rows() -> DataFrame:
+            seen = held("consolidated")
+            rows = seen.unionByName(timetable.cancelled_rows(messages, seen, self.planned, self.config))
+            return marts.run_detail(sections.stop_events(consolidate.with_names(rows, self.stop_names, self.line_names)))
+
+        def section_sets() -> DataFrame:
+            buffer = held("buffer")
+            return distinct.daily_sets(buffer, self.numbered(buffer), ["service_date", "source", "line"], list(SECTION))
+
+        put("consolidated", lambda: consolidate.consolidate(reports, self.config))
+        put("runs", run_rows)
+        put("origin", lambda: marts.delay_origin(held("runs")))
+        put("bottlenecks", lambda: marts.bottlenecks(held("runs")))
+        put("buffer", lambda: marts.buffer_balance(held("runs"), self.config))
+        put("line_sections", section_sets)
+        put("punctuality", lambda: marts.punctuality(held("runs"), timetable.run_coverage(held("consolidated"), self.planned), self.config))
+        put("quality", lambda: marts.data_quality(held("runs")))
+        kept = [name for name in OF_LAST_DAYS if self.tables[name].columns or self.tables[name].periods()]
+        put("days", lambda: reduce(DataFrame.unionByName, (self._days_of(name, periods, start) for name in kept)))
 
     def _days_of(self, name: str, periods: list[date] | None = None, start: date | None = None) -> DataFrame:
         return self.read(name, periods, start).select(F.lit(name).alias("mart"), "source", F.col(DAYS[name]).alias("day")).distinct()

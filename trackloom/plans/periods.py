@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from trackloom.plans.store import swept
 from trackloom.sources.files import folder, listed
 
 UNITS = ("day", "month", "quarter")
@@ -39,9 +40,10 @@ class PeriodTable:
     def placed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("period", period_of(F.col(self.day), self.unit))
 
-    def periods(self) -> list[date]:
-        """PRJ-27: the periods that are there, from folder names alone."""
-        found = [m[1] for p in listed(self.spark, f"{self.path}/period=*") if (m := re.search(r"/period=(\d{4}-\d{2}-\d{2})$", p))]
+    def periods(self, batch: str | None = None) -> list[date]:
+        """PRJ-27: the periods that are there, or that a batch touches, from folder names alone."""
+        places = listed(self.spark, f"{self.path}/period=*" + (f"/batch={batch}" if batch else ""))
+        found = [m[1] for p in places if (m := re.search(r"/period=(\d{4}-\d{2}-\d{2})(/|$)", p))]
         return sorted(map(date.fromisoformat, found))
 
     def border(self) -> date | None:
@@ -91,4 +93,5 @@ class PeriodTable:
                 raise OSError(f"{target.toString()} can't be made")
         files, rest = folder(self.spark, aside)
         files.delete(rest, True)
+        swept(self.spark)
         return sorted({date.fromisoformat(re.search(r"/period=(\d{4}-\d{2}-\d{2})(/|$)", p)[1]) for p in made})

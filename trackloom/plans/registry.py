@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from trackloom.functions.rail import plausible
 from trackloom.operators import consolidate, polls, sections, timetable
 from trackloom.plans import driver_views as views
 from trackloom.plans import extracts, marts, oracle, quality, reports
-from trackloom.plans.incremental import DailyMarts
+from trackloom.plans.incremental import OF_LAST_DAYS, OF_POLLS, DailyMarts, needed
 from trackloom.plans.store import Kept, extremes
 from trackloom.sources import staging, wire
 from trackloom.sources.archives import publish, valid_on
@@ -35,6 +36,8 @@ WIDE = Config(window_days=365)
 MIN_RUNS = 1
 #: Rows with repeats that a task compares, about.
 ONCE_ROWS = 250_000
+#: Stops whose names are broadcast, at some 140 bytes each.
+MOST_NAMES = 500_000
 #: Rows of a bucket of keys in a replay, about, and buckets that small tables have too.
 BUCKET_ROWS, LEAST_BUCKETS = 10_000, 64
 #: A day whose timetables are read.
@@ -75,7 +78,9 @@ class Rail:
         return views.planned(self.spark, self.dir)
 
     def make_stop_names(self):
-        return views.stop_names(self.spark, self.dir)
+        """Broadcast up to MOST_NAMES, by a count from the footers: else all stops of all trips are dealt by stop before Spark knows how few the names are."""
+        names = views.stop_names(self.spark, self.dir)
+        return F.broadcast(names) if self.table("supplier").count() <= MOST_NAMES else names
 
     def make_line_names(self):
         return views.line_names(self.spark, self.dir)
@@ -103,10 +108,14 @@ class Rail:
         return sections.stop_events(consolidate.with_names(self.seen.unionByName(rows), self.stop_names, self.line_names))
 
     def make_runs(self):
-        return marts.run_detail(self.events)
+        """Of each kind of rows by itself: no trip is of both kinds, and rows that lie by trip needn't be dealt again, as a union's would."""
+        return reduce(DataFrame.unionByName, (marts.run_detail(sections.stop_events(rows)) for rows in (self.observed, self.cancelled)))
 
     def make_coverage(self):
-        return timetable.run_coverage(self.seen, self.planned)
+        """From the run detail where it is kept: it has the stops of all runs that are seen, and others of cancelled trips alone, which have no coverage."""
+        known = "runs" in vars(self) or (Kept.any() and self.kept.has("runs"))
+        seen = self.runs.withColumnRenamed("stop_no", "stop_sequence") if known else self.seen
+        return timetable.run_coverage(seen, self.planned)
 
     def make_candidates(self):
         runs = self.seen.groupBy("service_date", "trip_key", "trip_id").agg(F.bool_and("stop_skipped").alias("a"), F.bool_or("trip_cancelled").alias("b"))
@@ -133,17 +142,37 @@ class Rail:
     def make_collection(self):
         return marts.collection(self.polled)
 
-    def make_incremental(self):
-        """The tables of increments, loaded once for a state of the folder: three by service day, the last with late reports of the first quarter, and three of polls."""
+    #: Tables of increments that are complete, by their folder.
+    _loaded: dict[str, set[str]] = {}
+
+    def increments(self, *names: str) -> DailyMarts:
+        """The named tables of increments and what they are made from, loaded once for a state of the folder: three by service day, the last with late reports of the first quarter, and three of polls.
+
+        Tables that a later query of the session asks for are built from the same increments of raw rows.
+        """
         path = self.kept.place("incremental")
         daily = DailyMarts(self.spark, path, self.planned, self.stop_names, self.line_names, "quarter")
-        if not daily.tables["collection"].periods():
-            for n, (reports, messages) in enumerate(views.increments(self.reports, views.messages(self.spark, self.dir)), 1):
-                daily.load(reports, messages, str(n))
+        loaded = Rail._loaded.setdefault(path, set())
+        wanted = needed(names) - loaded
+        if "days" in loaded and wanted & set(OF_LAST_DAYS):
+            wanted.add("days")
+        if of_days := wanted - set(OF_POLLS):
+            if "reports" in loaded:
+                for n in (1, 2, 3):
+                    daily.build_batch(str(n), of_days)
+            else:
+                for n, (reports, messages) in enumerate(views.increments(self.reports, views.messages(self.spark, self.dir)), 1):
+                    daily.load(reports, messages, str(n), of_days)
+        if wanted & set(OF_POLLS):
             for rows in views.poll_increments(views.poll_rows(self.spark, self.dir)):
                 daily.load_polls(rows)
+        loaded |= wanted
         return daily
 
+    def recent(self, name: str, n: int, of: str | None = None) -> DataFrame:
+        """The last days of a table of increments."""
+        return self.increments(name, of or name, "poll_days" if name == "collection" else "days").recent(name, n, of)
+
     def make_ext_sections(self):
         return extracts.sections(self.bottlenecks, WIDE)
 
@@ -384,13 +413,13 @@ PLANS: dict[str, Callable[[Rail], DataFrame]] = {
     "set_label_dictionaries": _dictionaries,
     "fn_boundaries": _boundaries,
     "str_without_repeats": _once,
-    **{f"inc_{query}": lambda r, name=name: r.incremental.read(name) for query, name in INCREMENTAL.items()},
-    "inc_ext_sections": lambda r: extracts.sections(r.incremental.recent("bottlenecks", WIDE.window_days), WIDE),
-    "inc_ext_collection": lambda r: extracts.collection(r.incremental.recent("collection", WIDE.window_days), WIDE),
-    "inc_ext_punctuality": lambda r: extracts.punctuality(r.incremental.recent("punctuality", WIDE.window_days), WIDE),
-    "inc_ext_buffer_lines": lambda r: extracts.buffer_lines_of_state(r.incremental.recent("buffer", WIDE.window_days), r.incremental.recent("line_sections", WIDE.window_days, "buffer"), WIDE),
-    "inc_ext_buffer_sections": lambda r: extracts.buffer_sections(r.incremental.recent("buffer", WIDE.window_days), WIDE),
-    "inc_ext_run_sample": lambda r: extracts.run_sample(r.incremental.recent("runs", DEFAULT.run_days)),
+    **{f"inc_{query}": lambda r, name=name: r.increments(name).read(name) for query, name in INCREMENTAL.items()},
+    "inc_ext_sections": lambda r: extracts.sections(r.recent("bottlenecks", WIDE.window_days), WIDE),
+    "inc_ext_collection": lambda r: extracts.collection(r.recent("collection", WIDE.window_days), WIDE),
+    "inc_ext_punctuality": lambda r: extracts.punctuality(r.recent("punctuality", WIDE.window_days), WIDE),
+    "inc_ext_buffer_lines": lambda r: extracts.buffer_lines_of_state(r.recent("buffer", WIDE.window_days), r.recent("line_sections", WIDE.window_days, "buffer"), WIDE),
+    "inc_ext_buffer_sections": lambda r: extracts.buffer_sections(r.recent("buffer", WIDE.window_days), WIDE),
+    "inc_ext_run_sample": lambda r: extracts.run_sample(r.recent("runs", DEFAULT.run_days)),
     "srt_run_table": lambda r: reports.ordered(r.ext_runs, "source", "service_date", "trip_key", "stop_no"),
     "dq_reconciliation": lambda r: quality.reconciliation(r.origin, r.bottlenecks),
     "dq_previous_stop": lambda r: quality.previous_stop(r.runs),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -31,6 +32,15 @@ def shared_folder(spark: SparkSession) -> str:
     return found or _local_folder()
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished writes; else they stay on the disks until the driver's heap happens to be collected.
+
+    Spark's cleaner removes a shuffle once nothing in the driver refers to it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Kept:
     """Tables written once for all queries over one state of some inputs; a file that is new, gone or changed, however deep, makes another state.
 
@@ -52,8 +62,9 @@ class Kept:
         """The table of that name, built and written where this state has none yet."""
         path = self.place(name)
         if path not in Kept._written:
-            build().write.option("compression", "lz4").parquet(path)  # for a session, so quick before small
+            build().write.option("compression", "zstd").parquet(path)
             Kept._written.add(path)
+            swept(self.spark)
         return self.spark.read.parquet(path)
 
     def has(self, name: str) -> bool:
